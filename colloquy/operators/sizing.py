@@ -1,0 +1,30 @@
+"""Broadcast only behind a size check.
+
+A side is broadcast when its row count is known (a declared bound) or
+measured to be under ``max_rows``; beyond that the join stays a shuffle join
+and AQE can still pick a broadcast from runtime statistics.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest side we broadcast by our own decision (rows). Banks, rules,
+# gazetteers and templates are far below it; anything that grows with the
+# conversation or event tables is never broadcast by declaration.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def maybe_broadcast(df: DataFrame, known_rows: int | None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast when a declared row bound is below ``max_rows``."""
+    if known_rows is not None and known_rows <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Measure the side (a bounded count of at most ``max_rows + 1`` rows) and
+    broadcast it only when it fits."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -1 +1,105 @@
-"""Queries for source_queries."""
+"""Source/sink round trips (A1-A8). Writes go to fresh folders under the
+shared folder named by ``spark.checkpoint.dir``; each query returns what
+Spark reads back (or the rows it writes), to compare with the oracle.
+
+Bank fixture: ``benchmark`` with id = item_id % 10 and pos = item_id div 10.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from colloquy.plans import fixtures as X
+from colloquy.plans.registry import query
+from colloquy.plans.state_queries import FACT_COLUMNS, _FACTS_SQL, interaction_facts
+from colloquy.session import scratch_path
+from colloquy.sources import banks as A
+
+ITEMS = ["click", "error", "purchase", "signup", "view"]
+
+
+def _bank(spark, sf_dir):
+    b = X.benchmark(spark, sf_dir)
+    return b.select((F.col("item_id") % 10).alias("id"), (F.col("item_id") / 10).cast("bigint").alias("pos"), "text")
+
+
+@query("a1_read_bank", "A1", "SELECT item_id::INTEGER AS id, text FROM benchmark")
+def a1(spark, sf_dir):
+    path = scratch_path(spark, "bank-csv")
+    A.write_bank(X.benchmark(spark, sf_dir), path, id_col="item_id")
+    return A.read_bank(spark, path).select("id", "text")
+
+
+@query("a2_read_grouped_json", "A2", """
+SELECT (item_id % 10)::VARCHAR AS id,
+  (row_number() OVER (PARTITION BY item_id % 10 ORDER BY item_id))::INTEGER AS pos, text FROM benchmark""")
+def a2(spark, sf_dir):
+    path = scratch_path(spark, "grouped-json")
+    A.write_grouped_json(_bank(spark, sf_dir), path)
+    return A.read_grouped_json(spark, path)
+
+
+@query("a3_write_grouped_json", "A3", """
+SELECT (item_id % 10)::VARCHAR AS id, count(*)::INTEGER AS n_texts FROM benchmark GROUP BY 1""")
+def a3(spark, sf_dir):
+    path = scratch_path(spark, "grouped-json")
+    A.write_grouped_json(_bank(spark, sf_dir), path)
+    lines = spark.read.text(path).select(F.from_json("value", A.GROUPED_LINE_SCHEMA).alias("m"))
+    return lines.select(F.explode("m").alias("id", "texts")).groupBy("id").agg(
+        F.sum(F.size("texts")).cast("int").alias("n_texts"))
+
+
+_CLEAN_SQL = """regexp_replace(replace(translate(text, chr(146) || chr(128) || chr(160), '''€ '), chr(156), 'oe'),
+    '[\\r\\n]+', ' ', 'g')"""
+_REPAIRED_SQL = "replace(translate(text, chr(146) || chr(128) || chr(160), '''€ '), chr(156), 'oe')"
+_BANK_SQL = "SELECT item_id % 10 AS id, item_id // 10 AS pos, text FROM benchmark"
+
+
+@query("a4_emit_training_blocks", "A4", f"""
+WITH b AS ({_BANK_SQL}), h AS (SELECT DISTINCT id, pos // 10000 AS block FROM b)
+SELECT id, block, 0 AS kind, NULL::BIGINT AS pos, '- intent: faq/' || id::VARCHAR AS line FROM h
+UNION ALL SELECT id, block, 1, NULL::BIGINT, '  examples: |' FROM h
+UNION ALL SELECT id, pos // 10000, 2, pos, '    - ' || {_CLEAN_SQL} FROM b""")
+def a4(spark, sf_dir):
+    lines = A.training_lines(_bank(spark, sf_dir))
+    A.write_blocks(lines, scratch_path(spark, "training"), header=A.TRAINING_HEADER)
+    return lines
+
+
+@query("a5_emit_response_blocks", "A5", f"""
+WITH b AS ({_BANK_SQL}), h AS (SELECT DISTINCT id, pos // 10000 AS block FROM b)
+SELECT id, block, 0 AS kind, NULL::BIGINT AS pos, '  utter_faq/' || id::VARCHAR || ':' AS line FROM h
+UNION ALL SELECT id, pos // 10000, 1, pos, '    - text: "' || {_REPAIRED_SQL} || '"' FROM b""")
+def a5(spark, sf_dir):
+    lines = A.response_lines(_bank(spark, sf_dir))
+    A.write_blocks(lines, scratch_path(spark, "responses"))
+    return lines
+
+
+@query("a6_read_training_blocks", "A6", f"""
+SELECT 'faq/' || (item_id % 10)::VARCHAR AS intent,
+  (row_number() OVER (PARTITION BY item_id % 10 ORDER BY item_id))::INTEGER AS pos, {_CLEAN_SQL} AS text
+FROM benchmark""")
+def a6(spark, sf_dir):
+    path = scratch_path(spark, "training")
+    A.write_blocks(A.training_lines(_bank(spark, sf_dir)), path, header=A.TRAINING_HEADER)
+    return A.read_training_blocks(spark, path)
+
+
+@query("a7_feedback_roundtrip", "A7", f"SELECT * FROM ({_FACTS_SQL})")
+def a7(spark, sf_dir):
+    path = scratch_path(spark, "feedback")
+    facts = interaction_facts(spark, sf_dir).withColumn("fact_day", F.substring("time_user_question", 1, 10))
+    A.append_feedback(facts, path, partition_col="fact_day")
+    return A.read_feedback(spark, path, FACT_COLUMNS)
+
+
+@query("a8_read_item_matrix", "A8", """
+SELECT DISTINCT 'user' || user_id::VARCHAR AS role, event_type AS item FROM events""")
+def a8(spark, sf_dir):
+    ev = X.events(spark, sf_dir, "user_id", "event_type")
+    wide = (ev.groupBy(F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("role"))
+            .pivot("event_type", ITEMS).agg(F.lit(1)).fillna(0, subset=ITEMS))
+    path = scratch_path(spark, "item-matrix")
+    A.write_item_matrix(wide, path)
+    return A.read_item_matrix(spark, path, "role")

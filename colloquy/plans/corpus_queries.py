@@ -1 +1,76 @@
-"""Queries for corpus_queries."""
+"""Corpus-assembly queries (H1-H5) over ``documents``: an intent is a
+document ``source``, its examples are the documents' texts; the language
+says which list a document belongs to."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from colloquy.operators import corpus as H
+from colloquy.plans import fixtures as X
+from colloquy.plans.registry import query
+
+_REPAIR_SQL = "replace(translate(text, chr(146) || chr(128) || chr(160), '''€ '), chr(156), 'oe')"
+
+
+def _docs(spark, sf_dir):
+    return X.documents(spark, sf_dir, "doc_id", "source", "lang", "text", "n_chars")
+
+
+@query("h1_merge_lists", "H1", """
+SELECT 'fr' AS origin, source AS name, doc_id FROM documents WHERE lang = 'fr'
+UNION ALL SELECT 'es', source, doc_id FROM documents WHERE lang = 'es'""")
+def h1(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    a = d.filter(F.col("lang") == "fr").select(F.lit("fr").alias("origin"), F.col("source").alias("name"), "doc_id")
+    b = d.filter(F.col("lang") == "es").select(F.lit("es").alias("origin"), F.col("source").alias("name"), "doc_id")
+    return H.merge_lists(a, b)
+
+
+# H2 sources in priority order: English texts, then short German ones, then
+# very short French ones; a later source replaces a key's whole list.
+@query("h2_merge_by_priority", "H2", """
+WITH s AS (SELECT source, doc_id, lang, 1 AS priority FROM documents WHERE lang = 'en'
+           UNION ALL SELECT source, doc_id, lang, 2 FROM documents WHERE lang = 'de' AND n_chars < 2000
+           UNION ALL SELECT source, doc_id, lang, 3 FROM documents WHERE lang = 'fr' AND n_chars < 1000),
+b AS (SELECT source, max(priority) AS priority FROM s GROUP BY source)
+SELECT s.source, s.doc_id, s.lang, s.priority FROM s JOIN b USING (source, priority)""")
+def h2(spark, sf_dir):
+    d = _docs(spark, sf_dir).select("source", "doc_id", "lang", "n_chars")
+    en = d.filter(F.col("lang") == "en")
+    de = d.filter((F.col("lang") == "de") & (F.col("n_chars") < 2000))
+    fr = d.filter((F.col("lang") == "fr") & (F.col("n_chars") < 1000))
+    out = H.merge_by_priority([x.drop("n_chars") for x in (en, de, fr)], "source")
+    return out.select("source", "doc_id", "lang", "priority")
+
+
+@query("h3_augment_examples", "H3", f"""
+WITH a AS (SELECT source, doc_id, text FROM documents WHERE lang = 'fr' AND n_chars < 2000),
+b AS (SELECT source, doc_id, text FROM documents WHERE lang = 'es'),
+k AS (SELECT DISTINCT source FROM a)
+SELECT u.source, u.doc_id, u.part, CASE WHEN k.source IS NOT NULL THEN 1 ELSE 2 END AS intent_order,
+  {_REPAIR_SQL.replace('text', 'u.text')} AS text
+FROM (SELECT *, 1 AS part FROM a UNION ALL SELECT *, 2 FROM b) u LEFT JOIN k USING (source)""")
+def h3(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    a = d.filter((F.col("lang") == "fr") & (F.col("n_chars") < 2000)).select("source", "doc_id", "text")
+    b = d.filter(F.col("lang") == "es").select("source", "doc_id", "text")
+    return H.augment_examples(a, b, "source").select("source", "doc_id", "part", "intent_order", "text")
+
+
+@query("h4_vocabulary", "H4", r"""
+SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents WHERE lang = 'fr'""")
+def h4(spark, sf_dir):
+    d = _docs(spark, sf_dir).filter(F.col("lang") == "fr")
+    words = d.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)).alias("word"))
+    return H.vocabulary(words, "word")
+
+
+@query("h5_group_count", "H5", "SELECT source, count(*) AS n_texts FROM documents GROUP BY source")
+def h5(spark, sf_dir):
+    return H.group_count(_docs(spark, sf_dir), "source")
+
+
+@query("h5_distinct_ids", "H5", "SELECT count(DISTINCT source) AS n_ids FROM documents")
+def h5_ids(spark, sf_dir):
+    return H.distinct_ids(_docs(spark, sf_dir), "source")

@@ -1 +1,83 @@
-"""Queries for path_queries."""
+"""Rule and path queries (G1-G3) over ``events``.
+
+Fixture: intent per event_type (click faq, view confusion_1, purchase
+confusion_2, error deny, signup non_sense); the rating form is active when
+the user's previous event was a click; the confusion slot is ``true`` when
+the request (user, day) is confused. Steps are event types ordered by
+(ts, event_id).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from colloquy.operators import paths as G
+from colloquy.operators.scan import carry_last, day_chunk
+from colloquy.plans import fixtures as X
+from colloquy.plans.gate_queries import GATED_SQL, gated
+from colloquy.plans.registry import query, sql_lit as L
+
+INTENTS = {"click": "faq", "view": "confusion_1", "purchase": "confusion_2", "error": "deny", "signup": "non_sense"}
+PATH = [["click"], ["view", "purchase"], ["click"]]
+EV_KEYS, EV_ORDER = ["user_id"], ["ts", "event_id"]
+
+
+def _nullable(v):
+    return "NULL" if v is None else L(v)
+
+
+_RULES_SQL = "SELECT * FROM (VALUES " + ", ".join(
+    f"({L(r)}, {L(i)}, {_nullable(a)}, {_nullable(c)}, {L(x)})" for r, i, a, c, x in G.RULES
+) + ") AS t(rule, intent, active_loop, confusion, actions)"
+_INTENT_SQL = "CASE event_type " + " ".join(f"WHEN {L(k)} THEN {L(v)}" for k, v in INTENTS.items()) + " END"
+
+
+@query("g1_rule_lookup", "G1", f"""
+WITH e AS (SELECT event_id, user_id, strftime(ts, '%Y-%m-%d') AS day, {_INTENT_SQL} AS intent,
+    CASE WHEN lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) = 'click'
+         THEN 'note_and_pseudo_asking_form' END AS active_loop FROM events),
+g AS ({GATED_SQL}),
+ev AS (SELECT e.*, CASE WHEN g.outcome = 'confused' THEN 'true' END AS confusion
+       FROM e LEFT JOIN g USING (user_id, day)),
+m AS (SELECT ev.event_id, r.rule, r.actions,
+        row_number() OVER (PARTITION BY ev.event_id ORDER BY
+          (r.active_loop IS NOT NULL)::INTEGER + (r.confusion IS NOT NULL)::INTEGER DESC, r.rule) AS rn
+      FROM ev JOIN ({_RULES_SQL}) r ON r.intent = ev.intent
+        AND (r.active_loop IS NULL OR r.active_loop = ev.active_loop)
+        AND (r.confusion IS NULL OR r.confusion = ev.confusion))
+SELECT e.event_id, m.rule, m.actions FROM e LEFT JOIN (SELECT * FROM m WHERE rn = 1) m USING (event_id)""")
+def g1(spark, sf_dir):
+    ev = X.events(spark, sf_dir, "event_id", "user_id", "ts", "day", "event_type")
+    et = F.col("event_type")
+    ev = ev.withColumn("intent", F.coalesce(*[F.when(et == k, F.lit(v)) for k, v in INTENTS.items()]))
+    ev = carry_last(ev, EV_KEYS, EV_ORDER, et, "_prev", inclusive=False, chunk=day_chunk())
+    ev = ev.withColumn("active_loop", F.when(F.col("_prev") == "click", F.lit(G.FORM)))
+    conf = gated(spark, sf_dir).select("user_id", "day", F.when(F.col("outcome") == "confused", F.lit("true"))
+                                       .alias("confusion"))
+    ev = ev.join(conf, ["user_id", "day"], "left")
+    return G.rule_lookup(ev, G.rules_frame(spark), "event_id", rules_rows=len(G.RULES))
+
+
+_STEPS_SQL = """SELECT user_id, event_type,
+    lag(event_type, 1) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev1,
+    lag(event_type, 2) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev2 FROM events"""
+
+
+@query("g2_path_conformance", "G2", f"""
+SELECT user_id,
+  count(*) FILTER (WHERE prev2 = 'click' AND prev1 IN ('view', 'purchase') AND event_type = 'click') AS n_matches,
+  count(*) FILTER (WHERE prev2 = 'click' AND prev1 IN ('view', 'purchase') AND event_type = 'click') > 0 AS follows
+FROM ({_STEPS_SQL}) s GROUP BY user_id""")
+def g2(spark, sf_dir):
+    ev = X.events(spark, sf_dir, "user_id", "ts", "event_id", "event_type")
+    return G.path_conformance(ev, EV_KEYS, EV_ORDER, "event_type", PATH, chunk=day_chunk())
+
+
+@query("g3_next_action", "G3", f"""
+WITH c AS (SELECT prev2, prev1, event_type AS next_step, count(*) AS n FROM ({_STEPS_SQL}) s
+           WHERE prev2 IS NOT NULL GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY prev2, prev1 ORDER BY n DESC, next_step) AS rn FROM c)
+SELECT prev2, prev1, next_step, n FROM r WHERE rn = 1""")
+def g3(spark, sf_dir):
+    ev = X.events(spark, sf_dir, "user_id", "ts", "event_id", "event_type")
+    return G.next_action(ev, EV_KEYS, EV_ORDER, "event_type", chunk=day_chunk())

@@ -1 +1,90 @@
-"""Queries for keyword_queries."""
+"""Contrastive-keyword queries (D1-D6) over the French ``documents``.
+
+Fixture: id = doc_id % 10; ids form the pairs (0,1) (2,3) ... (8,9), so
+pair_id = id div 2 and side = id % 2; a document is a response when
+doc_id div 10 is even, else a question. Every French text takes part.
+The oracle compares every word with every cleaned text of its pair
+(brute force); the Spark side uses the gram index of ``keywords``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from colloquy.operators import keywords as D
+from colloquy.plans import fixtures as X
+from colloquy.plans.registry import query, sql_lit as L
+
+_STOPS_SQL = "[" + ", ".join(L(w) for w in D.FRENCH_STOP_WORDS) + "]"
+_CORPUS_SQL = """SELECT (doc_id % 10) // 2 AS pair_id, doc_id % 2 AS side, doc_id,
+    CASE WHEN (doc_id // 10) % 2 = 0 THEN 'response' ELSE 'question' END AS kind, text,
+    count(*) OVER (PARTITION BY (doc_id % 10) // 2, doc_id % 2) AS n_texts
+  FROM documents WHERE lang = 'fr'"""
+_WORDS_SQL = rf"list_filter(regexp_extract_all(lower(text), '\p{{L}}+'), lambda x: NOT list_contains({_STOPS_SQL}, x))"
+_TABLE_SQL = f"""
+WITH c AS ({_CORPUS_SQL}),
+cw AS (SELECT pair_id, side, doc_id, n_texts, {_WORDS_SQL} AS ws FROM c),
+ct AS (SELECT pair_id, side, doc_id, array_to_string(ws, ', ') AS clean FROM cw),
+n AS (SELECT DISTINCT pair_id, side, n_texts FROM c),
+w AS (SELECT DISTINCT pair_id, side, unnest(ws) AS word FROM cw),
+cnt AS (SELECT w.pair_id, w.side, w.word,
+          count(*) FILTER (WHERE t.side = w.side) AS df_own,
+          count(*) FILTER (WHERE t.side <> w.side) AS df_other
+        FROM w JOIN ct t ON t.pair_id = w.pair_id AND contains(t.clean, w.word) GROUP BY ALL),
+s AS (SELECT cnt.*, n1.n_texts AS n_own, n2.n_texts AS n_other,
+        (df_own::DOUBLE / n1.n_texts) * ln(n2.n_texts::DOUBLE / (df_other + 1)) AS score
+      FROM cnt JOIN n n1 ON n1.pair_id = cnt.pair_id AND n1.side = cnt.side
+      JOIN n n2 ON n2.pair_id = cnt.pair_id AND n2.side <> cnt.side)"""
+
+
+def corpus(spark, sf_dir):
+    d = X.documents(spark, sf_dir, "doc_id", "lang", "text").filter(F.col("lang") == "fr")
+    d = d.withColumn("id", F.col("doc_id") % 10)
+    pairs = d.select("id").distinct().select(
+        (F.col("id") / 2).cast("bigint").alias("pair_id"), (F.col("id") % 2).alias("side"), "id")
+    kind_even = ((F.col("doc_id") / 10).cast("bigint") % 2) == 0
+    responses = d.filter(kind_even).select("id", "doc_id", "text")
+    questions = d.filter(~kind_even).select("id", "doc_id", "text")
+    return D.pair_corpus(pairs, responses, questions)
+
+
+@query("d1_pair_corpus", "D1", f"SELECT pair_id, side, doc_id, kind, n_texts FROM ({_CORPUS_SQL})")
+def d1(spark, sf_dir):
+    return corpus(spark, sf_dir).select("pair_id", "side", "doc_id", "kind", "n_texts")
+
+
+@query("d2_content_words", "D2", f"""
+SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest({_WORDS_SQL}) AS word FROM documents WHERE lang = 'fr')
+GROUP BY ALL""")
+def d2(spark, sf_dir):
+    d = X.documents(spark, sf_dir, "doc_id", "lang", "text").filter(F.col("lang") == "fr")
+    w = D.content_words(d.select("doc_id", "text"))
+    return w.select("doc_id", F.explode("words").alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+
+
+@query("d3_distinct_words", "D3", f"""
+WITH c AS ({_CORPUS_SQL}) SELECT DISTINCT pair_id, side, unnest({_WORDS_SQL}) AS word FROM c""")
+def d3(spark, sf_dir):
+    c = corpus(spark, sf_dir)
+    w = D.content_words(c.select("pair_id", "side", "text"))
+    return D.distinct_words(w.select("pair_id", "side", F.explode("words").alias("word")), ["pair_id", "side"])
+
+
+@query("d4_containment", "D4", f"{_TABLE_SQL} SELECT pair_id, side, word, df_own, df_other FROM s")
+def d4(spark, sf_dir):
+    return D.keyword_table(corpus(spark, sf_dir)).select("pair_id", "side", "word", "df_own", "df_other")
+
+
+@query("d5_contrast_score", "D5", f"{_TABLE_SQL} SELECT pair_id, side, word, round(score, 6) AS score FROM s")
+def d5(spark, sf_dir):
+    t = D.keyword_table(corpus(spark, sf_dir))
+    return t.select("pair_id", "side", "word", F.round("score", 6).alias("score"))
+
+
+@query("d6_top_keyword", "D6", f"""{_TABLE_SQL},
+r AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY score DESC, word) AS rn FROM s)
+SELECT pair_id, side, replace(translate(word, chr(146) || chr(128), '''€'), chr(156), 'oe') AS keyword,
+  round(score, 6) AS score FROM r WHERE rn = 1""")
+def d6(spark, sf_dir):
+    best = D.top_keyword(D.keyword_table(corpus(spark, sf_dir)), ["pair_id", "side"])
+    return best.withColumn("score", F.round("score", 6))

@@ -146,3 +146,101 @@ def menu_rows(spark, name: str) -> DataFrame:
     """A fixed menu as (pos, title, payload) rows."""
     rows = [(i + 1, t, p) for i, (t, p) in enumerate(FIXED_MENUS[name])]
     return spark.createDataFrame(rows, "pos int, title string, payload string")
+
+
+# ------------------------------------------------------------------ C1-C5
+WORD_RE = r"\p{L}+"
+
+
+def tokenize(df: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
+    """Whitespace tokens with their 1-based position."""
+    trimmed = F.regexp_replace(F.col(text), r"^\s+|\s+$", "")
+    toks = F.split(trimmed, r"\s+")
+    out = df.select(*_list(keys), F.posexplode(toks).alias("pos", "token"))
+    return out.filter(F.col("token") != "").withColumn("pos", F.col("pos") + 1)
+
+
+def token_counts(tokens: DataFrame, keys: Sequence[str], token: str = "token") -> DataFrame:
+    """Bag-of-words counts per text (partial aggregation)."""
+    return tokens.groupBy(*_list(keys), token).agg(F.count("*").alias("n"))
+
+
+def fit_intents(train: DataFrame, text: str = "text", label: str = "label", seed: int = 42,
+                max_iter: int = 20, vocab_size: int = 1 << 18):
+    """Multi-class intent model: tokenizer -> counts -> logistic regression."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import CountVectorizer, RegexTokenizer
+
+    tok = RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=WORD_RE, gaps=False, toLowercase=True)
+    cv = CountVectorizer(inputCol="_tokens", outputCol="_features", vocabSize=vocab_size, minDF=1.0)
+    lr = LogisticRegression(featuresCol="_features", labelCol=label, maxIter=max_iter, regParam=0.01,
+                            predictionCol="prediction", probabilityCol="probability")
+    return Pipeline(stages=[tok, cv, lr]).fit(train.withColumn(label, F.col(label).cast("double")))
+
+
+def predict_intents(model, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Score a table of texts: predicted label and its probability."""
+    from pyspark.ml.functions import vector_to_array
+
+    scored = model.transform(df)
+    prob = F.array_max(vector_to_array("probability"))
+    return scored.select(*_list(keys), F.col("prediction"), prob.alias("confidence"))
+
+
+def _words(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
+    return df.select(*_list(keys), F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORD_RE), 0))
+                     .alias("token"))
+
+
+def rank_responses(queries: DataFrame, bank: DataFrame, q_keys: Sequence[str], item: str = "item_id",
+                   text: str = "text", k: int = 3) -> DataFrame:
+    """C4: rank bank entries for each query text by TF-IDF cosine, best first.
+
+    Relational form: tf per (doc, token), idf = ln(N/df) over the bank
+    (tokens with idf 0 carry no weight and are dropped before the join),
+    dot products by an equi-join on token and a grouped sum, top k by
+    ``row_number`` (partial ``WindowGroupLimit``), and the confidence is
+    the cosine normalised over the top k. Cosines are rounded to 6 places
+    before ranking; ties go to the smaller item id."""
+    q_keys = _list(q_keys)
+    n_bank = bank.select(item).distinct().count()  # one scalar, the bank size
+    btf = _words(bank, [item], text).groupBy(item, "token").agg(F.count("*").alias("tf"))
+    idf = btf.groupBy("token").agg(F.count("*").alias("df")) \
+        .select("token", F.log(F.lit(float(n_bank)) / F.col("df")).alias("idf")).filter(F.col("idf") > 0)
+    bw = btf.join(idf, "token").select(item, "token", (F.col("tf") * F.col("idf")).alias("wb"))
+    bnorm = bw.groupBy(item).agg(F.sqrt(F.sum(F.col("wb") * F.col("wb"))).alias("nb"))
+    qtf = _words(queries, q_keys, text).groupBy(*q_keys, "token").agg(F.count("*").alias("tf"))
+    qw = qtf.join(idf, "token").select(*q_keys, "token", (F.col("tf") * F.col("idf")).alias("wq"))
+    qnorm = qw.groupBy(*q_keys).agg(F.sqrt(F.sum(F.col("wq") * F.col("wq"))).alias("nq"))
+    dot = qw.join(bw, "token").groupBy(*q_keys, item).agg(F.sum(F.col("wq") * F.col("wb")).alias("dot"))
+    cos = dot.join(qnorm, q_keys).join(bnorm, item).select(
+        *q_keys, item, F.round(F.col("dot") / (F.col("nq") * F.col("nb")), 6).alias("cosine"))
+    top = rank_candidates(cos, q_keys, [F.col("cosine").desc(), F.col(item)], top=k)
+    total = top.groupBy(*q_keys).agg(F.sum("cosine").alias("_tot"))
+    return top.join(total, q_keys).withColumn(
+        "confidence", F.round(F.col("cosine") / F.col("_tot"), 6)).drop("_tot")
+
+
+def entity_match(df: DataFrame, gazetteer: DataFrame, keys: Sequence[str], text: str = "text",
+                 gazetteer_rows: int | None = None) -> DataFrame:
+    """Known entity values found in each text, as (keys, value, entity).
+
+    Values are matched on their first word by an equi-join with the
+    gazetteer (broadcast under a declared size); values of several words
+    are then verified with ``contains`` on the lower-cased text."""
+    from colloquy.operators.sizing import maybe_broadcast
+
+    keys = _list(keys)
+    g = gazetteer.select(
+        F.lower("value").alias("value"), "entity",
+        F.regexp_extract_all(F.lower("value"), F.lit(WORD_RE), 0).alias("_vw"))
+    g = g.select("value", "entity", F.col("_vw")[0].alias("token"), F.size("_vw").alias("_n")) \
+        .filter(F.col("_n") > 0)
+    toks = _words(df, keys, text).distinct()
+    hit = toks.join(maybe_broadcast(g, gazetteer_rows), "token")
+    single = hit.filter(F.col("_n") == 1).select(*keys, "value", "entity")
+    multi = hit.filter(F.col("_n") > 1).select(*keys, "value", "entity") \
+        .join(df.select(*keys, F.lower(F.col(text)).alias("_lt")), keys) \
+        .filter(F.col("_lt").contains(F.col("value"))).select(*keys, "value", "entity")
+    return single.unionByName(multi).distinct()

@@ -50,6 +50,7 @@ def load_all() -> dict[str, Query]:
         gate_queries,
         keyword_queries,
         path_queries,
+        ranking_queries,
         recommend_queries,
         source_queries,
         state_queries,

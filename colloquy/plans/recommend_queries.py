@@ -1 +1,123 @@
-"""Queries for recommend_queries."""
+"""Recommendation queries.
+
+Items are the event types; a user's asked items are the event types it
+produced on a day (requests are (user_id, day)). I1 folds a misspelled form of each event's type (k % 3: as is,
+one letter dropped, upper case with accents) and matches it to the items.
+I3 points are the ``embeddings``: bit i is set when dimension i is
+positive (i < 5, bit i = ITEMS[i]) and the label is the role; a role's items
+are those of its first point (smallest vec_id), as the reference takes the
+first matrix row of a role.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from colloquy.operators import recommend as I
+from colloquy.plans import fixtures as X
+from colloquy.plans.registry import query, sql_lit as L
+
+ITEMS = ["click", "error", "purchase", "signup", "view"]
+K = 5
+_ACC, _PLAIN = "àâäáãåçéèêëíìîïñóòôöõúùûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
+
+_WORD_SQL = """CASE json_extract_string(props, '$.k')::INTEGER % 3
+    WHEN 0 THEN event_type
+    WHEN 1 THEN substr(event_type, 1, json_extract_string(props, '$.k')::INTEGER % length(event_type))
+             || substr(event_type, json_extract_string(props, '$.k')::INTEGER % length(event_type) + 2)
+    ELSE upper(replace(replace(event_type, 'i', 'î'), 'e', 'é')) END"""
+
+
+@query("i1_fuzzy_match", "I1", f"""
+WITH w AS (SELECT event_id, {_WORD_SQL} AS word FROM events),
+f AS (SELECT event_id, word, translate(lower(trim(word)), {L(_ACC)}, {L(_PLAIN)}) AS fw FROM w),
+v(item) AS (VALUES {", ".join(f"({L(i)})" for i in ITEMS)})
+SELECT DISTINCT event_id, word, item,
+  round(100.0 * (1.0 - levenshtein(fw, item)::DOUBLE / greatest(length(fw), length(item))), 6) AS similarity
+FROM f, v
+WHERE 100.0 * (1.0 - levenshtein(fw, item)::DOUBLE / greatest(length(fw), length(item))) > 80""")
+def i1(spark, sf_dir):
+    ev = X.events(spark, sf_dir, "event_id", "event_type", "k")
+    et, k = F.col("event_type"), F.col("k")
+    p = k % F.char_length(et)
+    word = (F.when(k % 3 == 0, et)
+            .when(k % 3 == 1, F.concat(F.substr(et, F.lit(1), p), F.substr(et, p + 2, F.char_length(et))))
+            .otherwise(F.upper(F.replace(F.replace(et, F.lit("i"), F.lit("î")), F.lit("e"), F.lit("é")))))
+    words = ev.select("event_id", word.alias("word"))
+    vocab = spark.createDataFrame([(i,) for i in ITEMS], "item string")
+    return I.fuzzy_match(words, vocab, ["event_id"])
+
+
+@query("i2_one_hot", "I2", f"""
+SELECT user_id, {", ".join(f"max((event_type = {L(i)})::INTEGER) AS {i}" for i in ITEMS)} FROM events GROUP BY user_id""")
+def i2(spark, sf_dir):
+    ev = X.events(spark, sf_dir, "user_id", "event_type")
+    return I.one_hot(ev, ["user_id"], "event_type", ITEMS)
+
+
+_BITS_SQL = " + ".join(f"{1 << i} * (embedding[{i + 1}] > 0)::INTEGER" for i in range(len(ITEMS)))
+_ITEM_BITS_SQL = "(VALUES " + ", ".join(f"({L(it)}, {1 << i})" for i, it in enumerate(ITEMS)) + ") AS ib(item, bit)"
+_KNN_SQL = f"""
+p AS (SELECT vec_id, label, {_BITS_SQL} AS pattern FROM embeddings),
+q AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, sum(DISTINCT ib.bit)::INTEGER AS pattern
+      FROM events JOIN {_ITEM_BITS_SQL} ON ib.item = events.event_type GROUP BY ALL),
+d AS (SELECT q.user_id, q.day, p.vec_id, p.label, bit_count(xor(q.pattern, p.pattern)) AS dist FROM q, p),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY dist, vec_id) AS rn FROM d),
+v AS (SELECT user_id, day, label, count(*) AS votes FROM r WHERE rn <= {K} GROUP BY ALL),
+knn AS (SELECT user_id, day, label AS predicted_label, votes FROM
+        (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY votes DESC, label) AS rn FROM v) WHERE rn = 1)"""
+
+
+def _points(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    bits = sum((F.when(F.col("embedding")[i] > 0, F.lit(1 << i)).otherwise(F.lit(0)) for i in range(len(ITEMS))),
+               F.lit(0))
+    return e.select(F.col("vec_id").alias("point_id"), "label", bits.cast("int").alias("pattern"))
+
+
+REQ = ["user_id", "day"]
+
+
+def _predicted(spark, sf_dir):
+    ev = X.events(spark, sf_dir, "user_id", "day", "event_type")
+    q = I.item_pattern(ev, REQ, "event_type", ITEMS)
+    return I.knn_label(q, _points(spark, sf_dir), K, len(ITEMS), REQ)
+
+
+@query("i3_knn_label", "I3", f"WITH {_KNN_SQL} SELECT * FROM knn")
+def i3(spark, sf_dir):
+    return _predicted(spark, sf_dir)
+
+
+def _role_items(spark, sf_dir):
+    pts = _points(spark, sf_dir)
+    first = pts.groupBy("label").agg(F.min_by("pattern", "point_id").alias("pattern"))
+    items = F.array(*[F.when((F.col("pattern").bitwiseAND(F.lit(1 << i))) != 0, F.lit(it))
+                      for i, it in enumerate(ITEMS)])
+    return first.select(F.col("label").alias("predicted_label"), F.explode(F.array_compact(items)).alias("item"))
+
+
+_MISSING_SQL = f"""
+ri AS (SELECT label, arg_min(pattern, vec_id) AS pattern FROM p GROUP BY label),
+miss AS (SELECT k.user_id, k.day, ib.item, ib.bit FROM knn k JOIN ri ON ri.label = k.predicted_label
+         JOIN {_ITEM_BITS_SQL} ON (ri.pattern & ib.bit) <> 0
+         WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = k.user_id
+                           AND strftime(e.ts, '%Y-%m-%d') = k.day AND e.event_type = ib.item))"""
+
+
+def _missing(spark, sf_dir):
+    ev = X.events(spark, sf_dir, "user_id", "day", "event_type").withColumnRenamed("event_type", "item")
+    return I.missing_items(_predicted(spark, sf_dir), _role_items(spark, sf_dir), ev.distinct(), REQ)
+
+
+@query("i4_missing_items", "I4", f"WITH {_KNN_SQL}, {_MISSING_SQL} SELECT user_id, day, item FROM miss")
+def i4(spark, sf_dir):
+    return _missing(spark, sf_dir)
+
+
+@query("i5_list_phrase", "I5", f"""WITH {_KNN_SQL}, {_MISSING_SQL},
+a AS (SELECT user_id, day, list(item ORDER BY bit) AS arr FROM miss GROUP BY user_id, day)
+SELECT user_id, day, array_to_string(list_concat(arr[1:len(arr) - 1], ['et ' || arr[len(arr)]]), ', ') AS phrase FROM a""")
+def i5(spark, sf_dir):
+    order = F.coalesce(*[F.when(F.col("item") == it, F.lit(i)) for i, it in enumerate(ITEMS)])
+    return I.list_phrase(_missing(spark, sf_dir), REQ, "item", order)

@@ -1 +1,66 @@
-"""Queries for stream_queries."""
+"""Streaming queries (J1-J4): each runs its stream over the ``events``
+table folder (glob ``events*.parquet``) to completion with an
+``availableNow`` trigger, then reads what the sink committed.
+
+J1 and J3 depend on the watermark (only closed sessions / the first copy
+within the delay are emitted), so they have no SQL oracle; J2 and J4 end in
+the same state as their batch forms.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from colloquy.plans.gate_queries import GATED_SQL
+from colloquy.plans.registry import query
+from colloquy.session import scratch_path
+from colloquy.streaming import streams as J
+
+TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def _events(spark, sf_dir):
+    return J.event_stream(spark, f"{sf_dir}/events*.parquet")
+
+
+@query("j1_stream_sessions", "J1")
+def j1(spark, sf_dir):
+    out, ck = scratch_path(spark, "j1-out"), scratch_path(spark, "j1-ckpt")
+    J.run_to_sink(J.stream_sessions(_events(spark, sf_dir)), out, ck)
+    s = spark.read.parquet(out)
+    return s.select("user_id", F.date_format("session_start", TS_FMT).alias("session_start"),
+                    F.date_format("session_end", TS_FMT).alias("session_end"), "n_events")
+
+
+@query("j2_stream_slots", "J2", """
+WITH w AS (SELECT user_id, CASE WHEN event_type = 'error' THEN 'click' ELSE event_type END AS slot,
+    CASE WHEN event_type = 'error' THEN NULL ELSE value::VARCHAR END AS value,
+    row_number() OVER (PARTITION BY user_id, CASE WHEN event_type = 'error' THEN 'click' ELSE event_type END
+                       ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+SELECT user_id, slot, value FROM w WHERE rn = 1""")
+def j2(spark, sf_dir):
+    out, ck = scratch_path(spark, "j2-out"), scratch_path(spark, "j2-ckpt")
+    J.run_update_to_table(J.stream_slots(_events(spark, sf_dir)), out, ck)
+    emitted = spark.read.parquet(out)
+    final = emitted.groupBy("user_id", "slot").agg(
+        F.max_by(F.struct("value"), F.struct("ts", "seq")).alias("s"))
+    return final.select("user_id", "slot", F.col("s.value").alias("value"))
+
+
+@query("j3_stream_uttered", "J3")
+def j3(spark, sf_dir):
+    out, ck = scratch_path(spark, "j3-out"), scratch_path(spark, "j3-ckpt")
+    J.run_to_sink(J.stream_uttered(_events(spark, sf_dir)), out, ck)
+    s = spark.read.parquet(out)
+    return s.select("user_id", "event_type", "event_id", F.date_format("ts", TS_FMT).alias("ts"))
+
+
+@query("j4_stream_feedback", "J4", f"""
+SELECT user_id, day, outcome, conf1 AS bot_confid_to_user_question,
+  (outcome = 'confused')::INTEGER AS bot_question_confusion,
+  (outcome = 'not_understood')::INTEGER AS bot_question_incomprehension FROM ({GATED_SQL}) g""")
+def j4(spark, sf_dir):
+    out, ck = scratch_path(spark, "j4-out"), scratch_path(spark, "j4-ckpt")
+    q = J.stream_feedback(_events(spark, sf_dir), out, ck)
+    q.awaitTermination()
+    return spark.read.parquet(out).drop("batch")

@@ -55,25 +55,23 @@ def pair_corpus(pairs: DataFrame, responses: DataFrame, questions: DataFrame, id
     return corpus.join(n, ["pair_id", "side"])
 
 
-def content_words(df: DataFrame, text: str = "text", stop_words: Sequence[str] = FRENCH_STOP_WORDS,
-                  lexicon: DataFrame | None = None, keep_pos: Sequence[str] | None = None) -> DataFrame:
-    """Per text, lower-cased letter runs (no punctuation, no numbers)
-    without stop words, in order. With a ``lexicon`` (form, lemma, pos) the
-    words become lemmas and only parts of speech in ``keep_pos`` stay."""
+def content_words(df: DataFrame, keys: Sequence[str], text: str = "text",
+                  stop_words: Sequence[str] = FRENCH_STOP_WORDS, lexicon: DataFrame | None = None,
+                  keep_pos: Sequence[str] | None = None) -> DataFrame:
+    """Rows (keys, pos, word): lower-cased letter runs (no punctuation, no
+    numbers) without stop words, with their position in the text. The stop
+    list is an ``isin`` (a hash set inside generated code). With a
+    ``lexicon`` (form, lemma, pos) words become lemmas and only parts of
+    speech in ``keep_pos`` stay (a join with the lexicon table)."""
+    keys = list(keys)
     words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORD_PATTERN), 0)
-    stops = F.array(*[F.lit(w) for w in stop_words])
-    kept = F.filter(words, lambda w: ~F.array_contains(stops, w))
-    out = df.withColumn("words", kept)
+    out = df.select(*keys, F.posexplode(words).alias("pos", "word")).filter(~F.col("word").isin(list(stop_words)))
     if lexicon is not None:
-        cols = [c for c in df.columns if c != text]
-        ex = out.select(*cols, F.posexplode("words").alias("wpos", "form"))
-        lx = lexicon.select("form", "lemma", "pos")
+        lx = lexicon.select(F.col("form").alias("word"), "lemma", F.col("pos").alias("tag"))
+        out = out.join(lx, "word", "left")
         if keep_pos is not None:
-            lx = lx.filter(F.col("pos").isin(list(keep_pos)))
-        ex = ex.join(lx, "form", "left").filter(F.col("pos").isNull() | F.col("pos").isin(list(keep_pos or [])))
-        out = ex.groupBy(*cols).agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("wpos", F.coalesce("lemma", "form").alias("w")))),
-                        lambda x: x["w"]).alias("words"))
+            out = out.filter(F.col("tag").isNull() | F.col("tag").isin(list(keep_pos)))
+        out = out.select(*keys, "pos", F.coalesce("lemma", "word").alias("word"))
     return out
 
 
@@ -82,13 +80,21 @@ def distinct_words(tokens: DataFrame, keys: Sequence[str]) -> DataFrame:
     return tokens.select(*keys, "word").distinct()
 
 
-def _grams(col: str, max_len: int) -> F.Column:
-    """All substrings of length 1..max_len of ``col`` as (q, gram) structs."""
+def _gram_rows(df: DataFrame, keys: Sequence[str], col: str, lengths: F.Column | None = None) -> DataFrame:
+    """Substrings of ``col`` as rows (keys, col, q, g): every length 1..3 at
+    every position, or only length ``lengths`` (a column) when given. Built
+    with explode and ``substr`` (no lambdas, so it stays in generated code)."""
     n = F.char_length(F.col(col))
-    return F.flatten(F.transform(
-        F.sequence(F.lit(1), F.least(n, F.lit(max_len))),
-        lambda q: F.transform(F.sequence(F.lit(1), n - q + 1),
-                              lambda i: F.struct(q.alias("q"), F.substr(F.col(col), i, q).alias("g")))))
+    pos = df.select(*keys, col, F.explode(F.sequence(F.lit(1), n)).alias("_i"))
+    if lengths is not None:
+        q = lengths
+        return pos.filter(F.col("_i") + q - 1 <= F.char_length(F.col(col))).select(
+            *keys, col, q.alias("q"), F.substr(F.col(col), F.col("_i"), q).alias("g"))
+    grams = F.array(*[F.when(F.col("_i") + (q - 1) <= F.char_length(F.col(col)),
+                             F.struct(F.lit(q).alias("q"), F.substr(F.col(col), F.col("_i"), F.lit(q)).alias("g")))
+                      for q in range(1, MAX_GRAM + 1)])
+    return pos.select(*keys, col, F.explode(grams).alias("qg")).filter(F.col("qg").isNotNull()) \
+        .select(*keys, col, "qg.q", "qg.g")
 
 
 def containment(words: DataFrame, text_tokens: DataFrame, pair: str = "pair_id") -> DataFrame:
@@ -97,15 +103,10 @@ def containment(words: DataFrame, text_tokens: DataFrame, pair: str = "pair_id")
 
     ``words``: (pair, word); ``text_tokens``: (pair, side, text_id, token)."""
     vocab = text_tokens.select(pair, "token").distinct()
-    index = vocab.select(pair, "token", F.explode(_grams("token", MAX_GRAM)).alias("qg")) \
-        .select(pair, "token", "qg.q", "qg.g").distinct()
+    index = _gram_rows(vocab, [pair], "token").distinct()
     freq = index.groupBy(pair, "q", "g").agg(F.count("*").alias("f"))
     w = words.select(pair, "word").distinct()
-    wq = F.least(F.char_length("word"), F.lit(MAX_GRAM))
-    wgrams = w.select(pair, "word", F.explode(F.transform(
-        F.sequence(F.lit(1), F.char_length("word") - wq + 1),
-        lambda i: F.struct(wq.alias("q"), F.substr(F.col("word"), i, wq).alias("g")))).alias("qg")) \
-        .select(pair, "word", "qg.q", "qg.g")
+    wgrams = _gram_rows(w, [pair], "word", F.least(F.char_length("word"), F.lit(MAX_GRAM)))
     # rarest gram of each word (a word whose gram is absent occurs nowhere)
     probe = wgrams.join(freq, [pair, "q", "g"]).groupBy(pair, "word").agg(
         F.min_by(F.struct("q", "g"), F.struct("f", "g")).alias("p")).select(pair, "word", "p.q", "p.g")
@@ -129,19 +130,40 @@ def top_keyword(scores: DataFrame, keys: Sequence[str]) -> DataFrame:
     return best.select(*keys, repair_text(F.col("b.word"), "no_nbsp").alias("keyword"), F.col("b.score").alias("score"))
 
 
+def _materialize(df: DataFrame, name: str) -> DataFrame:
+    from colloquy.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def keyword_table(corpus: DataFrame, text: str = "text", text_id: str = "doc_id") -> DataFrame:
     """D2-D5 together: per (pair, side, word) the containment counts on both
     sides and the contrast score. ``corpus`` is the output of ``pair_corpus``."""
-    words = content_words(corpus.select("pair_id", "side", F.col(text_id).alias("text_id"), "n_texts", text), text)
-    tokens = words.select("pair_id", "side", "text_id", F.explode("words").alias("token"))
+    words = content_words(corpus.select("pair_id", "side", F.col(text_id).alias("text_id"), text),
+                          ["pair_id", "side", "text_id"], text)
+    tokens = words.select("pair_id", "side", "text_id", F.col("word").alias("token"))
+    # the token table feeds four branches (side words, vocabulary, text hits,
+    # counts): write it once to the shared folder and read it back, instead
+    # of re-tokenising the corpus in every branch (cuts the lineage too)
+    tokens = _materialize(tokens, "keyword-tokens")
     side_words = distinct_words(tokens.withColumnRenamed("token", "word"), ["pair_id", "side"])
     cont = containment(side_words.select("pair_id", "word"), tokens)
-    n = corpus.select("pair_id", "side", "n_texts").distinct()
-    own = side_words.join(n, ["pair_id", "side"])
-    other_n = n.select("pair_id", F.col("side").alias("other_side"), F.col("n_texts").alias("n_other"))
-    own = own.join(other_n, "pair_id").filter(F.col("other_side") != F.col("side"))
-    c_own = cont.select("pair_id", "word", "side", F.col("n_containing").alias("df_own"))
-    c_other = cont.select("pair_id", "word", F.col("side").alias("other_side"), F.col("n_containing").alias("df_other"))
-    t = own.join(c_own, ["pair_id", "word", "side"], "left").join(c_other, ["pair_id", "word", "other_side"], "left")
-    t = t.fillna(0, subset=["df_own", "df_other"])
+    # one row per (pair, word) with the containing-text count of each side
+    sides = cont.groupBy("pair_id", "word").agg(
+        F.sum(F.when(F.col("side") == 0, F.col("n_containing"))).alias("_c0"),
+        F.sum(F.when(F.col("side") == 1, F.col("n_containing"))).alias("_c1"))
+    n = corpus.groupBy("pair_id").agg(
+        F.max(F.when(F.col("side") == 0, F.col("n_texts"))).alias("_n0"),
+        F.max(F.when(F.col("side") == 1, F.col("n_texts"))).alias("_n1"))
+    t = side_words.join(sides, ["pair_id", "word"], "left").join(n, "pair_id")
+    zero = F.lit(0).cast("bigint")
+    own0 = F.col("side") == 0
+    t = t.select(
+        "pair_id", "side", "word",
+        F.when(own0, F.col("_n0")).otherwise(F.col("_n1")).alias("n_texts"),
+        F.when(own0, F.col("_n1")).otherwise(F.col("_n0")).alias("n_other"),
+        F.coalesce(F.when(own0, F.col("_c0")).otherwise(F.col("_c1")), zero).alias("df_own"),
+        F.coalesce(F.when(own0, F.col("_c1")).otherwise(F.col("_c0")), zero).alias("df_other"))
     return t.withColumn("score", contrast_score(F.col("df_own"), F.col("n_texts"), F.col("df_other"), F.col("n_other")))

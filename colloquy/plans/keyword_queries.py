@@ -58,16 +58,16 @@ SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest({_WORDS_SQL}) AS
 GROUP BY ALL""")
 def d2(spark, sf_dir):
     d = X.documents(spark, sf_dir, "doc_id", "lang", "text").filter(F.col("lang") == "fr")
-    w = D.content_words(d.select("doc_id", "text"))
-    return w.select("doc_id", F.explode("words").alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    w = D.content_words(d.select("doc_id", "text"), ["doc_id"])
+    return w.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
 
 
 @query("d3_distinct_words", "D3", f"""
 WITH c AS ({_CORPUS_SQL}) SELECT DISTINCT pair_id, side, unnest({_WORDS_SQL}) AS word FROM c""")
 def d3(spark, sf_dir):
     c = corpus(spark, sf_dir)
-    w = D.content_words(c.select("pair_id", "side", "text"))
-    return D.distinct_words(w.select("pair_id", "side", F.explode("words").alias("word")), ["pair_id", "side"])
+    w = D.content_words(c.select("pair_id", "side", "text"), ["pair_id", "side"])
+    return D.distinct_words(w, ["pair_id", "side"])
 
 
 @query("d4_containment", "D4", f"{_TABLE_SQL} SELECT pair_id, side, word, df_own, df_other FROM s")

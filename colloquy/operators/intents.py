@@ -166,17 +166,19 @@ def token_counts(tokens: DataFrame, keys: Sequence[str], token: str = "token") -
 
 
 def fit_intents(train: DataFrame, text: str = "text", label: str = "label", seed: int = 42,
-                max_iter: int = 20, vocab_size: int = 1 << 18):
-    """Multi-class intent model: tokenizer -> counts -> logistic regression."""
+                max_iter: int = 20, num_features: int = 1 << 16):
+    """Multi-class intent model: tokenizer -> hashed term counts ->
+    logistic regression. Hashing needs no vocabulary pass and gathers
+    nothing on the driver, so feature building is one map-side step."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import CountVectorizer, RegexTokenizer
+    from pyspark.ml.feature import HashingTF, RegexTokenizer
 
     tok = RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=WORD_RE, gaps=False, toLowercase=True)
-    cv = CountVectorizer(inputCol="_tokens", outputCol="_features", vocabSize=vocab_size, minDF=1.0)
+    tf = HashingTF(inputCol="_tokens", outputCol="_features", numFeatures=num_features)
     lr = LogisticRegression(featuresCol="_features", labelCol=label, maxIter=max_iter, regParam=0.01,
                             predictionCol="prediction", probabilityCol="probability")
-    return Pipeline(stages=[tok, cv, lr]).fit(train.withColumn(label, F.col(label).cast("double")))
+    return Pipeline(stages=[tok, tf, lr]).fit(train.withColumn(label, F.col(label).cast("double")))
 
 
 def predict_intents(model, df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,13 +8,14 @@ is computed exactly without comparing every word with every text:
   separator, so a word occurs in a cleaned text iff it is a substring of one
   of the text's words;
 * containment is first solved on the *vocabulary* of each pair: every
-  distinct token is indexed by its 1-, 2- and 3-letter grams; each word
-  probes the index with its rarest gram of length min(3, len) and the
-  candidates are verified with ``contains``;
+  distinct token is indexed by the first 1..6 letters of each of its
+  suffixes; a word of at most 6 letters is looked up by itself (every match
+  is a hit), a longer word by its first 6 letters, and those candidates are
+  verified with ``contains``;
 * the (word, token) hits are joined back to (text, token) and counted.
 
 Every step is an equi-join or a grouped aggregate, so the work grows with
-vocabulary x gram frequency rather than words x texts.
+the vocabulary's letters and the true hits rather than words x texts.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ FRENCH_STOP_WORDS = (
     "ayons ayez aient eusse eusses eût eussions eussiez eussent"
 ).split()
 WORD_PATTERN = r"\p{L}+"
-MAX_GRAM = 3
+MAX_GRAM = 6
 # ---------------------------------------------------------------------------
 
 
@@ -101,17 +102,19 @@ def containment(words: DataFrame, text_tokens: DataFrame, pair: str = "pair_id")
     """For each (pair, word) and each side of the pair, the number of
     texts whose cleaned text contains the word as a substring.
 
-    ``words``: (pair, word); ``text_tokens``: (pair, side, text_id, token)."""
+    ``words``: (pair, word); ``text_tokens``: (pair, side, text_id, token).
+
+    Index: every substring of length 1..6 at every position of each distinct
+    token of the pair (the first letters of each suffix). A word of at most 6
+    letters is looked up by itself, so every match is a hit; a longer word by
+    its first 6 letters, and the candidates are verified with ``contains``."""
     vocab = text_tokens.select(pair, "token").distinct()
-    index = _gram_rows(vocab, [pair], "token").distinct()
-    freq = index.groupBy(pair, "q", "g").agg(F.count("*").alias("f"))
-    w = words.select(pair, "word").distinct()
-    wgrams = _gram_rows(w, [pair], "word", F.least(F.char_length("word"), F.lit(MAX_GRAM)))
-    # rarest gram of each word (a word whose gram is absent occurs nowhere)
-    probe = wgrams.join(freq, [pair, "q", "g"]).groupBy(pair, "word").agg(
-        F.min_by(F.struct("q", "g"), F.struct("f", "g")).alias("p")).select(pair, "word", "p.q", "p.g")
-    hits = probe.join(index, [pair, "q", "g"]).filter(F.col("token").contains(F.col("word"))) \
-        .select(pair, "word", "token")
+    index = _gram_rows(vocab, [pair], "token")
+    wq = F.least(F.char_length("word"), F.lit(MAX_GRAM))
+    w = words.select(pair, "word").distinct().select(pair, "word", wq.alias("q"),
+                                                     F.substr(F.col("word"), F.lit(1), wq).alias("g"))
+    verified = (F.char_length("word") <= MAX_GRAM) | F.col("token").contains(F.col("word"))
+    hits = w.join(index, [pair, "q", "g"]).filter(verified).select(pair, "word", "token").distinct()
     per_text = hits.join(text_tokens.select(pair, "side", "text_id", "token").distinct(), [pair, "token"]) \
         .select(pair, "word", "side", "text_id").distinct()
     return per_text.groupBy(pair, "word", "side").agg(F.count("*").alias("n_containing"))

@@ -52,14 +52,18 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it); only when it is
-    unset, as in local tests, a folder under the system temp dir is used.
+    Read from ``spark.checkpoint.dir`` (the cluster names it). Only a local
+    session without that setting (tests) gets a folder under the system temp
+    dir; a cluster session without it is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # local runs and tests only: the single machine is the whole cluster
         configured = tempfile.mkdtemp(prefix="colloquy-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc.getCheckpointDir() is None:

@@ -225,3 +225,47 @@ def test_stop_words_are_sparks(spark):
     from pyspark.ml.feature import StopWordsRemover
 
     assert D.FRENCH_STOP_WORDS == StopWordsRemover.loadDefaultStopWords("french")
+
+
+def test_a2_reads_reference_document_form(spark, tmp_path):
+    from colloquy.sources import banks as A
+
+    p = tmp_path / "bank.txt"
+    p.write_text('[{"1": ["Un visa ?", "Visa obligatoire ?"]}, {"2": ["Passeport ?"]}]', encoding="utf-8")
+    got = sorted(rows(A.read_grouped_json(spark, str(p), document=True), "id", "pos", "text"))
+    assert got == [("1", 1, "Un visa ?"), ("1", 2, "Visa obligatoire ?"), ("2", 1, "Passeport ?")]
+
+
+def test_a4_a6_round_trip(spark, tmp_path):
+    from colloquy.sources import banks as A
+
+    bank = spark.createDataFrame([(1, 0, "Faut-il un visa ?"), (1, 1, "Un visa\nest obligatoire ?"),
+                                  (2, 0, "Passeport l\u0092avion")], "id int, pos long, text string")
+    path = str(tmp_path / "nlu")
+    A.write_blocks(A.training_lines(bank), path, header=A.TRAINING_HEADER)
+    text = "".join(open(f, encoding="utf-8").read() for f in sorted((tmp_path / "nlu").glob("part-*")))
+    assert text.startswith('version: "2.0"')
+    assert "- intent: faq/1\n  examples: |\n    - Faut-il un visa ?\n    - Un visa est obligatoire ?\n" in text
+    back = sorted(rows(A.read_training_blocks(spark, path), "intent", "pos", "text"))
+    assert back == [("faq/1", 1, "Faut-il un visa ?"), ("faq/1", 2, "Un visa est obligatoire ?"),
+                    ("faq/2", 1, "Passeport l'avion")]
+
+
+def test_a8_item_matrix(spark, tmp_path):
+    from colloquy.sources import banks as A
+
+    p = tmp_path / "reco.csv"
+    p.write_text("role;ordinateur;souris;clavier\ndeveloppeur;1;1;0\nmanager;0;1;1\n", encoding="utf-8")
+    got = sorted(rows(A.read_item_matrix(spark, str(p)), "role", "item"))
+    assert got == [("developpeur", "ordinateur"), ("developpeur", "souris"), ("manager", "clavier"),
+                   ("manager", "souris")]
+
+
+def test_c12_menus_and_buttons(spark):
+    menu = C.menu_rows(spark, "misspelled_password")
+    assert [r["payload"] for r in menu.orderBy("pos").collect()] == ["/retry_password", "/send_new_pwd",
+                                                                      "/change_email"]
+    df = spark.createDataFrame([(1, "visa", "passeport")], "req int, k1 string, k2 string")
+    b = C.choice_rows(df, ["req"], "k1", "k2").orderBy("pos").collect()
+    assert [(r["title"], r["payload"]) for r in b] == [("visa", "/confusion_1"), ("passeport", "/confusion_2"),
+                                                       ("autre", "/non_sense")]

@@ -147,13 +147,13 @@ def lookup_variants(requests: DataFrame, bank: DataFrame, id_col: str = "id",
                     small_bank_rows: int | None = None) -> DataFrame:
     """All variants of the requested id (inner equi-join).
 
-    ``small_bank_rows`` is the checked size of the bank; the bank is
-    broadcast only when that bound is known and small, otherwise the join
-    is a shuffle join that AQE may still turn into a broadcast at runtime.
-    """
-    from colloquy.operators.sizing import maybe_broadcast
+    The bank is broadcast when its size is declared (``small_bank_rows``) or
+    measured under the bound; a larger bank stays a shuffle join, where AQE
+    splits a hot id."""
+    from colloquy.operators.sizing import broadcast_if_small, maybe_broadcast
 
-    return requests.join(maybe_broadcast(bank, small_bank_rows), id_col, "inner")
+    b = maybe_broadcast(bank, small_bank_rows) if small_bank_rows is not None else broadcast_if_small(bank)
+    return requests.join(b, id_col, "inner")
 
 
 def repeat_last(df: DataFrame, keys="conv_id", order: str = "turn", value: str = "reformulation",

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions.text import intent_id
+from colloquy.operators.sizing import broadcast_if_small
 
 # --- fixed values (thresholds and texts the reference uses) ---------------
 LOW_CONFIDENCE = 0.4      # top confidence strictly below: not understood
@@ -212,10 +213,16 @@ def rank_responses(queries: DataFrame, bank: DataFrame, q_keys: Sequence[str], i
         .select("token", F.log(F.lit(float(n_bank)) / F.col("df")).alias("idf")).filter(F.col("idf") > 0)
     bw = btf.join(idf, "token").select(item, "token", (F.col("tf") * F.col("idf")).alias("wb"))
     bnorm = bw.groupBy(item).agg(F.sqrt(F.sum(F.col("wb") * F.col("wb"))).alias("nb"))
+    # the bank side (its vocabulary and weights) is broadcast once its row
+    # count is measured under the bound, so the query tokens are never
+    # shuffled by token (a frequent token would be a hot key); beyond the
+    # bound the joins stay shuffle joins with AQE skew splitting
+    idf_b = broadcast_if_small(idf)
+    bw_b = broadcast_if_small(bw)
     qtf = _words(queries, q_keys, text).groupBy(*q_keys, "token").agg(F.count("*").alias("tf"))
-    qw = qtf.join(idf, "token").select(*q_keys, "token", (F.col("tf") * F.col("idf")).alias("wq"))
+    qw = qtf.join(idf_b, "token").select(*q_keys, "token", (F.col("tf") * F.col("idf")).alias("wq"))
     qnorm = qw.groupBy(*q_keys).agg(F.sqrt(F.sum(F.col("wq") * F.col("wq"))).alias("nq"))
-    dot = qw.join(bw, "token").groupBy(*q_keys, item).agg(F.sum(F.col("wq") * F.col("wb")).alias("dot"))
+    dot = qw.join(bw_b, "token").groupBy(*q_keys, item).agg(F.sum(F.col("wq") * F.col("wb")).alias("dot"))
     cos = dot.join(qnorm, q_keys).join(bnorm, item).select(
         *q_keys, item, F.round(F.col("dot") / (F.col("nq") * F.col("nb")), 6).alias("cosine"))
     top = rank_candidates(cos, q_keys, [F.col("cosine").desc(), F.col(item)], top=k)
@@ -229,8 +236,9 @@ def entity_match(df: DataFrame, gazetteer: DataFrame, keys: Sequence[str], text:
     """Known entity values found in each text, as (keys, value, entity).
 
     Values are matched on their first word by an equi-join with the
-    gazetteer (broadcast under a declared size); values of several words
-    are then verified with ``contains`` on the lower-cased text."""
+    gazetteer, broadcast when its size is declared or measured under the
+    bound, so text tokens are matched map-side and only hits are shuffled;
+    values of several words are then verified with ``contains``."""
     from colloquy.operators.sizing import maybe_broadcast
 
     keys = _list(keys)
@@ -239,8 +247,8 @@ def entity_match(df: DataFrame, gazetteer: DataFrame, keys: Sequence[str], text:
         F.regexp_extract_all(F.lower("value"), F.lit(WORD_RE), 0).alias("_vw"))
     g = g.select("value", "entity", F.col("_vw")[0].alias("token"), F.size("_vw").alias("_n")) \
         .filter(F.col("_n") > 0)
-    toks = _words(df, keys, text).distinct()
-    hit = toks.join(maybe_broadcast(g, gazetteer_rows), "token")
+    g = maybe_broadcast(g, gazetteer_rows) if gazetteer_rows is not None else broadcast_if_small(g)
+    hit = _words(df, keys, text).join(g, "token")
     single = hit.filter(F.col("_n") == 1).select(*keys, "value", "entity")
     multi = hit.filter(F.col("_n") > 1).select(*keys, "value", "entity") \
         .join(df.select(*keys, F.lower(F.col(text)).alias("_lt")), keys) \

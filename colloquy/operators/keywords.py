@@ -169,4 +169,6 @@ def keyword_table(corpus: DataFrame, text: str = "text", text_id: str = "doc_id"
         F.when(own0, F.col("_n1")).otherwise(F.col("_n0")).alias("n_other"),
         F.coalesce(F.when(own0, F.col("_c0")).otherwise(F.col("_c1")), zero).alias("df_own"),
         F.coalesce(F.when(own0, F.col("_c1")).otherwise(F.col("_c0")), zero).alias("df_other"))
+    # a pair with texts on one side only has no contrast (ln of 0 texts)
+    t = t.filter(F.col("n_other").isNotNull())
     return t.withColumn("score", contrast_score(F.col("df_own"), F.col("n_texts"), F.col("df_other"), F.col("n_other")))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 # Largest side we broadcast by our own decision (rows). Banks, rules,
 # gazetteers and templates are far below it; anything that grows with the
 # conversation or event tables is never broadcast by declaration.
-MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def maybe_broadcast(df: DataFrame, known_rows: int | None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:

@@ -128,7 +128,8 @@ def carry_over(writes_with_session: DataFrame, keys, order: Sequence[str], keep:
     slots_of_key = writes_with_session.select(*keys, slot).distinct()
     grid = sess.join(slots_of_key, keys)
     filled = grid.join(per_session, keys + [session, slot], "left")
-    carried = carry_last(filled, keys + [slot], [session], F.col("_last"), "_state")
+    carried = carry_last(filled, keys + [slot], [session], F.col("_last"), "_state",
+                         chunk=F.to_date(F.col(session)))
     return carried.filter(F.col("_state").isNotNull()).select(*keys, session, slot, F.col("_state.v").alias(value))
 
 

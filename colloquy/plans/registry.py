@@ -47,6 +47,7 @@ def load_all() -> dict[str, Query]:
     from colloquy.plans import (  # noqa: F401
         answer_queries,
         corpus_queries,
+        dialogue_queries,
         gate_queries,
         keyword_queries,
         path_queries,

@@ -55,13 +55,14 @@ def b2(spark, sf_dir):
     return ev.select("event_id", key.alias("key")).withColumn("intent_id", B.intent_id("key"))
 
 
-# Addresses built from each document's words; the language picks the form:
-# en valid, fr wrong domain, de trailing newline, es text before the address.
+# Addresses built from each whole document (local part: md5 of the text);
+# the language picks the form: en valid, fr wrong domain, de trailing
+# newline and a repeated last domain letter, es text before the address.
+def _local_part():
+    return F.md5(F.col("text"))
 
 
-def _local_part():
-    return F.concat_ws(".", F.slice(F.regexp_extract_all(F.lower("text"), F.lit(r"[a-z]+"), 0), 1, 2))
-_LOCAL_SQL = "array_to_string(regexp_extract_all(lower(text), '[a-z]+')[1:2], '.')"
+_LOCAL_SQL = "md5(text)"
 
 
 @query("b3_valid_email", "B3", f"""

@@ -39,19 +39,20 @@ def repair_text(c, mode: str = "full") -> Column:
     """B1: undo mis-decoded C1 characters.
 
     ``full`` repairs all four, ``no_nbsp`` the three C1 characters,
-    ``nbsp_only`` only the non-breaking space.
+    ``nbsp_only`` only the non-breaking space. Each repair is a byte-level
+    ``replace`` (faster than ``translate``, which looks up every character).
     """
-    c = _col(c)
-    if mode == "nbsp_only":
-        return F.translate(c, NBSP, " ")
-    if mode == "no_nbsp":
-        c = F.translate(c, C1_QUOTE + C1_EURO, "'€")
-    elif mode == "full":
-        c = F.translate(c, C1_QUOTE + C1_EURO + NBSP, "'€ ")
-    else:
+    pairs = {
+        "full": [(C1_QUOTE, "'"), (C1_OE, "oe"), (C1_EURO, "€"), (NBSP, " ")],
+        "no_nbsp": [(C1_QUOTE, "'"), (C1_OE, "oe"), (C1_EURO, "€")],
+        "nbsp_only": [(NBSP, " ")],
+    }
+    if mode not in pairs:
         raise ValueError(f"unknown repair mode {mode!r}")
-    # translate is one-to-one; the two-letter ligature needs replace
-    return F.replace(c, F.lit(C1_OE), F.lit("oe"))
+    c = _col(c)
+    for bad, good in pairs[mode]:
+        c = F.replace(c, F.lit(bad), F.lit(good))
+    return c
 
 
 def intent_id(key) -> Column:

@@ -32,6 +32,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.executorEnv.PYTHONWARNINGS", "ignore::FutureWarning")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

@@ -43,38 +43,44 @@ def stream_sessions(events: DataFrame, gap: str = SESSION_GAP, watermark: str =
 
 
 SLOT_OUT = "user_id bigint, slot string, value string, ts timestamp, seq bigint"
-SLOT_STATE = "value string, ts timestamp, seq bigint"
+SLOT_STATE = "slots map<string, struct<value: string, ts: timestamp, seq: bigint>>"
 
 
-def _fold_slot(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """State per (user, slot): the latest write by (ts, seq); a null value is
-    a reset and is kept. Emits the key's state when a newer write arrived."""
-    best = state.get if state.exists else None
-    changed = False
+def _fold_slots(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """State per user: slot -> latest write by (ts, seq); a null value is a
+    reset and is kept. Emits the slots that received a newer write. The
+    rows of a key arrive as bounded Arrow batches; only the best write per
+    slot is kept while reading them."""
+    slots = dict(state.get[0]) if state.exists and state.get[0] is not None else {}
+    changed = set()
     for pdf in pdfs:
         if pdf.empty:
             continue
-        last = pdf.sort_values(["ts", "seq"]).iloc[-1]
-        cand = (last["value"] if pd.notna(last["value"]) else None, last["ts"], int(last["seq"]))
-        if best is None or (pd.Timestamp(cand[1]), cand[2]) > (pd.Timestamp(best[1]), int(best[2])):
-            best, changed = cand, True
+        last = pdf.sort_values(["ts", "seq"]).groupby("slot", sort=False).tail(1)
+        for slot, value, ts, seq in last[["slot", "value", "ts", "seq"]].itertuples(index=False):
+            cur = slots.get(slot)
+            cand = (pd.Timestamp(ts), int(seq))
+            if cur is None or cand > (pd.Timestamp(cur[1]), int(cur[2])):
+                slots[slot] = (None if pd.isna(value) else value, ts, int(seq))
+                changed.add(slot)
     if changed:
-        state.update(best)
-        user_id, slot = key
-        yield pd.DataFrame({"user_id": [user_id], "slot": [slot], "value": [best[0]],
-                            "ts": [best[1]], "seq": [best[2]]})
+        state.update((slots,))
+        (user_id,) = key
+        out = [(user_id, s, slots[s][0], slots[s][1], slots[s][2]) for s in sorted(changed)]
+        yield pd.DataFrame(out, columns=["user_id", "slot", "value", "ts", "seq"])
 
 
 def stream_slots(events: DataFrame) -> DataFrame:
-    """F5 as keyed state (``applyInPandasWithState``, update mode):
-    slot = event_type, ``error`` resets ``click``."""
+    """F5 as keyed state (``applyInPandasWithState``, update mode), one
+    state per user holding its slots: slot = event_type, ``error`` resets
+    ``click``."""
     et = F.col("event_type")
     writes = events.select(
         "user_id", F.when(et == "error", F.lit("click")).otherwise(et).alias("slot"),
         F.when(et == "error", F.lit(None).cast("string")).otherwise(F.col("value").cast("string")).alias("value"),
         "ts", F.col("event_id").alias("seq"))
-    return writes.groupBy("user_id", "slot").applyInPandasWithState(
-        _fold_slot, SLOT_OUT, SLOT_STATE, "update", GroupStateTimeout.NoTimeout)
+    return writes.groupBy("user_id").applyInPandasWithState(
+        _fold_slots, SLOT_OUT, SLOT_STATE, "update", GroupStateTimeout.NoTimeout)
 
 
 def stream_uttered(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A plain ``last(..) OVER (PARTITION BY key ORDER BY ...)`` puts a whole key in
 one task. ``carry_last`` splits each key into chunks (a caller-chosen
-expression that grows with the order column, e.g. day of ``ts`` or
+expression that grows with the order column, e.g. hour of ``ts`` or
 ``turn div 4096``):
 
 1. a window per (key, chunk) gives the running value inside the chunk;
@@ -56,9 +56,10 @@ def carry_last(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] |
     )
 
 
-def day_chunk(ts: str = "ts") -> Column:
-    """Chunk expression for event-time ordered keys."""
-    return F.to_date(F.col(ts))
+def time_chunk(ts: str = "ts", unit: str = "hour") -> Column:
+    """Chunk expression for event-time ordered keys: the ``unit`` (hour by
+    default) holding the event, so a busy key is cut into many chunks."""
+    return F.date_trunc(unit, F.col(ts))
 
 
 def turn_chunk(turn: str = "turn", width: int = 4096) -> Column:

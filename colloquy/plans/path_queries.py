@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from colloquy.operators import paths as G
-from colloquy.operators.scan import carry_last, day_chunk
+from colloquy.operators.scan import carry_last, time_chunk
 from colloquy.plans import fixtures as X
 from colloquy.plans.gate_queries import GATED_SQL, gated
 from colloquy.plans.registry import query, sql_lit as L
@@ -50,7 +50,7 @@ def g1(spark, sf_dir):
     ev = X.events(spark, sf_dir, "event_id", "user_id", "ts", "day", "event_type")
     et = F.col("event_type")
     ev = ev.withColumn("intent", F.coalesce(*[F.when(et == k, F.lit(v)) for k, v in INTENTS.items()]))
-    ev = carry_last(ev, EV_KEYS, EV_ORDER, et, "_prev", inclusive=False, chunk=day_chunk())
+    ev = carry_last(ev, EV_KEYS, EV_ORDER, et, "_prev", inclusive=False, chunk=time_chunk())
     ev = ev.withColumn("active_loop", F.when(F.col("_prev") == "click", F.lit(G.FORM)))
     conf = gated(spark, sf_dir).select("user_id", "day", F.when(F.col("outcome") == "confused", F.lit("true"))
                                        .alias("confusion"))
@@ -70,7 +70,7 @@ SELECT user_id,
 FROM ({_STEPS_SQL}) s GROUP BY user_id""")
 def g2(spark, sf_dir):
     ev = X.events(spark, sf_dir, "user_id", "ts", "event_id", "event_type")
-    return G.path_conformance(ev, EV_KEYS, EV_ORDER, "event_type", PATH, chunk=day_chunk())
+    return G.path_conformance(ev, EV_KEYS, EV_ORDER, "event_type", PATH, chunk=time_chunk())
 
 
 @query("g3_next_action", "G3", f"""
@@ -80,4 +80,4 @@ r AS (SELECT *, row_number() OVER (PARTITION BY prev2, prev1 ORDER BY n DESC, ne
 SELECT prev2, prev1, next_step, n FROM r WHERE rn = 1""")
 def g3(spark, sf_dir):
     ev = X.events(spark, sf_dir, "user_id", "ts", "event_id", "event_type")
-    return G.next_action(ev, EV_KEYS, EV_ORDER, "event_type", chunk=day_chunk())
+    return G.next_action(ev, EV_KEYS, EV_ORDER, "event_type", chunk=time_chunk())

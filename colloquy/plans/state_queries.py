@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from colloquy.functions.text import intent_id
 from colloquy.operators import state as S
 from colloquy.operators.intents import confidence_gate, gate_flags, top_two
-from colloquy.operators.scan import carry_last, day_chunk, turn_chunk
+from colloquy.operators.scan import carry_last, time_chunk, turn_chunk
 from colloquy.plans import fixtures as X
 from colloquy.plans.registry import query, sql_lit as L
 
@@ -138,7 +138,7 @@ def _sessions_sql(minutes: int) -> str:
 
 def _sessions(spark, sf_dir, minutes: int) -> DataFrame:
     ev = X.events(spark, sf_dir, "user_id", "event_id", "ts", "event_type", "value", "k")
-    return S.sessions(ev, EV_KEYS, "ts", "event_id", minutes, chunk=day_chunk())
+    return S.sessions(ev, EV_KEYS, "ts", "event_id", minutes, chunk=time_chunk())
 
 
 @query("f7_sessions", "F7", f"""
@@ -224,7 +224,7 @@ def _form_events(spark, sf_dir):
 def _forms(spark, sf_dir):
     ev = _form_events(spark, sf_dir)
     return S.form_fill(ev, EV_KEYS, EV_ORDER, F.col("event_type") == "view", "intent", "note_text",
-                       F.col("event_id"), chunk=day_chunk())
+                       F.col("event_id"), chunk=time_chunk())
 
 
 @query("f9_form_fill", "F9", f"""
@@ -244,7 +244,7 @@ SELECT user_id, event_id, event_type,
 def _auth(spark, sf_dir):
     ev = X.events(spark, sf_dir, "user_id", "event_id", "ts", "event_type", "k").withColumn("code", F.col("k") % 5)
     return S.auth_outcomes(ev, EV_KEYS, EV_ORDER, F.col("event_type") == "signup",
-                           F.col("event_type") == "click", F.col("code"), chunk=day_chunk())
+                           F.col("event_type") == "click", F.col("code"), chunk=time_chunk())
 
 
 @query("f10_auth_outcomes", "F10", f"""
@@ -304,7 +304,7 @@ def interaction_facts(spark, sf_dir) -> DataFrame:
     ev = X.events(spark, sf_dir, "user_id", "event_id", "ts", "day", "props", "event_type")
     prof = carry_last(ev, EV_KEYS, EV_ORDER,
                       F.when(F.col("event_type").isin(list(X.PROFILE_INTENTS)), F.col("event_type")),
-                      "prev_profile", inclusive=False, chunk=day_chunk())
+                      "prev_profile", inclusive=False, chunk=time_chunk())
     opened = prof.select("user_id", F.col("event_id").alias("form_id"), "ts", "day", "props", "prev_profile")
     gate = gate_flags(confidence_gate(top_two(X.ranking_rows(spark, sf_dir), ["user_id", "day"])))
     j = forms.join(opened, ["user_id", "form_id"]).join(gate, ["user_id", "day"])

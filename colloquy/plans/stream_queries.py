@@ -63,4 +63,4 @@ def j4(spark, sf_dir):
     out, ck = scratch_path(spark, "j4-out"), scratch_path(spark, "j4-ckpt")
     q = J.stream_feedback(_events(spark, sf_dir), out, ck)
     q.awaitTermination()
-    return spark.read.parquet(out).drop("batch")
+    return J.latest_per_request(spark.read.parquet(out))

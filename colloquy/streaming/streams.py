@@ -91,26 +91,98 @@ def stream_uttered(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
 
 
 def gate_batch(batch: DataFrame) -> DataFrame:
-    """J4 batch body: C6-C9 over the requests (user, day) of the batch."""
-    cands = batch.select(
-        "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_id",
+    """C6-C9 over the requests (user, day) of one batch of events (the batch
+    form J4's stream state reproduces)."""
+    cands = _candidates(batch)
+    ranked = rank_candidates(cands, ["user_id", "day"], [F.col("confidence").desc(), F.col("event_id")], top=2)
+    return _gate_columns(confidence_gate(top_two(ranked, ["user_id", "day"])))
+
+
+def _candidates(events: DataFrame) -> DataFrame:
+    return events.select(
+        "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_id", "ts",
         F.concat(F.lit("faq/"), F.col("event_id").cast("string")).alias("key"),
         (F.get_json_object("props", "$.k").cast("int").cast("double") / F.lit(100.0)).alias("confidence"))
-    ranked = rank_candidates(cands, ["user_id", "day"], [F.col("confidence").desc(), F.col("event_id")], top=2)
-    return gate_flags(confidence_gate(top_two(ranked, ["user_id", "day"]))).select(
+
+
+def _gate_columns(gated: DataFrame) -> DataFrame:
+    return gate_flags(gated).select(
         "user_id", "day", "outcome", F.col("conf1").alias("bot_confid_to_user_question"),
         "bot_question_confusion", "bot_question_incomprehension")
 
 
+TOP2_OUT = "user_id bigint, day string, n_ranked bigint, key1 string, conf1 double, key2 string, conf2 double"
+TOP2_STATE = ("days map<string, struct<n: bigint, key1: string, conf1: double, id1: bigint, "
+              "key2: string, conf2: double, id2: bigint>>")
+
+
+def _day_end_ms(day: str) -> int:
+    return int((pd.Timestamp(day) + pd.Timedelta(days=1)).timestamp() * 1000)
+
+
+def _fold_top2(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """State per user: for each open request day, its two best candidates
+    (confidence desc, event id asc) and how many it has seen (capped at 2:
+    the gate needs no more). Days the watermark has passed are dropped, so
+    the state stays bounded; emits the days whose best two changed."""
+    days = {d: tuple(v) for d, v in (state.get[0] or {}).items()} if state.exists else {}
+    changed = set()
+    if not state.hasTimedOut:
+        for pdf in pdfs:
+            if pdf.empty:
+                continue
+            top = pdf.sort_values(["confidence", "event_id"], ascending=[False, True])
+            for day, grp in top.groupby("day", sort=False):
+                n0, k1, c1, i1, k2, c2, i2 = days.get(day, (0, None, None, None, None, None, None))
+                best = [(c, i, k) for c, i, k in ((c1, i1, k1), (c2, i2, k2)) if k is not None]
+                best += list(grp.head(2)[["confidence", "event_id", "key"]].itertuples(index=False, name=None))
+                best = sorted(best, key=lambda x: (-x[0], x[1]))[:2]
+                (b1, j1, l1) = best[0]
+                (b2, j2, l2) = best[1] if len(best) > 1 else (None, None, None)
+                days[day] = (min(n0 + len(grp), 2), l1, float(b1), int(j1),
+                             l2, None if b2 is None else float(b2), None if j2 is None else int(j2))
+                changed.add(day)
+    watermark = state.getCurrentWatermarkMs()
+    days = {d: v for d, v in days.items() if _day_end_ms(d) > watermark or d in changed}
+    if not days:
+        state.remove()
+    else:
+        state.update(({d: v for d, v in days.items()},))
+        state.setTimeoutTimestamp(max(watermark + 1, min(_day_end_ms(d) for d in days)))
+    if changed:
+        (user_id,) = key
+        rows = [(user_id, d, days[d][0], days[d][1], days[d][2], days[d][4], days[d][5]) for d in sorted(changed)]
+        yield pd.DataFrame(rows, columns=["user_id", "day", "n_ranked", "key1", "conf1", "key2", "conf2"])
+
+
+def stream_gate(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+    """J4 state: the gate (C6-C9) per request (user, day) as candidates
+    arrive, exact across micro-batches; emits a request whenever its best two
+    change (update mode). One state per user keeps Python calls per user."""
+    cands = _candidates(events.withWatermark("ts", watermark))
+    top = cands.groupBy("user_id").applyInPandasWithState(
+        _fold_top2, TOP2_OUT, TOP2_STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    return _gate_columns(confidence_gate(top))
+
+
 def stream_feedback(events: DataFrame, path: str, checkpoint: str):
-    """A7 as messages arrive, gate included; each micro-batch is written
-    to ``path/batch=<id>`` with overwrite, so a replay is idempotent."""
+    """A7 as messages arrive, gate (C8) included: each micro-batch's
+    updated requests are written to ``path/batch=<id>`` with overwrite (a
+    replay is idempotent); the latest batch holds a request's current gate."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        gate_batch(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (stream_gate(events).writeStream.foreachBatch(write).outputMode("update")
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
 
-    return (events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+def latest_per_request(table: DataFrame, keys=("user_id", "day")) -> DataFrame:
+    """Current rows of an update-mode table written per batch: the row of the
+    highest batch id for each key (a grouped ``max_by``)."""
+    cols = [c for c in table.columns if c not in (*keys, "batch")]
+    latest = table.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col("batch")).alias("_r"))
+    return latest.select(*keys, *[F.col("_r." + c).alias(c) for c in cols])
 
 
 def run_to_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "append", fmt: str = "parquet"):

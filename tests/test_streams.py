@@ -44,3 +44,15 @@ def test_j4_replay_is_idempotent(spark):
         J.gate_batch(batch).write.mode("overwrite").parquet(f"{out}/batch=0")
     n = spark.read.parquet(out).count()
     assert n == J.gate_batch(batch).count()
+
+
+def test_j4_gate_exact_across_batches(spark):
+    base = scratch_path(spark, "t-j4in")
+    t0 = dt.datetime(2024, 1, 1, 9, 0)
+    # one request (user 5, that day): best 0.9 in the first file, 0.8 in the second
+    _write(spark, [(1, t0, 5, "view", 1.0, '{"k": 90}'), (2, t0, 6, "view", 1.0, '{"k": 50}')], f"{base}/events1")
+    _write(spark, [(3, t0 + dt.timedelta(minutes=1), 5, "click", 1.0, '{"k": 80}')], f"{base}/events2")
+    out, ck = scratch_path(spark, "t-j4"), scratch_path(spark, "t-j4c")
+    J.stream_feedback(J.event_stream(spark, f"{base}/events*", max_files=1), out, ck).awaitTermination()
+    got = {r["user_id"]: r["outcome"] for r in J.latest_per_request(spark.read.parquet(out)).collect()}
+    assert got == {5: "confused", 6: "no_ranking"}

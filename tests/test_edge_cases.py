@@ -269,3 +269,14 @@ def test_c12_menus_and_buttons(spark):
     b = C.choice_rows(df, ["req"], "k1", "k2").orderBy("pos").collect()
     assert [(r["title"], r["payload"]) for r in b] == [("visa", "/confusion_1"), ("passeport", "/confusion_2"),
                                                        ("autre", "/non_sense")]
+
+
+def test_d2_lexicon_lemmas_and_pos(spark):
+    texts = spark.createDataFrame([(1, "Les voyageurs partent, 3 valises et les passeports.")], "id int, text string")
+    lexicon = spark.createDataFrame([("voyageurs", "voyageur", "NOUN"), ("partent", "partir", "VERB"),
+                                     ("passeports", "passeport", "NOUN")], "form string, lemma string, pos string")
+    plain = [r["word"] for r in D.content_words(texts, ["id"]).orderBy("pos").collect()]
+    assert plain == ["voyageurs", "partent", "valises", "passeports"]     # stop words and numbers gone
+    lem = [r["word"] for r in D.content_words(texts, ["id"], lexicon=lexicon, keep_pos=["NOUN"])
+           .orderBy("pos").collect()]
+    assert lem == ["voyageur", "valises", "passeport"]                    # verb dropped, unknown word kept

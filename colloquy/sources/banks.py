@@ -142,18 +142,23 @@ def read_training_blocks(spark: SparkSession, path: str) -> DataFrame:
     return parsed.select("intent", F.posexplode("ex").alias("pos", "text")).withColumn("pos", F.col("pos") + 1)
 
 
-def append_feedback(df: DataFrame, path: str, partition_col: str | None = None) -> None:
-    """Append rated interactions (idempotent per call site: the caller
-    writes each batch once; ``streams.stream_feedback`` keys by batch id)."""
-    w = df.write.mode("append")
+def append_feedback(df: DataFrame, path: str | None = None, partition_col: str | None = None,
+                    fmt: str = "parquet", options: dict | None = None) -> None:
+    """Append rated interactions. The default is a parquet table
+    partitioned by day; any Spark sink works the same way (for a database,
+    ``fmt="jdbc"`` with url/dbtable options and no path). Each call appends
+    once; the stream form (J4) keys its writes by batch id."""
+    w = df.write.mode("append").format(fmt).options(**(options or {}))
     if partition_col:
         w = w.partitionBy(partition_col)
-    w.parquet(path)
+    w.save(path) if path is not None else w.save()
 
 
-def read_feedback(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Full read-back of the feedback table."""
-    df = spark.read.parquet(path)
+def read_feedback(spark: SparkSession, path: str | None = None, columns: Sequence[str] | None = None,
+                  fmt: str = "parquet", options: dict | None = None) -> DataFrame:
+    """Full read-back of the feedback table (any Spark source)."""
+    r = spark.read.format(fmt).options(**(options or {}))
+    df = r.load(path) if path is not None else r.load()
     return df.select(*columns) if columns else df
 
 

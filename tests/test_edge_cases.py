@@ -280,3 +280,13 @@ def test_d2_lexicon_lemmas_and_pos(spark):
     lem = [r["word"] for r in D.content_words(texts, ["id"], lexicon=lexicon, keep_pos=["NOUN"])
            .orderBy("pos").collect()]
     assert lem == ["voyageur", "valises", "passeport"]                    # verb dropped, unknown word kept
+
+
+def test_a1_reads_reference_csv_shape(spark, tmp_path):
+    from colloquy.sources import banks as A
+
+    p = tmp_path / "questions.csv"
+    p.write_text('id_question_pivot;reponse_prop\n1;Un visa ?\n1;"Le visa est-il obligatoire ? "\n\n'
+                 '2;"Deux lignes\net un ; dedans"\n', encoding="utf-8")
+    got = sorted(rows(A.read_bank(spark, str(p)), "id", "text"))
+    assert got == [(1, "Le visa est-il obligatoire ? "), (1, "Un visa ?"), (2, "Deux lignes\net un ; dedans")]

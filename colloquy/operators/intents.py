@@ -207,22 +207,28 @@ def rank_responses(queries: DataFrame, bank: DataFrame, q_keys: Sequence[str], i
     the cosine normalised over the top k. Cosines are rounded to 6 places
     before ranking; ties go to the smaller item id."""
     q_keys = _list(q_keys)
+    from colloquy.session import materialize
+
     n_bank = bank.select(item).distinct().count()  # one scalar, the bank size
     btf = _words(bank, [item], text).groupBy(item, "token").agg(F.count("*").alias("tf"))
     idf = btf.groupBy("token").agg(F.count("*").alias("df")) \
         .select("token", F.log(F.lit(float(n_bank)) / F.col("df")).alias("idf")).filter(F.col("idf") > 0)
-    bw = btf.join(idf, "token").select(item, "token", (F.col("tf") * F.col("idf")).alias("wb"))
+    bw = btf.join(idf, "token").select(item, "token", "idf", (F.col("tf") * F.col("idf")).alias("wb"))
     bnorm = bw.groupBy(item).agg(F.sqrt(F.sum(F.col("wb") * F.col("wb"))).alias("nb"))
-    # the bank side (its vocabulary and weights) is broadcast once its row
-    # count is measured under the bound, so the query tokens are never
-    # shuffled by token (a frequent token would be a hot key); beyond the
-    # bound the joins stay shuffle joins with AQE skew splitting
-    idf_b = broadcast_if_small(idf)
-    bw_b = broadcast_if_small(bw)
+    # the bank model (weights and norms) is computed once and written to the
+    # shared folder; every branch below reads that small table
+    model = materialize(bw.join(bnorm, item), "bank-model")
+    # the bank side is broadcast once its row count is measured under the
+    # bound, so the query tokens are never shuffled by token (a frequent
+    # token would be a hot key); beyond the bound the joins stay shuffle
+    # joins with AQE skew splitting
+    idf_b = broadcast_if_small(model.select("token", "idf").distinct())
+    bw_b = broadcast_if_small(model.select(item, "token", "wb"))
     qtf = _words(queries, q_keys, text).groupBy(*q_keys, "token").agg(F.count("*").alias("tf"))
     qw = qtf.join(idf_b, "token").select(*q_keys, "token", (F.col("tf") * F.col("idf")).alias("wq"))
     qnorm = qw.groupBy(*q_keys).agg(F.sqrt(F.sum(F.col("wq") * F.col("wq"))).alias("nq"))
     dot = qw.join(bw_b, "token").groupBy(*q_keys, item).agg(F.sum(F.col("wq") * F.col("wb")).alias("dot"))
+    bnorm = broadcast_if_small(model.select(item, "nb").distinct())
     cos = dot.join(qnorm, q_keys).join(bnorm, item).select(
         *q_keys, item, F.round(F.col("dot") / (F.col("nq") * F.col("nb")), 6).alias("cosine"))
     top = rank_candidates(cos, q_keys, [F.col("cosine").desc(), F.col(item)], top=k)

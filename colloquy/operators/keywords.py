@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions.text import repair_text
+from colloquy.session import materialize
 
 # --- fixed values: Spark's default French stop-word list (StopWordsRemover) -
 FRENCH_STOP_WORDS = (
@@ -133,14 +134,6 @@ def top_keyword(scores: DataFrame, keys: Sequence[str]) -> DataFrame:
     return best.select(*keys, repair_text(F.col("b.word"), "no_nbsp").alias("keyword"), F.col("b.score").alias("score"))
 
 
-def _materialize(df: DataFrame, name: str) -> DataFrame:
-    from colloquy.session import scratch_path
-
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def keyword_table(corpus: DataFrame, text: str = "text", text_id: str = "doc_id") -> DataFrame:
     """D2-D5 together: per (pair, side, word) the containment counts on both
     sides and the contrast score. ``corpus`` is the output of ``pair_corpus``."""
@@ -150,7 +143,7 @@ def keyword_table(corpus: DataFrame, text: str = "text", text_id: str = "doc_id"
     # the token table feeds four branches (side words, vocabulary, text hits,
     # counts): write it once to the shared folder and read it back, instead
     # of re-tokenising the corpus in every branch (cuts the lineage too)
-    tokens = _materialize(tokens, "keyword-tokens")
+    tokens = materialize(tokens, "keyword-tokens")
     side_words = distinct_words(tokens.withColumnRenamed("token", "word"), ["pair_id", "side"])
     cont = containment(side_words.select("pair_id", "word"), tokens)
     # one row per (pair, word) with the containing-text count of each side

@@ -69,7 +69,11 @@ def knn_label(queries: DataFrame, points: DataFrame, k: int, n_bits: int, q_keys
               point_id: str = "point_id", label: str = "label") -> DataFrame:
     """Majority label of the k nearest points (Hamming distance on bit
     patterns; distance ties by point id; vote ties by label)."""
+    from colloquy.session import materialize
+
     q_keys = list(q_keys)
+    # the training points feed three summaries: read them once
+    points = materialize(points.select("pattern", point_id, label), "knn-points")
     per_pattern = points.groupBy("pattern").agg(F.count("*").alias("n"))
     label_counts = points.groupBy("pattern", label).agg(F.count("*").alias("c"))
     firsts = rank_candidates(points.select("pattern", point_id, label), ["pattern"], [F.col(point_id)], top=k,

@@ -19,6 +19,7 @@ from colloquy.operators.intents import confidence_gate, gate_flags, top_two
 from colloquy.operators.scan import carry_last, time_chunk, turn_chunk
 from colloquy.plans import fixtures as X
 from colloquy.plans.registry import query, sql_lit as L
+from colloquy.session import materialize
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 TS_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -164,11 +165,12 @@ def f7_count12h(spark, sf_dir):
 def _session_writes(spark, sf_dir):
     s = _sessions(spark, sf_dir, 60)
     et = F.col("event_type")
-    return s.select(
+    # sessionised slot writes feed several branches: computed once
+    return materialize(s.select(
         "user_id", "event_id", "ts", "session_start",
         F.when(et == "error", F.lit("click")).otherwise(et).alias("slot"),
         F.when(et == "error", F.lit(None).cast("string")).otherwise(F.col("value").cast("string")).alias("value"),
-    )
+    ), "session-writes")
 
 
 _SW_SQL = f"""SELECT user_id, event_id, ts, session_start,

@@ -77,6 +77,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, name: str):
+    """Write ``df`` once to a fresh folder under the shared folder and read it
+    back: an intermediate that feeds several branches is computed once, and
+    its lineage is cut (a lost executor recomputes nothing upstream)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

@@ -9,6 +9,7 @@ overwrite, so a replayed batch replaces itself.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -116,11 +117,13 @@ TOP2_STATE = ("days map<string, struct<n: bigint, key1: string, conf1: double, i
               "key2: string, conf2: double, id2: bigint>>")
 
 
-def _day_end_ms(day: str) -> int:
-    return int((pd.Timestamp(day) + pd.Timedelta(days=1)).timestamp() * 1000)
+def _day_end_ms(day: str, tz: str) -> int:
+    """End of a request day (formatted in the session time zone ``tz``) in
+    epoch milliseconds, the unit of watermarks and timeouts."""
+    return int((pd.Timestamp(day).tz_localize(tz) + pd.Timedelta(days=1)).timestamp() * 1000)
 
 
-def _fold_top2(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _fold_top2(key, pdfs: Iterator[pd.DataFrame], state: GroupState, tz: str = "UTC") -> Iterator[pd.DataFrame]:
     """State per user: for each open request day, its two best candidates
     (confidence desc, event id asc) and how many it has seen (capped at 2:
     the gate needs no more). Days the watermark has passed are dropped, so
@@ -131,24 +134,28 @@ def _fold_top2(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator
         for pdf in pdfs:
             if pdf.empty:
                 continue
-            top = pdf.sort_values(["confidence", "event_id"], ascending=[False, True])
-            for day, grp in top.groupby("day", sort=False):
+            counts = pdf["day"].value_counts().to_dict()
+            top = (pdf.sort_values(["confidence", "event_id"], ascending=[False, True])
+                   .groupby("day", sort=False).head(2))
+            fresh: dict[str, list] = {}
+            for day, conf, eid, k in top[["day", "confidence", "event_id", "key"]].itertuples(index=False, name=None):
+                fresh.setdefault(day, []).append((conf, eid, k))
+            for day, cands in fresh.items():
                 n0, k1, c1, i1, k2, c2, i2 = days.get(day, (0, None, None, None, None, None, None))
-                best = [(c, i, k) for c, i, k in ((c1, i1, k1), (c2, i2, k2)) if k is not None]
-                best += list(grp.head(2)[["confidence", "event_id", "key"]].itertuples(index=False, name=None))
+                best = [(c, i, k) for c, i, k in ((c1, i1, k1), (c2, i2, k2)) if k is not None] + cands
                 best = sorted(best, key=lambda x: (-x[0], x[1]))[:2]
                 (b1, j1, l1) = best[0]
                 (b2, j2, l2) = best[1] if len(best) > 1 else (None, None, None)
-                days[day] = (min(n0 + len(grp), 2), l1, float(b1), int(j1),
+                days[day] = (min(n0 + counts[day], 2), l1, float(b1), int(j1),
                              l2, None if b2 is None else float(b2), None if j2 is None else int(j2))
                 changed.add(day)
     watermark = state.getCurrentWatermarkMs()
-    days = {d: v for d, v in days.items() if _day_end_ms(d) > watermark or d in changed}
+    days = {d: v for d, v in days.items() if _day_end_ms(d, tz) > watermark or d in changed}
     if not days:
         state.remove()
     else:
         state.update(({d: v for d, v in days.items()},))
-        state.setTimeoutTimestamp(max(watermark + 1, min(_day_end_ms(d) for d in days)))
+        state.setTimeoutTimestamp(max(watermark + 1, min(_day_end_ms(d, tz) for d in days)))
     if changed:
         (user_id,) = key
         rows = [(user_id, d, days[d][0], days[d][1], days[d][2], days[d][4], days[d][5]) for d in sorted(changed)]
@@ -159,9 +166,10 @@ def stream_gate(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """J4 state: the gate (C6-C9) per request (user, day) as candidates
     arrive, exact across micro-batches; emits a request whenever its best two
     change (update mode). One state per user keeps Python calls per user."""
+    tz = events.sparkSession.conf.get("spark.sql.session.timeZone")
     cands = _candidates(events.withWatermark("ts", watermark))
     top = cands.groupBy("user_id").applyInPandasWithState(
-        _fold_top2, TOP2_OUT, TOP2_STATE, "update", GroupStateTimeout.EventTimeTimeout)
+        functools.partial(_fold_top2, tz=tz), TOP2_OUT, TOP2_STATE, "update", GroupStateTimeout.EventTimeTimeout)
     return _gate_columns(confidence_gate(top))
 
 

@@ -56,3 +56,10 @@ def test_j4_gate_exact_across_batches(spark):
     J.stream_feedback(J.event_stream(spark, f"{base}/events*", max_files=1), out, ck).awaitTermination()
     got = {r["user_id"]: r["outcome"] for r in J.latest_per_request(spark.read.parquet(out)).collect()}
     assert got == {5: "confused", 6: "no_ranking"}
+
+
+def test_j4_day_end_follows_session_time_zone():
+    # the request day is formatted in the session time zone; its state lives
+    # until that zone's midnight, not UTC's
+    assert J._day_end_ms("2024-01-01", "UTC") == 1704153600000
+    assert J._day_end_ms("2024-01-01", "America/New_York") == 1704153600000 + 5 * 3600 * 1000

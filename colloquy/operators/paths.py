@@ -41,12 +41,40 @@ def rules_frame(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULES, RULE_SCHEMA)
 
 
+MAX_INLINE_RULES = 256  # rule sets up to this size are evaluated per row
+
+
 def rule_lookup(events: DataFrame, rules: DataFrame, event_key: str, rules_rows: int | None = None) -> DataFrame:
     """G1: (intent, active loop, slot) -> actions of the most specific rule.
 
-    Rules join on intent (broadcast when their declared size is small); the
-    null-tolerant conditions filter; specificity = number of set conditions,
-    ties by rule name. The pick is a grouped ``min_by`` (map-side)."""
+    A null rule condition matches every value; specificity = number of set
+    conditions, ties by rule name. A rule set of measured size at most
+    ``MAX_INLINE_RULES`` is evaluated per row as a literal array (filter the
+    matching rules, take the smallest by (-specificity, name)): no shuffle of
+    the events at all. A larger rule set is joined on intent, picked with a
+    grouped ``min_by`` and joined back."""
+    fixed = rules.select("rule", "intent", "active_loop", "confusion", "actions").limit(MAX_INLINE_RULES + 1).collect()
+    if len(fixed) <= MAX_INLINE_RULES:
+        return _rule_lookup_inline(events, fixed, event_key)
+    return _rule_lookup_join(events, rules, event_key, rules_rows)
+
+
+def _rule_lookup_inline(events: DataFrame, fixed, event_key: str) -> DataFrame:
+    def lit_rule(r):
+        spec = int(r["active_loop"] is not None) + int(r["confusion"] is not None)
+        return F.struct(F.lit(-spec).alias("s"), F.lit(r["rule"]).alias("rule"), F.lit(r["intent"]).alias("intent"),
+                        F.lit(r["active_loop"]).cast("string").alias("loop"),
+                        F.lit(r["confusion"]).cast("string").alias("conf"), F.lit(r["actions"]).alias("actions"))
+
+    table = F.array(*[lit_rule(r) for r in fixed])
+    matching = F.filter(table, lambda r: (r["intent"] == F.col("intent"))
+                        & (r["loop"].isNull() | (r["loop"] == F.col("active_loop")))
+                        & (r["conf"].isNull() | (r["conf"] == F.col("confusion"))))
+    best = F.array_min(matching)
+    return events.select(event_key, best["rule"].alias("rule"), best["actions"].alias("actions"))
+
+
+def _rule_lookup_join(events: DataFrame, rules: DataFrame, event_key: str, rules_rows: int | None) -> DataFrame:
     r = maybe_broadcast(rules, rules_rows).select(
         F.col("rule"), F.col("intent").alias("_r_intent"), F.col("active_loop").alias("_r_loop"),
         F.col("confusion").alias("_r_conf"), "actions")

@@ -290,3 +290,13 @@ def test_a1_reads_reference_csv_shape(spark, tmp_path):
                  '2;"Deux lignes\net un ; dedans"\n', encoding="utf-8")
     got = sorted(rows(A.read_bank(spark, str(p)), "id", "text"))
     assert got == [(1, "Le visa est-il obligatoire ? "), (1, "Un visa ?"), (2, "Deux lignes\net un ; dedans")]
+
+
+def test_g1_join_path_equals_inline(spark, monkeypatch):
+    ev = spark.createDataFrame([(1, "faq", None, None), (2, "faq", G.FORM, None), (3, "faq", G.FORM, "true"),
+                                (4, "deny", G.FORM, None), (5, "greet", None, None)],
+                               "event_id int, intent string, active_loop string, confusion string")
+    inline = sorted(rows(G.rule_lookup(ev, G.rules_frame(spark), "event_id"), "event_id", "rule", "actions"))
+    monkeypatch.setattr(G, "MAX_INLINE_RULES", 0)
+    joined = sorted(rows(G.rule_lookup(ev, G.rules_frame(spark), "event_id"), "event_id", "rule", "actions"))
+    assert inline == joined and inline[4][1] is None and inline[3][1] == "deny_in_form"

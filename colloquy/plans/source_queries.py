@@ -72,7 +72,7 @@ SELECT id, block, 0 AS kind, NULL::BIGINT AS pos, '  utter_faq/' || id::VARCHAR
 UNION ALL SELECT id, pos // 10000, 1, pos, '    - text: "' || {_REPAIRED_SQL} || '"' FROM b""")
 def a5(spark, sf_dir):
     lines = A.response_lines(_bank(spark, sf_dir))
-    A.write_blocks(lines, scratch_path(spark, "responses"))
+    A.write_blocks(lines, scratch_path(spark, "responses"), header=A.RESPONSE_HEADER)
     return lines
 
 

@@ -23,6 +23,7 @@ BLOCK_ROWS = 10_000
 # --- fixed values (file layout of the reference's generated files) ---------
 CSV_SEP = ";"
 TRAINING_HEADER = 'version: "2.0" \n\nnlu:'
+RESPONSE_HEADER = 'version: "2.0" \n\nintents:\n  - faq\n\nresponses:'
 INTENT_PREFIX = "faq/"
 RESPONSE_PREFIX = "utter_faq/"
 # ---------------------------------------------------------------------------

@@ -127,11 +127,16 @@ def _fold_top2(key, pdfs: Iterator[pd.DataFrame], state: GroupState, tz: str = "
     """State per user: for each open request day, its two best candidates
     (confidence desc, event id asc) and how many it has seen (capped at 2:
     the gate needs no more). Days the watermark has passed are dropped, so
-    the state stays bounded; emits the days whose best two changed."""
+    the state stays bounded, and rows arriving for such a closed day are
+    late data and ignored; emits the days whose best two changed."""
     days = {d: tuple(v) for d, v in (state.get[0] or {}).items()} if state.exists else {}
     changed = set()
+    watermark = state.getCurrentWatermarkMs()
     if not state.hasTimedOut:
         for pdf in pdfs:
+            # late rows: a request day the watermark has passed is closed
+            open_day = {d: _day_end_ms(d, tz) > watermark for d in pdf["day"].unique()}
+            pdf = pdf[pdf["day"].map(open_day)]
             if pdf.empty:
                 continue
             counts = pdf["day"].value_counts().to_dict()
@@ -149,7 +154,6 @@ def _fold_top2(key, pdfs: Iterator[pd.DataFrame], state: GroupState, tz: str = "
                 days[day] = (min(n0 + counts[day], 2), l1, float(b1), int(j1),
                              l2, None if b2 is None else float(b2), None if j2 is None else int(j2))
                 changed.add(day)
-    watermark = state.getCurrentWatermarkMs()
     days = {d: v for d, v in days.items() if _day_end_ms(d, tz) > watermark or d in changed}
     if not days:
         state.remove()

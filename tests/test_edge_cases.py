@@ -300,3 +300,15 @@ def test_g1_join_path_equals_inline(spark, monkeypatch):
     monkeypatch.setattr(G, "MAX_INLINE_RULES", 0)
     joined = sorted(rows(G.rule_lookup(ev, G.rules_frame(spark), "event_id"), "event_id", "rule", "actions"))
     assert inline == joined and inline[4][1] is None and inline[3][1] == "deny_in_form"
+
+
+def test_f2_f3_opening_user_and_non_faq_turn(spark):
+    conv = spark.createDataFrame([(1, 0, "user", "q1", "faq"), (1, 1, "assistant", "a1", None),
+                                  (1, 2, "user", "salut", "chitchat"), (1, 3, "assistant", "a2", None)],
+                                 "conv_id int, turn int, role string, text string, intent string")
+    f2 = S.last_value_by_row(conv, "conv_id", ["turn"], F.col("role") == "assistant", F.col("text"), "last_bot",
+                             chunk=turn_chunk(width=2))
+    assert [r["last_bot"] for r in f2.orderBy("turn").collect()] == [None, "a1", "a1", "a2"]
+    f3 = S.last_faq_answer(conv, "conv_id", ["turn"], "role", "intent", chunk=turn_chunk(width=2))
+    # the answer after the chit-chat turn does not replace the last FAQ answer
+    assert [r["last_faq_answer"] for r in f3.orderBy("turn").collect()] == [None, "a1", "a1", "a1"]

@@ -63,3 +63,17 @@ def test_j4_day_end_follows_session_time_zone():
     # until that zone's midnight, not UTC's
     assert J._day_end_ms("2024-01-01", "UTC") == 1704153600000
     assert J._day_end_ms("2024-01-01", "America/New_York") == 1704153600000 + 5 * 3600 * 1000
+
+
+def test_j4_late_event_for_a_closed_day_is_ignored(spark):
+    base = scratch_path(spark, "t-j4late")
+    t0 = dt.datetime(2024, 1, 1, 9, 0)
+    _write(spark, [(1, t0, 1, "view", 1.0, '{"k": 90}'), (2, t0, 1, "view", 1.0, '{"k": 10}'),
+                   (3, t0 + dt.timedelta(days=1, hours=3), 1, "view", 1.0, '{"k": 50}')], f"{base}/events1")
+    # day 2024-01-01 is closed (the watermark is past its end): this late event is dropped
+    _write(spark, [(4, t0 + dt.timedelta(hours=1), 1, "view", 1.0, '{"k": 95}')], f"{base}/events2")
+    out, ck = scratch_path(spark, "t-j4l"), scratch_path(spark, "t-j4lc")
+    J.stream_feedback(J.event_stream(spark, f"{base}/events*", max_files=1), out, ck).awaitTermination()
+    got = {r["day"]: (r["outcome"], r["bot_confid_to_user_question"])
+           for r in J.latest_per_request(spark.read.parquet(out)).collect()}
+    assert got["2024-01-01"] == ("answer", 0.9)

@@ -77,3 +77,20 @@ def test_j4_late_event_for_a_closed_day_is_ignored(spark):
     got = {r["day"]: (r["outcome"], r["bot_confid_to_user_question"])
            for r in J.latest_per_request(spark.read.parquet(out)).collect()}
     assert got["2024-01-01"] == ("answer", 0.9)
+
+
+def test_j2_state_survives_a_restart(spark):
+    base = scratch_path(spark, "t-j2r")
+    t0 = dt.datetime(2024, 1, 1, 12, 0)
+    out, ck = scratch_path(spark, "t-j2ro"), scratch_path(spark, "t-j2rc")
+    _write(spark, [(1, t0, 7, "view", 3.0, '{"k": 1}'), (2, t0, 7, "click", 1.0, '{"k": 1}')], f"{base}/events1")
+    J.run_update_to_table(J.stream_slots(J.event_stream(spark, f"{base}/events*")), out, ck)
+    # restart on the same checkpoint after new data arrived: only the new file is read,
+    # the older click write is reset by the error from the restored state's point of view
+    _write(spark, [(3, t0 + dt.timedelta(minutes=1), 7, "error", 0.0, '{"k": 1}')], f"{base}/events2")
+    J.run_update_to_table(J.stream_slots(J.event_stream(spark, f"{base}/events*")), out, ck)
+    emitted = spark.read.parquet(out)
+    assert emitted.select("batch").distinct().count() == 2
+    final = {r["slot"]: r["v"] for r in emitted.groupBy("slot").agg(
+        F.max_by("value", F.struct("ts", "seq")).alias("v")).collect()}
+    assert final == {"view": "3.0", "click": None}

@@ -35,3 +35,12 @@ def test_top_k_is_cut_before_the_shuffle(spark, name):
     final one when the input is already partitioned by the key (no shuffle)."""
     plan = _plan(spark, name)
     assert "WindowGroupLimit" in plan, plan
+
+
+@pytest.mark.parametrize("name", ["f2_last_bot_message", "f7_sessions", "g2_path_conformance"])
+def test_running_state_windows_are_chunked(spark, name):
+    """Running state per conversation or user is windowed per (key, chunk),
+    so a hot key spreads over many tasks."""
+    plan = _plan(spark, name)
+    specs = re.findall(r"windowspecdefinition\(([^)]*)", plan)
+    assert specs and all("_chunk" in s for s in specs), specs

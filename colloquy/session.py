@@ -17,7 +17,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
 
@@ -73,8 +72,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared folder, deleted when the driver ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop)  # only a path that exists can be marked
+    fs.deleteOnExit(hadoop)
+    return path
 
 
 def materialize(df, name: str):

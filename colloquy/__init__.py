@@ -11,7 +11,6 @@ Modules:
     operators.corpus      corpus assembly
     operators.recommend   fuzzy match, one-hot, pattern kNN, missing items
     operators.scan        running state split into chunks
-    operators.sizing      size-checked broadcasts
     streaming.streams     Structured Streaming forms
     plans                 registered queries over the driver tables, with oracle SQL
 """

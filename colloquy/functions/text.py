@@ -6,6 +6,8 @@ whole-stage codegen and can be pushed through projections and filters.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +18,8 @@ C1_QUOTE = "\u0092"
 C1_OE = "\u009c"
 C1_EURO = "\u0080"
 NBSP = "\u00a0"
-# Accent folding table (lower-case Latin-1 letters and their plain forms).
-ACCENTED = "àâäáãåçéèêëíìîïñóòôöõúùûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+# Ligatures and what they fold to.
+LIGATURES = {"œ": "oe", "æ": "ae", "ĳ": "ij", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬆ": "st"}
 # Accepted ratings.
 RATINGS = ["1", "2", "3", "4", "5"]
 # Rating prompt shown for an invalid rating.
@@ -92,9 +93,11 @@ def rating_message(c) -> Column:
 
 
 def parse_event_time(c) -> Column:
-    """Text ``yyyy-MM-dd HH:mm:ss[.ffffff]`` to TIMESTAMP_NTZ; null if malformed."""
-    ts = F.try_to_timestamp(_col(c), F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]"))
-    return ts.cast("timestamp_ntz")
+    """Text ``yyyy-MM-dd HH:mm:ss[.ffffff]`` to TIMESTAMP_NTZ; null if malformed.
+    No time zone is involved: the form is checked, then cast."""
+    c = _col(c)
+    form = r"\A\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(?:\.\d{1,6})?\z"
+    return F.when(c.rlike(form), c.try_cast("timestamp_ntz"))
 
 
 def format_confidence(c) -> Column:
@@ -111,9 +114,25 @@ def render_template(text, **values) -> Column:
     return out
 
 
+def _accents() -> tuple[str, str]:
+    """Every precomposed lower-case Latin letter and its base letter; the combining
+    marks at the end have no counterpart, so ``translate`` deletes them."""
+    pairs = []
+    for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
+        plain = "".join(x for x in unicodedata.normalize("NFD", chr(code)) if not unicodedata.combining(x))
+        if chr(code).lower() == chr(code) != plain and len(plain) == 1:
+            pairs.append((chr(code), plain))
+    marks = "".join(map(chr, range(0x300, 0x370)))
+    return "".join(a for a, _ in pairs) + marks, "".join(b for _, b in pairs)
+
+
 def fold_text(c) -> Column:
-    """Lower, trim, strip accents (Latin-1 letters)."""
-    return F.translate(F.lower(F.trim(_col(c))), ACCENTED, PLAIN)
+    """Lower, trim, strip accents (all Latin letters, composed or with
+    combining marks) and open ligatures."""
+    out = F.translate(F.lower(F.trim(_col(c))), *_accents())
+    for ligature, letters in LIGATURES.items():
+        out = F.replace(out, F.lit(ligature), F.lit(letters))
+    return out
 
 
 def annotate_entity(text, keyword: str, entity: str) -> Column:

@@ -143,17 +143,11 @@ def answer_guard(has_question: Column, has_id: Column, form: str = "reformulate"
     raise ValueError(f"unknown form {form!r}")
 
 
-def lookup_variants(requests: DataFrame, bank: DataFrame, id_col: str = "id",
-                    small_bank_rows: int | None = None) -> DataFrame:
-    """All variants of the requested id (inner equi-join).
-
-    The bank is broadcast when its size is declared (``small_bank_rows``) or
-    measured under the bound; a larger bank stays a shuffle join, where AQE
-    splits a hot id."""
-    from colloquy.operators.sizing import broadcast_if_small, maybe_broadcast
-
-    b = maybe_broadcast(bank, small_bank_rows) if small_bank_rows is not None else broadcast_if_small(bank)
-    return requests.join(b, id_col, "inner")
+def lookup_variants(requests: DataFrame, bank: DataFrame, id_col: str = "id") -> DataFrame:
+    """All variants of the requested id (inner equi-join). The planner broadcasts
+    the bank when its size in bytes is small; a larger one is a shuffle join, where
+    AQE splits a hot id."""
+    return requests.join(bank, id_col, "inner")
 
 
 def repeat_last(df: DataFrame, keys="conv_id", order: str = "turn", value: str = "reformulation",

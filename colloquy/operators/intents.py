@@ -9,13 +9,15 @@ rows per map task into the shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions.text import intent_id
-from colloquy.operators.sizing import broadcast_if_small
+from colloquy.session import materialize
 
 # --- fixed values (thresholds and texts the reference uses) ---------------
 LOW_CONFIDENCE = 0.4      # top confidence strictly below: not understood
@@ -166,11 +168,65 @@ def token_counts(tokens: DataFrame, keys: Sequence[str], token: str = "token") -
     return tokens.groupBy(*_list(keys), token).agg(F.count("*").alias("n"))
 
 
-def fit_intents(train: DataFrame, text: str = "text", label: str = "label", seed: int = 42,
-                max_iter: int = 20, num_features: int = 1 << 16):
-    """Multi-class intent model: tokenizer -> hashed term counts ->
-    logistic regression. Hashing needs no vocabulary pass and gathers
-    nothing on the driver, so feature building is one map-side step."""
+MICRO = 1_000_000  # log likelihoods are whole millionths, so sums are exact in any order
+
+
+@dataclass(frozen=True)
+class IntentModel:
+    """``labels``: (label, log prior, log likelihood of an unseen token) per label;
+    ``weights``: per token and label what a seen token adds to that; in millionths."""
+
+    labels: list[tuple]
+    weights: DataFrame
+
+
+def fit_intents(train: DataFrame, text: str = "text", label: str = "label", alpha: float = 1.0) -> IntentModel:
+    """Multi-class intent model from token counts (multinomial, smoothed by
+    ``alpha``), fitted on all rows with a label: grouped counts; only the labels'
+    totals come to the driver."""
+    rows = train.where(F.col(label).isNotNull())
+    counts = materialize(_words(rows, [label], text).groupBy("token", label).agg(F.count("*").alias("n")), "intent-counts")
+    size = counts.select("token").distinct().count()
+    tokens = {r[label]: r["n"] for r in counts.groupBy(label).agg(F.sum("n").alias("n")).collect()}
+    texts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}  # one row per label
+
+    def micro(x):
+        return round(MICRO * math.log(x))
+
+    spread = {x: tokens.get(x, 0) + alpha * size for x in texts}
+    labels = sorted((x, micro(n / sum(texts.values())), micro(alpha / spread[x]) if spread[x] else 0)
+                    for x, n in texts.items())
+    total = F.coalesce(*[F.when(F.col(label) == x, F.lit(float(spread[x]))) for x in texts]) if texts else F.lit(1.0)
+    unseen = F.coalesce(*[F.when(F.col(label) == x, F.lit(u)) for x, _, u in labels]) if texts else F.lit(0)
+    added = F.round(F.log((F.col("n") + alpha) / total) * MICRO).cast("bigint") - unseen
+    weights = counts.groupBy("token").agg(F.collect_list(F.struct(F.col(label).alias("label"), added.alias("w"))).alias("w"))
+    return IntentModel(labels, weights)
+
+
+def predict_intents(model: IntentModel, df: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
+    """Per text the likeliest label (ties go to the smaller one), its log score
+    and its share among the labels. Texts without tokens are scored by the priors."""
+    keys = _list(keys)
+    tf = _words(df, keys, text).groupBy(*keys, "token").agg(F.count("*").alias("tf"))
+    length = tf.groupBy(*keys).agg(F.sum("tf").alias("_n"))
+    seen = tf.join(model.weights, "token").select(*keys, "tf", F.explode("w").alias("x")).groupBy(
+        *keys, F.col("x.label").alias("label")).agg(F.sum(F.col("tf") * F.col("x.w")).alias("_w"))
+    table = F.array(*[F.struct(F.lit(x).alias("label"), F.lit(p).cast("bigint").alias("_p"), F.lit(u).cast("bigint").alias("_u"))
+                      for x, p, u in model.labels])
+    grid = df.select(*keys).join(length, keys, "left").select(*keys, F.coalesce("_n", F.lit(0)).alias("_n"), F.inline(table))
+    score = F.col("_p") + F.col("_n") * F.col("_u") + F.coalesce("_w", F.lit(0))
+    scored = grid.join(seen, keys + ["label"], "left").select(*keys, "label", score.alias("s"))
+    best = scored.groupBy(*keys).agg(
+        F.min_by(F.struct("label", "s"), F.struct(-F.col("s"), "label")).alias("b"), F.collect_list("s").alias("_all"))
+    odds = F.aggregate("_all", F.lit(0.0), lambda acc, x: acc + F.exp((x - F.col("b.s")) / MICRO))
+    return best.select(*keys, F.col("b.label").alias("prediction"), (F.col("b.s") / MICRO).alias("score"),
+                       F.round(1 / odds, 6).alias("confidence"))
+
+
+def fit_logistic(train: DataFrame, text: str = "text", label: str = "label", max_iter: int = 20,
+                 num_features: int = 1 << 16):
+    """C3, discriminative form: tokenizer, hashed term counts, logistic regression
+    (``pyspark.ml``); returns the fitted pipeline."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import HashingTF, RegexTokenizer
@@ -182,15 +238,6 @@ def fit_intents(train: DataFrame, text: str = "text", label: str = "label", seed
     return Pipeline(stages=[tok, tf, lr]).fit(train.withColumn(label, F.col(label).cast("double")))
 
 
-def predict_intents(model, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Score a table of texts: predicted label and its probability."""
-    from pyspark.ml.functions import vector_to_array
-
-    scored = model.transform(df)
-    prob = F.array_max(vector_to_array("probability"))
-    return scored.select(*_list(keys), F.col("prediction"), prob.alias("confidence"))
-
-
 def _words(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     return df.select(*_list(keys), F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORD_RE), 0))
                      .alias("token"))
@@ -200,63 +247,80 @@ def rank_responses(queries: DataFrame, bank: DataFrame, q_keys: Sequence[str], i
                    text: str = "text", k: int = 3) -> DataFrame:
     """C4: rank bank entries for each query text by TF-IDF cosine, best first.
 
-    Relational form: tf per (doc, token), idf = ln(N/df) over the bank
-    (tokens with idf 0 carry no weight and are dropped before the join),
-    dot products by an equi-join on token and a grouped sum, top k by
-    ``row_number`` (partial ``WindowGroupLimit``), and the confidence is
-    the cosine normalised over the top k. Cosines are rounded to 6 places
-    before ranking; ties go to the smaller item id."""
+    idf = ln(N/df) over the bank; cosines are rounded to 6 places before ranking, ties
+    go to the smaller item id, and the confidence is the cosine normalised over the
+    top k. Equal query texts are ranked once.
+
+    Exact top k without every pair that shares a token: a token's largest bank weight
+    bounds what it can add to a cosine. The strongest tokens of a text (those that
+    make up most of its bound) give lower bounds for its k-th best cosine; tokens that
+    together cannot reach it need not bring in new items. Items that share one of the
+    other tokens are the candidates, and only they are scored in full."""
     q_keys = _list(q_keys)
-    from colloquy.session import materialize
+    q_texts = queries.select(*q_keys, F.md5(F.col(text).cast("binary")).alias("_t"), F.col(text).alias("_text"))
+    once = q_texts.groupBy("_t").agg(F.first("_text").alias("_text"))  # equal texts: any of them
 
-    n_bank = bank.select(item).distinct().count()  # one scalar, the bank size
+    n_bank = bank.select(item).distinct().count()  # one number
     btf = _words(bank, [item], text).groupBy(item, "token").agg(F.count("*").alias("tf"))
-    idf = btf.groupBy("token").agg(F.count("*").alias("df")) \
-        .select("token", F.log(F.lit(float(n_bank)) / F.col("df")).alias("idf")).filter(F.col("idf") > 0)
+    df = btf.groupBy("token").agg(F.count("*").alias("df"))
+    idf = df.select("token", F.log(F.lit(float(n_bank)) / F.col("df")).alias("idf")).filter(F.col("idf") > 0)
     bw = btf.join(idf, "token").select(item, "token", "idf", (F.col("tf") * F.col("idf")).alias("wb"))
     bnorm = bw.groupBy(item).agg(F.sqrt(F.sum(F.col("wb") * F.col("wb"))).alias("nb"))
-    # the bank model (weights and norms) is computed once and written to the
-    # shared folder; every branch below reads that small table
-    model = materialize(bw.join(bnorm, item), "bank-model")
-    # the bank side is broadcast once its row count is measured under the
-    # bound, so the query tokens are never shuffled by token (a frequent
-    # token would be a hot key); beyond the bound the joins stay shuffle
-    # joins with AQE skew splitting
-    idf_b = broadcast_if_small(model.select("token", "idf").distinct())
-    bw_b = broadcast_if_small(model.select(item, "token", "wb"))
-    qtf = _words(queries, q_keys, text).groupBy(*q_keys, "token").agg(F.count("*").alias("tf"))
-    qw = qtf.join(idf_b, "token").select(*q_keys, "token", (F.col("tf") * F.col("idf")).alias("wq"))
-    qnorm = qw.groupBy(*q_keys).agg(F.sqrt(F.sum(F.col("wq") * F.col("wq"))).alias("nq"))
-    dot = qw.join(bw_b, "token").groupBy(*q_keys, item).agg(F.sum(F.col("wq") * F.col("wb")).alias("dot"))
-    bnorm = broadcast_if_small(model.select(item, "nb").distinct())
-    cos = dot.join(qnorm, q_keys).join(bnorm, item).select(
-        *q_keys, item, F.round(F.col("dot") / (F.col("nq") * F.col("nb")), 6).alias("cosine"))
-    top = rank_candidates(cos, q_keys, [F.col("cosine").desc(), F.col(item)], top=k)
-    total = top.groupBy(*q_keys).agg(F.sum("cosine").alias("_tot"))
-    return top.join(total, q_keys).withColumn(
-        "confidence", F.round(F.col("cosine") / F.col("_tot"), 6)).drop("_tot")
-
-
-def entity_match(df: DataFrame, gazetteer: DataFrame, keys: Sequence[str], text: str = "text",
-                 gazetteer_rows: int | None = None) -> DataFrame:
+    # the bank model feeds every branch below: written once; joins with it are left to
+    # the planner, which knows its size
+    model = materialize(bw.join(bnorm, item).select(
+        item, "token", "idf", "wb", "nb", (F.col("wb") / F.col("nb")).alias("share")), "bank-model")
+    tokens = model.groupBy("token").agg(F.first("idf").alias("idf"), F.max("share").alias("top"))
+
+    qtf = _words(once, ["_t"], "_text").groupBy("_t", "token").agg(F.count("*").alias("tf"))
+    qw = qtf.join(tokens, "token").select("_t", "token", "top", (F.col("tf") * F.col("idf")).alias("wq"))
+    qnorm = qw.groupBy("_t").agg(F.sqrt(F.sum(F.col("wq") * F.col("wq"))).alias("nq"))
+    qw = materialize(qw.join(qnorm, "_t").select(
+        "_t", "token", "wq", "nq", (F.col("wq") / F.col("nq") * F.col("top")).alias("bound")), "query-weights")
+    rising = Window.partitionBy("_t").orderBy("bound", "token").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    all_of = Window.partitionBy("_t")
+    ranked = qw.withColumns({"_upto": F.sum("bound").over(rising), "_sum": F.sum("bound").over(all_of)})
+    # lower bounds: partial cosines over the tokens that hold the upper half of the bound
+    strong = ranked.filter(F.col("_upto") > F.col("_sum") / 2).select("_t", "token", "wq", "nq")
+    partial = strong.join(model.select(item, "token", "share"), "token").groupBy("_t", item).agg(
+        F.sum(F.col("wq") / F.col("nq") * F.col("share")).alias("low"))
+    kth = rank_candidates(partial, ["_t"], [F.col("low").desc(), F.col(item)], top=k, out="_r") \
+        .filter(F.col("_r") == k).select("_t", F.col("low").alias("_kth"))
+    needed = ranked.join(kth, "_t", "left").filter(
+        F.col("_kth").isNull() | (F.col("_upto") >= F.col("_kth") - 2e-6)).select("_t", "token")
+    cands = needed.join(model.select(item, "token"), "token").select("_t", item).distinct()
+    dot = (cands.join(qw.select("_t", "token", "wq", "nq"), "_t")
+           .join(model.select(item, "token", "wb", "nb"), [item, "token"])
+           .groupBy("_t", item).agg(F.sum(F.col("wq") * F.col("wb")).alias("dot"), F.first("nq").alias("nq"),
+                                    F.first("nb").alias("nb")))
+    cos = dot.select("_t", item, F.round(F.col("dot") / (F.col("nq") * F.col("nb")), 6).alias("cosine"))
+    top = rank_candidates(cos, ["_t"], [F.col("cosine").desc(), F.col(item)], top=k)
+    top = top.withColumn("confidence", F.round(F.col("cosine") / F.sum("cosine").over(all_of), 6))
+    return q_texts.select(*q_keys, "_t").join(top, "_t").drop("_t")
+
+
+ENTITY_TOKEN_RE = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
+
+
+def entity_match(df: DataFrame, gazetteer: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
     """Known entity values found in each text, as (keys, value, entity).
 
-    Values are matched on their first word by an equi-join with the
-    gazetteer, broadcast when its size is declared or measured under the
-    bound, so text tokens are matched map-side and only hits are shuffled;
-    values of several words are then verified with ``contains``."""
-    from colloquy.operators.sizing import maybe_broadcast
-
+    Text and value are lower-cased token sequences (runs of letters and digits; any
+    other visible character is a token), and a value is found where its whole
+    sequence stands: the runs of as many tokens as some value has are joined to the
+    values by equality."""
     keys = _list(keys)
-    g = gazetteer.select(
-        F.lower("value").alias("value"), "entity",
-        F.regexp_extract_all(F.lower("value"), F.lit(WORD_RE), 0).alias("_vw"))
-    g = g.select("value", "entity", F.col("_vw")[0].alias("token"), F.size("_vw").alias("_n")) \
-        .filter(F.col("_n") > 0)
-    g = maybe_broadcast(g, gazetteer_rows) if gazetteer_rows is not None else broadcast_if_small(g)
-    hit = _words(df, keys, text).join(g, "token")
-    single = hit.filter(F.col("_n") == 1).select(*keys, "value", "entity")
-    multi = hit.filter(F.col("_n") > 1).select(*keys, "value", "entity") \
-        .join(df.select(*keys, F.lower(F.col(text)).alias("_lt")), keys) \
-        .filter(F.col("_lt").contains(F.col("value"))).select(*keys, "value", "entity")
-    return single.unionByName(multi).distinct()
+
+    def tokens(c):
+        return F.regexp_extract_all(F.lower(c), F.lit(ENTITY_TOKEN_RE), 0)
+
+    g = gazetteer.select(F.lower("value").alias("value"), "entity", tokens(F.col("value")).alias("_v")).where(
+        F.size("_v") > 0).select("value", "entity", F.array_join("_v", " ").alias("_run"), F.size("_v").alias("_n")).distinct()
+    lengths = sorted(r["_n"] for r in g.select("_n").distinct().collect())  # a few small numbers
+    toks = df.select(*keys, tokens(F.col(text)).alias("_toks"))
+    at = toks.select(*keys, "_toks", F.posexplode("_toks").alias("_at", "_tok"))
+    # the runs that start here, one per length; those past the end stay out
+    runs = F.array(*[F.when(F.col("_at") + n <= F.size("_toks"), F.concat_ws(
+        " ", "_tok", *[F.get("_toks", F.col("_at") + i) for i in range(1, n)])) for n in lengths or [1]])
+    found = at.select(*keys, F.explode(runs).alias("_run"))
+    return found.join(g, "_run").select(*keys, "value", "entity").distinct()

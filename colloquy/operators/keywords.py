@@ -12,10 +12,11 @@ is computed exactly without comparing every word with every text:
   suffixes; a word of at most 6 letters is looked up by itself (every match
   is a hit), a longer word by its first 6 letters, and those candidates are
   verified with ``contains``;
-* the (word, token) hits are joined back to (text, token) and counted.
+* a token's words are joined to the texts it occurs in, merged per text and counted.
 
 Every step is an equi-join or a grouped aggregate, so the work grows with
-the vocabulary's letters and the true hits rather than words x texts.
+the vocabulary's letters and the true hits rather than words x texts. The only
+lists are the words inside one token and the words inside one text.
 """
 
 from __future__ import annotations
@@ -29,16 +30,20 @@ from colloquy.functions.text import repair_text
 from colloquy.session import materialize
 
 # --- fixed values: Spark's default French stop-word list (StopWordsRemover) -
-FRENCH_STOP_WORDS = (
-    "au aux avec ce ces dans de des du elle en et eux il je la le les leur lui ma mais me même mes moi mon ne "
-    "nos notre nous on ou par pas pour qu que qui sa se ses son sur ta te tes toi ton tu un une vos votre vous "
-    "c d j l à m n s t y été étée étées étés étant étante étants étantes suis es est sommes êtes sont serai "
-    "seras sera serons serez seront serais serait serions seriez seraient étais était étions étiez étaient fus "
-    "fut fûmes fûtes furent sois soit soyons soyez soient fusse fusses fût fussions fussiez fussent ayant "
-    "ayante ayantes ayants eu eue eues eus ai as avons avez ont aurai auras aura aurons aurez auront aurais "
-    "aurait aurions auriez auraient avais avait avions aviez avaient eut eûmes eûtes eurent aie aies ait "
-    "ayons ayez aient eusse eusses eût eussions eussiez eussent"
-).split()
+FRENCH_STOP_WORDS = [
+    "au", "aux", "avec", "ce", "ces", "dans", "de", "des", "du", "elle", "en", "et", "eux", "il", "je", "la", "le",
+    "les", "leur", "lui", "ma", "mais", "me", "même", "mes", "moi", "mon", "ne", "nos", "notre", "nous", "on", "ou",
+    "par", "pas", "pour", "qu", "que", "qui", "sa", "se", "ses", "son", "sur", "ta", "te", "tes", "toi", "ton",
+    "tu", "un", "une", "vos", "votre", "vous", "c", "d", "j", "l", "à", "m", "n", "s", "t", "y", "été", "étée",
+    "étées", "étés", "étant", "étante", "étants", "étantes", "suis", "es", "est", "sommes", "êtes", "sont", "serai",
+    "seras", "sera", "serons", "serez", "seront", "serais", "serait", "serions", "seriez", "seraient", "étais",
+    "était", "étions", "étiez", "étaient", "fus", "fut", "fûmes", "fûtes", "furent", "sois", "soit", "soyons",
+    "soyez", "soient", "fusse", "fusses", "fût", "fussions", "fussiez", "fussent", "ayant", "ayante", "ayantes",
+    "ayants", "eu", "eue", "eues", "eus", "ai", "as", "avons", "avez", "ont", "aurai", "auras", "aura", "aurons",
+    "aurez", "auront", "aurais", "aurait", "aurions", "auriez", "auraient", "avais", "avait", "avions", "aviez",
+    "avaient", "eut", "eûmes", "eûtes", "eurent", "aie", "aies", "ait", "ayons", "ayez", "aient", "eusse", "eusses",
+    "eût", "eussions", "eussiez", "eussent",
+]
 WORD_PATTERN = r"\p{L}+"
 MAX_GRAM = 6
 # ---------------------------------------------------------------------------
@@ -82,16 +87,12 @@ def distinct_words(tokens: DataFrame, keys: Sequence[str]) -> DataFrame:
     return tokens.select(*keys, "word").distinct()
 
 
-def _gram_rows(df: DataFrame, keys: Sequence[str], col: str, lengths: F.Column | None = None) -> DataFrame:
-    """Substrings of ``col`` as rows (keys, col, q, g): every length 1..3 at
-    every position, or only length ``lengths`` (a column) when given. Built
-    with explode and ``substr`` (no lambdas, so it stays in generated code)."""
+def _gram_rows(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
+    """Substrings of ``col`` as rows (keys, col, q, g): every length 1..``MAX_GRAM``
+    at every position. Built with explode and ``substr`` (no lambdas, so it stays
+    in generated code)."""
     n = F.char_length(F.col(col))
     pos = df.select(*keys, col, F.explode(F.sequence(F.lit(1), n)).alias("_i"))
-    if lengths is not None:
-        q = lengths
-        return pos.filter(F.col("_i") + q - 1 <= F.char_length(F.col(col))).select(
-            *keys, col, q.alias("q"), F.substr(F.col(col), F.col("_i"), q).alias("g"))
     grams = F.array(*[F.when(F.col("_i") + (q - 1) <= F.char_length(F.col(col)),
                              F.struct(F.lit(q).alias("q"), F.substr(F.col(col), F.col("_i"), F.lit(q)).alias("g")))
                       for q in range(1, MAX_GRAM + 1)])
@@ -106,19 +107,24 @@ def containment(words: DataFrame, text_tokens: DataFrame, pair: str = "pair_id")
     ``words``: (pair, word); ``text_tokens``: (pair, side, text_id, token).
 
     Index: every substring of length 1..6 at every position of each distinct
-    token of the pair (the first letters of each suffix). A word of at most 6
-    letters is looked up by itself, so every match is a hit; a longer word by
-    its first 6 letters, and the candidates are verified with ``contains``."""
-    vocab = text_tokens.select(pair, "token").distinct()
-    index = _gram_rows(vocab, [pair], "token")
+    token (the first letters of each suffix), solved once for all pairs. A word of
+    at most 6 letters is looked up by itself, so every match is a hit; a longer word
+    by its first 6 letters, and the candidates are verified with ``contains``.
+
+    Every token then carries the words inside it to the texts it occurs in; a text
+    merges its tokens' lists, so each of its words counts once, and texts are
+    counted per word map-side."""
+    texts = text_tokens.select(pair, "side", "text_id", "token").distinct()
+    index = _gram_rows(text_tokens.select("token").distinct(), [], "token")
     wq = F.least(F.char_length("word"), F.lit(MAX_GRAM))
-    w = words.select(pair, "word").distinct().select(pair, "word", wq.alias("q"),
-                                                     F.substr(F.col("word"), F.lit(1), wq).alias("g"))
+    w = words.select("word").distinct().select("word", wq.alias("q"), F.substr(F.col("word"), F.lit(1), wq).alias("g"))
     verified = (F.char_length("word") <= MAX_GRAM) | F.col("token").contains(F.col("word"))
-    hits = w.join(index, [pair, "q", "g"]).filter(verified).select(pair, "word", "token").distinct()
-    per_text = hits.join(text_tokens.select(pair, "side", "text_id", "token").distinct(), [pair, "token"]) \
-        .select(pair, "word", "side", "text_id").distinct()
-    return per_text.groupBy(pair, "word", "side").agg(F.count("*").alias("n_containing"))
+    inside = w.join(index, ["q", "g"]).filter(verified).groupBy("token").agg(F.collect_set("word").alias("_inside"))
+    per_text = texts.join(inside, "token").groupBy(pair, "side", "text_id").agg(
+        F.array_distinct(F.flatten(F.collect_list("_inside"))).alias("_words"))
+    counted = per_text.select(pair, "side", F.explode("_words").alias("word")).groupBy(pair, "word", "side").agg(
+        F.count("*").alias("n_containing"))
+    return counted.join(words.select(pair, "word").distinct(), [pair, "word"], "left_semi")
 
 
 def contrast_score(df_own: F.Column, n_own: F.Column, df_other: F.Column, n_other: F.Column) -> F.Column:

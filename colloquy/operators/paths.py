@@ -1,7 +1,7 @@
 """Rule lookup and path analytics.
 
-Steps before the current one come from ``carry_last`` (a chunked running
-value), chained for the second step back, so no key is one task.
+Rules and paths are tables of step rows. Steps before the current one come
+from ``running`` (one chunked pass for any number of steps), so no key is one task.
 """
 
 from __future__ import annotations
@@ -11,107 +11,318 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.operators.scan import carry_last
-from colloquy.operators.sizing import maybe_broadcast
+from colloquy.operators.scan import running
 
-# --- fixed values: condensed rule table of the reference -------------------
-# (rule, intent, active_loop, confusion slot, actions in order); a null
-# condition matches every value.
 FORM = "note_and_pseudo_asking_form"
-_FAQ_HEAD = ("action_set_confusion_slot_to_none,action_get_user_curent_intent,user_note_to_none,"
-             "action_user_last_message,action_ask_for_clarification,action_increment_confusion_incomprehension,"
-             "action_bot_last_message,action_bot_utterances_list")
-_CHOICE = ("action_set_faq_confusion_id,action_bot_adaptive_answer,action_bot_last_message,"
-           "action_bot_utterances_list," + FORM)
-RULES = [
-    ("faq_no_confusion", "faq", None, None, _FAQ_HEAD + "," + FORM),
-    ("faq_in_form_no_confusion", "faq", FORM, None, _FAQ_HEAD + "," + FORM),
-    ("faq_confusion", "faq", None, "true", _FAQ_HEAD),
-    ("faq_in_form_confusion", "faq", FORM, "true", _FAQ_HEAD),
-    ("deny_in_form", "deny", FORM, None, "utter_reformulate"),
-    ("confusion_1", "confusion_1", None, None, _CHOICE),
-    ("confusion_2", "confusion_2", None, None, _CHOICE),
-    ("non_sense", "non_sense", None, None, "action_set_faq_confusion_id,utter_give_more_details"),
+# --- fixed values: the reference's rules, step by step ---------------------
+# (rule, pos, step_kind, step_value). Kinds: condition (loop active when the
+# turn starts), intent, action, slot (``name=value``; no value: must be empty),
+# loop (loop active at that step; no value: none).
+RULE_STEPS = [
+    ("faq_no_confusion", 1, "intent", "faq"),
+    ("faq_no_confusion", 2, "action", "action_set_confusion_slot_to_none"),
+    ("faq_no_confusion", 3, "slot", "confusion="),
+    ("faq_no_confusion", 4, "action", "action_get_user_curent_intent"),
+    ("faq_no_confusion", 5, "action", "user_note_to_none"),
+    ("faq_no_confusion", 6, "action", "action_user_last_message"),
+    ("faq_no_confusion", 7, "action", "action_ask_for_clarification"),
+    ("faq_no_confusion", 8, "slot", "confusion="),
+    ("faq_no_confusion", 9, "action", "action_increment_confusion_incomprehension"),
+    ("faq_no_confusion", 10, "action", "action_bot_last_message"),
+    ("faq_no_confusion", 11, "action", "action_bot_utterances_list"),
+    ("faq_no_confusion", 12, "action", "note_and_pseudo_asking_form"),
+    ("faq_no_confusion", 13, "loop", "note_and_pseudo_asking_form"),
+    ("faq_in_form_no_confusion", 0, "condition", "note_and_pseudo_asking_form"),
+    ("faq_in_form_no_confusion", 1, "intent", "faq"),
+    ("faq_in_form_no_confusion", 2, "action", "action_set_confusion_slot_to_none"),
+    ("faq_in_form_no_confusion", 3, "slot", "confusion="),
+    ("faq_in_form_no_confusion", 4, "action", "action_get_user_curent_intent"),
+    ("faq_in_form_no_confusion", 5, "action", "user_note_to_none"),
+    ("faq_in_form_no_confusion", 6, "action", "action_user_last_message"),
+    ("faq_in_form_no_confusion", 7, "action", "action_ask_for_clarification"),
+    ("faq_in_form_no_confusion", 8, "slot", "confusion="),
+    ("faq_in_form_no_confusion", 9, "action", "action_increment_confusion_incomprehension"),
+    ("faq_in_form_no_confusion", 10, "action", "action_bot_last_message"),
+    ("faq_in_form_no_confusion", 11, "action", "action_bot_utterances_list"),
+    ("faq_in_form_no_confusion", 12, "action", "note_and_pseudo_asking_form"),
+    ("faq_in_form_no_confusion", 13, "loop", "note_and_pseudo_asking_form"),
+    ("faq_confusion", 1, "intent", "faq"),
+    ("faq_confusion", 2, "action", "action_set_confusion_slot_to_none"),
+    ("faq_confusion", 3, "slot", "confusion="),
+    ("faq_confusion", 4, "action", "action_get_user_curent_intent"),
+    ("faq_confusion", 5, "action", "user_note_to_none"),
+    ("faq_confusion", 6, "action", "action_user_last_message"),
+    ("faq_confusion", 7, "action", "action_ask_for_clarification"),
+    ("faq_confusion", 8, "slot", "confusion=true"),
+    ("faq_confusion", 9, "action", "action_increment_confusion_incomprehension"),
+    ("faq_confusion", 10, "action", "action_bot_last_message"),
+    ("faq_confusion", 11, "action", "action_bot_utterances_list"),
+    ("faq_in_form_confusion", 0, "condition", "note_and_pseudo_asking_form"),
+    ("faq_in_form_confusion", 1, "intent", "faq"),
+    ("faq_in_form_confusion", 2, "action", "action_set_confusion_slot_to_none"),
+    ("faq_in_form_confusion", 3, "slot", "confusion="),
+    ("faq_in_form_confusion", 4, "action", "action_get_user_curent_intent"),
+    ("faq_in_form_confusion", 5, "action", "user_note_to_none"),
+    ("faq_in_form_confusion", 6, "action", "action_user_last_message"),
+    ("faq_in_form_confusion", 7, "action", "action_ask_for_clarification"),
+    ("faq_in_form_confusion", 8, "slot", "confusion=true"),
+    ("faq_in_form_confusion", 9, "action", "action_increment_confusion_incomprehension"),
+    ("faq_in_form_confusion", 10, "action", "action_bot_last_message"),
+    ("faq_in_form_confusion", 11, "action", "action_bot_utterances_list"),
+    ("submit_note", 0, "condition", "note_and_pseudo_asking_form"),
+    ("submit_note", 1, "action", "note_and_pseudo_asking_form"),
+    ("submit_note", 2, "loop", None),
+    ("submit_note", 3, "action", "action_record_the_user_note"),
+    ("deny_in_form", 0, "condition", "note_and_pseudo_asking_form"),
+    ("deny_in_form", 1, "action", "note_and_pseudo_asking_form"),
+    ("deny_in_form", 2, "loop", "note_and_pseudo_asking_form"),
+    ("deny_in_form", 3, "intent", "deny"),
+    ("deny_in_form", 4, "action", "utter_reformulate"),
+    ("confusion_1", 1, "intent", "confusion_1"),
+    ("confusion_1", 2, "action", "action_set_faq_confusion_id"),
+    ("confusion_1", 3, "action", "action_bot_adaptive_answer"),
+    ("confusion_1", 4, "action", "action_bot_last_message"),
+    ("confusion_1", 5, "action", "action_bot_utterances_list"),
+    ("confusion_1", 6, "action", "note_and_pseudo_asking_form"),
+    ("confusion_1", 7, "loop", "note_and_pseudo_asking_form"),
+    ("confusion_2", 1, "intent", "confusion_2"),
+    ("confusion_2", 2, "action", "action_set_faq_confusion_id"),
+    ("confusion_2", 3, "action", "action_bot_adaptive_answer"),
+    ("confusion_2", 4, "action", "action_bot_last_message"),
+    ("confusion_2", 5, "action", "action_bot_utterances_list"),
+    ("confusion_2", 6, "action", "note_and_pseudo_asking_form"),
+    ("confusion_2", 7, "loop", "note_and_pseudo_asking_form"),
+    ("non_sense", 1, "intent", "non_sense"),
+    ("non_sense", 2, "action", "action_set_faq_confusion_id"),
+    ("non_sense", 3, "action", "action_bot_adaptive_answer"),
+    ("non_sense", 4, "action", "action_bot_last_message"),
+    ("non_sense", 5, "action", "action_bot_utterances_list"),
+    ("non_sense", 6, "action", "note_and_pseudo_asking_form"),
+    ("non_sense", 7, "loop", "note_and_pseudo_asking_form"),
+    ("ask_profile", 1, "intent", "want_inform_profile"),
+    ("ask_profile", 2, "action", "utter_ask_profil"),
+    ("ask_profile_in_form", 0, "condition", "note_and_pseudo_asking_form"),
+    ("ask_profile_in_form", 1, "intent", "want_inform_profile"),
+    ("ask_profile_in_form", 2, "action", "action_deactivate_loop"),
+    ("ask_profile_in_form", 3, "loop", None),
+    ("ask_profile_in_form", 4, "action", "utter_ask_profil"),
+    ("profile_short", 1, "intent", "short_utters"),
+    ("profile_short", 2, "action", "action_set_and_acknowledge_profile"),
+    ("profile_short", 3, "action", "user_note_to_none"),
+    ("profile_short", 4, "action", "action_bot_adaptive_answer"),
+    ("profile_short", 5, "action", "note_and_pseudo_asking_form"),
+    ("profile_short", 6, "loop", "note_and_pseudo_asking_form"),
+    ("profile_dont_care", 1, "intent", "dont_care"),
+    ("profile_dont_care", 2, "action", "action_set_and_acknowledge_profile"),
+    ("profile_dont_care", 3, "action", "user_note_to_none"),
+    ("profile_dont_care", 4, "action", "action_bot_adaptive_answer"),
+    ("profile_dont_care", 5, "action", "note_and_pseudo_asking_form"),
+    ("profile_dont_care", 6, "loop", "note_and_pseudo_asking_form"),
+    ("profile_long", 1, "intent", "long_utters"),
+    ("profile_long", 2, "action", "action_set_and_acknowledge_profile"),
+    ("profile_long", 3, "action", "user_note_to_none"),
+    ("profile_long", 4, "action", "action_bot_adaptive_answer"),
+    ("profile_long", 5, "action", "note_and_pseudo_asking_form"),
+    ("profile_long", 6, "loop", "note_and_pseudo_asking_form"),
+    ("profile_denied", 1, "action", "action_set_and_acknowledge_profile"),
+    ("profile_denied", 2, "action", "user_note_to_none"),
+    ("profile_denied", 3, "action", "action_bot_adaptive_answer"),
+    ("profile_denied", 4, "action", "note_and_pseudo_asking_form"),
+    ("profile_denied", 5, "loop", "note_and_pseudo_asking_form"),
+    ("profile_denied", 6, "intent", "deny"),
+    ("profile_denied", 7, "action", "utter_ask_profil"),
+    ("reformulated_affirm", 1, "action", "action_utter_reformulate"),
+    ("reformulated_affirm", 2, "action", "action_bot_utterances_list"),
+    ("reformulated_affirm", 3, "intent", "affirm"),
+    ("reformulated_affirm", 4, "action", "action_no_further_reformulation"),
+    ("reformulated_deny", 1, "action", "action_utter_reformulate"),
+    ("reformulated_deny", 2, "action", "action_bot_utterances_list"),
+    ("reformulated_deny", 3, "intent", "deny"),
+    ("reformulated_deny", 4, "action", "action_ask_another_question"),
+    ("ask_reformulate", 1, "intent", "ask_reformulate"),
+    ("ask_reformulate", 2, "action", "action_utter_reformulate"),
+    ("ask_reformulate", 3, "action", "action_bot_utterances_list"),
+    ("greet", 1, "intent", "greet"),
+    ("greet", 2, "action", "utter_greet"),
+    ("bot_challenge", 1, "intent", "bot_challenge"),
+    ("bot_challenge", 2, "action", "utter_iamabot"),
+    ("ask_email", 1, "intent", "intent_trigger_conversation"),
+    ("ask_email", 2, "action", "askingEmail_form"),
+    ("ask_email", 3, "loop", "askingEmail_form"),
+    ("submit_email", 0, "condition", "askingEmail_form"),
+    ("submit_email", 1, "action", "askingEmail_form"),
+    ("submit_email", 2, "loop", None),
+    ("submit_email", 3, "action", "action_send_email"),
+    ("submit_email", 4, "action", "check_password_form"),
+    ("submit_email", 5, "loop", "check_password_form"),
+    ("password_wrong", 0, "condition", "check_password_form"),
+    ("password_wrong", 1, "action", "check_password_form"),
+    ("password_wrong", 2, "loop", None),
+    ("password_wrong", 3, "action", "action_set_misspell_pwd"),
+    ("password_wrong", 4, "slot", "misspelled_password=true"),
+    ("password_wrong", 5, "action", "action_propose_opts_if_misspell_psw"),
+    ("password_right", 0, "condition", "check_password_form"),
+    ("password_right", 1, "action", "check_password_form"),
+    ("password_right", 2, "loop", None),
+    ("password_right", 3, "action", "action_set_misspell_pwd"),
+    ("password_right", 4, "slot", "misspelled_password="),
+    ("password_right", 5, "action", "utter_good_password"),
+    ("password_right", 6, "action", "utter_invite_user_to_ask"),
+    ("retry_password", 1, "intent", "retry_password"),
+    ("retry_password", 2, "action", "action_set_retry_password_to_none"),
+    ("retry_password", 3, "action", "retry_password_form"),
+    ("retry_password", 4, "loop", "retry_password_form"),
+    ("retry_wrong", 0, "condition", "retry_password_form"),
+    ("retry_wrong", 1, "action", "retry_password_form"),
+    ("retry_wrong", 2, "loop", None),
+    ("retry_wrong", 3, "action", "action_set_misspell_pwd"),
+    ("retry_wrong", 4, "slot", "misspelled_password=true"),
+    ("retry_wrong", 5, "action", "action_propose_opts_if_misspell_psw"),
+    ("retry_right", 0, "condition", "retry_password_form"),
+    ("retry_right", 1, "action", "retry_password_form"),
+    ("retry_right", 2, "loop", None),
+    ("retry_right", 3, "action", "action_set_misspell_pwd"),
+    ("retry_right", 4, "slot", "misspelled_password="),
+    ("retry_right", 5, "action", "utter_good_password"),
+    ("retry_right", 6, "action", "utter_invite_user_to_ask"),
+    ("send_new_pwd", 1, "intent", "send_new_pwd"),
+    ("send_new_pwd", 2, "action", "action_send_email"),
+    ("send_new_pwd", 3, "action", "action_set_user_password_to_none"),
+    ("send_new_pwd", 4, "action", "check_password_form"),
+    ("send_new_pwd", 5, "loop", "check_password_form"),
+    ("change_email", 1, "intent", "change_email"),
+    ("change_email", 2, "action", "action_set_email_slot_to_none"),
+    ("change_email", 3, "action", "action_set_user_password_to_none"),
+    ("change_email", 4, "action", "askingEmail_form"),
+    ("change_email", 5, "loop", "askingEmail_form"),
 ]
-RULE_SCHEMA = "rule string, intent string, active_loop string, confusion string, actions string"
+# the reference's stories as paths; several rows of one position are an *or* step
+STORY_STEPS = [
+    ("gives_profile", 1, "short_utters"),
+    ("gives_profile", 1, "dont_care"),
+    ("gives_profile", 1, "long_utters"),
+    ("gives_profile", 2, "action_set_and_acknowledge_profile"),
+    ("gives_profile", 3, "user_note_to_none"),
+    ("gives_profile", 4, "action_bot_adaptive_answer"),
+    ("gives_profile", 5, "note_and_pseudo_asking_form"),
+    ("asked_profile", 1, "utter_ask_profil"),
+    ("asked_profile", 2, "short_utters"),
+    ("asked_profile", 2, "dont_care"),
+    ("asked_profile", 2, "long_utters"),
+    ("asked_profile", 3, "action_set_and_acknowledge_profile"),
+    ("asked_profile", 4, "user_note_to_none"),
+    ("asked_profile", 5, "action_bot_adaptive_answer"),
+    ("asked_profile", 6, "note_and_pseudo_asking_form"),
+    ("reformulated_affirm", 1, "ask_reformulate"),
+    ("reformulated_affirm", 2, "action_utter_reformulate"),
+    ("reformulated_affirm", 3, "action_bot_utterances_list"),
+    ("reformulated_affirm", 4, "affirm"),
+    ("reformulated_affirm", 5, "action_no_further_reformulation"),
+    ("reformulated_deny", 1, "ask_reformulate"),
+    ("reformulated_deny", 2, "action_utter_reformulate"),
+    ("reformulated_deny", 3, "action_bot_utterances_list"),
+    ("reformulated_deny", 4, "deny"),
+    ("reformulated_deny", 5, "action_ask_another_question"),
+]
+RULE_SCHEMA = "rule string, pos int, step_kind string, step_value string"
+PATH_SCHEMA = "path string, pos int, step string"
 # ---------------------------------------------------------------------------
 
 
 def rules_frame(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RULES, RULE_SCHEMA)
+    return spark.createDataFrame(RULE_STEPS, RULE_SCHEMA)
+
+
+def stories_frame(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(STORY_STEPS, PATH_SCHEMA)
+
 
+def compile_rules(steps: DataFrame) -> DataFrame:
+    """One row per rule: what must hold before it answers, and its answer.
 
-MAX_INLINE_RULES = 256  # rule sets up to this size are evaluated per row
+    The rule waits for its last intent (or, without one, for its first action);
+    ``actions`` are those that follow. ``last_action`` is the action just before
+    the wait ends, ``loop_now`` the last loop step before the first answer (empty
+    text: no loop may be active), ``slots`` the last value asked of each slot
+    (null: must be empty). A null column asks for nothing."""
+    r = steps.groupBy("rule").agg(F.array_sort(F.collect_list(F.struct("pos", "step_kind", "step_value"))).alias("s"))
 
+    def of(kind, extra=lambda x: F.lit(True)):
+        return F.filter("s", lambda x: (x["step_kind"] == kind) & extra(x))
 
-def rule_lookup(events: DataFrame, rules: DataFrame, event_key: str, rules_rows: int | None = None) -> DataFrame:
-    """G1: (intent, active loop, slot) -> actions of the most specific rule.
+    def last(column):
+        return F.try_element_at(column, F.lit(-1))
 
-    A null rule condition matches every value; specificity = number of set
-    conditions, ties by rule name. A rule set of measured size at most
-    ``MAX_INLINE_RULES`` is evaluated per row as a literal array (filter the
-    matching rules, take the smallest by (-specificity, name)): no shuffle of
-    the events at all. A larger rule set is joined on intent, picked with a
-    grouped ``min_by`` and joined back."""
-    fixed = rules.select("rule", "intent", "active_loop", "confusion", "actions").limit(MAX_INLINE_RULES + 1).collect()
-    if len(fixed) <= MAX_INLINE_RULES:
-        return _rule_lookup_inline(events, fixed, event_key)
-    return _rule_lookup_join(events, rules, event_key, rules_rows)
+    r = r.withColumn("_wait", F.coalesce(last(of("intent"))["pos"], F.try_element_at(of("action"), F.lit(1))["pos"]))
+    answer = of("action", lambda x: x["pos"] > F.col("_wait"))
+    r = r.withColumns({"_answer": answer, "_first": F.coalesce(F.try_element_at(answer, F.lit(1))["pos"], F.lit(1 << 30))})
+    slots = of("slot")
 
+    def name(x):
+        return F.split_part(x["step_value"], F.lit("="), F.lit(1))
 
-def _rule_lookup_inline(events: DataFrame, fixed, event_key: str) -> DataFrame:
-    def lit_rule(r):
-        spec = int(r["active_loop"] is not None) + int(r["confusion"] is not None)
-        return F.struct(F.lit(-spec).alias("s"), F.lit(r["rule"]).alias("rule"), F.lit(r["intent"]).alias("intent"),
-                        F.lit(r["active_loop"]).cast("string").alias("loop"),
-                        F.lit(r["confusion"]).cast("string").alias("conf"), F.lit(r["actions"]).alias("actions"))
+    final = F.filter(slots, lambda x: ~F.exists(slots, lambda y: (y["pos"] > x["pos"]) & (name(y) == name(x))))
+    loop = last(of("loop", lambda x: x["pos"] < F.col("_first")))
+    r = r.select(
+        "rule", last(of("intent"))["step_value"].alias("intent"), last(of("condition"))["step_value"].alias("condition"),
+        last(of("action", lambda x: x["pos"] <= F.col("_wait")))["step_value"].alias("last_action"),
+        F.when(loop.isNotNull(), F.coalesce(loop["step_value"], F.lit(""))).alias("loop_now"),
+        F.transform(final, lambda x: F.struct(
+            name(x).alias("slot"),
+            F.nullif(F.split_part(x["step_value"], F.lit("="), F.lit(2)), F.lit("")).alias("value"))).alias("slots"),
+        F.array_join(F.transform("_answer", lambda x: x["step_value"]), ",").alias("actions"))
+    set_ = [F.col(c).isNotNull().cast("int") for c in ("condition", "last_action", "loop_now")]
+    return r.withColumn("specificity", set_[0] + set_[1] + set_[2] + F.size("slots"))
 
-    table = F.array(*[lit_rule(r) for r in fixed])
-    matching = F.filter(table, lambda r: (r["intent"] == F.col("intent"))
-                        & (r["loop"].isNull() | (r["loop"] == F.col("active_loop")))
-                        & (r["conf"].isNull() | (r["conf"] == F.col("confusion"))))
-    best = F.array_min(matching)
-    return events.select(event_key, best["rule"].alias("rule"), best["actions"].alias("actions"))
 
+def rule_lookup(events: DataFrame, steps: DataFrame, event_key: str) -> DataFrame:
+    """G1: the actions of the most specific rule that applies to each event (ties by
+    rule name); null where none does. One row per event, whatever its key.
 
-def _rule_lookup_join(events: DataFrame, rules: DataFrame, event_key: str, rules_rows: int | None) -> DataFrame:
-    r = maybe_broadcast(rules, rules_rows).select(
-        F.col("rule"), F.col("intent").alias("_r_intent"), F.col("active_loop").alias("_r_loop"),
-        F.col("confusion").alias("_r_conf"), "actions")
-    cond = (events["intent"] == r["_r_intent"]) \
-        & (r["_r_loop"].isNull() | (r["_r_loop"] == events["active_loop"])) \
-        & (r["_r_conf"].isNull() | (r["_r_conf"] == events["confusion"]))
-    matched = events.select(event_key, "intent", "active_loop", "confusion").join(r, cond)
-    spec = r["_r_loop"].isNotNull().cast("int") + r["_r_conf"].isNotNull().cast("int")
-    best = matched.groupBy(event_key).agg(
-        F.min_by(F.struct("rule", "actions"), F.struct((-spec).alias("s"), F.col("rule"))).alias("_b"))
-    return events.select(event_key).join(best, event_key, "left").select(
-        event_key, F.col("_b.rule").alias("rule"), F.col("_b.actions").alias("actions"))
+    ``events`` has intent, active_loop (when the turn starts), loop_now, last_action
+    and slots (map). The rules of an intent are one array, joined to the events on
+    the intent; the choice is made per row, so events are not grouped again."""
+    by_intent = compile_rules(steps).groupBy(F.col("intent").alias("_intent")).agg(F.collect_list(F.struct(
+        (-F.col("specificity")).alias("s"), "rule", "actions", "condition", "last_action", "loop_now", "slots")).alias("_rules"))
+    joined = events.join(by_intent, events["intent"].eqNullSafe(by_intent["_intent"]), "left")
+
+    def applies(r):
+        asked = F.forall(r["slots"], lambda x: F.try_element_at(F.col("slots"), x["slot"]).eqNullSafe(x["value"]))
+        return ((r["condition"].isNull() | F.col("active_loop").eqNullSafe(r["condition"]))
+                & (r["last_action"].isNull() | F.col("last_action").eqNullSafe(r["last_action"]))
+                & (r["loop_now"].isNull() | F.coalesce(F.col("loop_now"), F.lit("")).eqNullSafe(r["loop_now"])) & asked)
+
+    best = F.array_min(F.filter("_rules", applies))
+    return joined.select(event_key, best["rule"].alias("rule"), best["actions"].alias("actions"))
 
 
 def previous_steps(df: DataFrame, keys, order: Sequence[str], step: str, n: int = 2,
                    chunk: Column | None = None) -> DataFrame:
-    """Add ``prev1`` .. ``prev<n>``: the steps 1..n positions back."""
-    out = carry_last(df, keys, order, F.col(step), "prev1", inclusive=False, chunk=chunk)
-    for i in range(2, n + 1):
-        out = carry_last(out, keys, order, F.col(f"prev{i - 1}"), f"prev{i}", inclusive=False, chunk=chunk)
-    return out
+    """Add ``prev1`` .. ``prev<n>``: the steps 1..n positions back (a null step counts)."""
+    return running(df, keys, order, previous={"prev": (F.col(step), n)}, chunk=chunk)
 
 
-def path_conformance(df: DataFrame, keys, order: Sequence[str], step: str, path: Sequence[Sequence[str]],
+def path_conformance(df: DataFrame, keys, order: Sequence[str], step: str, paths: DataFrame,
                      chunk: Column | None = None) -> DataFrame:
-    """Per key, the number of places where the contiguous step list
-    ``path`` occurs (each step a set of allowed values: an *or* step) and
-    whether the key follows it at all."""
+    """Per key and path, at how many places the contiguous steps of the path
+    occur. ``paths`` has (path, pos, step); several rows of a position are an *or*
+    step. Keys that never follow a path have no row for it.
+
+    Rows meet the paths on the path's last step (an equi-join); the steps before
+    are checked on the row's previous steps."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    n = len(path)
-    prev = previous_steps(df, keys, order, step, n - 1, chunk=chunk)
-    cols = [F.col(f"prev{n - 1 - i}") if i < n - 1 else F.col(step) for i in range(n)]
-    match = F.lit(True)
-    for c, allowed in zip(cols, path):
-        match = match & c.isin(list(allowed))
-    return prev.groupBy(*keys).agg(F.sum(F.coalesce(match, F.lit(False)).cast("bigint")).alias("n_matches")) \
-        .withColumn("follows", F.col("n_matches") > 0)
+    per = paths.groupBy("path", "pos").agg(F.collect_set("step").alias("any")).groupBy("path").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "any"))).alias("_path"))
+    longest = per.agg(F.max(F.size("_path"))).first()[0] or 1  # one number of the path table
+    ends = per.select("path", "_path", F.explode(F.element_at("_path", -1)["any"]).alias("_end"))
+    rows = previous_steps(df, keys, order, step, max(1, longest - 1), chunk=chunk)
+    back = F.array(F.col(step), *[F.col(f"prev{i}") for i in range(1, max(1, longest - 1) + 1)])
+    rows = rows.select(*keys, F.col(step).alias("_step"), back.alias("_back"))
+    met = rows.join(ends, rows["_step"] == ends["_end"])
+    # step i from the end against position i from the end
+    fits = F.forall(F.sequence(F.lit(1), F.size("_path")), lambda i: F.array_contains(
+        F.element_at("_path", -i)["any"], F.coalesce(F.element_at("_back", i), F.lit(""))))
+    return met.where(fits).groupBy(*keys, "path").agg(F.count(F.lit(1)).alias("n_matches"))
 
 
 def next_action(df: DataFrame, keys, order: Sequence[str], step: str, chunk: Column | None = None) -> DataFrame:

@@ -1,54 +1,74 @@
 """Recommendation (I1-I5): fuzzy item matching, one-hot vectors, nearest
 neighbours on item vectors, missing items and the item phrase.
 
-``knn_label`` is exact without comparing every query with every point:
-item vectors over ``m`` items are bit patterns, so there are at most 2**m
-distinct patterns. Distances are computed between *patterns* (a table of at
-most 2**m x 2**m rows, independent of the data size), points are summarised
-per pattern (counts per label and the first k ids), and queries are joined
-back on their pattern.
+``knn_label`` is exact without comparing every query with every point: item
+vectors are bit patterns, points are summarised per occupied pattern (counts
+per label and the first k ids), and each distinct query pattern looks up the
+patterns at distance 0, 1, 2, ... (equi-joins on the flipped pattern) until it
+has met k points. ``fuzzy_match`` compares only words that share a piece.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions.text import fold_text
 from colloquy.operators.intents import rank_candidates
+from colloquy.session import materialize
 
 # --- fixed values ----------------------------------------------------------
 FUZZY_CUTOFF = 80          # similarity strictly above this keeps a match
 LIST_LAST_PREFIX = "et "   # the last item of a phrase is written "et <item>"
 LIST_SEPARATOR = ", "
+MASKS = 256                # flipped patterns looked up per round and query pattern
 # ---------------------------------------------------------------------------
 
 
 def similarity(a: Column, b: Column) -> Column:
-    """Edit-distance similarity in 0..100: ``100 * (1 - lev / max_len)``."""
+    """Edit-distance similarity in 0..100: ``100 * (1 - lev / max_len)``; two empty
+    words are equal (100)."""
     m = F.greatest(F.char_length(a), F.char_length(b))
-    return F.lit(100.0) * (F.lit(1.0) - F.levenshtein(a, b).cast("double") / m)
+    return F.lit(100.0) * (F.lit(1.0) - F.coalesce(F.levenshtein(a, b).cast("double") / F.nullif(m, F.lit(0)), F.lit(0.0)))
 
 
 def fuzzy_match(words: DataFrame, vocab: DataFrame, keys: Sequence[str], word: str = "word",
                 item: str = "item", cutoff: int = FUZZY_CUTOFF) -> DataFrame:
     """Vocabulary entries whose similarity to the folded word is above
-    ``cutoff``. Exact blocking: a similarity above 80 needs the lengths to be
-    within 20% of the longer one, so each word is joined only to vocabulary
-    entries of an admissible length (an equi-join on length)."""
+    ``cutoff``.
+
+    A similarity above the cutoff leaves at most ``tau`` edits for an entry's length. An
+    entry is cut in tau+1 pieces; a word within tau edits holds one of them unchanged,
+    at most tau places away. So distinct words and entries are joined on (entry
+    length, piece number, piece) and only those pairs are compared."""
     keys = list(keys)
     w = words.select(*keys, fold_text(F.col(word)).alias("_w"), F.col(word).alias(word))
-    frac = 1.0 - cutoff / 100.0
-    n = F.char_length("_w")
-    lo = F.floor(n * F.lit(1.0 - frac))
-    hi = F.ceil(n / F.lit(1.0 - frac))
-    w = w.withColumn("_len", F.explode(F.sequence(F.greatest(lo, F.lit(1)).cast("int"), hi.cast("int"))))
-    v = vocab.select(F.col(item).alias(item), fold_text(F.col(item)).alias("_v")) \
-        .withColumn("_len", F.char_length("_v"))
-    j = w.join(v, "_len").withColumn("similarity", F.round(similarity(F.col("_w"), F.col("_v")), 6))
-    return j.filter(F.col("similarity") > F.lit(float(cutoff))).select(*keys, word, item, "similarity").distinct()
+    # lengths of the pieces' strings: the largest edit count for an entry of length lv
+    tau = f"greatest(0, ({100 - cutoff} * greatest(_lv, (100 * _lv - 1) div {cutoff}) - 1) div 100)"
+    pieces = {"_from": "(_i * _lv) div (_tau + 1)", "_size": "((_i + 1) * _lv) div (_tau + 1) - (_i * _lv) div (_tau + 1)"}
+
+    def cut(df):
+        df = df.withColumn("_tau", F.expr(tau)).withColumn("_i", F.explode(F.expr("sequence(0L, _tau)")))
+        return df.withColumns({k: F.expr(v) for k, v in pieces.items()})
+
+    v = vocab.select(F.col(item).alias(item), fold_text(F.col(item)).alias("_v")).where("_v is not null").distinct()
+    v = cut(v.withColumn("_lv", F.char_length("_v").cast("bigint"))).select(
+        item, "_v", "_lv", "_i", F.expr("substring(_v, cast(_from + 1 as int), cast(_size as int))").alias("_piece"))
+    d = w.select("_w").where("_w is not null").distinct().withColumn("_lw", F.char_length("_w").cast("bigint"))
+    least = f"_lw - greatest(0, ({100 - cutoff} * _lw - 1) div 100)"
+    d = cut(d.withColumn("_lv", F.explode(F.expr(
+        f"sequence({least}, greatest({least}, (100 * _lw - 1) div {cutoff}))"))))
+    places = "filter(sequence(greatest(0L, _from - _tau), greatest(0L, _from + _tau)), p -> p + _size <= _lw)"
+    d = d.withColumn("_at", F.explode(F.expr(places))).select(
+        "_w", "_lv", "_i", F.expr("substring(_w, cast(_at + 1 as int), cast(_size as int))").alias("_piece"))
+    near = d.join(v, ["_lv", "_i", "_piece"]).select("_w", "_v", item).distinct()
+    near = near.withColumn("similarity", F.round(similarity(F.col("_w"), F.col("_v")), 6)).filter(
+        F.col("similarity") > F.lit(float(cutoff))).drop("_v")
+    return w.join(near, "_w").select(*keys, word, item, "similarity").distinct()
 
 
 def one_hot(df: DataFrame, keys: Sequence[str], item: str, items: Sequence[str]) -> DataFrame:
@@ -68,20 +88,35 @@ def item_pattern(df: DataFrame, keys: Sequence[str], item: str, items: Sequence[
 def knn_label(queries: DataFrame, points: DataFrame, k: int, n_bits: int, q_keys: Sequence[str],
               point_id: str = "point_id", label: str = "label") -> DataFrame:
     """Majority label of the k nearest points (Hamming distance on bit
-    patterns; distance ties by point id; vote ties by label)."""
-    from colloquy.session import materialize
-
+    patterns; distance ties by point id; vote ties by label). Each round flips one
+    bit more, for the query patterns that have not met k points yet."""
     q_keys = list(q_keys)
     # the training points feed three summaries: read them once
     points = materialize(points.select("pattern", point_id, label), "knn-points")
-    per_pattern = points.groupBy("pattern").agg(F.count("*").alias("n"))
+    per_pattern = materialize(points.groupBy("pattern").agg(F.count("*").alias("n")), "knn-patterns")
     label_counts = points.groupBy("pattern", label).agg(F.count("*").alias("c"))
     firsts = rank_candidates(points.select("pattern", point_id, label), ["pattern"], [F.col(point_id)], top=k,
                              out="_r")
-    qp = queries.select(F.col("pattern").alias("qpattern")).distinct()
-    universe = F.sequence(F.lit(0), F.lit((1 << n_bits) - 1))
-    pairs = qp.select("qpattern", F.explode(universe).alias("pattern")).join(per_pattern, "pattern") \
-        .withColumn("dist", F.bit_count(F.col("qpattern").bitwiseXOR(F.col("pattern"))))
+    waiting = queries.select(F.col("pattern").alias("qpattern")).distinct()
+    total = points.count()
+    pairs = None
+    dist = 0
+    while dist <= n_bits:
+        masks = []  # of the next distances together, while they are few
+        while dist <= n_bits and (not masks or len(masks) + comb(n_bits, dist) <= MASKS):
+            masks += [(sum(1 << i for i in bits), dist) for bits in combinations(range(n_bits), dist)]
+            dist += 1
+        flips = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("dist")) for m, d in masks])
+        flipped = waiting.select("qpattern", *(["met"] if pairs is not None else [F.lit(0).cast("bigint").alias("met")]),
+                                 F.inline(flips))
+        flipped = flipped.withColumn("pattern", F.col("qpattern").bitwiseXOR(F.col("m"))).drop("m")
+        met = materialize(flipped.join(per_pattern, "pattern", "left"), "knn-round")
+        part = met.where("n is not null").select("qpattern", "pattern", "n", "dist")
+        pairs = part if pairs is None else pairs.unionByName(part)
+        waiting = met.groupBy("qpattern").agg((F.first("met") + F.coalesce(F.sum("n"), F.lit(0))).alias("met")).where(
+            F.col("met") < min(k, total))
+        if waiting.isEmpty():
+            break
     bands = pairs.groupBy("qpattern", "dist").agg(F.sum("n").alias("band_n"))
     wb = Window.partitionBy("qpattern").orderBy("dist").rowsBetween(Window.unboundedPreceding, -1)
     bands = bands.withColumn("before", F.coalesce(F.sum("band_n").over(wb), F.lit(0)))

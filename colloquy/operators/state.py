@@ -1,20 +1,19 @@
 """Conversation state.
 
-Per-row running state is computed with ``carry_last`` (see ``scan``), which
-splits a conversation or user into chunks so a hot key does not become one
-task. Final state per key uses grouped aggregates (``max_by``), which
-combine map-side.
+Per-row running state is computed in one pass over chunks (see ``scan``), so a
+hot key does not become one task and rows are shuffled once. Final state per
+key uses grouped aggregates (``max_by``), which combine map-side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.functions.text import repair_text, valid_rating
-from colloquy.operators.scan import carry_last
+from colloquy.functions.text import intent_id, repair_text, valid_rating
+from colloquy.operators.scan import before_chunk, carry_last, chunked, running
 
 # --- fixed values (texts and names the reference uses) ---------------------
 PROFILE_ACK = {
@@ -59,11 +58,29 @@ def last_value_by_row(df: DataFrame, keys, order, when: Column, value: Column, o
 
 def last_faq_answer(df: DataFrame, keys, order, role_col: str, intent_col: str, text: str = "text",
                     chunk: Column | None = None) -> DataFrame:
-    """as F2, but updated only when the latest user intent is ``faq``."""
-    with_intent = carry_last(df, keys, order, F.col(intent_col), "_user_intent", chunk=chunk)
-    upd = (F.col(role_col) == "assistant") & (F.col("_user_intent") == "faq")
-    return carry_last(with_intent, keys, order, F.when(upd, F.col(text)), "last_faq_answer", chunk=chunk) \
-        .drop("_user_intent")
+    """as F2, but updated only when the latest user intent is ``faq``.
+
+    One pass: inside a chunk an answer after a user turn is judged at once; answers
+    before the chunk's first user turn wait for the intent carried into the chunk."""
+    order = _list(order)
+    rows = chunked(df, keys, chunk)
+    at = F.struct(*[F.col(c) for c in order])
+    upto = Window.partitionBy("_k").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    said = F.col(role_col) == "assistant"
+    rows = rows.withColumn("_intent", F.last(F.col(intent_col), ignorenulls=True).over(upto))
+    rows = rows.withColumns({"_sure": F.when(said & (F.col("_intent") == "faq"), F.struct(F.col(text).alias("v"))),
+                             "_open": F.when(said & F.col("_intent").isNull(), F.struct(F.col(text).alias("v")))})
+    local = rows.withColumns({f"_l{c}": F.last(c, ignorenulls=True).over(upto) for c in ("_sure", "_open")})
+    chunks = local.groupBy("_k").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), at)).alias(c)
+                                       for c in ("_intent", "_sure", "_open")])
+    w = before_chunk()
+    chunks = chunks.withColumn("_in", F.last("_intent", ignorenulls=True).over(w))
+    kept = F.coalesce("_sure", F.when(F.col("_in") == "faq", F.col("_open")))
+    carry = chunks.select("_k", "_in", F.last(kept, ignorenulls=True).over(w).alias("_before"))
+    out = local.join(carry, "_k", "left")
+    answer = F.coalesce("_l_sure", F.when(F.col("_in") == "faq", F.col("_l_open")), "_before")
+    return out.withColumn("last_faq_answer", answer["v"]).drop(
+        "_k", "_intent", "_sure", "_open", "_l_sure", "_l_open", "_in", "_before")
 
 
 def uttered_history(df: DataFrame, keys, order: str, text: str = "text") -> DataFrame:
@@ -101,26 +118,58 @@ def sessions(df: DataFrame, keys, ts: str = "ts", tiebreak: str = "event_id",
              gap_minutes: int = SESSION_GAP_MINUTES, chunk: Column | None = None) -> DataFrame:
     """split each key's events into sessions; a gap strictly longer than
     ``gap_minutes`` starts a new one. Adds ``session_start`` (the first event
-    time of the session), which identifies the session within the key."""
-    keys = _list(keys)
-    order = [ts, tiebreak]
-    prev = carry_last(df, keys, order, F.col(ts), "_prev_ts", inclusive=False, chunk=chunk)
+    time of the session), which identifies the session within the key.
+
+    One pass: gaps inside a chunk are judged at once, the gap before a chunk's
+    first event on the chunk table."""
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(gap_minutes))
-    new = F.col("_prev_ts").isNull() | (F.col(ts) > F.col("_prev_ts") + gap)
-    marked = prev.withColumn("_new", new)
-    return carry_last(marked, keys, order, F.when(F.col("_new"), F.col(ts)), "session_start", chunk=chunk) \
-        .drop("_prev_ts", "_new")
+    here = Window.partitionBy("_k").orderBy(ts, tiebreak)
+    rows = chunked(df, keys, chunk)
+    rows = rows.withColumn("_prev", F.lag(ts).over(here))
+    rows = rows.withColumn("_new", F.when(F.col(ts) > F.col("_prev") + gap, F.col(ts)))
+    local = rows.withColumn("_mark", F.last("_new", ignorenulls=True).over(
+        here.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    chunks = local.groupBy("_k").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max("_new").alias("_inner"))
+    w = before_chunk()
+    chunks = chunks.withColumn("_gone", F.max("_last").over(w))
+    opens = F.when(F.col("_gone").isNull() | (F.col("_first") > F.col("_gone") + gap), F.col("_first"))
+    chunks = chunks.withColumn("_opens", opens)
+    carry = chunks.select("_k", F.coalesce("_opens", F.max(F.coalesce("_inner", "_opens")).over(w)).alias("_start"))
+    return local.join(carry, "_k", "left").withColumn("session_start", F.coalesce("_mark", "_start")).drop(
+        "_k", "_prev", "_new", "_mark", "_start")
+
+
+def session_slots(writes_with_session: DataFrame, keys, order: Sequence[str], slot: str = "slot",
+                  value: str = "value", session: str = "session_start") -> DataFrame:
+    """The last write of each slot in each session (a struct ``_last``, so a reset is kept)."""
+    return writes_with_session.groupBy(*_list(keys), session, slot).agg(
+        F.max_by(F.struct(F.col(value).alias("v")), F.struct(*[F.col(c) for c in order])).alias("_last"))
+
+
+def slot_intervals(writes_with_session: DataFrame, keys, order: Sequence[str], slot: str = "slot",
+                   value: str = "value", session: str = "session_start") -> DataFrame:
+    """F8 with slots surviving, as state changes: (keys, slot, session_from,
+    session_to, value) holds from one session until the session of the next write
+    (null: still). As many rows as writing sessions; nothing is filled in between."""
+    keys = _list(keys)
+    per = session_slots(writes_with_session, keys, order, slot, value, session)
+    # the next session is the previous one in falling order
+    per = per.withColumn("_back", -F.unix_micros(F.col(session).cast("timestamp")))
+    out = running(per, [*keys, slot], "_back", previous={"_next": (F.col(session), 1)},
+                  chunk=F.floor(F.col("_back") / F.lit(30 * 86_400_000_000)))
+    return out.select(*keys, slot, F.col(session).alias("session_from"), F.col("_next1").alias("session_to"),
+                      F.col("_last.v").alias(value))
 
 
 def carry_over(writes_with_session: DataFrame, keys, order: Sequence[str], keep: bool = True,
                slot: str = "slot", value: str = "value", session: str = "session_start") -> DataFrame:
-    """F8: slot state at the end of each session. ``keep`` carries slots into
-    later sessions (the reference's setting); otherwise each session starts
-    empty. Rows: (keys, session, slot, value); a null value is a reset."""
+    """F8: slot state at the end of each session. ``keep`` carries slots into later
+    sessions (the reference's setting); otherwise each session starts empty. Rows:
+    (keys, session, slot, value); a null value is a reset. With ``keep`` this is
+    every session times every slot written so far; :func:`slot_intervals` says the
+    same in one row per change."""
     keys = _list(keys)
-    per_session = writes_with_session.groupBy(*keys, session, slot).agg(
-        F.max_by(F.struct(F.col(value).alias("v")), F.struct(*[F.col(c) for c in order])).alias("_last")
-    )
+    per_session = session_slots(writes_with_session, keys, order, slot, value, session)
     if not keep:
         return per_session.select(*keys, session, slot, F.col("_last.v").alias(value))
     # every (key, session) x (slot seen for that key): carry the slot state forward
@@ -182,6 +231,39 @@ def auth_funnel(outcomes: DataFrame, issued: DataFrame, keys) -> DataFrame:
     )
 
 
+def interaction_facts(events: DataFrame, gate: DataFrame, keys, order: Sequence[str], user: Column, bot: Column,
+                      opens: Column, details: Column, intent: str, note: str, form_id: Column, time: str,
+                      request: Sequence[str], chunk: Column | None = None) -> DataFrame:
+    """one row per rated interaction, the eleven columns typed.
+
+    When a rating form opens, the question is the latest user text (F1), the answer
+    the latest bot text (F2), each with its own time, and ``details`` (0/1, F6) the
+    latest flag, all strictly before it; the rating is the form's first valid one
+    (F9). Confidence, id and the two flags come from ``gate`` (C8, C9) by ``request``.
+    ``user``, ``bot``, ``opens`` say which events are user texts, bot texts (null
+    elsewhere) and openings. Everything about the past comes from one running pass."""
+    keys, order, request = _list(keys), _list(order), list(request)
+
+    def stamped(text):
+        return F.when(text.isNotNull(), F.struct(text.alias("text"), F.col(time).alias("time")))
+
+    rows = running(events.withColumn("_form", F.when(opens, form_id)), keys, order,
+                   {"_q": stamped(user), "_a": stamped(bot), "_d": details}, inclusive=False, chunk=chunk)
+    opened = rows.filter(opens).select(*keys, *[r for r in request if r not in keys], F.col("_form").alias("form_id"),
+                                       "_q", "_a", "_d")
+    filled = form_fill(events, keys, order, opens, intent, note, form_id, chunk).filter(F.col("note").isNotNull())
+    joined = opened.join(filled.select(*keys, "form_id", "note"), keys + ["form_id"]).join(gate, request)
+    return joined.select(
+        F.concat(F.lit("user"), *[F.col(k).cast("string") for k in keys]).alias("pseudo"),
+        intent_id("key1").try_cast("int").alias("question_id"),
+        F.col("_q.text").alias("user_question"), F.col("_a.text").alias("bot_answer"),
+        F.col("conf1").alias("bot_confid_to_user_question"), F.col("note").cast("int").alias("user_note"),
+        F.col("_q.time").cast("timestamp").alias("time_user_question"),
+        F.col("_a.time").cast("timestamp").alias("time_bot_answer"),
+        "bot_question_confusion", "bot_question_incomprehension",
+        F.coalesce("_d", F.lit(0)).alias("user_wants_details"))
+
+
 def rating_notice(note: Column) -> Column:
     """confirmation text holding the rating."""
     head, tail = RATING_NOTICE.split("{note}")

@@ -1,6 +1,7 @@
 """Response-choice queries (E1-E8) over ``conversations``, ``events`` and
-``benchmark``. A conversation's assistant texts are its variant bank; its
-profile comes from the length of its user texts."""
+``benchmark``. Four conversations (id = conv_id div 4) share a variant bank: the
+distinct assistant texts of all of them. A conversation's profile comes from the
+length of its user texts; its history is everything its assistant has said (F4)."""
 
 from __future__ import annotations
 
@@ -10,108 +11,101 @@ from pyspark.sql import functions as F
 from colloquy.functions.text import intent_id
 from colloquy.operators import answers as E
 from colloquy.operators.intents import top_two
-from colloquy.operators.scan import carry_last, turn_chunk
+from colloquy.operators.scan import turn_chunk
+from colloquy.operators.state import uttered_history
 from colloquy.plans import fixtures as X
 from colloquy.plans.registry import query, sql_lit as L
 
 SEED = "seed"
 
-_BANK_SQL = "SELECT conv_id, turn, text FROM conversations WHERE role = 'assistant'"
-_QUARTILES_SQL = """SELECT conv_id,
-    trunc(quantile_cont(length(text), 0.25))::INTEGER AS q1,
-    trunc(quantile_cont(length(text), 0.75))::INTEGER AS q3
-  FROM conversations WHERE role = 'assistant' GROUP BY conv_id"""
+_BANK_SQL = """SELECT DISTINCT conv_id // 4 AS id, replace(text, chr(160), ' ') AS text
+  FROM conversations WHERE role = 'assistant'"""
+_REQ_SQL = "SELECT DISTINCT conv_id, conv_id // 4 AS id FROM conversations"
+_QUARTILES_SQL = f"""SELECT id, trunc(quantile_cont(length(text), 0.25))::INTEGER AS q1,
+    trunc(quantile_cont(length(text), 0.75))::INTEGER AS q3 FROM ({_BANK_SQL}) GROUP BY id"""
 _PROFILE_SQL = """SELECT conv_id, CASE WHEN avg(length(text)) < 150 THEN 'short_utters'
     WHEN avg(length(text)) > 400 THEN 'long_utters' END AS profile
   FROM conversations WHERE role = 'user' GROUP BY conv_id"""
-_LAST_BOT_SQL = "SELECT conv_id, arg_max(text, turn) AS text FROM conversations WHERE role = 'assistant' GROUP BY conv_id"
+_HISTORY_SQL = """SELECT DISTINCT conv_id, replace(text, chr(160), ' ') AS text
+  FROM conversations WHERE role = 'assistant'"""
 _FILTER_SQL = """CASE WHEN p.profile = 'short_utters' THEN length(b.text) <= q.q1
     WHEN p.profile = 'long_utters' THEN length(b.text) >= q.q3 ELSE TRUE END"""
+_WITH = f"""WITH req AS ({_REQ_SQL}), b AS ({_BANK_SQL}), q AS ({_QUARTILES_SQL}), p AS ({_PROFILE_SQL}), h AS ({_HISTORY_SQL})"""
+_CANDS = "req JOIN b USING (id) JOIN q USING (id) LEFT JOIN p ON p.conv_id = req.conv_id"
+_UNSAID = "NOT EXISTS (SELECT 1 FROM h WHERE h.conv_id = req.conv_id AND h.text = b.text)"
 
 
-def bank(spark: SparkSession, sf_dir: str) -> DataFrame:
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """everything a conversation's assistant has said."""
     conv = X.conversations(spark, sf_dir)
-    return conv.filter(F.col("role") == "assistant").select("conv_id", "turn", "text")
+    return uttered_history(conv.filter(F.col("role") == "assistant"), "conv_id", "turn")
 
 
-def last_bot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bank(spark, sf_dir).groupBy("conv_id").agg(F.max_by("text", "turn").alias("text"))
+def bank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = history(spark, sf_dir)
+    return said.select(F.floor(F.col("conv_id") / 4).alias("id"), "text").distinct()
 
 
-def short_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flagship: which short reply, not the one just sent, should each
-    conversation get? E1 -> E2 (short) -> E3 (minus last bot text) -> E4."""
-    b = bank(spark, sf_dir)
-    q = E.length_quartiles(b, "conv_id")
-    cands = E.profile_filter(b.withColumn("profile", F.lit(E.PROFILE_SHORT)), q, "conv_id")
-    left = E.exclude_uttered(cands, last_bot(spark, sf_dir), "conv_id")
-    return E.pick_one(left, "conv_id", seed=SEED).select("conv_id", F.col("text").alias("reply"))
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = X.conversations(spark, sf_dir)
+    return conv.select("conv_id", F.floor(F.col("conv_id") / 4).alias("id")).distinct()
 
 
-def _profiled_candidates(spark, sf_dir):
+def candidates(spark: SparkSession, sf_dir: str, profile: DataFrame | None = None) -> DataFrame:
+    """E7 -> E1 -> E2: the variants of each conversation's id that fit its profile."""
     b = bank(spark, sf_dir)
-    q = E.length_quartiles(b, "conv_id")
-    prof = X.user_profile(spark, sf_dir)
-    return E.profile_filter(b.join(prof, "conv_id", "left"), q, "conv_id")
+    profile = X.user_profile(spark, sf_dir) if profile is None else profile
+    asked = E.lookup_variants(requests(spark, sf_dir).join(profile, "conv_id", "left"), b, "id")
+    return E.profile_filter(asked, E.length_quartiles(b, "id"), "id")
+
+
+def short_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship: which short reply, never said before, should each conversation
+    get? E7 -> E1 -> E2 (short) -> E3 (minus everything said, F4) -> E4."""
+    short = requests(spark, sf_dir).select("conv_id", F.lit(E.PROFILE_SHORT).alias("profile"))
+    left = E.exclude_uttered(candidates(spark, sf_dir, short), history(spark, sf_dir), "conv_id")
+    return E.pick_one(left, "conv_id", seed=SEED).select("conv_id", F.col("text").alias("reply"))
 
 
 @query("e1_length_quartiles", "E1", _QUARTILES_SQL)
 def e1(spark, sf_dir):
-    return E.length_quartiles(bank(spark, sf_dir), "conv_id")
+    return E.length_quartiles(bank(spark, sf_dir), "id")
 
 
-@query("e2_profile_filter", "E2", f"""
-WITH b AS ({_BANK_SQL}), q AS ({_QUARTILES_SQL}), p AS ({_PROFILE_SQL})
-SELECT b.conv_id, b.turn, p.profile FROM b JOIN q USING (conv_id) LEFT JOIN p USING (conv_id)
-WHERE {_FILTER_SQL}""")
+@query("e2_profile_filter", "E2", f"{_WITH} SELECT req.conv_id, p.profile, b.text FROM {_CANDS} WHERE {_FILTER_SQL}")
 def e2(spark, sf_dir):
-    return _profiled_candidates(spark, sf_dir).select("conv_id", "turn", "profile")
+    return candidates(spark, sf_dir).select("conv_id", "profile", "text")
 
 
-@query("e3_exclude_uttered", "E3", f"""
-WITH b AS ({_BANK_SQL}), q AS ({_QUARTILES_SQL}), p AS ({_PROFILE_SQL}), l AS ({_LAST_BOT_SQL})
-SELECT b.conv_id, b.turn FROM b JOIN q USING (conv_id) LEFT JOIN p USING (conv_id)
-WHERE {_FILTER_SQL}
-  AND NOT EXISTS (SELECT 1 FROM l WHERE l.conv_id = b.conv_id AND l.text = b.text)""")
+@query("e3_exclude_uttered", "E3", f"{_WITH} SELECT req.conv_id, b.text FROM {_CANDS} WHERE {_FILTER_SQL} AND {_UNSAID}")
 def e3(spark, sf_dir):
-    left = E.exclude_uttered(_profiled_candidates(spark, sf_dir), last_bot(spark, sf_dir), "conv_id")
-    return left.select("conv_id", "turn")
+    return E.exclude_uttered(candidates(spark, sf_dir), history(spark, sf_dir), "conv_id").select("conv_id", "text")
 
 
-_PICK_SQL = f"""
-WITH b AS ({_BANK_SQL}), q AS ({_QUARTILES_SQL}), l AS ({_LAST_BOT_SQL}),
-c AS (SELECT b.conv_id, b.text FROM b JOIN q USING (conv_id)
-      WHERE length(b.text) <= q.q1
-        AND NOT EXISTS (SELECT 1 FROM l WHERE l.conv_id = b.conv_id AND l.text = b.text)),
-r AS (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id
-        ORDER BY md5(concat_ws('|', '{SEED}', conv_id::VARCHAR, text)), text) AS rn FROM c)
-SELECT conv_id, text AS reply FROM r WHERE rn = 1"""
+_ORDER_SQL = f"ORDER BY md5(concat_ws('|', '{SEED}', req.conv_id::VARCHAR, b.text)), b.text"
 
 
-@query("e4_pick_one", "E4", _PICK_SQL)
+@query("e4_pick_one", "E4", f"""{_WITH},
+r AS (SELECT req.conv_id, b.text, row_number() OVER (PARTITION BY req.conv_id {_ORDER_SQL}) AS rn
+      FROM req JOIN b USING (id) JOIN q USING (id) WHERE length(b.text) <= q.q1 AND {_UNSAID})
+SELECT conv_id, text AS reply FROM r WHERE rn = 1""")
 def e4(spark, sf_dir):
     return short_reply(spark, sf_dir)
 
 
-@query("e5_answer_or_fallback", "E5", f"""
-WITH b AS ({_BANK_SQL}), q AS ({_QUARTILES_SQL}), p AS ({_PROFILE_SQL}), l AS ({_LAST_BOT_SQL}),
-c AS (SELECT b.conv_id, b.text FROM b JOIN q USING (conv_id) LEFT JOIN p USING (conv_id)
-      WHERE {_FILTER_SQL}
-        AND NOT EXISTS (SELECT 1 FROM l WHERE l.conv_id = b.conv_id AND l.text = b.text)),
-r AS (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id
-        ORDER BY md5(concat_ws('|', '{SEED}', conv_id::VARCHAR, text)), text) AS rn FROM c),
-req AS (SELECT DISTINCT b.conv_id, p.profile FROM b LEFT JOIN p USING (conv_id))
-SELECT req.conv_id, req.profile, r.text IS NULL AS is_fallback,
-  coalesce(r.text, CASE WHEN req.profile = 'short_utters' THEN {L(E.FALLBACK_WITH_CHOICE.format(choice=E.CHOICE_SHORT))}
-                        WHEN req.profile = 'long_utters' THEN {L(E.FALLBACK_WITH_CHOICE.format(choice=E.CHOICE_LONG))}
+@query("e5_answer_or_fallback", "E5", f"""{_WITH},
+r AS (SELECT req.conv_id, b.text, row_number() OVER (PARTITION BY req.conv_id {_ORDER_SQL}) AS rn
+      FROM {_CANDS} WHERE {_FILTER_SQL} AND {_UNSAID})
+SELECT req.conv_id, p.profile, r.text IS NULL AS is_fallback,
+  coalesce(r.text, CASE WHEN p.profile = 'short_utters' THEN {L(E.FALLBACK_WITH_CHOICE.format(choice=E.CHOICE_SHORT))}
+                        WHEN p.profile = 'long_utters' THEN {L(E.FALLBACK_WITH_CHOICE.format(choice=E.CHOICE_LONG))}
                         ELSE {L(E.FALLBACK_PLAIN)} END) AS answer
-FROM req LEFT JOIN (SELECT * FROM r WHERE rn = 1) r USING (conv_id)""")
+FROM req LEFT JOIN p ON p.conv_id = req.conv_id LEFT JOIN (SELECT * FROM r WHERE rn = 1) r ON r.conv_id = req.conv_id""")
 def e5(spark, sf_dir):
-    cands = _profiled_candidates(spark, sf_dir)
-    picks = E.pick_one(E.exclude_uttered(cands, last_bot(spark, sf_dir), "conv_id"), "conv_id", seed=SEED)
-    prof = X.user_profile(spark, sf_dir)
-    requests = bank(spark, sf_dir).select("conv_id").distinct().join(prof, "conv_id", "left")
-    return E.answer_or_fallback(requests, picks, "conv_id").select("conv_id", "profile", "is_fallback", "answer")
+    left = E.exclude_uttered(candidates(spark, sf_dir), history(spark, sf_dir), "conv_id")
+    picks = E.pick_one(left, "conv_id", seed=SEED)
+    asked = requests(spark, sf_dir).join(X.user_profile(spark, sf_dir), "conv_id", "left")
+    return E.answer_or_fallback(asked, picks, "conv_id").select("conv_id", "profile", "is_fallback", "answer")
 
 
 @query("e6_answer_guard", "E6", f"""
@@ -146,7 +140,6 @@ def e7(spark, sf_dir):
     top = top_two(X.ranking_rows(spark, sf_dir), ["user_id", "day"])
     requests = top.select("user_id", "day", (intent_id("key1").cast("bigint") % 10).alias("id"))
     variants = X.benchmark(spark, sf_dir).select("item_id", (F.col("item_id") % 10).alias("id"))
-    # the bank is a fixed FAQ bank: its size is bounded by its own row count
     return E.lookup_variants(requests, variants, "id").select("user_id", "day", "id", "item_id")
 
 

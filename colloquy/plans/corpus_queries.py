@@ -13,55 +13,60 @@ from colloquy.plans.registry import query
 _REPAIR_SQL = "replace(translate(text, chr(146) || chr(128) || chr(160), '''€ '), chr(156), 'oe')"
 
 
+LANGS = ["en", "de", "fr", "es"]
+
+
 def _docs(spark, sf_dir):
-    return X.documents(spark, sf_dir, "doc_id", "source", "lang", "text", "n_chars")
+    return X.documents(spark, sf_dir, "doc_id", "source", "lang")
 
 
-@query("h1_merge_lists", "H1", """
-SELECT 'fr' AS origin, source AS name, doc_id FROM documents WHERE lang = 'fr'
-UNION ALL SELECT 'es', source, doc_id FROM documents WHERE lang = 'es'""")
+# H1: the lists of all languages, one after another.
+@query("h1_merge_lists", "H1", "SELECT lang AS origin, source AS name, doc_id FROM documents WHERE lang IS NOT NULL")
 def h1(spark, sf_dir):
     d = _docs(spark, sf_dir)
-    a = d.filter(F.col("lang") == "fr").select(F.lit("fr").alias("origin"), F.col("source").alias("name"), "doc_id")
-    b = d.filter(F.col("lang") == "es").select(F.lit("es").alias("origin"), F.col("source").alias("name"), "doc_id")
-    return H.merge_lists(a, b)
+    lists = [d.filter(F.col("lang") == x).select(F.lit(x).alias("origin"), F.col("source").alias("name"), "doc_id")
+             for x in LANGS]
+    out = lists[0]
+    for more in lists[1:]:
+        out = H.merge_lists(out, more)
+    return out
 
 
-# H2 sources in priority order: English texts, then short German ones, then
-# very short French ones; a later source replaces a key's whole list.
+# H2 sources in priority order: a key is a source and the last digit of its
+# document; a later language replaces a key's whole list.
 @query("h2_merge_by_priority", "H2", """
-WITH s AS (SELECT source, doc_id, lang, 1 AS priority FROM documents WHERE lang = 'en'
-           UNION ALL SELECT source, doc_id, lang, 2 FROM documents WHERE lang = 'de' AND n_chars < 2000
-           UNION ALL SELECT source, doc_id, lang, 3 FROM documents WHERE lang = 'fr' AND n_chars < 1000),
-b AS (SELECT source, max(priority) AS priority FROM s GROUP BY source)
-SELECT s.source, s.doc_id, s.lang, s.priority FROM s JOIN b USING (source, priority)""")
+WITH s AS (SELECT source || '/' || (doc_id % 1000)::VARCHAR AS key, doc_id, lang,
+             CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 2 WHEN 'fr' THEN 3 WHEN 'es' THEN 4 END AS priority FROM documents),
+b AS (SELECT key, max(priority) AS priority FROM s GROUP BY key)
+SELECT s.key, s.doc_id, s.lang, s.priority FROM s JOIN b USING (key, priority)""")
 def h2(spark, sf_dir):
-    d = _docs(spark, sf_dir).select("source", "doc_id", "lang", "n_chars")
-    en = d.filter(F.col("lang") == "en")
-    de = d.filter((F.col("lang") == "de") & (F.col("n_chars") < 2000))
-    fr = d.filter((F.col("lang") == "fr") & (F.col("n_chars") < 1000))
-    out = H.merge_by_priority([x.drop("n_chars") for x in (en, de, fr)], "source")
-    return out.select("source", "doc_id", "lang", "priority")
+    d = _docs(spark, sf_dir)
+    key = F.concat_ws("/", "source", (F.col("doc_id") % 1000).cast("string"))
+    d = d.select(key.alias("key"), "doc_id", "lang")
+    out = H.merge_by_priority([d.filter(F.col("lang") == x) for x in LANGS], "key")
+    return out.select("key", "doc_id", "lang", "priority")
 
 
+# H3: texts of even documents, augmented by those of odd ones; an intent is a
+# source and language.
 @query("h3_augment_examples", "H3", f"""
-WITH a AS (SELECT source, doc_id, text FROM documents WHERE lang = 'fr' AND n_chars < 2000),
-b AS (SELECT source, doc_id, text FROM documents WHERE lang = 'es'),
-k AS (SELECT DISTINCT source FROM a)
-SELECT u.source, u.doc_id, u.part, CASE WHEN k.source IS NOT NULL THEN 1 ELSE 2 END AS intent_order,
+WITH d AS (SELECT source || '/' || lang AS intent, doc_id, text FROM documents),
+a AS (SELECT * FROM d WHERE doc_id % 2 = 0), b AS (SELECT * FROM d WHERE doc_id % 2 = 1),
+k AS (SELECT DISTINCT intent FROM a)
+SELECT u.intent, u.doc_id, u.part, CASE WHEN k.intent IS NOT NULL THEN 1 ELSE 2 END AS intent_order,
   {_REPAIR_SQL.replace('text', 'u.text')} AS text
-FROM (SELECT *, 1 AS part FROM a UNION ALL SELECT *, 2 FROM b) u LEFT JOIN k USING (source)""")
+FROM (SELECT *, 1 AS part FROM a UNION ALL SELECT *, 2 FROM b) u LEFT JOIN k USING (intent)""")
 def h3(spark, sf_dir):
-    d = _docs(spark, sf_dir)
-    a = d.filter((F.col("lang") == "fr") & (F.col("n_chars") < 2000)).select("source", "doc_id", "text")
-    b = d.filter(F.col("lang") == "es").select("source", "doc_id", "text")
-    return H.augment_examples(a, b, "source").select("source", "doc_id", "part", "intent_order", "text")
+    d = X.documents(spark, sf_dir, "doc_id", "source", "lang", "text")
+    d = d.select(F.concat_ws("/", "source", "lang").alias("intent"), "doc_id", "text")
+    a, b = d.filter(F.col("doc_id") % 2 == 0), d.filter(F.col("doc_id") % 2 == 1)
+    return H.augment_examples(a, b, "intent").select("intent", "doc_id", "part", "intent_order", "text")
 
 
 @query("h4_vocabulary", "H4", r"""
-SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents WHERE lang = 'fr'""")
+SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents""")
 def h4(spark, sf_dir):
-    d = _docs(spark, sf_dir).filter(F.col("lang") == "fr")
+    d = X.documents(spark, sf_dir, "text")
     words = d.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), 0)).alias("word"))
     return H.vocabulary(words, "word")
 

@@ -21,8 +21,11 @@ _CORPUS_SQL = """SELECT (doc_id % 10) // 2 AS pair_id, doc_id % 2 AS side, doc_i
     count(*) OVER (PARTITION BY (doc_id % 10) // 2, doc_id % 2) AS n_texts
   FROM documents WHERE lang = 'fr'"""
 _WORDS_SQL = rf"list_filter(regexp_extract_all(lower(text), '\p{{L}}+'), lambda x: NOT list_contains({_STOPS_SQL}, x))"
-_TABLE_SQL = f"""
-WITH c AS ({_CORPUS_SQL}),
+
+
+def table_sql(corpus: str) -> str:
+    """Common table expressions up to ``s``: every word's score in the pairs of ``corpus``."""
+    return f"""c AS ({corpus}),
 cw AS (SELECT pair_id, side, doc_id, n_texts, {_WORDS_SQL} AS ws FROM c),
 ct AS (SELECT pair_id, side, doc_id, array_to_string(ws, ', ') AS clean FROM cw),
 n AS (SELECT DISTINCT pair_id, side, n_texts FROM c),
@@ -37,6 +40,9 @@ s AS (SELECT cnt.*, n1.n_texts AS n_own, n2.n_texts AS n_other,
       JOIN n n2 ON n2.pair_id = cnt.pair_id AND n2.side <> cnt.side)"""
 
 
+_TABLE_SQL = "WITH " + table_sql(_CORPUS_SQL)
+
+
 def corpus(spark, sf_dir):
     d = X.documents(spark, sf_dir, "doc_id", "lang", "text").filter(F.col("lang") == "fr")
     d = d.withColumn("id", F.col("doc_id") % 10)

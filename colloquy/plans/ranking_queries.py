@@ -1,14 +1,16 @@
 """Tokens, intent model, response ranking and entity matching.
 
-C4 ranks the ``benchmark`` bank for every user turn of ``conversations``;
-C5's gazetteer is the longest word of each benchmark item (entity
-``item<id>``), matched in every document.
+C3 learns (quality, toxic) as one label of four classes from ``labels``; C4 ranks
+the ``benchmark`` bank for every user turn of ``conversations``; C5's gazetteer
+comes from annotated examples (B10): in each benchmark item the first two tokens
+are marked ``start``, the longest word ``long``; it is matched in every document.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from colloquy.functions.text import extract_annotations
 from colloquy.operators import intents as C
 from colloquy.plans import fixtures as X
 from colloquy.plans.registry import query
@@ -28,12 +30,27 @@ def c2(spark, sf_dir):
     return C.token_counts(C.tokenize(X.documents(spark, sf_dir, "doc_id", "text"), ["doc_id"]), ["doc_id"])
 
 
-@query("c3_intent_model", "C3")
+@query("c3_intent_model", "C3", r"""
+WITH lab AS (SELECT doc_id, quality * 2 + toxic AS label FROM labels JOIN documents USING (doc_id)),
+dw AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS token FROM documents),
+tf AS (SELECT doc_id, token, count(*) AS tf FROM dw GROUP BY ALL),
+tr AS (SELECT label, token, sum(tf) AS n FROM tf JOIN lab USING (doc_id) GROUP BY ALL),
+v AS (SELECT count(DISTINCT token) AS v FROM tr),
+pr AS (SELECT label, round(1000000 * ln(count(*)::DOUBLE / (SELECT count(*) FROM lab)))::BIGINT AS p FROM lab GROUP BY label),
+tot AS (SELECT label, sum(n) + (SELECT v FROM v) AS t FROM tr GROUP BY label),
+w AS (SELECT label, token, round(1000000 * ln((n + 1.0::DOUBLE) / t))::BIGINT AS w FROM tr JOIN tot USING (label)),
+u AS (SELECT label, round(1000000 * ln(1.0::DOUBLE / t))::BIGINT AS u FROM tot),
+sc AS (SELECT d.doc_id, pr.label, any_value(pr.p) + coalesce(sum(tf.tf * coalesce(w.w, u.u)), 0) AS s
+       FROM documents d CROSS JOIN pr JOIN u ON u.label = pr.label LEFT JOIN tf ON tf.doc_id = d.doc_id
+       LEFT JOIN w ON w.label = pr.label AND w.token = tf.token GROUP BY d.doc_id, pr.label),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, label) AS rn FROM sc)
+SELECT doc_id, label AS prediction, s::DOUBLE / 1000000 AS score FROM r WHERE rn = 1""")
 def c3(spark, sf_dir):
     docs = X.documents(spark, sf_dir, "doc_id", "text")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(
+        "doc_id", (F.col("quality") * 2 + F.col("toxic")).alias("label"))
     model = C.fit_intents(docs.join(labels, "doc_id"))
-    return C.predict_intents(model, docs, ["doc_id"])
+    return C.predict_intents(model, docs, ["doc_id"]).select("doc_id", "prediction", "score")
 
 
 @query("c4_rank_responses", "C4", r"""
@@ -62,21 +79,27 @@ def c4(spark, sf_dir):
     return ranked.select("conv_id", "turn", "item_id", "rank", "cosine", "confidence")
 
 
+_FIRST_TWO = r"^\s*([^\s\[\]()]+\s[^\s\[\]()]+)"
+
+
 def gazetteer(spark, sf_dir):
     b = X.benchmark(spark, sf_dir)
-    w = b.select("item_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(C.WORD_RE), 0)).alias("word"))
-    g = w.groupBy("item_id").agg(F.min_by("word", F.struct((-F.char_length("word")).alias("l"), F.col("word")))
-                                 .alias("value"))
-    return g.select("value", F.concat(F.lit("item"), F.col("item_id").cast("string")).alias("entity"))
-
-
-@query("c5_entity_match", "C5", r"""
-WITH w AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM benchmark),
-g AS (SELECT item_id, word FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY length(word) DESC, word) AS rn
-      FROM w) WHERE rn = 1),
-gaz AS (SELECT word AS value, 'item' || item_id::VARCHAR AS entity FROM g)
-SELECT DISTINCT d.doc_id, gaz.value, gaz.entity FROM documents d
-JOIN gaz ON list_contains(regexp_extract_all(lower(d.text), '\p{L}+'), gaz.value)""")
+    words = F.regexp_extract_all("text", F.lit(C.WORD_RE), 0)
+    longest = F.array_min(F.transform(words, lambda w: F.struct((-F.char_length(w)).alias("l"), w.alias("w"))))["w"]
+    example = F.concat(F.lit("["), F.regexp_extract("text", _FIRST_TWO, 1), F.lit("](start) et ["), longest, F.lit("](long)"))
+    return extract_annotations(b.select("item_id", example.alias("text")), keys=["item_id"]).select("value", "entity")
+
+
+@query("c5_entity_match", "C5", rf"""
+WITH b AS (SELECT text, regexp_extract_all(text, '\p{{L}}+') AS ws FROM benchmark),
+g AS (SELECT regexp_extract(text, '{_FIRST_TWO}', 1) AS value, 'start' AS entity FROM b
+      UNION SELECT list_sort(list_transform(ws, lambda w: {{'l': -length(w), 'w': w}}))[1].w, 'long' FROM b),
+gaz AS (SELECT DISTINCT lower(value) AS value, entity,
+          ' ' || array_to_string(regexp_extract_all(lower(value), '{C.ENTITY_TOKEN_RE}'), ' ') || ' ' AS run
+        FROM g WHERE value <> ''),
+d AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(text), '{C.ENTITY_TOKEN_RE}'), ' ') || ' ' AS run
+      FROM documents)
+SELECT DISTINCT d.doc_id, gaz.value, gaz.entity FROM d JOIN gaz ON contains(d.run, gaz.run)""")
 def c5(spark, sf_dir):
     docs = X.documents(spark, sf_dir, "doc_id", "text")
     return C.entity_match(docs, gazetteer(spark, sf_dir), ["doc_id"])

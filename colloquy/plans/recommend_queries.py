@@ -1,12 +1,12 @@
 """Recommendation queries.
 
-Items are the event types; a user's asked items are the event types it
-produced on a day (requests are (user_id, day)). I1 folds a misspelled form of each event's type (k % 3: as is,
-one letter dropped, upper case with accents) and matches it to the items.
-I3 points are the ``embeddings``: bit i is set when dimension i is
-positive (i < 5, bit i = ITEMS[i]) and the label is the role; a role's items
-are those of its first point (smallest vec_id), as the reference takes the
-first matrix row of a role.
+I1 folds a misspelled form of each event's type (k % 3: as is, one letter dropped,
+upper case with accents) and matches it to the event types. I2 is one-hot over the
+event types. For I3-I5 an item is an event type in the lower or upper half of k
+(``view-0``, ``view-1``, ...: ten items). The points are users with all they ever
+produced, read from the item matrix of A8; a user's role is user_id % 7. A request
+(user_id, day) asks for the items of that day. A role's items are those of its first
+point (smallest user_id), as the reference takes the first matrix row of a role.
 """
 
 from __future__ import annotations
@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from colloquy.operators import recommend as I
 from colloquy.plans import fixtures as X
 from colloquy.plans.registry import query, sql_lit as L
+from colloquy.session import scratch_path
+from colloquy.sources import banks as A
 
 ITEMS = ["click", "error", "purchase", "signup", "view"]
 K = 5
-_ACC, _PLAIN = "àâäáãåçéèêëíìîïñóòôöõúùûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
-
 _WORD_SQL = """CASE json_extract_string(props, '$.k')::INTEGER % 3
     WHEN 0 THEN event_type
     WHEN 1 THEN substr(event_type, 1, json_extract_string(props, '$.k')::INTEGER % length(event_type))
@@ -30,7 +30,7 @@ _WORD_SQL = """CASE json_extract_string(props, '$.k')::INTEGER % 3
 
 @query("i1_fuzzy_match", "I1", f"""
 WITH w AS (SELECT event_id, {_WORD_SQL} AS word FROM events),
-f AS (SELECT event_id, word, translate(lower(trim(word)), {L(_ACC)}, {L(_PLAIN)}) AS fw FROM w),
+f AS (SELECT event_id, word, strip_accents(lower(trim(word))) AS fw FROM w),
 v(item) AS (VALUES {", ".join(f"({L(i)})" for i in ITEMS)})
 SELECT DISTINCT event_id, word, item,
   round(100.0 * (1.0 - levenshtein(fw, item)::DOUBLE / greatest(length(fw), length(item))), 6) AS similarity
@@ -55,33 +55,46 @@ def i2(spark, sf_dir):
     return I.one_hot(ev, ["user_id"], "event_type", ITEMS)
 
 
-_BITS_SQL = " + ".join(f"{1 << i} * (embedding[{i + 1}] > 0)::INTEGER" for i in range(len(ITEMS)))
-_ITEM_BITS_SQL = "(VALUES " + ", ".join(f"({L(it)}, {1 << i})" for i, it in enumerate(ITEMS)) + ") AS ib(item, bit)"
+HALVES = [f"{i}-{h}" for i in ITEMS for h in (0, 1)]
+_HALF_SQL = "event_type || '-' || (json_extract_string(props, '$.k')::INTEGER // 50)::VARCHAR"
+_ITEM_BITS_SQL = "(VALUES " + ", ".join(f"({L(it)}, {1 << i})" for i, it in enumerate(HALVES)) + ") AS ib(item, bit)"
 _KNN_SQL = f"""
-p AS (SELECT vec_id, label, {_BITS_SQL} AS pattern FROM embeddings),
-q AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, sum(DISTINCT ib.bit)::INTEGER AS pattern
-      FROM events JOIN {_ITEM_BITS_SQL} ON ib.item = events.event_type GROUP BY ALL),
-d AS (SELECT q.user_id, q.day, p.vec_id, p.label, bit_count(xor(q.pattern, p.pattern)) AS dist FROM q, p),
-r AS (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY dist, vec_id) AS rn FROM d),
-v AS (SELECT user_id, day, label, count(*) AS votes FROM r WHERE rn <= {K} GROUP BY ALL),
-knn AS (SELECT user_id, day, label AS predicted_label, votes FROM
-        (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY votes DESC, label) AS rn FROM v) WHERE rn = 1)"""
+ev AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, {_HALF_SQL} AS item FROM events),
+p AS (SELECT user_id AS point_id, user_id % 7 AS label, sum(DISTINCT ib.bit)::INTEGER AS pattern
+      FROM ev JOIN {_ITEM_BITS_SQL} USING (item) GROUP BY ALL),
+q AS (SELECT user_id, day, sum(DISTINCT ib.bit)::INTEGER AS pattern FROM ev JOIN {_ITEM_BITS_SQL} USING (item) GROUP BY ALL),
+qp AS (SELECT DISTINCT pattern FROM q),
+d AS (SELECT qp.pattern, p.point_id, p.label, bit_count(xor(qp.pattern, p.pattern)) AS dist FROM qp, p),
+r AS (SELECT *, row_number() OVER (PARTITION BY pattern ORDER BY dist, point_id) AS rn FROM d),
+v AS (SELECT pattern, label, count(*) AS votes FROM r WHERE rn <= {K} GROUP BY ALL),
+best AS (SELECT pattern, label AS predicted_label, votes FROM
+         (SELECT *, row_number() OVER (PARTITION BY pattern ORDER BY votes DESC, label) AS rn FROM v) WHERE rn = 1),
+knn AS (SELECT user_id, day, predicted_label, votes FROM q JOIN best USING (pattern))"""
+
+
+def _asked(spark, sf_dir):
+    ev = X.events(spark, sf_dir, "user_id", "day", "event_type", "k")
+    half = F.concat_ws("-", "event_type", F.expr("cast(k div 50 as string)"))
+    return ev.select("user_id", "day", half.alias("item"))
 
 
 def _points(spark, sf_dir):
-    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
-    bits = sum((F.when(F.col("embedding")[i] > 0, F.lit(1 << i)).otherwise(F.lit(0)) for i in range(len(ITEMS))),
-               F.lit(0))
-    return e.select(F.col("vec_id").alias("point_id"), "label", bits.cast("int").alias("pattern"))
+    """Item matrix (A8) written and read back, one pattern per user."""
+    wide = I.one_hot(_asked(spark, sf_dir), ["user_id"], "item", HALVES).withColumnRenamed("user_id", "role")
+    path = scratch_path(spark, "item-matrix")
+    A.write_item_matrix(wide, path)
+    rows = A.read_item_matrix(spark, path, "role", HALVES)
+    user = F.col("role").cast("bigint")
+    return I.item_pattern(rows, ["role"], "item", HALVES).select(
+        user.alias("point_id"), (user % 7).alias("label"), "pattern")
 
 
 REQ = ["user_id", "day"]
 
 
 def _predicted(spark, sf_dir):
-    ev = X.events(spark, sf_dir, "user_id", "day", "event_type")
-    q = I.item_pattern(ev, REQ, "event_type", ITEMS)
-    return I.knn_label(q, _points(spark, sf_dir), K, len(ITEMS), REQ)
+    q = I.item_pattern(_asked(spark, sf_dir), REQ, "item", HALVES)
+    return I.knn_label(q, _points(spark, sf_dir), K, len(HALVES), REQ)
 
 
 @query("i3_knn_label", "I3", f"WITH {_KNN_SQL} SELECT * FROM knn")
@@ -93,21 +106,20 @@ def _role_items(spark, sf_dir):
     pts = _points(spark, sf_dir)
     first = pts.groupBy("label").agg(F.min_by("pattern", "point_id").alias("pattern"))
     items = F.array(*[F.when((F.col("pattern").bitwiseAND(F.lit(1 << i))) != 0, F.lit(it))
-                      for i, it in enumerate(ITEMS)])
+                      for i, it in enumerate(HALVES)])
     return first.select(F.col("label").alias("predicted_label"), F.explode(F.array_compact(items)).alias("item"))
 
 
 _MISSING_SQL = f"""
-ri AS (SELECT label, arg_min(pattern, vec_id) AS pattern FROM p GROUP BY label),
+ri AS (SELECT label, arg_min(pattern, point_id) AS pattern FROM p GROUP BY label),
 miss AS (SELECT k.user_id, k.day, ib.item, ib.bit FROM knn k JOIN ri ON ri.label = k.predicted_label
          JOIN {_ITEM_BITS_SQL} ON (ri.pattern & ib.bit) <> 0
-         WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = k.user_id
-                           AND strftime(e.ts, '%Y-%m-%d') = k.day AND e.event_type = ib.item))"""
+         WHERE NOT EXISTS (SELECT 1 FROM ev e WHERE e.user_id = k.user_id AND e.day = k.day AND e.item = ib.item))"""
 
 
 def _missing(spark, sf_dir):
-    ev = X.events(spark, sf_dir, "user_id", "day", "event_type").withColumnRenamed("event_type", "item")
-    return I.missing_items(_predicted(spark, sf_dir), _role_items(spark, sf_dir), ev.distinct(), REQ)
+    asked = _asked(spark, sf_dir).distinct()
+    return I.missing_items(_predicted(spark, sf_dir), _role_items(spark, sf_dir), asked, REQ)
 
 
 @query("i4_missing_items", "I4", f"WITH {_KNN_SQL}, {_MISSING_SQL} SELECT user_id, day, item FROM miss")
@@ -119,5 +131,5 @@ def i4(spark, sf_dir):
 a AS (SELECT user_id, day, list(item ORDER BY bit) AS arr FROM miss GROUP BY user_id, day)
 SELECT user_id, day, array_to_string(list_concat(arr[1:len(arr) - 1], ['et ' || arr[len(arr)]]), ', ') AS phrase FROM a""")
 def i5(spark, sf_dir):
-    order = F.coalesce(*[F.when(F.col("item") == it, F.lit(i)) for i, it in enumerate(ITEMS)])
+    order = F.coalesce(*[F.when(F.col("item") == it, F.lit(i)) for i, it in enumerate(HALVES)])
     return I.list_phrase(_missing(spark, sf_dir), REQ, "item", order)

@@ -1,8 +1,10 @@
 """Source/sink round trips (A1-A8). Writes go to fresh folders under the
 shared folder named by ``spark.checkpoint.dir``; each query returns what
-Spark reads back (or the rows it writes), to compare with the oracle.
+Spark reads back from the written files, to compare with the oracle.
 
-Bank fixture: ``benchmark`` with id = item_id % 10 and pos = item_id div 10.
+Bank fixture: ``benchmark`` with id = item_id % 10 and pos = item_id div 10; every
+text gets leading blanks and a U+0085 (no line end to us); id 10 holds 300 copies
+of the whole bank, numbered, so it has more than 10,000 texts.
 """
 
 from __future__ import annotations
@@ -11,86 +13,84 @@ from pyspark.sql import functions as F
 
 from colloquy.plans import fixtures as X
 from colloquy.plans.registry import query
-from colloquy.plans.state_queries import FACT_COLUMNS, _FACTS_SQL, interaction_facts
+from colloquy.plans.state_queries import FACT_COLUMNS, _FACTS_SQL, facts
 from colloquy.session import scratch_path
 from colloquy.sources import banks as A
 
 ITEMS = ["click", "error", "purchase", "signup", "view"]
+COPIES = 300
 
 
 def _bank(spark, sf_dir):
-    b = X.benchmark(spark, sf_dir)
-    return b.select((F.col("item_id") % 10).alias("id"), (F.col("item_id") / 10).cast("bigint").alias("pos"), "text")
+    b = X.benchmark(spark, sf_dir).select("item_id", F.concat(F.lit("  "), "text", F.lit("\u0085x ")).alias("text"))
+    small = b.select((F.col("item_id") % 10).alias("id"), (F.col("item_id") / 10).cast("bigint").alias("pos"), "text")
+    large = b.select("item_id", "text", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("i")).select(
+        F.lit(10).cast("bigint").alias("id"), (F.col("item_id") * COPIES + F.col("i")).alias("pos"),
+        F.concat("text", F.col("i").cast("string")).alias("text"))
+    return small.unionByName(large)
+
+
+_BANK_SQL = f"""SELECT item_id % 10 AS id, item_id // 10 AS pos, '  ' || text || chr(133) || 'x ' AS text FROM benchmark
+  UNION ALL SELECT 10, item_id * {COPIES} + i, '  ' || text || chr(133) || 'x ' || i::VARCHAR
+  FROM benchmark, range(0, {COPIES}) r(i)"""
+_DENSE_SQL = f"SELECT id, row_number() OVER (PARTITION BY id ORDER BY pos) AS pos, text FROM ({_BANK_SQL})"
+_REPAIRED_SQL = "replace(translate(text, chr(146) || chr(128) || chr(160), '''€ '), chr(156), 'oe')"
+_CLEAN_SQL = f"regexp_replace({_REPAIRED_SQL}, '[\\r\\n]+', ' ', 'g')"
 
 
-@query("a1_read_bank", "A1", "SELECT item_id::INTEGER AS id, text FROM benchmark")
+@query("a1_read_bank", "A1", f"SELECT id::INTEGER AS id, text FROM ({_BANK_SQL})")
 def a1(spark, sf_dir):
     path = scratch_path(spark, "bank-csv")
-    A.write_bank(X.benchmark(spark, sf_dir), path, id_col="item_id")
+    A.write_bank(_bank(spark, sf_dir), path)
     return A.read_bank(spark, path).select("id", "text")
 
 
-@query("a2_read_grouped_json", "A2", """
-SELECT (item_id % 10)::VARCHAR AS id,
-  (row_number() OVER (PARTITION BY item_id % 10 ORDER BY item_id))::INTEGER AS pos, text FROM benchmark""")
+@query("a2_read_grouped_json", "A2", f"""
+SELECT id::VARCHAR AS id, count(*) AS n_texts, min(pos) AS first_pos, max(pos) AS last_pos FROM ({_DENSE_SQL}) GROUP BY 1""")
 def a2(spark, sf_dir):
     path = scratch_path(spark, "grouped-json")
     A.write_grouped_json(_bank(spark, sf_dir), path)
-    return A.read_grouped_json(spark, path)
+    return A.read_grouped_json(spark, path).groupBy("id").agg(
+        F.count("*").alias("n_texts"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
 
 
-@query("a3_write_grouped_json", "A3", """
-SELECT (item_id % 10)::VARCHAR AS id, count(*)::INTEGER AS n_texts FROM benchmark GROUP BY 1""")
+@query("a3_write_grouped_json", "A3", f"SELECT id::VARCHAR AS id, pos, text FROM ({_DENSE_SQL})")
 def a3(spark, sf_dir):
     path = scratch_path(spark, "grouped-json")
     A.write_grouped_json(_bank(spark, sf_dir), path)
-    lines = spark.read.text(path).select(F.from_json("value", A.GROUPED_LINE_SCHEMA).alias("m"))
-    return lines.select(F.explode("m").alias("id", "texts")).groupBy("id").agg(
-        F.sum(F.size("texts")).cast("int").alias("n_texts"))
-
-
-_CLEAN_SQL = """regexp_replace(replace(translate(text, chr(146) || chr(128) || chr(160), '''€ '), chr(156), 'oe'),
-    '[\\r\\n]+', ' ', 'g')"""
-_REPAIRED_SQL = "replace(translate(text, chr(146) || chr(128) || chr(160), '''€ '), chr(156), 'oe')"
-_BANK_SQL = "SELECT item_id % 10 AS id, item_id // 10 AS pos, text FROM benchmark"
+    return A.read_grouped_json(spark, path)
 
 
 @query("a4_emit_training_blocks", "A4", f"""
-WITH b AS ({_BANK_SQL}), h AS (SELECT DISTINCT id, pos // 10000 AS block FROM b)
-SELECT id, block, 0 AS kind, NULL::BIGINT AS pos, '- intent: faq/' || id::VARCHAR AS line FROM h
-UNION ALL SELECT id, block, 1, NULL::BIGINT, '  examples: |' FROM h
-UNION ALL SELECT id, pos // 10000, 2, pos, '    - ' || {_CLEAN_SQL} FROM b""")
+SELECT id::VARCHAR AS id, pos, {_CLEAN_SQL} AS text FROM ({_DENSE_SQL})""")
 def a4(spark, sf_dir):
-    lines = A.training_lines(_bank(spark, sf_dir))
-    A.write_blocks(lines, scratch_path(spark, "training"), header=A.TRAINING_HEADER)
-    return lines
+    path = scratch_path(spark, "training")
+    A.emit_training_blocks(_bank(spark, sf_dir), path)
+    back = A.read_training_blocks(spark, path)
+    return back.select(F.replace("intent", F.lit(A.INTENT_PREFIX), F.lit("")).alias("id"), "pos", "text")
 
 
 @query("a5_emit_response_blocks", "A5", f"""
-WITH b AS ({_BANK_SQL}), h AS (SELECT DISTINCT id, pos // 10000 AS block FROM b)
-SELECT id, block, 0 AS kind, NULL::BIGINT AS pos, '  utter_faq/' || id::VARCHAR || ':' AS line FROM h
-UNION ALL SELECT id, pos // 10000, 1, pos, '    - text: "' || {_REPAIRED_SQL} || '"' FROM b""")
+SELECT 'utter_faq/' || id::VARCHAR AS response, pos, {_REPAIRED_SQL} AS text FROM ({_DENSE_SQL})""")
 def a5(spark, sf_dir):
-    lines = A.response_lines(_bank(spark, sf_dir))
-    A.write_blocks(lines, scratch_path(spark, "responses"), header=A.RESPONSE_HEADER)
-    return lines
+    path = scratch_path(spark, "responses")
+    A.emit_response_blocks(_bank(spark, sf_dir), path)
+    return A.read_response_blocks(spark, path)
 
 
 @query("a6_read_training_blocks", "A6", f"""
-SELECT 'faq/' || (item_id % 10)::VARCHAR AS intent,
-  (row_number() OVER (PARTITION BY item_id % 10 ORDER BY item_id))::INTEGER AS pos, {_CLEAN_SQL} AS text
-FROM benchmark""")
+SELECT 'faq/' || id::VARCHAR AS intent, pos, {_CLEAN_SQL} AS text FROM ({_DENSE_SQL})""")
 def a6(spark, sf_dir):
     path = scratch_path(spark, "training")
-    A.write_blocks(A.training_lines(_bank(spark, sf_dir)), path, header=A.TRAINING_HEADER)
+    A.emit_training_blocks(_bank(spark, sf_dir), path, block_rows=64)
     return A.read_training_blocks(spark, path)
 
 
 @query("a7_feedback_roundtrip", "A7", f"SELECT * FROM ({_FACTS_SQL})")
 def a7(spark, sf_dir):
     path = scratch_path(spark, "feedback")
-    facts = interaction_facts(spark, sf_dir).withColumn("fact_day", F.substring("time_user_question", 1, 10))
-    A.append_feedback(facts, path, partition_col="fact_day")
+    rows = facts(spark, sf_dir).withColumn("fact_day", F.substring("time_user_question", 1, 10))
+    A.append_feedback(rows, path, partition_col="fact_day")
     return A.read_feedback(spark, path, FACT_COLUMNS)
 
 

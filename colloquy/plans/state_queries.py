@@ -13,10 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.functions.text import intent_id
 from colloquy.operators import state as S
 from colloquy.operators.intents import confidence_gate, gate_flags, top_two
-from colloquy.operators.scan import carry_last, time_chunk, turn_chunk
+from colloquy.operators.scan import time_chunk, turn_chunk
 from colloquy.plans import fixtures as X
 from colloquy.plans.registry import query, sql_lit as L
 from colloquy.session import materialize
@@ -199,6 +198,18 @@ def f8_keep(spark, sf_dir):
     return out.select("user_id", _fmt("session_start").alias("session_start"), "slot", "value")
 
 
+@query("f8_slot_intervals", "F8", f"""
+WITH w AS (SELECT *, row_number() OVER (PARTITION BY user_id, session_start, slot ORDER BY ts DESC, event_id DESC) AS rn
+           FROM ({_SW_SQL}))
+SELECT user_id, slot, strftime(session_start, {TS_SQL}) AS session_from,
+  strftime(lead(session_start) OVER (PARTITION BY user_id, slot ORDER BY session_start), {TS_SQL}) AS session_to, value
+FROM w WHERE rn = 1""")
+def f8_intervals(spark, sf_dir):
+    out = S.slot_intervals(_session_writes(spark, sf_dir), EV_KEYS, EV_ORDER)
+    return out.select("user_id", "slot", _fmt("session_from").alias("session_from"),
+                      _fmt("session_to").alias("session_to"), "value")
+
+
 # ---------------------------------------------------------------- F9-F12
 _FORM_EVENTS_SQL = """SELECT user_id, event_id, ts, event_type, props,
     CASE WHEN event_type IN ('click', 'purchase') THEN 'number' WHEN event_type = 'signup' THEN 'faq'
@@ -268,17 +279,24 @@ def f10_funnel(spark, sf_dir):
     return S.auth_funnel(_auth(spark, sf_dir), ev.filter(F.col("event_type") == "signup"), EV_KEYS)
 
 
-# one fact row per filled rating form, assembled from F9, the gate of the
-# request (user, day) the form belongs to, and the profile before it opened.
+# clicks and signups are user texts (their props), purchases bot texts (their
+# key), views open the rating form; the profile event before it gives the details
+# flag, the gate of the request (user, day) the rest. Times are written as text so
+# that both engines compare them alike; the operator itself returns TIMESTAMPs.
 FACT_COLUMNS = ["pseudo", "question_id", "user_question", "bot_answer", "bot_confid_to_user_question",
                 "user_note", "time_user_question", "time_bot_answer", "bot_question_confusion",
                 "bot_question_incomprehension", "user_wants_details"]
 
+_BEFORE = "OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 _FACTS_SQL = f"""
 WITH forms AS ({_FORMS_SQL}),
-e AS (SELECT user_id, event_id, ts, props, strftime(ts, '%Y-%m-%d') AS day,
-        last_value(CASE WHEN event_type IN ('click', 'view', 'purchase') THEN event_type END IGNORE NULLS)
-          OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_profile
+e AS (SELECT user_id, event_id, strftime(ts, '%Y-%m-%d') AS day,
+        last_value(CASE WHEN event_type IN ('click', 'signup') THEN props END IGNORE NULLS) {_BEFORE} AS question,
+        last_value(CASE WHEN event_type IN ('click', 'signup') THEN ts END IGNORE NULLS) {_BEFORE} AS question_ts,
+        last_value(CASE WHEN event_type = 'purchase' THEN 'faq/' || event_id::VARCHAR END IGNORE NULLS) {_BEFORE} AS answer,
+        last_value(CASE WHEN event_type = 'purchase' THEN ts END IGNORE NULLS) {_BEFORE} AS answer_ts,
+        last_value(CASE WHEN event_type IN ('click', 'view', 'purchase') THEN event_type END IGNORE NULLS) {_BEFORE}
+          AS prev_profile
       FROM events),
 r AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_id, 'faq/' || event_id::VARCHAR AS key,
         json_extract_string(props, '$.k')::INTEGER / 100.0::DOUBLE AS confidence,
@@ -289,10 +307,10 @@ t AS (SELECT user_id, day, count(*) AS n_ranked,
         max(CASE WHEN rk = 2 THEN confidence END) AS conf2 FROM r WHERE rk <= 2 GROUP BY user_id, day),
 g AS (SELECT *, CASE WHEN n_ranked <= 1 THEN 'no_ranking' WHEN conf1 < 0.4::DOUBLE THEN 'not_understood'
         WHEN conf1 - conf2 < 0.2::DOUBLE THEN 'confused' ELSE 'answer' END AS outcome FROM t)
-SELECT 'user' || f.user_id::VARCHAR AS pseudo, nullif(split_part(g.key1, '/', 2), '') AS question_id,
-  e.props AS user_question, g.key1 AS bot_answer, g.conf1 AS bot_confid_to_user_question,
-  f.note::INTEGER AS user_note, strftime(e.ts, {TS_SQL}) AS time_user_question,
-  strftime(f.filled_ts, {TS_SQL}) AS time_bot_answer,
+SELECT 'user' || f.user_id::VARCHAR AS pseudo, split_part(g.key1, '/', 2)::INTEGER AS question_id,
+  e.question AS user_question, e.answer AS bot_answer, g.conf1 AS bot_confid_to_user_question,
+  f.note::INTEGER AS user_note, strftime(e.question_ts, {TS_SQL}) AS time_user_question,
+  strftime(e.answer_ts, {TS_SQL}) AS time_bot_answer,
   (g.outcome = 'confused')::INTEGER AS bot_question_confusion,
   (g.outcome = 'not_understood')::INTEGER AS bot_question_incomprehension,
   CASE WHEN e.prev_profile = 'view' THEN 1 ELSE 0 END AS user_wants_details
@@ -301,32 +319,22 @@ JOIN g ON g.user_id = f.user_id AND g.day = e.day
 WHERE f.note IS NOT NULL"""
 
 
-def interaction_facts(spark, sf_dir) -> DataFrame:
-    forms = _forms(spark, sf_dir).filter(F.col("note").isNotNull())
-    ev = X.events(spark, sf_dir, "user_id", "event_id", "ts", "day", "props", "event_type")
-    prof = carry_last(ev, EV_KEYS, EV_ORDER,
-                      F.when(F.col("event_type").isin(list(X.PROFILE_INTENTS)), F.col("event_type")),
-                      "prev_profile", inclusive=False, chunk=time_chunk())
-    opened = prof.select("user_id", F.col("event_id").alias("form_id"), "ts", "day", "props", "prev_profile")
+def facts(spark, sf_dir) -> DataFrame:
+    et = F.col("event_type")
     gate = gate_flags(confidence_gate(top_two(X.ranking_rows(spark, sf_dir), ["user_id", "day"])))
-    j = forms.join(opened, ["user_id", "form_id"]).join(gate, ["user_id", "day"])
-    return j.select(
-        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("pseudo"),
-        intent_id("key1").alias("question_id"),
-        F.col("props").alias("user_question"),
-        F.col("key1").alias("bot_answer"),
-        F.col("conf1").alias("bot_confid_to_user_question"),
-        F.col("note").cast("int").alias("user_note"),
-        _fmt("ts").alias("time_user_question"),
-        _fmt("filled_ts").alias("time_bot_answer"),
-        "bot_question_confusion", "bot_question_incomprehension",
-        F.when(F.col("prev_profile") == "view", F.lit(1)).otherwise(F.lit(0)).alias("user_wants_details"),
-    )
+    out = S.interaction_facts(
+        _form_events(spark, sf_dir), gate, EV_KEYS, EV_ORDER,
+        user=F.when(et.isin("click", "signup"), F.col("props")),
+        bot=F.when(et == "purchase", F.concat(F.lit("faq/"), F.col("event_id").cast("string"))),
+        opens=et == "view", details=F.when(et.isin(list(X.PROFILE_INTENTS)), (et == "view").cast("int")),
+        intent="intent", note="note_text", form_id=F.col("event_id"), time="ts", request=["user_id", "day"],
+        chunk=time_chunk())
+    return out.withColumns({c: _fmt(c) for c in ("time_user_question", "time_bot_answer")})
 
 
 @query("f11_interaction_facts", "F11", _FACTS_SQL)
 def f11(spark, sf_dir):
-    return interaction_facts(spark, sf_dir)
+    return facts(spark, sf_dir)
 
 
 @query("f12_rating_notice", "F12", f"""

@@ -2,9 +2,8 @@
 table folder (glob ``events*.parquet``) to completion with an
 ``availableNow`` trigger, then reads what the sink committed.
 
-J1 and J3 depend on the watermark (only closed sessions / the first copy
-within the delay are emitted), so they have no SQL oracle; J2 and J4 end in
-the same state as their batch forms.
+J1 emits the sessions that the watermark closes: those that end 10 minutes or
+more before the latest event. J2-J4 end in the state of their batch forms.
 """
 
 from __future__ import annotations
@@ -23,7 +22,14 @@ def _events(spark, sf_dir):
     return J.event_stream(spark, f"{sf_dir}/events*.parquet")
 
 
-@query("j1_stream_sessions", "J1")
+@query("j1_stream_sessions", "J1", """
+WITH e AS (SELECT user_id, ts, event_id, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
+m AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL 60 MINUTE THEN 1 ELSE 0 END)
+        OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid FROM e),
+s AS (SELECT user_id, sid, min(ts) AS s0, max(ts) + INTERVAL 60 MINUTE AS s1, count(*) AS n_events FROM m GROUP BY ALL)
+SELECT user_id, strftime(s0, '%Y-%m-%d %H:%M:%S.%f') AS session_start,
+  strftime(s1, '%Y-%m-%d %H:%M:%S.%f') AS session_end, n_events
+FROM s WHERE s1 <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""")
 def j1(spark, sf_dir):
     out, ck = scratch_path(spark, "j1-out"), scratch_path(spark, "j1-ckpt")
     J.run_to_sink(J.stream_sessions(_events(spark, sf_dir)), out, ck)
@@ -47,11 +53,14 @@ def j2(spark, sf_dir):
     return final.select("user_id", "slot", F.col("s.value").alias("value"))
 
 
-@query("j3_stream_uttered", "J3")
+@query("j3_stream_uttered", "J3", """
+WITH r AS (SELECT user_id, event_type, event_id, ts,
+             row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events)
+SELECT user_id, event_type, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM r WHERE rn = 1""")
 def j3(spark, sf_dir):
     out, ck = scratch_path(spark, "j3-out"), scratch_path(spark, "j3-ckpt")
-    J.run_to_sink(J.stream_uttered(_events(spark, sf_dir)), out, ck)
-    s = spark.read.parquet(out)
+    J.run_update_to_table(J.stream_uttered(_events(spark, sf_dir)), out, ck)
+    s = J.latest_per_request(spark.read.parquet(out), ("user_id", "event_type"))
     return s.select("user_id", "event_type", "event_id", F.date_format("ts", TS_FMT).alias("ts"))
 
 

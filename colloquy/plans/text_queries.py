@@ -32,13 +32,11 @@ SELECT doc_id,
   replace(text, chr(160), ' ') AS repaired_nbsp_only
 FROM d""")
 def b1(spark, sf_dir):
-    d = _injected(spark, sf_dir)
-    return d.select(
-        "doc_id",
-        B.repair_text("text", "full").alias("repaired_full"),
-        B.repair_text("text", "no_nbsp").alias("repaired_no_nbsp"),
-        B.repair_text("text", "nbsp_only").alias("repaired_nbsp_only"),
-    )
+    d = _injected(spark, sf_dir).select(
+        "doc_id", B.repair_text("text", "no_nbsp").alias("repaired_no_nbsp"),
+        B.repair_text("text", "nbsp_only").alias("repaired_nbsp_only"))
+    # the full repair is the three C1 repairs, then the non-breaking space
+    return d.withColumn("repaired_full", B.repair_text("repaired_no_nbsp", "nbsp_only"))
 
 
 _KEY_SQL = """CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN 'faq'
@@ -137,7 +135,8 @@ def b6(spark, sf_dir):
     return ev.select("event_id", B.format_confidence(F.col("k").cast("double") / F.lit(100.0)).alias("confidence_text"))
 
 
-# Templates with holes, joined on the template name chosen per turn role.
+# --- fixed values: templates with holes (the reference's sentences), joined
+# on the template name chosen per turn role --------------------------------
 TEMPLATES = [
     ("utter_dont_understand", "Pardon, je n'ai compris que {name} de votre question"),
     ("utter_ask_user_password", "Merci de confirmer votre identité en renseignant le mot de passe qui "
@@ -167,22 +166,22 @@ def b7(spark, sf_dir):
         B.render_template("template", name=F.col("name_value"), email=F.col("email_value")).alias("rendered"))
 
 
-@query("b8_fold_text", "B8", f"""
-SELECT doc_id, translate(lower(trim(text)), {L(B.ACCENTED)}, {L(B.PLAIN)}) AS folded FROM documents""")
+@query("b8_fold_text", "B8", """
+SELECT doc_id, strip_accents(lower(trim(text))) AS folded FROM documents""")
 def b8(spark, sf_dir):
     d = X.documents(spark, sf_dir, "doc_id", "text")
     return d.select("doc_id", B.fold_text("text").alias("folded"))
 
 
-# Annotate the keyword "des" as entity "mot" in every French text.
+# Annotate the keyword "des" as entity "mot" in every text.
 ANNOTATE_KW, ANNOTATE_ENTITY = "des", "mot"
 _ANNOTATED_SQL = f"""SELECT doc_id, CASE WHEN contains(text, '{ANNOTATE_KW}')
     THEN replace(text, '{ANNOTATE_KW}', '[{ANNOTATE_KW}]({ANNOTATE_ENTITY})') ELSE text END AS text
-  FROM documents WHERE lang = 'fr'"""
+  FROM documents"""
 
 
 def annotated(spark, sf_dir):
-    d = X.documents(spark, sf_dir, "doc_id", "lang", "text").filter(F.col("lang") == "fr")
+    d = X.documents(spark, sf_dir, "doc_id", "text")
     return d.select("doc_id", B.annotate_entity("text", ANNOTATE_KW, ANNOTATE_ENTITY).alias("text"))
 
 

@@ -41,34 +41,32 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply library defaults that the session does not set yet."""
+    """Apply library defaults that the session does not set yet. A ``local`` session
+    (tests, the bench, the driver's own checks) without ``spark.checkpoint.dir`` gets a
+    folder of its own: there the single machine is the whole cluster."""
     for key, value in DEFAULTS.items():
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
+    master = spark.sparkContext.master
+    if not _named_dir(spark) and (master == "local" or master.startswith("local[")):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="colloquy-ckpt-"))
     shared_dir(spark)
     return spark
 
 
+def _named_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts and written tables.
-
-    Read from ``spark.checkpoint.dir`` (the cluster names it). Only a local
-    session without that setting (tests) gets a folder under the system temp
-    dir; a cluster session without it is an error.
-    """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = sc.getCheckpointDir()
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        # local runs and tests only: the single machine is the whole cluster
-        configured = tempfile.mkdtemp(prefix="colloquy-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured)
-    return configured.rstrip("/")
+    """The shared folder for lineage cuts and written tables, as
+    ``spark.checkpoint.dir`` names it."""
+    named = _named_dir(spark)
+    if not named:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

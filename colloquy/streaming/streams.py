@@ -2,20 +2,16 @@
 
 Event time is ``ts`` cast to TIMESTAMP (watermarks refuse TIMESTAMP_NTZ);
 the 10-minute watermark is our choice (the reference defines no late-data
-rule). Sinks are replay-safe: file sinks keep their own commit log, and
-``foreachBatch`` writes each batch to a folder named by its batch id with
-overwrite, so a replayed batch replaces itself.
+rule). State is Spark's own: grouped aggregates, combined before the shuffle,
+so a hot user is no single Python loop. Sinks are replay-safe: file sinks keep
+their own commit log, and ``foreachBatch`` writes each batch to a folder named
+by its batch id with overwrite, so a replayed batch replaces itself.
 """
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from colloquy.operators.intents import confidence_gate, gate_flags, rank_candidates, top_two
 
@@ -43,57 +39,30 @@ def stream_sessions(events: DataFrame, gap: str = SESSION_GAP, watermark: str =
                     "n_events"))
 
 
-SLOT_OUT = "user_id bigint, slot string, value string, ts timestamp, seq bigint"
-SLOT_STATE = "slots map<string, struct<value: string, ts: timestamp, seq: bigint>>"
-
-
-def _fold_slots(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """State per user: slot -> latest write by (ts, seq); a null value is a
-    reset and is kept. Emits the slots that received a newer write. The
-    rows of a key arrive as bounded Arrow batches; only the best write per
-    slot is kept while reading them."""
-    slots = dict(state.get[0]) if state.exists and state.get[0] is not None else {}
-    changed = set()
-    for pdf in pdfs:
-        if pdf.empty:
-            continue
-        last = pdf.sort_values(["ts", "seq"]).groupby("slot", sort=False).tail(1)
-        for slot, value, ts, seq in last[["slot", "value", "ts", "seq"]].itertuples(index=False):
-            cur = slots.get(slot)
-            cand = (pd.Timestamp(ts), int(seq))
-            if cur is None or cand > (pd.Timestamp(cur[1]), int(cur[2])):
-                slots[slot] = (None if pd.isna(value) else value, ts, int(seq))
-                changed.add(slot)
-    if changed:
-        state.update((slots,))
-        (user_id,) = key
-        out = [(user_id, s, slots[s][0], slots[s][1], slots[s][2]) for s in sorted(changed)]
-        yield pd.DataFrame(out, columns=["user_id", "slot", "value", "ts", "seq"])
-
-
 def stream_slots(events: DataFrame) -> DataFrame:
-    """F5 as keyed state (``applyInPandasWithState``, update mode), one
-    state per user holding its slots: slot = event_type, ``error`` resets
-    ``click``."""
+    """F5 on a stream (update mode): per (user, slot) the latest write by
+    (ts, seq); slot = event_type, ``error`` resets ``click`` (a null value is a
+    write like any other). A late, older write changes nothing."""
     et = F.col("event_type")
     writes = events.select(
         "user_id", F.when(et == "error", F.lit("click")).otherwise(et).alias("slot"),
         F.when(et == "error", F.lit(None).cast("string")).otherwise(F.col("value").cast("string")).alias("value"),
         "ts", F.col("event_id").alias("seq"))
-    return writes.groupBy("user_id").applyInPandasWithState(
-        _fold_slots, SLOT_OUT, SLOT_STATE, "update", GroupStateTimeout.NoTimeout)
+    latest = writes.groupBy("user_id", "slot").agg(
+        F.max(F.struct("ts", "seq")).alias("at"), F.max_by(F.struct("value"), F.struct("ts", "seq")).alias("last"))
+    return latest.select("user_id", "slot", F.col("last.value").alias("value"), "at.ts", "at.seq")
 
 
-def stream_uttered(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """First utterance per (user, text) within the watermark delay."""
-    return (events.withWatermark("ts", watermark)
-            .dropDuplicatesWithinWatermark(["user_id", "event_type"])
-            .select("user_id", "event_type", "event_id", "ts"))
+def stream_uttered(events: DataFrame) -> DataFrame:
+    """The first utterance per (user, text), remembered for ever (update mode): a
+    text said again is not first again, and an older one that comes late takes its place."""
+    first = events.groupBy("user_id", "event_type").agg(F.min(F.struct("ts", "event_id")).alias("f"))
+    return first.select("user_id", "event_type", "f.event_id", "f.ts")
 
 
 def gate_batch(batch: DataFrame) -> DataFrame:
     """C6-C9 over the requests (user, day) of one batch of events (the batch
-    form J4's stream state reproduces)."""
+    form that J4 ends in)."""
     cands = _candidates(batch)
     ranked = rank_candidates(cands, ["user_id", "day"], [F.col("confidence").desc(), F.col("event_id")], top=2)
     return _gate_columns(confidence_gate(top_two(ranked, ["user_id", "day"])))
@@ -112,80 +81,46 @@ def _gate_columns(gated: DataFrame) -> DataFrame:
         "bot_question_confusion", "bot_question_incomprehension")
 
 
-TOP2_OUT = "user_id bigint, day string, n_ranked bigint, key1 string, conf1 double, key2 string, conf2 double"
-TOP2_STATE = ("days map<string, struct<n: bigint, key1: string, conf1: double, id1: bigint, "
-              "key2: string, conf2: double, id2: bigint>>")
-
-
-def _day_end_ms(day: str, tz: str) -> int:
-    """End of a request day (formatted in the session time zone ``tz``) in
-    epoch milliseconds, the unit of watermarks and timeouts."""
-    return int((pd.Timestamp(day).tz_localize(tz) + pd.Timedelta(days=1)).timestamp() * 1000)
-
-
-def _fold_top2(key, pdfs: Iterator[pd.DataFrame], state: GroupState, tz: str = "UTC") -> Iterator[pd.DataFrame]:
-    """State per user: for each open request day, its two best candidates
-    (confidence desc, event id asc) and how many it has seen (capped at 2:
-    the gate needs no more). Days the watermark has passed are dropped, so
-    the state stays bounded, and rows arriving for such a closed day are
-    late data and ignored; emits the days whose best two changed."""
-    days = {d: tuple(v) for d, v in (state.get[0] or {}).items()} if state.exists else {}
-    changed = set()
-    watermark = state.getCurrentWatermarkMs()
-    if not state.hasTimedOut:
-        for pdf in pdfs:
-            # late rows: a request day the watermark has passed is closed
-            open_day = {d: _day_end_ms(d, tz) > watermark for d in pdf["day"].unique()}
-            pdf = pdf[pdf["day"].map(open_day)]
-            if pdf.empty:
-                continue
-            counts = pdf["day"].value_counts().to_dict()
-            top = (pdf.sort_values(["confidence", "event_id"], ascending=[False, True])
-                   .groupby("day", sort=False).head(2))
-            fresh: dict[str, list] = {}
-            for day, conf, eid, k in top[["day", "confidence", "event_id", "key"]].itertuples(index=False, name=None):
-                fresh.setdefault(day, []).append((conf, eid, k))
-            for day, cands in fresh.items():
-                n0, k1, c1, i1, k2, c2, i2 = days.get(day, (0, None, None, None, None, None, None))
-                best = [(c, i, k) for c, i, k in ((c1, i1, k1), (c2, i2, k2)) if k is not None] + cands
-                best = sorted(best, key=lambda x: (-x[0], x[1]))[:2]
-                (b1, j1, l1) = best[0]
-                (b2, j2, l2) = best[1] if len(best) > 1 else (None, None, None)
-                days[day] = (min(n0 + counts[day], 2), l1, float(b1), int(j1),
-                             l2, None if b2 is None else float(b2), None if j2 is None else int(j2))
-                changed.add(day)
-    days = {d: v for d, v in days.items() if _day_end_ms(d, tz) > watermark or d in changed}
-    if not days:
-        state.remove()
-    else:
-        state.update(({d: v for d, v in days.items()},))
-        state.setTimeoutTimestamp(max(watermark + 1, min(_day_end_ms(d, tz) for d in days)))
-    if changed:
-        (user_id,) = key
-        rows = [(user_id, d, days[d][0], days[d][1], days[d][2], days[d][4], days[d][5]) for d in sorted(changed)]
-        yield pd.DataFrame(rows, columns=["user_id", "day", "n_ranked", "key1", "conf1", "key2", "conf2"])
-
-
-def stream_gate(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """J4 state: the gate (C6-C9) per request (user, day) as candidates
-    arrive, exact across micro-batches; emits a request whenever its best two
-    change (update mode). One state per user keeps Python calls per user."""
-    tz = events.sparkSession.conf.get("spark.sql.session.timeZone")
-    cands = _candidates(events.withWatermark("ts", watermark))
-    top = cands.groupBy("user_id").applyInPandasWithState(
-        functools.partial(_fold_top2, tz=tz), TOP2_OUT, TOP2_STATE, "update", GroupStateTimeout.EventTimeTimeout)
-    return _gate_columns(confidence_gate(top))
-
-
-def stream_feedback(events: DataFrame, path: str, checkpoint: str):
-    """A7 as messages arrive, gate (C8) included: each micro-batch's
-    updated requests are written to ``path/batch=<id>`` with overwrite (a
-    replay is idempotent); the latest batch holds a request's current gate."""
+def stream_feedback(events: DataFrame, path: str, checkpoint: str, watermark: str = WATERMARK):
+    """A7 as messages arrive, gate (C8) included, exact across micro-batches.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    A batch's best two candidates per request (user, day) are merged with those of
+    the open days so far, kept in ``<path>-state/batch=<id - 1>``, and written as
+    ``batch=<id>`` next to the gate of every request the batch touched
+    (``path/batch=<id>``). A day is open until the watermark (the latest event time of
+    earlier batches less the delay) passes its end; later rows for it are late data
+    and ignored, and its candidates leave the state. Every write overwrites its batch
+    folder, so a replay is idempotent."""
+    spark = events.sparkSession
+    state_at = f"{path.rstrip('/')}-state"
 
-    return (stream_gate(events).writeStream.foreachBatch(write).outputMode("update")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        cands = _candidates(batch)
+        seen = None
+        if batch_id > 0:
+            state = spark.read.parquet(f"{state_at}/batch={batch_id - 1}")
+            seen = state.agg(F.max("seen")).first()[0]
+        day_end = F.to_timestamp(F.date_add(F.to_date("day"), 1))
+        is_open = F.lit(True) if seen is None else day_end > F.lit(seen) - F.expr(f"INTERVAL {watermark}")
+        fresh = cands.filter(is_open).select("user_id", "day", "event_id", "key", "confidence")
+        both = fresh.withColumn("fresh", F.lit(True))
+        if batch_id > 0:
+            kept = state.where("user_id is not null").filter(is_open)
+            both = both.unionByName(kept.select(*fresh.columns, F.lit(False).alias("fresh")))
+        keys = ["user_id", "day"]
+        best = rank_candidates(both, keys, [F.col("confidence").desc(), F.col("event_id")], top=2)
+        latest = batch.agg(F.greatest(F.max("ts"), F.lit(seen).cast("timestamp")).alias("seen"))
+        # the state: candidates, and one row that carries the latest event time
+        rows = best.select(*fresh.columns, F.lit(None).cast("timestamp").alias("seen"))
+        marker = latest.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fresh.schema], "seen")
+        rows.unionByName(marker).write.mode("overwrite").parquet(f"{state_at}/batch={batch_id}")
+        touched = fresh.select(*keys).distinct()
+        new = spark.read.parquet(f"{state_at}/batch={batch_id}").where("user_id is not null")
+        ranked = rank_candidates(new.join(touched, keys, "left_semi"), keys,
+                                 [F.col("confidence").desc(), F.col("event_id")], top=2)
+        _gate_columns(confidence_gate(top_two(ranked, keys))).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (events.writeStream.foreachBatch(write).outputMode("append")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 

@@ -12,13 +12,16 @@ from colloquy.operators import keywords as D
 from colloquy.operators import paths as G
 from colloquy.operators import recommend as I
 from colloquy.operators import state as S
-from colloquy.operators.scan import carry_last, turn_chunk
+from colloquy.operators.scan import carry_last, running, turn_chunk
 
 
 def rows(df, *cols):
     return [tuple(r[c] for c in cols) for r in df.collect()]
 
 
+rows_of = rows
+
+
 def test_b1_repair_modes(spark):
     df = spark.createDataFrame([("l\u0092un c\u009cur 5\u0080 net",)], "text string")
     out = df.select(B.repair_text("text", "full").alias("f"), B.repair_text("text", "no_nbsp").alias("n"),
@@ -55,6 +58,23 @@ def test_b5_parse_event_time(spark):
     assert got == [dt.datetime(2024, 1, 2, 3, 4, 5, 123456), dt.datetime(2024, 1, 2, 3, 4, 5), None]
 
 
+def test_b5_knows_no_time_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:  # an hour that the zone skips
+        df = spark.createDataFrame([("2021-03-28 02:30:00.000000",), ("2021-03-28 02:30:00\n",), ("2021-02-30 00:00:00",)],
+                                   "t string")
+        got = [r[0] for r in df.select(B.parse_event_time("t").cast("string")).collect()]
+        assert got == ["2021-03-28 02:30:00", None, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_b8_folds_every_latin_letter(spark):
+    df = spark.createDataFrame([("  Œuvre ŠŽ \ufb01n e\u0301te\u0301 Ấ ",)], "t string")
+    assert df.select(B.fold_text("t")).first()[0] == "oeuvre sz fin ete a"
+
+
 def test_b10_spans(spark):
     df = spark.createDataFrame([(1, "[a](b)"), (2, "[a]b"), (3, "[a][b]"), (4, "un [x](y) et [z](w)")],
                                "doc_id int, text string")
@@ -165,12 +185,46 @@ def test_f10_auth(spark):
     assert rows(o.orderBy("seq"), "seq", "outcome") == [(1, "no_code"), (3, "retry"), (5, "success")]
 
 
+G_SCHEMA = ("event_id int, intent string, active_loop string, loop_now string, last_action string, "
+            "slots map<string, string>")
+
+
 def test_g1_specific_rule_wins(spark):
-    ev = spark.createDataFrame([(1, "faq", None, None), (2, "faq", G.FORM, None), (3, "faq", G.FORM, "true"),
-                                (4, "deny", None, None)],
-                               "event_id int, intent string, active_loop string, confusion string")
-    out = dict(rows(G.rule_lookup(ev, G.rules_frame(spark), "event_id", len(G.RULES)), "event_id", "rule"))
-    assert out == {1: "faq_no_confusion", 2: "faq_in_form_no_confusion", 3: "faq_in_form_confusion", 4: None}
+    ev = spark.createDataFrame([
+        (1, "faq", None, None, None, {}), (2, "faq", G.FORM, G.FORM, None, {}),
+        (3, "faq", G.FORM, G.FORM, None, {"confusion": "true"}), (4, "deny", None, None, None, {}),
+        (5, "deny", G.FORM, G.FORM, G.FORM, {}), (6, "deny", None, None, "action_bot_utterances_list", None),
+        (7, None, G.FORM, None, G.FORM, {}),                                  # the form was submitted: no loop left
+        (8, None, G.FORM, G.FORM, G.FORM, {}),                                # still active: the rule asks for none
+        (9, None, "check_password_form", None, "check_password_form", {"misspelled_password": "true"}),
+        (10, None, "check_password_form", None, "check_password_form", {"misspelled_password": None}),
+        (1, "greet", None, None, None, {})], G_SCHEMA)
+    got = sorted((r["event_id"], r["rule"]) for r in G.rule_lookup(ev, G.rules_frame(spark), "event_id").collect())
+    assert got == [(1, "faq_no_confusion"), (1, "greet"), (2, "faq_in_form_no_confusion"), (3, "faq_in_form_confusion"),
+                   (4, None), (5, "deny_in_form"), (6, "reformulated_deny"), (7, "submit_note"), (8, None),
+                   (9, "password_wrong"), (10, "password_right")]
+    assert len({r for r, *_ in G.RULE_STEPS}) == 29
+
+
+def test_g1_any_number_of_rules(spark):
+    steps = [(f"r{i:04d}", p, k, v) for i in range(400) for p, k, v in
+             ((1, "intent", f"i{i % 7}"), (2, "slot", f"s{i}=x"), (3, "action", f"do{i}"))]
+    ev = spark.createDataFrame([(1, "i3", None, None, None, {"s10": "x", "s24": "x"}), (1, "i3", None, None, None, {})], G_SCHEMA)
+    got = G.rule_lookup(ev, spark.createDataFrame(steps, G.RULE_SCHEMA), "event_id")
+    assert sorted((r["rule"] or "") for r in got.collect()) == ["", "r0010"]
+
+
+def test_g2_g3_null_steps_and_stories(spark):
+    told = ["ask_reformulate", "action_utter_reformulate", "action_bot_utterances_list", "affirm",
+            "action_no_further_reformulation"]
+    rows = [(1, i, x) for i, x in enumerate(told)] + [(2, 0, "a"), (2, 1, None), (2, 2, "c"), (2, 3, "a"), (2, 4, "c")]
+    df = spark.createDataFrame(rows, "k int, seq int, step string")
+    for chunk in (None, F.floor(F.col("seq") / 2)):
+        prev = {r["seq"]: (r["prev1"], r["prev2"]) for r in
+                G.previous_steps(df, "k", ["seq"], "step", chunk=chunk).where("k = 2").collect()}
+        assert prev == {0: (None, None), 1: ("a", None), 2: (None, "a"), 3: ("c", None), 4: ("a", "c")}
+        met = G.path_conformance(df, "k", ["seq"], "step", G.stories_frame(spark), chunk=chunk)
+        assert rows_of(met, "k", "path", "n_matches") == [(1, "reformulated_affirm", 1)]
 
 
 def test_h2_priority(spark):
@@ -221,6 +275,31 @@ def test_carry_last_chunked_equals_window(spark):
     assert excl_p == excl_c
 
 
+def test_carry_last_null_keys_and_many_values(spark):
+    df = spark.range(0, 200).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("k"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 11 == 0, F.col("id")).alias("v"))
+    plain, cut = (running(df, "k", "turn", {"a": F.col("v"), "b": F.col("turn")}, {"p": (F.col("v"), 3)},
+                          inclusive=False, chunk=c) for c in (None, turn_chunk(width=7)))
+    cols = ("turn", "a", "b", "p1", "p2", "p3")
+    assert sorted(rows(plain, *cols), key=str) == sorted(rows(cut, *cols), key=str)
+    assert any(r["a"] is not None for r in cut.where("k is null").collect())
+
+
+def test_c5_whole_token_sequences(spark):
+    docs = spark.createDataFrame([(1, "la grippe covid ici"), (2, "un test COVID-19."), (3, "c est bon"), (4, "en c++ !"),
+                                  (5, "un new yorker"), (6, "a New York"), (7, "la 4G et g")], "doc_id int, text string")
+    gaz = spark.createDataFrame([("covid-19", "m"), ("c++", "l"), ("new york", "v"), ("4G", "r")], "value string, entity string")
+    assert sorted(rows(C.entity_match(docs, gaz, ["doc_id"]), "doc_id", "value")) == [
+        (2, "covid-19"), (4, "c++"), (6, "new york"), (7, "4g")]
+
+
+def test_i1_empty_words(spark):
+    words = spark.createDataFrame([(1, ""), (2, None), (3, "ab")], "id int, word string")
+    vocab = spark.createDataFrame([("",), ("ab",)], "item string")
+    assert sorted(rows(I.fuzzy_match(words, vocab, ["id"]), "id", "item", "similarity")) == [(1, "", 100.0), (3, "ab", 100.0)]
+
+
 def test_stop_words_are_sparks(spark):
     from pyspark.ml.feature import StopWordsRemover
 
@@ -242,8 +321,9 @@ def test_a4_a6_round_trip(spark, tmp_path):
     bank = spark.createDataFrame([(1, 0, "Faut-il un visa ?"), (1, 1, "Un visa\nest obligatoire ?"),
                                   (2, 0, "Passeport l\u0092avion")], "id int, pos long, text string")
     path = str(tmp_path / "nlu")
-    A.write_blocks(A.training_lines(bank), path, header=A.TRAINING_HEADER)
-    text = "".join(open(f, encoding="utf-8").read() for f in sorted((tmp_path / "nlu").glob("part-*")))
+    A.emit_training_blocks(bank, path)
+    (file,) = (tmp_path / "nlu").glob("first=0/part=*/part-*.txt")
+    text = file.read_text(encoding="utf-8")
     assert text.startswith('version: "2.0"')
     assert "- intent: faq/1\n  examples: |\n    - Faut-il un visa ?\n    - Un visa est obligatoire ?\n" in text
     back = sorted(rows(A.read_training_blocks(spark, path), "intent", "pos", "text"))
@@ -251,6 +331,43 @@ def test_a4_a6_round_trip(spark, tmp_path):
                     ("faq/2", 1, "Passeport l'avion")]
 
 
+def test_blocks_do_not_show(spark, tmp_path):
+    """Whatever the block size, every document has its header, names an id once, and the rows read back are the same."""
+    from colloquy.sources import banks as A
+
+    texts = ["avant\u0085apres", " blanc \u2028 ", "x", '- intent: faq/9', 'a "quoted" one', "", "last"]
+    bank = spark.createDataFrame([(i, 10 * n, t) for i in (1, 2) for n, t in enumerate(texts)], "id int, pos long, text string")
+    want = sorted((i, n + 1, t) for i in (1, 2) for n, t in enumerate(texts))
+    for size in (2, 1000):
+        for bytes_ in (4, 1 << 20):
+            kw = {"block_rows": size, "block_bytes": bytes_}
+            at = str(tmp_path / f"{size}-{bytes_}")
+            A.write_grouped_json(bank, at + "j", **kw)
+            A.emit_training_blocks(bank, at + "t", **kw)
+            A.emit_response_blocks(bank, at + "r", **kw)
+            assert sorted((int(a), b, c) for a, b, c in rows(A.read_grouped_json(spark, at + "j"), "id", "pos", "text")) == want
+            got = rows(A.read_training_blocks(spark, at + "t"), "intent", "pos", "text")
+            assert sorted((int(a[4:]), b, c) for a, b, c in got) == want
+            got = rows(A.read_response_blocks(spark, at + "r"), "response", "pos", "text")
+            assert sorted((int(a[10:]), b, c) for a, b, c in got) == want
+            import pathlib
+            for f in pathlib.Path(at + "r").glob("**/part-*.txt"):
+                body = f.read_text(encoding="utf-8")
+                assert body.startswith("version:") and all(body.count(f"utter_faq/{i}:") <= 1 for i in (1, 2))
+
+
+def test_a1_keeps_blanks_and_reports_bad_rows(spark, tmp_path):
+    from colloquy.sources import banks as A
+
+    bank = spark.createDataFrame([(1, "  lead trail  "), (1, ""), (2, None), (2, "z")], "id int, text string")
+    A.write_bank(bank, str(tmp_path / "w"))
+    assert sorted(rows(A.read_bank(spark, str(tmp_path / "w")), "id", "text")) == [(1, ""), (1, "  lead trail  "), (2, "z")]
+    p = tmp_path / "bad.csv"
+    p.write_text("id;t\n1;bon\nx7;perdu\n2;a;b\n1;encore\n", encoding="utf-8")
+    assert sorted(rows(A.read_bank(spark, str(p)), "id", "pos", "text")) == [(1, 0, "bon"), (1, 1, "encore")]
+    assert sorted(r["record"] for r in A.bank_rejects(spark, str(p)).collect()) == ["2;a;b", "x7;perdu"]
+
+
 def test_a8_item_matrix(spark, tmp_path):
     from colloquy.sources import banks as A
 
@@ -292,16 +409,6 @@ def test_a1_reads_reference_csv_shape(spark, tmp_path):
     assert got == [(1, "Le visa est-il obligatoire ? "), (1, "Un visa ?"), (2, "Deux lignes\net un ; dedans")]
 
 
-def test_g1_join_path_equals_inline(spark, monkeypatch):
-    ev = spark.createDataFrame([(1, "faq", None, None), (2, "faq", G.FORM, None), (3, "faq", G.FORM, "true"),
-                                (4, "deny", G.FORM, None), (5, "greet", None, None)],
-                               "event_id int, intent string, active_loop string, confusion string")
-    inline = sorted(rows(G.rule_lookup(ev, G.rules_frame(spark), "event_id"), "event_id", "rule", "actions"))
-    monkeypatch.setattr(G, "MAX_INLINE_RULES", 0)
-    joined = sorted(rows(G.rule_lookup(ev, G.rules_frame(spark), "event_id"), "event_id", "rule", "actions"))
-    assert inline == joined and inline[4][1] is None and inline[3][1] == "deny_in_form"
-
-
 def test_f2_f3_opening_user_and_non_faq_turn(spark):
     conv = spark.createDataFrame([(1, 0, "user", "q1", "faq"), (1, 1, "assistant", "a1", None),
                                   (1, 2, "user", "salut", "chitchat"), (1, 3, "assistant", "a2", None)],
@@ -312,3 +419,46 @@ def test_f2_f3_opening_user_and_non_faq_turn(spark):
     f3 = S.last_faq_answer(conv, "conv_id", ["turn"], "role", "intent", chunk=turn_chunk(width=2))
     # the answer after the chit-chat turn does not replace the last FAQ answer
     assert [r["last_faq_answer"] for r in f3.orderBy("turn").collect()] == [None, "a1", "a1", "a1"]
+
+
+def test_f3_answers_wait_for_the_carried_intent(spark):
+    turns = [("user", "faq"), ("assistant", None), ("assistant", None), ("user", "chitchat"), ("assistant", None),
+             ("assistant", None), ("user", "faq"), ("assistant", None)] * 3
+    conv = spark.createDataFrame([(1, i, r, f"t{i}", x) for i, (r, x) in enumerate(turns)],
+                                 "conv_id int, turn int, role string, text string, intent string")
+    want, intent, last = [], None, None
+    for i, (role, x) in enumerate(turns):
+        intent = x or intent
+        last = f"t{i}" if role == "assistant" and intent == "faq" else last
+        want.append(last)
+    for width in (1, 2, 3, 5, 100):
+        got = S.last_faq_answer(conv, "conv_id", "turn", "role", "intent", chunk=turn_chunk(width=width))
+        assert [r["last_faq_answer"] for r in got.orderBy("turn").collect()] == want
+
+
+def test_f7_chunks_do_not_show(spark):
+    base = dt.datetime(2024, 1, 1)
+    import random
+    rnd = random.Random(4)
+    at, rows_ = 0, []
+    for i in range(300):
+        at += rnd.choice([1, 20, 59, 60, 61, 200])
+        rows_.append((None if i % 2 else 1, i, base + dt.timedelta(minutes=at)))
+    ev = spark.createDataFrame(rows_, "user_id int, event_id int, ts timestamp_ntz")
+    plain = sorted(rows(S.sessions(ev, "user_id"), "event_id", "session_start"))
+    for unit in ("hour", "day", "minute"):
+        assert sorted(rows(S.sessions(ev, "user_id", chunk=F.date_trunc(unit, "ts")), "event_id", "session_start")) == plain
+
+
+def test_f11_types(spark):
+    import colloquy.plans.state_queries as Q
+
+    ev = spark.createDataFrame([], "user_id long, event_id long, ts timestamp_ntz, day string, event_type string, "
+                                   "props string, intent string, note_text string")
+    gate = spark.createDataFrame([], "user_id long, day string, key1 string, conf1 double, "
+                                     "bot_question_confusion int, bot_question_incomprehension int")
+    out = S.interaction_facts(ev, gate, ["user_id"], ["ts", "event_id"], F.col("props"), F.col("props"), F.lit(True),
+                              F.lit(1), "intent", "note_text", F.col("event_id"), "ts", ["user_id", "day"])
+    assert out.columns == Q.FACT_COLUMNS
+    kinds = dict(out.dtypes)
+    assert kinds["question_id"] == "int" and kinds["time_user_question"] == kinds["time_bot_answer"] == "timestamp"

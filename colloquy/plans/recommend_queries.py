@@ -3,10 +3,10 @@
 I1 folds a misspelled form of each event's type (k % 3: as is, one letter dropped,
 upper case with accents) and matches it to the event types. I2 is one-hot over the
 event types. For I3-I5 an item is an event type in the lower or upper half of k
-(``view-0``, ``view-1``, ...: ten items). The points are users with all they ever
-produced, read from the item matrix of A8; a user's role is user_id % 7. A request
+(``view-0``, ``view-1``, ...: ten items). The points are a user's weeks (of seven days
+of the year), read from the item matrix of A8; a user's role is user_id % 7. A request
 (user_id, day) asks for the items of that day. A role's items are those of its first
-point (smallest user_id), as the reference takes the first matrix row of a role.
+point (smallest number), as the reference takes the first matrix row of a role.
 """
 
 from __future__ import annotations
@@ -59,8 +59,9 @@ HALVES = [f"{i}-{h}" for i in ITEMS for h in (0, 1)]
 _HALF_SQL = "event_type || '-' || (json_extract_string(props, '$.k')::INTEGER // 50)::VARCHAR"
 _ITEM_BITS_SQL = "(VALUES " + ", ".join(f"({L(it)}, {1 << i})" for i, it in enumerate(HALVES)) + ") AS ib(item, bit)"
 _KNN_SQL = f"""
-ev AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, {_HALF_SQL} AS item FROM events),
-p AS (SELECT user_id AS point_id, user_id % 7 AS label, sum(DISTINCT ib.bit)::INTEGER AS pattern
+ev AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, user_id * 100 + dayofyear(ts) // 7 AS point_id,
+         {_HALF_SQL} AS item FROM events),
+p AS (SELECT point_id, point_id // 100 % 7 AS label, sum(DISTINCT ib.bit)::INTEGER AS pattern
       FROM ev JOIN {_ITEM_BITS_SQL} USING (item) GROUP BY ALL),
 q AS (SELECT user_id, day, sum(DISTINCT ib.bit)::INTEGER AS pattern FROM ev JOIN {_ITEM_BITS_SQL} USING (item) GROUP BY ALL),
 qp AS (SELECT DISTINCT pattern FROM q),
@@ -73,20 +74,21 @@ knn AS (SELECT user_id, day, predicted_label, votes FROM q JOIN best USING (patt
 
 
 def _asked(spark, sf_dir):
-    ev = X.events(spark, sf_dir, "user_id", "day", "event_type", "k")
+    ev = X.events(spark, sf_dir, "user_id", "day", "ts", "event_type", "k")
     half = F.concat_ws("-", "event_type", F.expr("cast(k div 50 as string)"))
-    return ev.select("user_id", "day", half.alias("item"))
+    point = F.col("user_id") * 100 + F.expr("dayofyear(ts) div 7")
+    return ev.select("user_id", "day", point.alias("point_id"), half.alias("item"))
 
 
 def _points(spark, sf_dir):
-    """Item matrix (A8) written and read back, one pattern per user."""
-    wide = I.one_hot(_asked(spark, sf_dir), ["user_id"], "item", HALVES).withColumnRenamed("user_id", "role")
+    """Item matrix (A8) written and read back, one pattern per user and week."""
+    wide = I.one_hot(_asked(spark, sf_dir), ["point_id"], "item", HALVES).withColumnRenamed("point_id", "role")
     path = scratch_path(spark, "item-matrix")
     A.write_item_matrix(wide, path)
     rows = A.read_item_matrix(spark, path, "role", HALVES)
-    user = F.col("role").cast("bigint")
+    point = F.col("role").cast("bigint")
     return I.item_pattern(rows, ["role"], "item", HALVES).select(
-        user.alias("point_id"), (user % 7).alias("label"), "pattern")
+        point.alias("point_id"), F.expr("cast(role as bigint) div 100 % 7").alias("label"), "pattern")
 
 
 REQ = ["user_id", "day"]
@@ -118,7 +120,7 @@ miss AS (SELECT k.user_id, k.day, ib.item, ib.bit FROM knn k JOIN ri ON ri.label
 
 
 def _missing(spark, sf_dir):
-    asked = _asked(spark, sf_dir).distinct()
+    asked = _asked(spark, sf_dir).select(*REQ, "item").distinct()
     return I.missing_items(_predicted(spark, sf_dir), _role_items(spark, sf_dir), asked, REQ)
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +42,24 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+_SHIPPED: set[str] = set()  # applications that have the package
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once per application), so that Python
+    functions run there wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="colloquy-pkg-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply library defaults that the session does not set yet. A ``local`` session
     (tests, the bench, the driver's own checks) without ``spark.checkpoint.dir`` gets a
@@ -51,6 +71,7 @@ def configure(spark: SparkSession) -> SparkSession:
     if not _named_dir(spark) and (master == "local" or master.startswith("local[")):
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="colloquy-ckpt-"))
     shared_dir(spark)
+    ship_package(spark)
     return spark
 
 

@@ -43,5 +43,8 @@ def test_running_state_windows_are_chunked(spark, name):
     so a hot key spreads over many tasks, and rows are shuffled once."""
     plan = _plan(spark, name)
     specs = re.findall(r"windowspecdefinition\(([^)]*)", plan)
-    assert specs and all("_k" in s for s in specs), specs
-    assert len(re.findall("Exchange hashpartitioning", plan.split("Initial Plan")[-1])) <= 4, plan
+    assert any(s.startswith("_k#") for s in specs), specs
+    # the other windows are over the chunk table; none is over rows by the bare key
+    assert not [s for s in specs if re.match("(conv_id|user_id)#", s)], specs
+    limit = 5 if name.startswith("g3") else 4  # G3 also counts steps and picks the best
+    assert len(re.findall("Exchange hashpartitioning", plan.split("Initial Plan")[-1])) <= limit, plan

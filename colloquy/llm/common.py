@@ -64,8 +64,8 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
     gathered; every round is written to the shared folder, which cuts the lineage."""
     norm = edges.where(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    e, last = materialize(norm.distinct(), name), None
-    while True:
+    e = materialize(norm.distinct(), name)
+    while not _stars(e):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = (both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -77,9 +77,12 @@ def connected_components(edges: DataFrame, name: str) -> DataFrame:
             F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b")
             .where("a <> b").distinct())
         e = materialize(small, name)
-        now = tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
-        if now == last:
-            break
-        last = now
     pairs = e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return pairs.unionByName(pairs.select(F.col("root").alias("node"), F.col("root")).distinct())
+
+
+def _stars(e: DataFrame) -> bool:
+    """True if every node has one edge and no root has one: the edges name the roots."""
+    nodes = e.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    roots = e.select(F.col("b").alias("a")).distinct().withColumn("root", F.lit(True))
+    return nodes.join(roots, "a", "left").where("n > 1 or root").isEmpty()

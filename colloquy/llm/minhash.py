@@ -150,7 +150,9 @@ def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b): links between classes' smallest ids that connect what is linked at all."""
     slots = classes.select("id", F.explode("bands").alias("band"))
     low = slots.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    edges = slots.join(low, "band").where("id > low").select(F.col("id").alias("a"), F.col("low").alias("b"))
+    low = materialize(low.select("band", "low"), "minhash_bands")  # written, so that the join can split a crowded band
+    # by shuffle at any size: neither the shared bands nor the members below stay small as documents grow
+    edges = slots.join(low.hint("merge"), "band").where("id > low").select(F.col("id").alias("a"), F.col("low").alias("b"))
     family = connected_components(edges, "minhash_family").withColumnRenamed("node", "id")
     member = materialize(family.join(classes.select("id", "name", "n"), "id"), "minhash_members")
     blocks = member.groupBy("root").agg(
@@ -158,7 +160,7 @@ def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     dealt = (member.join(blocks, "root")
              .withColumn("block", F.pmod(F.xxhash64("id", "name"), F.col("blocks")).cast("int")))
     slim = id_text(docs).select("doc_id", F.col("text").cast("binary").alias("text")).where("doc_id is not null")
-    texts = dealt.join(slim, dealt["id"] == slim["doc_id"]).select("root", "blocks", "block", "id", "name", "text")
+    texts = slim.join(dealt.hint("merge"), dealt["id"] == slim["doc_id"]).select("root", "blocks", "block", "id", "name", "text")
 
     def sets(batches):
         for pdf in batches:
@@ -199,10 +201,19 @@ def components(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """One document of each component: the one that names it. Repeated rows of it count as copies too."""
+    """One document of each component: the one that names it. Where rows repeat a
+    doc_id, one of them stays; of documents without any id, one per text."""
     kept = components(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    out = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
-    return out
+    number = docs["doc_id"].cast("long")
+    out = docs.join(kept, number.eqNullSafe(kept["_kept"]), "left_semi")
+    repeated = docs.groupBy(number.alias("d")).count().where("count > 1")
+    if repeated.isEmpty():  # reads ids only, and spares a shuffle of the texts
+        return out
+    key = "_key"
+    while key in docs.columns:
+        key += "_"
+    name = F.coalesce(number.cast("string"), F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")))
+    return out.withColumn(key, name).dropDuplicates([key]).drop(key)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 Method: vectors of length one are assigned to coarse inverted lists; their residuals
 are split into ``SUB`` subspaces and coded by the nearest of 256 centroids each. A query
-probes inverted lists and reads, per list, a table of distances to the centroids
-(asymmetric: the query is not quantised); members whose table distance allows a
-cosine of 0.93 are reranked by the exact cosine in double precision.
+probes inverted lists; its distance to a member comes from table look-ups (asymmetric:
+the query is not quantised): |q-c|^2 from the coarse centroid, a number stored with the
+member, and one table per query of its products with the subspace centroids. Members
+whose distance allows a cosine of 0.93 are reranked by the exact cosine in double precision.
 
 Probes and cut-offs are sufficient, not guessed: two unit vectors of cosine 0.93 are at
 most r = sqrt(0.14) apart. If y lies in list c, the query's distance to the plane half
@@ -15,8 +16,10 @@ distance is over r + e_y. Within rounding, no link is lost, at any fit.
 Equal vectors of a label are one class with a count. The coarse centroids (about one
 per ``LIST_ROWS`` of the sample's share, at most 1,024) and the subspace centroids are
 fitted on a bounded sample of ``FIT_ROWS`` vectors; every row is indexed and is a query.
-A list and its queries are dealt in blocks of ``BLOCK`` rows, so a crowded list is many
-tasks. Tasks emit, per query, a number of links and a spanning forest, never the pairs.
+The lists of a label are dealt to shelves of about ``BLOCK`` members, and a query goes once
+to each shelf that holds a list it probes. A shelf and its queries are dealt in blocks, so
+a crowded list is many tasks. Tasks emit, per query, a number of links and a spanning
+forest, never the pairs.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components,
 and rows without a label, link with nothing and are their own component; vectors of different
@@ -36,7 +39,7 @@ from colloquy.llm.common import connected_components
 from colloquy.llm.minhash import Forest
 from colloquy.session import materialize, read_table
 
-COSINE, SUB, FIT_ROWS, LIST_ROWS, BLOCK = 0.93, 16, 16_384, 512, 2_048
+COSINE, SUB, FIT_ROWS, LIST_ROWS, BLOCK = 0.93, 16, 16_384, 512, 4_096
 RADIUS = np.sqrt(2 - 2 * COSINE) + 1e-6
 
 
@@ -76,16 +79,20 @@ class Quantiser:
     def lists(self, x: np.ndarray) -> np.ndarray:
         return self.far(x).argmin(axis=1)
 
-    def encode(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Codes (row x SUB) and the distance of each vector to its decoded form."""
+    def encode(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes (row x SUB), the distance of each vector to its decoded form, and the
+        member's own part of any squared distance to it: |r|^2 + 2 c.r for the coded residual r."""
         parts = self._parts(x - self.coarse[at])
+        centre = self._parts(self.coarse[at])
         codes = np.empty((len(x), SUB), dtype=np.uint8)
-        error = np.zeros(len(x))
+        error, own = np.zeros(len(x)), np.zeros(len(x))
         for s, c in enumerate(self.fine):
             d = (parts[:, s] ** 2).sum(1)[:, None] + (c ** 2).sum(1) - 2 * parts[:, s] @ c.T
             codes[:, s] = d.argmin(axis=1)
-            error += np.maximum(0, d.min(axis=1))
-        return codes, np.sqrt(error)
+            r = c[codes[:, s]]
+            error += ((parts[:, s] - r) ** 2).sum(1)
+            own += (r ** 2).sum(1) + 2 * (centre[:, s] * r).sum(1)
+        return codes, np.sqrt(error), own
 
     def probes(self, x: np.ndarray) -> list[np.ndarray]:
         """For each query the lists that can hold a vector within RADIUS."""
@@ -95,12 +102,12 @@ class Quantiser:
         plane = (d ** 2 - d[np.arange(len(x)), own, None] ** 2) / (2 * np.maximum(gap, 1e-12))
         return [np.flatnonzero(row) for row in (plane <= RADIUS + 1e-9) | (gap == 0)]
 
-    def tables(self, x: np.ndarray, at: int) -> np.ndarray:
-        """Squared distances (query x SUB x 256) of the queries' residuals to the fine centroids."""
-        parts = self._parts(x - self.coarse[at])
-        out = np.full((len(x), SUB, 256), np.inf)
+    def tables(self, x: np.ndarray) -> np.ndarray:
+        """Products of the queries' parts with the subspace centroids (query x SUB x 256)."""
+        parts = self._parts(x)
+        out = np.zeros((len(x), SUB, 256))
         for s, c in enumerate(self.fine):
-            out[:, s, : len(c)] = ((parts[:, s, None] - c[None]) ** 2).sum(-1)
+            out[:, s, : len(c)] = parts[:, s] @ c.T
         return out
 
 
@@ -156,28 +163,30 @@ def near_vectors(vecs: DataFrame) -> DataFrame:
         for pdf in batches:
             x = _unit(pdf["v"], m.dim)
             at = m.lists(x)
-            codes, error = m.encode(x, at)
+            codes, error, own = m.encode(x, at)
             yield pd.DataFrame({
                 "label": pdf["label"], "dim": pdf["v"].map(len), "list": at, "cls": pdf["cls"], "copies": pdf["copies"],
-                "codes": [c.tobytes() for c in codes], "error": error, "x": [r.tobytes() for r in x],
+                "codes": [c.tobytes() for c in codes], "error": error, "own": own, "x": [r.tobytes() for r in x],
                 "probes": m.probes(x)})
 
     coded = materialize(classes.mapInPandas(
-        index, "label string, dim int, list int, cls long, copies long, codes binary, error double, x binary, "
-               "probes array<int>"), "pq_index")
-    sizes = coded.groupBy("label", "dim", "list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    cell = ["label", "dim", "list"]
-    part = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    members = coded.drop("probes").join(sizes, cell).select(
-        *cell, "cls", "copies", "codes", "error", "x", part.alias("block"))
-    # queries of one list meet its members list by list, block by block; they are cut by their own hash as well
-    queries = coded.select("label", "dim", F.explode("probes").alias("list"), "cls", "x")
-    asked = queries.groupBy(cell).agg(F.ceil(F.count(F.lit(1)) / (4 * BLOCK)).cast("int").alias("cuts"))
-    queries = (queries.join(sizes, cell).join(asked, cell)
-               .withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
+        index, "label string, dim int, list int, cls long, copies long, codes binary, error double, own double, "
+               "x binary, probes array<int>"), "pq_index")
+    shelves = coded.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("shelves"))
+    coded = coded.join(shelves, ["label", "dim"])
+    cell = ["label", "dim", "shelf"]
+    members = coded.withColumn("shelf", F.col("list") % F.col("shelves")).select(
+        *cell, "list", "cls", "copies", "codes", "error", "own", "x")
+    queries = coded.withColumn("shelf", F.explode(F.array_distinct(F.transform(
+        "probes", lambda p: p % F.col("shelves"))))).select(*cell, "cls", "x", "probes")
+    sizes = members.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    asked = queries.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / (4 * BLOCK)).cast("int").alias("cuts"))
+    both = sizes.join(asked, cell)
+    queries = (queries.join(both, cell).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
                .withColumn("cut", F.pmod(F.xxhash64("cls", F.lit(5)), F.col("cuts")).cast("int"))
-               .select(*cell, "block", "cut", "cls", "x"))
-    members = members.join(asked, cell).withColumn("cut", F.explode(F.expr("sequence(0, cuts - 1)")))
+               .select(*cell, "block", "cut", "cls", "x", "probes"))
+    members = (members.join(both, cell).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+               .withColumn("cut", F.explode(F.expr("sequence(0, cuts - 1)"))).drop("blocks", "cuts"))
     queries = queries.toDF(*queries.columns)  # columns of their own: both sides come from the index
 
     def search(key, ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
@@ -185,28 +194,34 @@ def near_vectors(vecs: DataFrame) -> DataFrame:
         if not len(ask) or not len(have):
             return out
         m = sent.value
-        have = have.sort_values("cls", kind="stable")
+        have = have.sort_values(["list", "cls"], kind="stable")
         ask = ask.sort_values("cls", kind="stable")
         codes = np.frombuffer(b"".join(have["codes"]), dtype=np.uint8).reshape(-1, SUB)
         y = np.frombuffer(b"".join(have["x"])).reshape(len(have), -1)
         q = np.frombuffer(b"".join(ask["x"])).reshape(len(ask), -1)
-        reach = (RADIUS + have["error"].to_numpy()) ** 2
+        reach, own = (RADIUS + have["error"].to_numpy()) ** 2, have["own"].to_numpy()
         copies, mine, theirs = have["copies"].to_numpy(), ask["cls"].to_numpy(), have["cls"].to_numpy()
+        wanted = np.zeros((len(q), len(m.coarse)), dtype=bool)
+        for i, probes in enumerate(ask["probes"]):
+            wanted[i, probes] = True
         nodes = np.unique(np.r_[mine, theirs])
         forest, edges, counts = Forest(len(nodes)), [], np.zeros(len(ask), dtype=np.int64)
-        place, own = np.searchsorted(nodes, theirs), np.searchsorted(nodes, mine)
-        for lo in range(0, len(q), 64):  # tables of 64 queries at a time
-            table = m.tables(q[lo:lo + 64], int(key[2]))
-            far = np.zeros((len(table), len(codes)))
-            for s in range(SUB):
-                far += table[:, s, codes[:, s]]
-            for i, row in enumerate(far <= reach):
-                near = np.flatnonzero(row & (theirs != mine[lo + i]))
-                near = near[y[near] @ q[lo + i] >= COSINE]
-                counts[lo + i] = copies[near].sum()
-                for j in near:
-                    if forest.join(int(own[lo + i]), int(place[j])):
-                        edges.append((mine[lo + i], theirs[j], 0))
+        place, start = np.searchsorted(nodes, theirs), np.searchsorted(nodes, mine)
+        lists, first = np.unique(have["list"].to_numpy(), return_index=True)
+        ends = np.r_[first[1:], len(have)]
+        for lo in range(0, len(q), 512):  # the tables of 512 queries at a time
+            table, centre = m.tables(q[lo:lo + 512]), m.far(q[lo:lo + 512]) ** 2
+            for at, s, e in zip(lists, first, ends):
+                rows = np.flatnonzero(wanted[lo:lo + 512, at])
+                far = centre[rows, at][:, None] + own[None, s:e]
+                for sub in range(SUB):
+                    far -= 2 * table[rows, sub][:, codes[s:e, sub]]
+                for r, j in zip(*np.nonzero(far <= reach[None, s:e] + 1e-9)):
+                    i, j = lo + rows[r], s + j
+                    if theirs[j] != mine[i] and y[j] @ q[i] >= COSINE:
+                        counts[i] += copies[j]
+                        if forest.join(int(start[i]), int(place[j])):
+                            edges.append((mine[i], theirs[j], 0))
         hit = counts > 0
         found = pd.DataFrame(edges, columns=["a", "b", "n"]).astype("int64")
         return pd.concat([found, pd.DataFrame({"a": mine[hit], "b": mine[hit], "n": counts[hit]})])

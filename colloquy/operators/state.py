@@ -190,15 +190,17 @@ def form_fill(events: DataFrame, keys, order: Sequence[str], opens: Column, inte
     keys = _list(keys)
     tagged = carry_last(events, keys, order, F.when(opens, form_id), "form_id", chunk=chunk)
     forms = tagged.filter(opens).select(*keys, "form_id")
+    return forms.join(_first_ratings(tagged, keys, order, intent, text), keys + ["form_id"], "left").select(
+        *keys, "form_id", F.col("_f.note").alias("note"), *[F.col("_f." + c).alias("filled_" + c) for c in order])
+
+
+def _first_ratings(tagged: DataFrame, keys: list[str], order: Sequence[str], intent: str, text: str) -> DataFrame:
+    """The first valid rating of each ``form_id`` as a struct ``_f``."""
     ok = (F.col(intent) == FORM_INTENT) & ~F.col(intent).isin(FORM_EXCLUDED_INTENTS) \
         & valid_rating(F.col(text)).isNotNull() & F.col("form_id").isNotNull()
-    order_struct = F.struct(*[F.col(c) for c in order])
-    firsts = tagged.filter(ok).groupBy(*keys, "form_id").agg(
-        F.min_by(F.struct(F.col(text).alias("note"), *[F.col(c) for c in order]), order_struct).alias("_f")
-    )
-    return forms.join(firsts, keys + ["form_id"], "left").select(
-        *keys, "form_id", F.col("_f.note").alias("note"), *[F.col("_f." + c).alias("filled_" + c) for c in order]
-    )
+    at = [F.col(c) for c in order]
+    return tagged.filter(ok).groupBy(*keys, "form_id").agg(
+        F.min_by(F.struct(F.col(text).alias("note"), *at), F.struct(*at)).alias("_f"))
 
 
 def auth_outcomes(events: DataFrame, keys, order: Sequence[str], issues: Column, attempts: Column,
@@ -248,11 +250,12 @@ def interaction_facts(events: DataFrame, gate: DataFrame, keys, order: Sequence[
         return F.when(text.isNotNull(), F.struct(text.alias("text"), F.col(time).alias("time")))
 
     rows = running(events.withColumn("_form", F.when(opens, form_id)), keys, order,
-                   {"_q": stamped(user), "_a": stamped(bot), "_d": details}, inclusive=False, chunk=chunk)
-    opened = rows.filter(opens).select(*keys, *[r for r in request if r not in keys], F.col("_form").alias("form_id"),
-                                       "_q", "_a", "_d")
-    filled = form_fill(events, keys, order, opens, intent, note, form_id, chunk).filter(F.col("note").isNotNull())
-    joined = opened.join(filled.select(*keys, "form_id", "note"), keys + ["form_id"]).join(gate, request)
+                   {"_q": stamped(user), "_a": stamped(bot), "_d": details, "_last": F.col("_form")},
+                   inclusive=False, chunk=chunk)
+    rows = rows.withColumn("form_id", F.coalesce("_form", "_last"))
+    opened = rows.filter(opens).select(*keys, *[r for r in request if r not in keys], "form_id", "_q", "_a", "_d")
+    rated = _first_ratings(rows, keys, order, intent, note).select(*keys, "form_id", F.col("_f.note").alias("note"))
+    joined = opened.join(rated, keys + ["form_id"]).join(gate, request)
     return joined.select(
         F.concat(F.lit("user"), *[F.col(k).cast("string") for k in keys]).alias("pseudo"),
         intent_id("key1").try_cast("int").alias("question_id"),

@@ -225,16 +225,25 @@ STORY_STEPS = [
     ("reformulated_deny", 5, "action_ask_another_question"),
 ]
 RULE_SCHEMA = "rule string, pos int, step_kind string, step_value string"
-PATH_SCHEMA = "path string, pos int, step string"
 # ---------------------------------------------------------------------------
 
 
+def literal_table(spark: SparkSession, rows: Sequence[tuple], columns: str) -> DataFrame:
+    """Rows as an inline table: the planner knows its size, so small tables are broadcast."""
+    def lit(v):
+        if v is None:
+            return "CAST(NULL AS STRING)"
+        return str(v) if isinstance(v, int) else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    values = ", ".join("(" + ", ".join(map(lit, r)) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({columns})")
+
+
 def rules_frame(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RULE_STEPS, RULE_SCHEMA)
+    return literal_table(spark, RULE_STEPS, "rule, pos, step_kind, step_value")
 
 
 def stories_frame(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(STORY_STEPS, PATH_SCHEMA)
+    return literal_table(spark, STORY_STEPS, "path, pos, step")
 
 
 def compile_rules(steps: DataFrame) -> DataFrame:

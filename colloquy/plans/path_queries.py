@@ -109,7 +109,7 @@ UNION ALL SELECT user_id, 'visit', count(*) FROM s WHERE prev3 = 'signup' AND pr
   AND event_type IN ('purchase', 'view') GROUP BY user_id""")
 def g2(spark, sf_dir):
     ev = X.events(spark, sf_dir, "user_id", "ts", "event_id", "event_type")
-    return G.path_conformance(ev, EV_KEYS, EV_ORDER, "event_type", spark.createDataFrame(PATHS, G.PATH_SCHEMA),
+    return G.path_conformance(ev, EV_KEYS, EV_ORDER, "event_type", G.literal_table(spark, PATHS, "path, pos, step"),
                               chunk=time_chunk())
 
 

@@ -88,7 +88,9 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def seeded_texts(docs: DataFrame, known: DataFrame) -> DataFrame:
     """(name, copies, text, seeds): one text per class that has an anchor which occurs elsewhere too."""
     each = known.select("name", F.explode("anchors").alias("anchor"))
-    again = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # written, so that the join below can split a frequent anchor
+    again = materialize(each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"),
+                        "substr_again")
     seeds = each.join(again, "anchor").groupBy("name").agg(F.collect_set("anchor").alias("seeds"))
     seeds = seeds.join(known.select("name", "id", "copies"), "name")
     slim = id_text(docs).select("doc_id", F.col("text").cast("binary").alias("text"))

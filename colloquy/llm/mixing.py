@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from colloquy.session import materialize, read_table
 
-BLOCK_ROWS, RESOLUTION, ALPHA, SEED, SLICE_ROWS = 16, 1000, 0.7, "mix-42:", 20_000
+BLOCK_ROWS, RESOLUTION, ALPHA, SEED, SLICE_ROWS = 16, 1000, 0.7, "mix-42:", 2_000
 
 
 def smoothed_parts(counts: DataFrame, alpha: float = ALPHA, resolution: int = RESOLUTION) -> DataFrame:

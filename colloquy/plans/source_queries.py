@@ -82,7 +82,7 @@ def a5(spark, sf_dir):
 SELECT 'faq/' || id::VARCHAR AS intent, pos, {_CLEAN_SQL} AS text FROM ({_DENSE_SQL})""")
 def a6(spark, sf_dir):
     path = scratch_path(spark, "training")
-    A.emit_training_blocks(_bank(spark, sf_dir), path, block_rows=64)
+    A.emit_training_blocks(_bank(spark, sf_dir), path, block_rows=500)
     return A.read_training_blocks(spark, path)
 
 

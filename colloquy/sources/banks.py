@@ -199,8 +199,10 @@ def read_response_blocks(spark: SparkSession, path: str) -> DataFrame:
     r = _records(spark, path, "  " + RESPONSE_PREFIX)
     body = F.regexp_replace("value", r'^[^\n]*\n    - text: "', "")
     texts = F.split(F.regexp_replace(body, r'"\n?\z', ""), r'"\n    - text: "', -1)
-    return r.select(F.concat(F.lit(RESPONSE_PREFIX), F.regexp_extract("value", r"^([^:\n]*):", 1)).alias("response"),
-                    "first", F.posexplode(texts).alias("p", "text")).select(
+    # taken apart before the texts become rows: the name is read once per record
+    parsed = r.select(F.concat(F.lit(RESPONSE_PREFIX), F.regexp_extract("value", r"^([^:\n]*):", 1)).alias("response"),
+                      "first", texts.alias("texts"))
+    return parsed.select("response", "first", F.posexplode("texts").alias("p", "text")).select(
         "response", (F.col("first") + F.col("p") + 1).alias("pos"), "text")
 
 

@@ -1,24 +1,27 @@
 """Operator 3: toxicity by the nearest labelled examples.
 
-Method: documents are TF-IDF vectors over a vocabulary that the labels select
-(words whose presence depends on the label by the G test). The labelled examples
-are kept in a block-max inverted index: postings in blocks of ``BLOCK`` examples,
-with every term's largest weight per block. For a query the sums of these maxima
-bound each block's cosine; blocks are scored exactly, best bound first, until no
-bound can reach the k-th best (:class:`BlockMaxIndex`), so the neighbours are
-those of the full scan. The neighbours vote with weight = cosine; isotonic
-regression on examples outside the index turns votes into calibrated scores.
-
-The index, vocabulary and calibration are fitted on a bounded sample: about
+Method: documents are TF-IDF vectors over all words of the labelled examples. No
+word is dropped; a word's weight is its idf times the G statistic of its presence
+against the label (a tenth of it where it speaks for the clean label, and ``FLOOR``
+at least), so words without a say still decide between examples that are else
+alike. The examples are kept in an inverted index. For a query the heaviest words
+are looked up first; what the rest can add is bounded by its length (the examples
+have length one), and only examples whose bound reaches the k-th best are scored in
+full (:class:`BlockMaxIndex`), so the neighbours are those of the full scan. Bounds
+are per example, that is, blocks of one: with every word in, blocks of 64 prune
+next to nothing. The neighbours vote with weight = cosine; isotonic regression on
+examples outside the index turns votes into calibrated scores.
+
+The index, word weights and calibration are fitted on a bounded sample: about
 ``FIT_ROWS`` labelled rows that are not held out, by a hash of their id; nothing
-sent to the executors grows beyond it. Document frequencies are counted over all
-documents, and every whole text is scored.
-
-Defined results: null and empty texts, and texts without a vocabulary word, get
-the share of toxic examples among such texts; of several labels of a doc_id the
-highest counts; without labels every score is 0; ties between neighbours go to
-the smaller doc_id; repeated rows score alike; an empty table gives an empty
-result; other columns are not read.
+sent to the executors grows beyond its words. Document frequencies are counted over
+all documents, and every whole text is scored.
+
+Defined results: null and empty texts, and texts without a word of the examples, get
+the share of toxic examples among such texts, drawn to the share among all; of
+several labels of a doc_id the highest counts; without labels every score is 0; ties
+between neighbours go to the smaller doc_id; repeated rows score alike; an empty
+table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,13 +32,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm.common import held_out, id_text
 from colloquy.session import materialize, read_table
 
-FIT_ROWS, VOCABULARY, LEAST_G, LEAST_DF, K, BLOCK = 20_000, 2_000, 40.0, 5, 15, 64
+FIT_ROWS, K, FLOOR, CLEAN_SHARE = 20_000, 15, 1e-3, 0.1
+CUTS, FEW = (0.3, 0.15, 0.05), 200  # lengths of the rest at which the search tries to stop, and for how many examples
 THRESHOLD = 0.3
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -48,58 +53,66 @@ class BlockMaxIndex:
     labels: np.ndarray
     vectors: list[tuple[np.ndarray, np.ndarray]]
     size: int  # of the vocabulary
+    begin: np.ndarray = field(init=False)
+    term: np.ndarray = field(init=False)
+    weight: np.ndarray = field(init=False)
     start: np.ndarray = field(init=False)
     owner: np.ndarray = field(init=False)
-    weight: np.ndarray = field(init=False)
-    top: np.ndarray = field(init=False)
+    share: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        # like examples side by side: their blocks then have tight bounds
-        lead = [int(t[w.argmax()]) for t, w in self.vectors]
-        order = np.lexsort((self.ids, lead)) if len(lead) else np.empty(0, dtype=int)
-        self.ids, self.labels = self.ids[order], self.labels[order]
-        self.vectors = [self.vectors[i] for i in order]
-        blocks = -(-len(order) // BLOCK)
-        term = np.concatenate([t for t, _ in self.vectors]) if len(order) else np.empty(0, dtype=int)
-        w = np.concatenate([w for _, w in self.vectors]) if len(order) else np.empty(0)
-        own = np.repeat(np.arange(len(order)), [len(t) for t, _ in self.vectors])
-        by = np.lexsort((own, term))
-        term, self.owner, self.weight = term[by], own[by], w[by]
-        cell = term * blocks + self.owner // BLOCK
-        self.start = np.searchsorted(cell, np.arange(self.size * blocks + 1)).reshape(-1)
-        self.top = np.zeros(self.size * blocks)
-        np.maximum.at(self.top, cell, self.weight)
-        self.top = self.top.reshape(self.size, blocks) if blocks else np.zeros((self.size, 0))
+        lengths = [len(t) for t, _ in self.vectors]
+        self.begin = np.r_[0, np.cumsum(lengths)].astype(np.int64)
+        self.term = np.concatenate([np.empty(0, np.int32), *(t for t, _ in self.vectors)]).astype(np.int32)
+        self.weight = np.concatenate([np.empty(0), *(w for _, w in self.vectors)])
+        self.vectors = []  # held by the arrays
+        by = np.argsort(self.term, kind="stable")
+        self.owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[by]
+        self.share = self.weight[by].astype(np.float32)
+        self.start = np.searchsorted(self.term[by], np.arange(self.size + 1))
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = K) -> list[tuple[float, int]]:
         """The k best (cosine, position), cosine over 0, ties by id."""
-        blocks = self.top.shape[1]
-        if not blocks or not len(terms):
+        n = len(self.ids)
+        if not n or not len(terms):
             return []
-        bound = weights @ self.top[terms]
-        found: list[tuple[float, int, int]] = []
-        kth = 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < kth - 1e-9:
+        by = np.argsort(-weights, kind="stable")
+        terms, weights = terms[by], weights[by]
+        rest = np.r_[np.sqrt(np.cumsum(weights[::-1] ** 2)[::-1]), 0.0]  # length from each word on
+        part, at = np.zeros(n), 0
+        for cut in (*CUTS, 0.0):
+            to = int(np.searchsorted(-rest, -cut)) if cut else len(terms)
+            lo = self.start[terms[at:to]]
+            m = self.start[terms[at:to] + 1] - lo
+            hit = np.repeat(lo - np.cumsum(m) + m, m) + np.arange(m.sum())
+            part += np.bincount(self.owner[hit], np.repeat(weights[at:to], m) * self.share[hit], minlength=n)
+            kth = np.partition(part, n - k)[n - k] if n >= k else 0.0
+            # the parts are sums of single-precision weights
+            near = np.flatnonzero((part + rest[to] > 0) & (part + rest[to] >= kth - 1e-5))
+            at = to
+            if len(near) <= FEW:
                 break
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms, weights):
-                lo, hi = self.start[t * blocks + b], self.start[t * blocks + b + 1]
-                if lo < hi:
-                    score[self.owner[lo:hi] - b * BLOCK] += w * self.weight[lo:hi]
-            for i in np.flatnonzero(score > max(0.0, kth - 1e-9)):
-                at = int(b) * BLOCK + int(i)
-                found.append((-round(float(score[i]), 12), int(self.ids[at]), at))
-            if len(found) >= k:
-                found = sorted(found)[:k]
-                kth = -found[-1][0]
-        return [(-s, at) for s, _, at in sorted(found)[:k]]
+        if not len(near):
+            return []
+        lo, m = self.begin[near], self.begin[near + 1] - self.begin[near]
+        cells = np.repeat(lo - np.cumsum(m) + m, m) + np.arange(m.sum())
+        query = np.zeros(self.size)
+        query[terms] = weights
+        score = np.bincount(np.repeat(np.arange(len(near)), m), query[self.term[cells]] * self.weight[cells],
+                            minlength=len(near))
+        found = [(-round(float(s), 12), int(self.ids[i]), int(i)) for s, i in zip(score, near) if s > 0]
+        return [(-s, i) for s, _, i in sorted(found)[:k]]
 
 
 def unit(tf: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """TF-IDF vector of length one as (terms, weights)."""
     terms = np.array(sorted(tf), dtype=np.int64)
-    w = np.array([1 + np.log(tf[t]) for t in terms]) * idf[terms] if len(terms) else np.empty(0)
+    return unit_of(terms, np.array([tf[t] for t in terms]), idf)
+
+
+def unit_of(terms: np.ndarray, tf: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same from rising term ids and their counts."""
+    w = (1 + np.log(tf)) * weight[terms] if len(terms) else np.empty(0)
     return terms, w / np.linalg.norm(w) if len(w) else w
 
 
@@ -122,22 +135,24 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
+    words: dict[str, int]
     index: BlockMaxIndex
-    idf: np.ndarray
-    blank: float  # share of toxic among examples without a vocabulary word
+    weight: np.ndarray  # of each word
+    prior: float  # share of toxic among the examples
+    blank: float  # the same among examples without a known word
     knots: tuple[np.ndarray, np.ndarray]
 
-    def vote(self, tf: dict[int, int]) -> tuple[float, list[tuple[float, int]]]:
-        """Distance-weighted vote, drawn to the blank share where the evidence is thin."""
-        near = self.index.nearest(*unit(tf, self.idf))
+    def vote(self, terms: np.ndarray, tf: np.ndarray) -> tuple[float, list[tuple[float, int]]]:
+        """Distance-weighted vote, drawn to the prior where the evidence is thin."""
+        near = self.index.nearest(*unit_of(terms, tf, self.weight))
         mass = sum(s for s, _ in near)
         yes = sum(s for s, at in near if self.index.labels[at])
-        return (yes + 0.5 * self.blank) / (mass + 0.5), near
+        return (yes + 0.5 * self.prior) / (mass + 0.5), near
 
-    def score(self, tf: dict[int, int]) -> tuple[float, str]:
-        if not tf:
+    def score(self, terms: np.ndarray, tf: np.ndarray) -> tuple[float, str]:
+        if not len(terms):
             return self.blank, ""
-        vote, near = self.vote(tf)
+        vote, near = self.vote(terms, tf)
         if not near:
             return self.blank, ""
         return (float(np.clip(np.interp(vote, *self.knots), 0, 1)),
@@ -153,9 +168,9 @@ def sample_labels(labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     return clean.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000))
 
 
-def select_words(sample: DataFrame, vocabulary: int = VOCABULARY) -> list[str]:
-    """Words whose document frequency differs between the labels by a G statistic of
-    ``LEAST_G`` or more, the strongest ``vocabulary`` of them. Equal texts count once."""
+def label_counts(sample: DataFrame) -> tuple[pd.DataFrame, int, int]:
+    """(word, a, b) for every word of the sample: the toxic and the clean texts that hold
+    it, equal texts once; and how many toxic and clean texts there are."""
     def count(batches):
         for pdf in batches:
             by = Counter()
@@ -165,85 +180,103 @@ def select_words(sample: DataFrame, vocabulary: int = VOCABULARY) -> list[str]:
 
     once = sample.select("toxic", "text").dropDuplicates()
     total = {r["toxic"]: r["count"] for r in once.groupBy("toxic").count().collect()}
-    n1, n0 = total.get(1, 0), total.get(0, 0)
-    if not n1 or not n0:
-        return []
     words = once.mapInPandas(count, "word string, toxic int, n long").groupBy("word").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"))
+    found = words.toArrow().to_pandas().sort_values("word", ignore_index=True)  # the bounded sample
+    return found, total.get(1, 0), total.get(0, 0)
+
 
+def dependence(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """G statistic of a word's presence against the label, less where it speaks for clean."""
     def part(seen, expected):
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(expected, 1e-300)), 0.0)
 
-    a, b, n = F.col("a"), F.col("b"), float(n1 + n0)
-    df = a + b
+    df, n = a + b, max(1, n1 + n0)
     g = 2 * (part(a, df * n1 / n) + part(b, df * n0 / n)
              + part(n1 - a, (n - df) * n1 / n) + part(n0 - b, (n - df) * n0 / n))
-    best = words.where(df >= LEAST_DF).withColumn("g", g).where(F.col("g") >= LEAST_G)
-    return sorted(r["word"] for r in best.orderBy(F.desc("g"), "word").limit(vocabulary).collect())
+    return np.maximum(g, 0) * np.where(a * n0 > b * n1, 1.0, CLEAN_SHARE) + FLOOR
+
 
+def counted(text: str | None, at: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the known words of a text in rising order, and how often each stands there."""
+    ids = [at[w] for w in WORD.findall((text or "").lower()) if w in at]
+    return np.unique(np.array(ids, dtype=np.int32), return_counts=True)
 
-def features(docs: DataFrame, words: list[str]) -> DataFrame:
-    """(doc_id, terms, tf) for every row, read from the whole text and written once."""
-    sent = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words)})
 
+def frequencies(docs: DataFrame, sent, size: int) -> tuple[np.ndarray, int]:
+    """Document frequency of each known word over all documents, and their number."""
     def run(batches):
-        at = sent.value
+        df = np.zeros(size + 1, dtype=np.int64)  # the last counts documents
         for pdf in batches:
-            terms, tfs = [], []
             for text in pdf["text"]:
-                found = Counter(at[w] for w in WORD.findall((text or "").lower()) if w in at)
-                terms.append(sorted(found))
-                tfs.append([found[t] for t in terms[-1]])
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "terms": terms, "tf": tfs})
+                df[counted(text, sent.value)[0]] += 1
+            df[size] += len(pdf)
+        t = np.flatnonzero(df)
+        yield pd.DataFrame({"t": t, "n": df[t]})
 
-    return materialize(id_text(docs).mapInPandas(run, "doc_id long, terms array<int>, tf array<int>"), "tox_features")
+    out = np.zeros(size + 1, dtype=np.int64)
+    rows = id_text(docs).select("text").mapInPandas(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    out[rows["t"].to_numpy()] = rows["n"].to_numpy()
+    return out[:size], int(out[size])
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
-    """The model and the feature table of all documents."""
+def sample_vectors(sample: DataFrame, sent) -> list[tuple[int, int, bool, np.ndarray, np.ndarray]]:
+    """(doc_id, toxic, tune, terms, tf) of the sample, in a fixed order."""
+    def run(batches):
+        for pdf in batches:
+            found = [counted(t, sent.value) for t in pdf["text"]]
+            yield pdf[["doc_id", "toxic", "tune"]].assign(
+                terms=[t.astype(np.int32).tobytes() for t, _ in found], tf=[n.astype(np.int32).tobytes() for _, n in found])
+
+    rows = sample.mapInPandas(run, "doc_id long, toxic int, tune boolean, terms binary, tf binary").toArrow().to_pydict()
+    return [(d, y, z, np.frombuffer(t, np.int32), np.frombuffer(n, np.int32))
+            for d, t, n, y, z in sorted(zip(*(rows[c] for c in ("doc_id", "terms", "tf", "toxic", "tune"))))]
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = materialize(sample_labels(labels), "tox_labels")
-    slim = id_text(docs)
     # the sample has about FIT_ROWS rows, whatever the tables' size
-    words = select_words(materialize(slim.join(F.broadcast(chosen), "doc_id"), "tox_sample"))
-    table = features(docs, words)
-    n = table.count()
-    df = {r["t"]: r["count"] for r in table.select(F.explode("terms").alias("t")).groupBy("t").count().collect()}
-    idf = np.array([np.log((n + 1) / (df.get(i, 0) + 1)) + 1 for i in range(len(words))])
-    rows = table.join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", "terms", "tf", "toxic", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 3).alias("tune"))
-    rows = sorted(map(tuple, rows.collect()), key=lambda r: (r[0], r[1], r[2]))  # the bounded sample
-    blank = [y for _, t, _, y, _ in rows if not t]
-    share = (sum(blank) + 0.5) / (len(blank) + 10)
-    kept = [r for r in rows if r[1] and not r[4]]
-    index = BlockMaxIndex(np.array([r[0] for r in kept], dtype=np.int64), np.array([r[3] for r in kept], dtype=int),
-                          [unit(dict(zip(r[1], r[2])), idf) for r in kept], len(words))
-    model = Model(index, idf, share if rows else 0.0, isotonic(np.empty(0), np.empty(0)))
-    tune = [(model.vote(dict(zip(t, tf)))[0], y) for _, t, tf, y, z in rows if z and t]
+    sample = materialize(id_text(docs).join(F.broadcast(chosen), "doc_id").withColumn(
+        "tune", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 3), "tox_sample")
+    counts, n1, n0 = label_counts(sample.where("not tune"))
+    words = {w: i for i, w in enumerate(counts["word"])}
+    sent = docs.sparkSession.sparkContext.broadcast(words)
+    df, n = frequencies(docs, sent, len(words))
+    weight = (np.log((n + 1) / (df + 1)) + 1) * dependence(
+        counts["a"].to_numpy(float), counts["b"].to_numpy(float), n1, n0)
+    rows = sample_vectors(sample, sent)
+    prior = sum(y for _, y, *_ in rows) / max(1, len(rows))
+    blank = [y for _, y, _, t, _ in rows if not len(t)]
+    kept = [(d, y, unit_of(t, f, weight)) for d, y, z, t, f in rows if len(t) and not z]
+    index = BlockMaxIndex(np.array([d for d, *_ in kept], dtype=np.int64), np.array([y for _, y, _ in kept], dtype=int),
+                          [v for *_, v in kept], len(words))
+    model = Model(words, index, weight, prior, (sum(blank) + 10 * prior) / (len(blank) + 10), isotonic(np.empty(0), np.empty(0)))
+    tune = [(model.vote(t, f)[0], y) for _, y, z, t, f in rows if z and len(t)]
     model.knots = isotonic(np.array([v for v, _ in tune]), np.array([y for _, y in tune], float))
-    return model, table
+    return model
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted and evidence (doc_id:cosine:label of the nearest three)."""
-    model, table = fit(docs, labels)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def run(batches):
         m, seen = sent.value, {}
         for pdf in batches:
             out = []
-            for t, f in zip(pdf["terms"], pdf["tf"]):
-                key = (tuple(t), tuple(f))
+            for text in pdf["text"]:
+                t, f = counted(text, m.words)
+                key = xxhash.xxh3_128_digest(t.tobytes() + f.tobytes())
                 if key not in seen:
                     if len(seen) > 50_000:
                         seen.clear()
-                    seen[key] = m.score(dict(zip(map(int, t), map(int, f))))
+                    seen[key] = m.score(t, f)
                 out.append(seen[key])
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": [s for s, _ in out],
                                 "evidence": [e for _, e in out]})
 
-    scored = table.mapInPandas(run, "doc_id long, score double, evidence string")
+    scored = id_text(docs).mapInPandas(run, "doc_id long, score double, evidence string")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence")
 

@@ -200,6 +200,20 @@ def test_toxicity_on_held_out_labels(spark):
     assert auc > 0.9 and hit > 0.8 and wrong < 0.02, (auc, hit, wrong)
 
 
+def test_toxicity_reaches_every_language(spark):
+    def held(sf):
+        docs, labels = read_table(spark, sf, "documents"), read_table(spark, sf, "labels").select("doc_id", "toxic")
+        got = toxicity.score(docs, labels).where("held_out").join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+        return [(la, p) for la, p, t in rows_of(got.select("lang", "predicted", "toxic")) if t]
+
+    large = held("/root/testdata/sf0.1")
+    for lang in ("en", "de", "fr", "es"):
+        hits = [p for la, p in large if la == lang]
+        assert sum(hits) / len(hits) > 0.7, (lang, hits)
+    small = held(SF_MORE)
+    assert sum(p for _, p in small) / len(small) > 0.7 and any(p for la, p in small if la != "en"), small
+
+
 # --- op4 -----------------------------------------------------------------
 
 def slow_components(docs):

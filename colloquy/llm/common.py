@@ -24,6 +24,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
+def in_share(hashed: Column, wanted: int, rows: int) -> Column:
+    """True for about ``wanted`` of ``rows`` rows by a 64-bit hash, compared with the
+    share on its full range: no share is rounded to nothing at any number of rows."""
+    if rows <= wanted:
+        return F.lit(True)
+    return hashed < F.lit(-2**63 + max(1, 2**64 * wanted // rows))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser (splitmix64), element-wise."""
     x = x.astype(np.uint64, copy=True)

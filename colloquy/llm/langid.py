@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import held_out
+from colloquy.llm.common import held_out, in_share
 from colloquy.session import materialize, read_table
 
 FIT_ROWS, VOCABULARY, GRAMS, MAX_GRAM = 8_000, 50_000, 60_000, 4
@@ -104,9 +104,8 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, vocabulary: int = VOCABULARY,
     lang, text = docs["lang"].cast("string"), docs["text"].cast("string")
     usable = ~held_out(docs["doc_id"]) & lang.isNotNull() & docs["text"].isNotNull()
     n = docs.where(usable).count()
-    share = min(1.0, fit_rows / max(1, n))
     sample = docs.where(usable).select(text.alias("text"), lang.alias("lang")).where(
-        F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000) if share < 1 else F.lit(True))
+        in_share(F.xxhash64("text"), fit_rows, n))
 
     def count(batches):
         for pdf in batches:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import held_out, id_text
+from colloquy.llm.common import held_out, id_text, in_share
 from colloquy.session import materialize, read_table
 
 FIT_ROWS, K, FLOOR, CLEAN_SHARE = 20_000, 15, 1e-3, 0.1
@@ -164,8 +164,7 @@ def sample_labels(labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     clean = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
     clean = clean.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
-    share = min(1.0, fit_rows / max(1, clean.count()))
-    return clean.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000))
+    return clean.where(in_share(F.xxhash64("doc_id", F.lit(3)), fit_rows, clean.count()))
 
 
 def label_counts(sample: DataFrame) -> tuple[pd.DataFrame, int, int]:

@@ -325,6 +325,14 @@ def test_unseen_words_fall_back_to_shorter_grams(spark):
     assert m.predict("12 34 !!") == ("und", 0.0) and m.predict(None) == ("und", 0.0)
 
 
+def test_a_share_below_a_millionth_still_samples(spark):
+    ids = spark.range(20_000_000).withColumnRenamed("id", "doc_id")  # three in four are not held out
+    docs = ids.selectExpr("doc_id", "concat('word ', doc_id) as text", "'en' as lang")
+    assert langid.fit(docs, fit_rows=12).langs == ["en"]
+    n = toxicity.sample_labels(ids.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic"), fit_rows=12).count()
+    assert 1 <= n <= 40
+
+
 # --- op6 -----------------------------------------------------------------
 
 def test_trigram_queries():

@@ -10,7 +10,8 @@ cover ``COVERAGE`` = 0.8 of its tokens, in whatever order the passages come.
 A document's seeds are not shuffled as such: a bitmap of ``BITS`` bits (2 MB
 whatever the benchmark's size) first drops windows that no item has; a false
 positive of the bitmap only costs a join row. Pairs whose shared seeds cannot
-add up to the coverage are dropped before tiling.
+add up to the coverage, each counted at every position it has in the item, are
+dropped before tiling.
 
 Defined results: null and empty texts, and items shorter than five tokens, never
 match; items with equal tokens count as one, named by the smallest item_id; ties
@@ -87,19 +88,25 @@ def benchmark_items(bench: DataFrame) -> DataFrame:
     return materialize(items.groupBy("tokens").agg(F.min("item_id").alias("item_id")), "bench_items")
 
 
-def _grams(name: str = "seeds"):
-    @F.pandas_udf("array<long>")
-    def grams(col: pd.Series) -> pd.Series:
-        return col.map(lambda t: signed(np.unique(gram_hashes(np.asarray(t, dtype=np.int64).view(np.uint64), SEED))))
-    return grams
+def item_seeds(items: DataFrame) -> DataFrame:
+    """(item_id, n, seed, at): the distinct seeds of each item of n tokens and the
+    number of positions each has in it; written once."""
+    def run(batches):
+        for pdf in batches:
+            for i, t in zip(pdf["item_id"], pdf["tokens"]):
+                seed, at = np.unique(gram_hashes(np.asarray(t, dtype=np.int64).view(np.uint64), SEED), return_counts=True)
+                yield pd.DataFrame({"item_id": pd.array([i] * len(seed), dtype="Int64"), "n": len(t),
+                                    "seed": signed(seed), "at": at})
+
+    slim = items.select("item_id", "tokens")
+    return materialize(slim.mapInPandas(run, "item_id long, n int, seed long, at long"), "bench_seeds")
 
 
 def find_leaks(docs: DataFrame, bench: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """One row per (document, item) that leaks: doc_id, item_id, coverage, n_tiles, longest, tiles."""
     spark = docs.sparkSession
     items = benchmark_items(bench)
-    seeds = materialize(items.select("item_id", F.size("tokens").alias("n"), F.explode(_grams()("tokens")).alias("seed")),
-                        "bench_seeds")
+    seeds = item_seeds(items)
     bit = F.shiftrightunsigned("seed", 64 - BITS)
     filled = seeds.groupBy((bit / 64).cast("int").alias("w")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(seed, {64 - BITS}) % 64 as int))")).alias("v"))
@@ -125,7 +132,7 @@ def find_leaks(docs: DataFrame, bench: DataFrame, coverage: float = COVERAGE) ->
     # written once, so the row number stays the same when a task is repeated
     hits = materialize(hits.withColumn("row", F.monotonically_increasing_id()), "leak_hits")
     shared = hits.select("row", F.explode("seeds").alias("seed")).join(seeds, "seed")
-    pairs = (shared.groupBy("row", "item_id", "n").agg(F.count(F.lit(1)).alias("k"))
+    pairs = (shared.groupBy("row", "item_id", "n").agg(F.sum("at").alias("k"))
              .where(F.col("k") * SEED >= F.col("n") * coverage))
     wanted = pairs.join(items, "item_id").groupBy("row").agg(
         F.collect_list(F.struct("item_id", F.col("tokens").alias("item"))).alias("items"))

@@ -101,6 +101,15 @@ def test_reordered_and_recased_passages_leak(spark):
     assert [r["doc_id"] for r in decontaminate.drop_leaks(docs, bench).orderBy("doc_id").collect()] == [2, 3]
 
 
+def test_items_that_repeat_a_phrase_leak(spark):
+    phrase = " ".join(f"w{i}" for i in range(7))
+    item = " ".join([phrase] * 7)
+    docs = spark.createDataFrame([(1, "before " + item + " after"), (2, phrase + " and no more")], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, item), (6, " ".join(["ha"] * 30))], "item_id long, text string")
+    got = decontaminate.find_leaks(docs, bench).collect()
+    assert [(r["doc_id"], r["item_id"], r["coverage"]) for r in got] == [(1, 5, 1.0)]
+
+
 # --- op2 -----------------------------------------------------------------
 
 def slow_base(text):

@@ -22,6 +22,7 @@ kept as null; empty tables give an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 
@@ -104,6 +105,11 @@ def item_seeds(items: DataFrame) -> DataFrame:
 
 def find_leaks(docs: DataFrame, bench: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """One row per (document, item) that leaks: doc_id, item_id, coverage, n_tiles, longest, tiles."""
+    return named_leaks(docs, bench, coverage).drop("name")
+
+
+def named_leaks(docs: DataFrame, bench: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+    """The rows of :func:`find_leaks` with the SHA-256 of the document's text (name)."""
     spark = docs.sparkSession
     items = benchmark_items(bench)
     seeds = item_seeds(items)
@@ -125,10 +131,10 @@ def find_leaks(docs: DataFrame, bench: DataFrame, coverage: float = COVERAGE) ->
                 at = g >> np.uint64(64 - BITS)
                 hit = (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
                 if hit.any():
-                    rows.append((doc_id, signed(h), signed(np.unique(g[hit.astype(bool)]))))
-            yield pd.DataFrame(rows, columns=["doc_id", "tokens", "seeds"]).astype({"doc_id": "Int64"})
+                    rows.append((doc_id, hashlib.sha256(text.encode()).hexdigest(), signed(h), signed(np.unique(g[hit.astype(bool)]))))
+            yield pd.DataFrame(rows, columns=["doc_id", "name", "tokens", "seeds"]).astype({"doc_id": "Int64"})
 
-    hits = id_text(docs).mapInPandas(run, "doc_id long, tokens array<long>, seeds array<long>")
+    hits = id_text(docs).mapInPandas(run, "doc_id long, name string, tokens array<long>, seeds array<long>")
     # written once, so the row number stays the same when a task is repeated
     hits = materialize(hits.withColumn("row", F.monotonically_increasing_id()), "leak_hits")
     shared = hits.select("row", F.explode("seeds").alias("seed")).join(seeds, "seed")
@@ -140,26 +146,27 @@ def find_leaks(docs: DataFrame, bench: DataFrame, coverage: float = COVERAGE) ->
     def tile(batches):
         for pdf in batches:
             out = []
-            for doc_id, toks, found in zip(pdf["doc_id"], pdf["tokens"], pdf["items"]):
+            for doc_id, name, toks, found in zip(pdf["doc_id"], pdf["name"], pdf["tokens"], pdf["items"]):
                 doc = np.asarray(toks, dtype=np.int64).view(np.uint64)
                 for x in found:
                     item = np.asarray(x["item"], dtype=np.int64).view(np.uint64)
                     t = tiles(item, doc)
                     share = sum(k for *_, k in t) / len(item)
                     if share >= coverage:
-                        out.append((doc_id, x["item_id"], share, len(t), t[0][2],
+                        out.append((doc_id, name, x["item_id"], share, len(t), t[0][2],
                                     ",".join(f"{p}:{q}:{k}" for p, q, k in sorted(t))))
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "coverage", "n_tiles", "longest", "tiles"]).astype(
+            yield pd.DataFrame(out, columns=["doc_id", "name", "item_id", "coverage", "n_tiles", "longest", "tiles"]).astype(
                 {"doc_id": "Int64", "item_id": "Int64"})
 
-    return hits.drop("seeds").join(wanted, "row").select("doc_id", "tokens", "items").mapInPandas(
-        tile, "doc_id long, item_id long, coverage double, n_tiles int, longest int, tiles string")
+    return hits.drop("seeds").join(wanted, "row").select("doc_id", "name", "tokens", "items").mapInPandas(
+        tile, "doc_id long, name string, item_id long, coverage double, n_tiles int, longest int, tiles string")
 
 
 def drop_leaks(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """The documents none of whose rows leaks a benchmark item."""
-    bad = find_leaks(docs, bench).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_leak"]), "left_anti")
+    """The documents that leak no benchmark item. A row goes by its own text, whatever
+    other rows have its doc_id: whether it leaks depends on the text alone."""
+    bad = named_leaks(docs, bench).select(F.col("name").alias("_leak")).distinct()
+    return docs.join(bad, F.sha2(docs["text"].cast("string").cast("binary"), 256) == bad["_leak"], "left_anti")
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

@@ -110,6 +110,14 @@ def test_items_that_repeat_a_phrase_leak(spark):
     assert [(r["doc_id"], r["item_id"], r["coverage"]) for r in got] == [(1, 5, 1.0)]
 
 
+def test_a_leak_takes_no_clean_row_along(spark):
+    leak, bench = "w0 w1 w2 w3 w4 w5 w6", "w0 w1 w2 w3 w4 w5"
+    rows = [(None, leak), (None, "clean and without an id"), (None, None), (4, leak + " x"), (4, "clean under the same id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = decontaminate.drop_leaks(docs, spark.createDataFrame([(1, bench)], "item_id long, text string"))
+    assert sorted(map(str, rows_of(out))) == sorted(map(str, [rows[1], rows[2], rows[4]]))
+
+
 # --- op2 -----------------------------------------------------------------
 
 def slow_base(text):

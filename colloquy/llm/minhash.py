@@ -11,7 +11,7 @@ threshold 0.85 a pair shares no band with probability 0.7275^48 = 2e-7.
 
 Candidates are verified exactly on the full shingle sets. Copies with equal sets are
 one class from the start (only the class is sketched and banded). Documents that
-share a band are tied to the band's smallest id, which gives families; inside a
+share a band are tied to the band's smallest class, which gives families; inside a
 family an inverted index over shingles counts the exact intersections of all its
 members, so no pair is emitted as a row. A family larger than ``BLOCK_SHINGLES``
 is dealt in blocks, one task per pair of blocks. Families pass their links on as
@@ -23,9 +23,10 @@ integers. Classes are named by a 128-bit hash of the set.
 
 Defined results: null and empty texts, and texts of white space, have no shingles,
 are linked with nothing and are their own component; fewer than five words are one
-shingle; rows of one doc_id are nodes of one name; copies with a null doc_id belong
-to the component of their equals, and without any id in it their component is null
-and they are kept; repeated rows repeat their result; an empty table gives an empty
+shingle; rows are judged by their text, so different texts of one doc_id are documents
+of their own; rows with a null doc_id link like others, the smallest id of a component
+names it, and without any id in it the component is null and its rows are kept (the
+pipeline keeps one of them); repeated rows repeat their result; an empty table gives an empty
 result; other columns are not read.
 """
 
@@ -129,9 +130,14 @@ def links_within(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) ->
     return out
 
 
+def _mark(text):
+    """Column: a hash of the text; null counts as empty."""
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, name of the set, band keys; written once."""
-    slim = id_text(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
+    """doc_id, mark of the text, n_shingles, name of the set, band keys; written once."""
+    slim = id_text(docs).select("doc_id", _mark(F.col("text")).alias("mark"), F.col("text").cast("binary").alias("text"))
 
     def run(batches):
         for pdf in batches:
@@ -141,26 +147,32 @@ def signatures(docs: DataFrame) -> DataFrame:
                 n.append(len(x))
                 names.append(set_name(x) if len(x) else None)
                 bands.append(signed(band_keys(sketch(x))) if len(x) else None)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "n": n, "name": names, "bands": bands})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "mark": pdf["mark"], "n": n, "name": names, "bands": bands})
 
-    return materialize(slim.mapInPandas(run, "doc_id long, n long, name binary, bands array<long>"), "minhash_sets")
+    return materialize(slim.mapInPandas(run, "doc_id long, mark string, n long, name binary, bands array<long>"),
+                       "minhash_sets")
 
 
 def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b): links between classes' smallest ids that connect what is linked at all."""
+    """(a, b): links between classes that connect what is linked at all."""
     slots = classes.select("id", F.explode("bands").alias("band"))
     low = slots.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     low = materialize(low.select("band", "low"), "minhash_bands")  # written, so that the join can split a crowded band
     # by shuffle at any size: neither the shared bands nor the members below stay small as documents grow
     edges = slots.join(low.hint("merge"), "band").where("id > low").select(F.col("id").alias("a"), F.col("low").alias("b"))
     family = connected_components(edges, "minhash_family").withColumnRenamed("node", "id")
-    member = materialize(family.join(classes.select("id", "name", "n"), "id"), "minhash_members")
+    member = materialize(family.join(classes.select("id", "name", "n", "doc_id", "mark"), "id"), "minhash_members")
     blocks = member.groupBy("root").agg(
         F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     dealt = (member.join(blocks, "root")
              .withColumn("block", F.pmod(F.xxhash64("id", "name"), F.col("blocks")).cast("int")))
-    slim = id_text(docs).select("doc_id", F.col("text").cast("binary").alias("text")).where("doc_id is not null")
-    texts = slim.join(dealt.hint("merge"), dealt["id"] == slim["doc_id"]).select("root", "blocks", "block", "id", "name", "text")
+    slim = id_text(docs).select(F.col("doc_id").alias("d"), F.col("text").cast("binary").alias("text"), _mark(F.col("text")).alias("m"))
+    columns = ["root", "blocks", "block", "id", "name", "text"]
+    owned, free = dealt.where("doc_id is not null"), dealt.where("doc_id is null")
+    texts = slim.where("d is not null").join(owned.hint("merge"), F.expr("d = doc_id and m = mark")).select(columns)
+    # many rows without an id may hold the text of one class
+    texts = texts.unionByName(slim.where("d is null").join(free.hint("merge"), F.expr("m = mark")).select(columns)
+                              .dropDuplicates(["id"]))
 
     def sets(batches):
         for pdf in batches:
@@ -182,38 +194,50 @@ def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return dealt_sets.groupBy("root", "x", "y").applyInPandas(verify, "a long, b long")
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row."""
+def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The signatures, and (name, component) for the name of every set."""
     sig = signatures(docs)
     classes = materialize(sig.where("n > 0").groupBy("name").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "n", "bands")).alias("x"))
-        .select("name", F.col("x.doc_id").alias("id"), "x.n", "x.bands"), "minhash_classes")
-    named = classes.where("id is not null")
-    roots = connected_components(near_links(docs, named), "minhash_links")
-    roots = roots.select(F.col("node").alias("id"), "root")
-    reached = classes.select("name", "id").join(roots, "id", "left").select(
-        "name", F.coalesce("root", "id").alias("component"))
-    own = sig.select("doc_id", "n", "name").join(reached, "name", "left")
-    # one name for all rows of a doc_id that stands in several texts
+        F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "mark", "n", "bands")).alias("x"))
+        .select(F.monotonically_increasing_id().alias("id"), "name", "x.doc_id", "x.mark", "x.n", "x.bands"), "minhash_classes")
+    roots = connected_components(near_links(docs, classes), "minhash_links").withColumnRenamed("node", "id")
+    reached = classes.select("id", "name", "doc_id").join(roots, "id", "left").select(
+        "name", "doc_id", F.coalesce("root", "id").alias("root"))
+    return sig, materialize(reached, "minhash_roots")
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row."""
+    sig, reached = grouped(docs)
+    least = reached.groupBy("root").agg(F.min("doc_id").alias("component"))
+    own = sig.select("doc_id", "n", "name").join(reached.join(least, "root").select("name", "component"), "name", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return own.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """One document of each component: the one that names it. Where rows repeat a
-    doc_id, one of them stays; of documents without any id, one per text."""
-    kept = components(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    number = docs["doc_id"].cast("long")
-    out = docs.join(kept, number.eqNullSafe(kept["_kept"]), "left_semi")
-    repeated = docs.groupBy(number.alias("d")).count().where("count > 1")
-    if repeated.isEmpty():  # reads ids only, and spares a shuffle of the texts
-        return out
-    key = "_key"
-    while key in docs.columns:
-        key += "_"
-    name = F.coalesce(number.cast("string"), F.md5(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")))
-    return out.withColumn(key, name).dropDuplicates([key]).drop(key)
+    """One row of each component: the first by id (null last), then by the hash of the
+    text. Of rows without a shingle, one of each (doc_id, text) stays."""
+    sig, reached = grouped(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "mark")
+    first = (sig.where("n > 0").select("name", "doc_id", "mark").join(reached.select("name", "root"), "name")
+             .groupBy("root").agg(F.min(order).alias("x")).select("x.doc_id", "x.mark"))
+    chosen = materialize(first.unionByName(sig.where("n = 0").select("doc_id", "mark").distinct())
+                         .toDF("_kept", "_kept_mark"), "minhash_kept")
+    number, mark = docs["doc_id"].cast("long"), _mark(docs["text"].cast("string"))
+    same = number.eqNullSafe(chosen["_kept"]) & (mark == chosen["_kept_mark"])
+    if sig.groupBy("doc_id", "mark").count().where("count > 1").isEmpty():  # spares a shuffle of the texts
+        return docs.join(chosen, same, "left_semi")
+    # of rows with the same id and text, the least by the hash of all columns
+    row = F.xxhash64(*[docs[c] for c in docs.columns])
+    least = docs.select(number.alias("_kept"), mark.alias("_kept_mark"), row.alias("_row")).groupBy(
+        "_kept", "_kept_mark").agg(F.min("_row").alias("_row"))
+    least = materialize(least.join(chosen.toDF("_i", "_m"), F.expr("_kept <=> _i and _kept_mark = _m"), "left_semi"),
+                        "minhash_rows")
+    out = docs.join(least, number.eqNullSafe(least["_kept"]) & (mark == least["_kept_mark"]) & (row == least["_row"]),
+                    "left_semi")
+    return out.dropDuplicates()  # what is left of a row is equal in every column
 
 
 def op4(spark, sf_dir: str) -> DataFrame:

@@ -309,6 +309,16 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted((str(r["doc_id"]), r["text"]) for r in out.collect()) == [("3", text + " x"), ("9", "alone"), ("None", "no id")]
 
 
+def test_different_texts_of_one_id_and_copies_without_an_id(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(3, text), (5, text + " x"), (5, "a text of its own under the same id"), (None, text + " y"), (None, text),
+            (None, "alone without an id"), (None, "alone without an id"), (7, "one more text"), (7, "another of number seven")]
+    out = minhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(str, rows_of(out))) == sorted(map(str, [rows[0], rows[2], rows[5], rows[7], rows[8]]))
+    got = minhash.components(spark.createDataFrame([rows[0], rows[3]], "doc_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), r["component_id"], r["kept"]) for r in got) == [("3", 3, True), ("None", 3, False)]
+
+
 def test_sketch_fills_and_estimates():
     rng = np.random.default_rng(1)
     for n in (1, 2, 7, 50, 3000):

@@ -4,7 +4,8 @@ empty tables and clashing column names."""
 import pytest
 
 import corpus_pipeline
-from colloquy.llm import decontaminate, langid, minhash, mixing, pii, secrets, sharding, substrings, toxicity, vectors
+from colloquy.llm import (decontaminate, fim, langid, minhash, mixing, pii, quality, resample, secrets, sharding, substrings,
+                          toxicity, vectors)
 
 LONG = " ".join(f"word{i % 977}x{i // 977}" for i in range(60_000)) + " " + "z" * 50_000
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, name string, id long, n long, shard int, "
@@ -57,6 +58,9 @@ OPS = {
     "mixing": lambda d, b, la: mixing.schedule(d),
     "sharding": lambda d, b, la: sharding.shard(d),
     "substrings": lambda d, b, la: substrings.remove_repeats(d),
+    "resample": lambda d, b, la: resample.resample(d, b),
+    "quality": lambda d, b, la: quality.judge(d),
+    "fim": lambda d, b, la: fim.fill_in_middle(d),
 }
 
 

@@ -196,8 +196,7 @@ def form_fill(events: DataFrame, keys, order: Sequence[str], opens: Column, inte
 
 def _first_ratings(tagged: DataFrame, keys: list[str], order: Sequence[str], intent: str, text: str) -> DataFrame:
     """The first valid rating of each ``form_id`` as a struct ``_f``."""
-    ok = (F.col(intent) == FORM_INTENT) & ~F.col(intent).isin(FORM_EXCLUDED_INTENTS) \
-        & valid_rating(F.col(text)).isNotNull() & F.col("form_id").isNotNull()
+    ok = rating_given(intent, text) & F.col("form_id").isNotNull()
     at = [F.col(c) for c in order]
     return tagged.filter(ok).groupBy(*keys, "form_id").agg(
         F.min_by(F.struct(F.col(text).alias("note"), *at), F.struct(*at)).alias("_f"))
@@ -246,16 +245,29 @@ def interaction_facts(events: DataFrame, gate: DataFrame, keys, order: Sequence[
     elsewhere) and openings. Everything about the past comes from one running pass."""
     keys, order, request = _list(keys), _list(order), list(request)
 
-    def stamped(text):
-        return F.when(text.isNotNull(), F.struct(text.alias("text"), F.col(time).alias("time")))
-
     rows = running(events.withColumn("_form", F.when(opens, form_id)), keys, order,
-                   {"_q": stamped(user), "_a": stamped(bot), "_d": details, "_last": F.col("_form")},
+                   {"_q": stamped(user, time), "_a": stamped(bot, time), "_d": details, "_last": F.col("_form")},
                    inclusive=False, chunk=chunk)
     rows = rows.withColumn("form_id", F.coalesce("_form", "_last"))
     opened = rows.filter(opens).select(*keys, *[r for r in request if r not in keys], "form_id", "_q", "_a", "_d")
     rated = _first_ratings(rows, keys, order, intent, note).select(*keys, "form_id", F.col("_f.note").alias("note"))
     joined = opened.join(rated, keys + ["form_id"]).join(gate, request)
+    return fact_columns(joined, keys)
+
+
+def stamped(text: Column, time: str) -> Column:
+    """A text with its time, null where there is no text."""
+    return F.when(text.isNotNull(), F.struct(text.alias("text"), F.col(time).alias("time")))
+
+
+def rating_given(intent: str, text: str) -> Column:
+    """Whether an event fills a rating form: intent ``number`` and a valid rating."""
+    return (F.col(intent) == FORM_INTENT) & ~F.col(intent).isin(FORM_EXCLUDED_INTENTS) & valid_rating(F.col(text)).isNotNull()
+
+
+def fact_columns(joined: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The eleven columns of a rated interaction: question ``_q`` and answer ``_a`` (text, time),
+    details flag ``_d``, ``note`` and the columns of the gate."""
     return joined.select(
         F.concat(F.lit("user"), *[F.col(k).cast("string") for k in keys]).alias("pseudo"),
         intent_id("key1").try_cast("int").alias("question_id"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from colloquy.plans import fixtures as X
 from colloquy.plans.registry import query
-from colloquy.plans.state_queries import FACT_COLUMNS, _FACTS_SQL, facts
+from colloquy.plans.state_queries import FACT_COLUMNS, FACTS_SQL, facts
 from colloquy.session import scratch_path
 from colloquy.sources import banks as A
 
@@ -86,7 +86,7 @@ def a6(spark, sf_dir):
     return A.read_training_blocks(spark, path)
 
 
-@query("a7_feedback_roundtrip", "A7", f"SELECT * FROM ({_FACTS_SQL})")
+@query("a7_feedback_roundtrip", "A7", f"SELECT * EXCLUDE (opened_ts, filled_ts) FROM ({FACTS_SQL})")
 def a7(spark, sf_dir):
     path = scratch_path(spark, "feedback")
     rows = facts(spark, sf_dir).withColumn("fact_day", F.substring("time_user_question", 1, 10))

@@ -288,9 +288,9 @@ FACT_COLUMNS = ["pseudo", "question_id", "user_question", "bot_answer", "bot_con
                 "bot_question_incomprehension", "user_wants_details"]
 
 _BEFORE = "OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-_FACTS_SQL = f"""
+FACTS_SQL = f"""
 WITH forms AS ({_FORMS_SQL}),
-e AS (SELECT user_id, event_id, strftime(ts, '%Y-%m-%d') AS day,
+e AS (SELECT user_id, event_id, ts, strftime(ts, '%Y-%m-%d') AS day,
         last_value(CASE WHEN event_type IN ('click', 'signup') THEN props END IGNORE NULLS) {_BEFORE} AS question,
         last_value(CASE WHEN event_type IN ('click', 'signup') THEN ts END IGNORE NULLS) {_BEFORE} AS question_ts,
         last_value(CASE WHEN event_type = 'purchase' THEN 'faq/' || event_id::VARCHAR END IGNORE NULLS) {_BEFORE} AS answer,
@@ -313,7 +313,7 @@ SELECT 'user' || f.user_id::VARCHAR AS pseudo, split_part(g.key1, '/', 2)::INTEG
   strftime(e.answer_ts, {TS_SQL}) AS time_bot_answer,
   (g.outcome = 'confused')::INTEGER AS bot_question_confusion,
   (g.outcome = 'not_understood')::INTEGER AS bot_question_incomprehension,
-  CASE WHEN e.prev_profile = 'view' THEN 1 ELSE 0 END AS user_wants_details
+  CASE WHEN e.prev_profile = 'view' THEN 1 ELSE 0 END AS user_wants_details, e.ts AS opened_ts, f.filled_ts
 FROM forms f JOIN e ON e.user_id = f.user_id AND e.event_id = f.form_id
 JOIN g ON g.user_id = f.user_id AND g.day = e.day
 WHERE f.note IS NOT NULL"""
@@ -332,7 +332,7 @@ def facts(spark, sf_dir) -> DataFrame:
     return out.withColumns({c: _fmt(c) for c in ("time_user_question", "time_bot_answer")})
 
 
-@query("f11_interaction_facts", "F11", _FACTS_SQL)
+@query("f11_interaction_facts", "F11", f"SELECT * EXCLUDE (opened_ts, filled_ts) FROM ({FACTS_SQL})")
 def f11(spark, sf_dir):
     return facts(spark, sf_dir)
 

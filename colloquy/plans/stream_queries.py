@@ -3,17 +3,24 @@ table folder (glob ``events*.parquet``) to completion with an
 ``availableNow`` trigger, then reads what the sink committed.
 
 J1 emits the sessions that the watermark closes: those that end 10 minutes or
-more before the latest event. J2-J4 end in the state of their batch forms.
+more before the latest event. J2-J4 end in the state of their batch forms;
+``j4_stream_facts`` reads the events in three files of a third of the time span
+each and ends in the rows of F11 that the watermark lets go.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from colloquy.plans.gate_queries import GATED_SQL
+from colloquy.plans import fixtures as X
 from colloquy.plans.registry import query
+from colloquy.plans.state_queries import FACTS_SQL
 from colloquy.session import scratch_path
 from colloquy.streaming import streams as J
+from colloquy.streaming.facts import FactStream
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -73,3 +80,42 @@ def j4(spark, sf_dir):
     q = J.stream_feedback(_events(spark, sf_dir), out, ck)
     q.awaitTermination()
     return J.latest_per_request(spark.read.parquet(out))
+
+
+def fact_stream(path: str) -> FactStream:
+    """Events as messages, mapped as for F11 (``state_queries``)."""
+    et, k = F.col("event_type"), F.get_json_object("props", "$.k").cast("int")
+    return FactStream(
+        path, ["user_id"], user=F.when(et.isin("click", "signup"), F.col("props")),
+        bot=F.when(et == "purchase", F.concat(F.lit("faq/"), F.col("event_id").cast("string"))), opens=et == "view",
+        details=F.when(et.isin(list(X.PROFILE_INTENTS)), (et == "view").cast("int")),
+        candidate=F.concat(F.lit("faq/"), F.col("event_id").cast("string")), confidence=k.cast("double") / F.lit(100.0),
+        intent="intent", note="note_text")
+
+
+def fact_messages(events):
+    et = F.col("event_type")
+    return events.withColumns({
+        "intent": F.when(et.isin("click", "purchase"), F.lit("number")).when(et == "signup", F.lit("faq"))
+        .when(et == "error", F.lit("deny")).otherwise(F.lit("other")),
+        "note_text": ((F.get_json_object("props", "$.k").cast("int") % 10) + 1).cast("string")})
+
+
+@query("j4_stream_facts", "J4", f"""
+WITH w AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events),
+x AS ({FACTS_SQL})
+SELECT x.* EXCLUDE (opened_ts, filled_ts) FROM x, w
+WHERE filled_ts < mark AND filled_ts <= opened_ts + INTERVAL 7 DAY AND date_trunc('day', opened_ts) + INTERVAL 1 DAY <= mark""")
+def j4_facts(spark, sf_dir):
+    source, out, ck = (scratch_path(spark, f"j4f-{x}") for x in ("in", "out", "ckpt"))
+    ev = spark.read.schema(J.EVENT_SCHEMA).parquet(f"{sf_dir}/events*.parquet")
+    first, last = ev.agg(F.min("ts"), F.max("ts")).first()
+    for i in range(3):  # three files in the order of time
+        third = F.lit(0) if first == last else F.least(F.lit(2), F.floor(
+            3 * (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp")))
+            / F.lit((last - first) / dt.timedelta(microseconds=1))))
+        ev.where(third == i).coalesce(1).write.parquet(f"{source}/events{i}")
+    messages = fact_messages(J.event_stream(spark, f"{source}/events*", max_files=1))
+    fact_stream(out).start(messages, ck).awaitTermination()
+    return spark.read.parquet(out).drop("batch").withColumns(
+        {c: F.date_format(c, TS_FMT) for c in ("time_user_question", "time_bot_answer")})

@@ -23,8 +23,8 @@ forest, never the pairs.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components,
 and rows without a label, link with nothing and are their own component; vectors of different
-length never link; a null vec_id counts as a link of its copies, has a null component and is
-kept only if the component is null; repeated rows are links of each other; an empty table
+length never link; a vector with a null vec_id links as any other, takes the smallest id of its
+component (null if none of it has an id), and is kept only if that is null; repeated rows are links of each other; an empty table
 gives an empty result; other columns are not read.
 """
 
@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import connected_components
+from colloquy.llm.common import connected_components, in_share
 from colloquy.llm.minhash import Forest
 from colloquy.session import materialize, read_table
 
@@ -135,8 +135,7 @@ def fit(classes: DataFrame) -> Quantiser | None:
     n, dim = classes.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     if not n:
         return None
-    share = min(1.0, FIT_ROWS / n)
-    picked = classes.where(F.pmod(F.xxhash64("v"), F.lit(1_000_000)) < max(1, int(share * 1_000_000)))
+    picked = classes.where(in_share(F.xxhash64("v"), FIT_ROWS, n))
     sample = picked.select("v").toPandas()["v"]  # about FIT_ROWS vectors
     if not len(sample):
         sample = classes.select("v").limit(1).toPandas()["v"]
@@ -229,14 +228,15 @@ def near_vectors(vecs: DataFrame) -> DataFrame:
     keys = [*cell, "block", "cut"]
     found = materialize(queries.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(
         search, "a long, b long, n long"), "pq_links")
-    named = classes.select("cls", "id")
-    links = (found.where("a <> b").join(named.toDF("a", "ida"), "a").join(named.toDF("b", "idb"), "b")
-             .where("ida is not null and idb is not null").select(F.col("ida").alias("a"), F.col("idb").alias("b")))
-    roots = connected_components(links, "pq_components").toDF("id", "root")
+    # links are between classes, so that one without an id still joins its neighbours
+    roots = connected_components(found.where("a <> b").select("a", "b"), "pq_components").toDF("cls", "root")
+    members = classes.select("cls", "id").join(roots, "cls")
+    least = members.groupBy("root").agg(F.min("id").alias("component"))
+    named = members.join(least, "root").select("cls", "component")
     number = found.where("a = b").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("n"))
-    done = classes.join(number, "cls", "left").join(roots, "id", "left").select(
+    done = classes.join(number, "cls", "left").join(named, "cls", "left").select(
         "label", "v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"),
-        F.coalesce("root", "id").alias("component"))
+        F.coalesce("component", "id").alias("component"))
     out = rows.join(done, ["label", "v"], "left")
     component = F.when(F.col("v").isNull(), F.col("vec_id")).otherwise(F.col("component"))
     return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),

@@ -58,8 +58,9 @@ def name_of(words: list[bytes]) -> bytes:
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, name, n_words, all_sha256) and classes (name, id, copies, n_words, anchors)."""
-    slim = id_text(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
+    """Rows (doc_id, name, n_words, all_sha256) and classes (name, id and text hash ``h`` of one of
+    their rows, copies, n_words, anchors)."""
+    slim = id_text(docs).select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("h"))
 
     def run(batches):
         for pdf in batches:
@@ -73,15 +74,16 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 out.append((name_of(words), len(words), hashlib.sha256(b" ".join(words)).hexdigest(), signed(a)))
             out = pd.DataFrame(out, columns=["name", "n_words", "all_sha256", "anchors"])
             out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").values)
+            out["h"] = pdf["h"].values
             yield out
 
     rows = materialize(slim.mapInPandas(
-        run, "doc_id long, name binary, n_words int, all_sha256 string, anchors array<long>"), "substr_rows")
+        run, "doc_id long, name binary, n_words int, all_sha256 string, anchors array<long>, h long"), "substr_rows")
     # the class's first row; anchors travel with it
     grouped = rows.where(f"n_words >= {WINDOW}").groupBy("name").agg(
         F.count(F.lit(1)).alias("copies"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "n_words", "anchors")).alias("x"))
-    return rows, materialize(grouped.select("name", F.col("x.doc_id").alias("id"), "copies", "x.n_words", "x.anchors"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "h", "n_words", "anchors")).alias("x"))
+    return rows, materialize(grouped.select("name", F.col("x.doc_id").alias("id"), F.col("x.h").alias("h"), "copies", "x.n_words", "x.anchors"),
                              "substr_classes")
 
 
@@ -92,9 +94,10 @@ def seeded_texts(docs: DataFrame, known: DataFrame) -> DataFrame:
     again = materialize(each.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"),
                         "substr_again")
     seeds = each.join(again, "anchor").groupBy("name").agg(F.collect_set("anchor").alias("seeds"))
-    seeds = seeds.join(known.select("name", "id", "copies"), "name")
+    seeds = seeds.join(known.select("name", "id", "h", "copies"), "name")
     slim = id_text(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
-    both = slim.join(seeds, slim["doc_id"].eqNullSafe(seeds["id"])).select("name", "copies", "text", "seeds", "id")
+    # by the text as well, so that rows without an id do not all meet
+    both = slim.join(seeds, slim["doc_id"].eqNullSafe(seeds["id"]) & (F.xxhash64(slim["text"].cast("string")) == seeds["h"])).select("name", "copies", "text", "seeds", "id")
 
     def same(batches):
         for pdf in batches:  # other rows may have the same id

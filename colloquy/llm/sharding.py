@@ -55,17 +55,23 @@ def _hyper(rng, good: int, bad: int, n: int) -> int:
         return n
     if good + bad < 1_000_000_000:
         return int(rng.hypergeometric(good, bad, n))
-    # beyond the generator's range: split the draw in two halves of the urn
-    g1, b1 = good // 2, bad // 2
-    n1 = int(np.clip(round(n * (g1 + b1) / (good + bad)
-                           + rng.standard_normal() * _split_sd(n, g1 + b1, good + bad)),
-                     max(0, n - (good + bad - g1 - b1)), min(n, g1 + b1)))
-    return _hyper(rng, g1, b1, n1) + _hyper(rng, good - g1, bad - b1, n - n1)
-
-
-def _split_sd(n: int, a: int, total: int) -> float:
-    p = a / total
-    return float(np.sqrt(max(0.0, n * p * (1 - p) * (total - n) / max(1, total - 1))))
+    return _invert(rng.random(), good, bad, n)  # beyond the generator's range
+
+
+def _invert(u: float, good: int, bad: int, n: int) -> int:
+    """The hypergeometric quantile of ``u``: probabilities follow from their ratios, as sums
+    of logarithms, over all values within 40 standard deviations of the mean. Those
+    outside weigh less than the least positive double."""
+    total = good + bad
+    mean = n * good / total
+    sd = np.sqrt(mean * (bad / total) * ((total - n) / max(1, total - 1)))
+    lo = max(0, n - bad, int(mean - 40 * sd) - 40)
+    hi = min(n, good, int(mean + 40 * sd) + 40)
+    k = np.arange(lo, hi, dtype=np.float64)
+    steps = np.log(good - k) + np.log(n - k) - np.log(k + 1) - np.log(bad - n + k + 1)
+    logs = np.concatenate([[0.0], np.cumsum(steps)])
+    upto = np.cumsum(np.exp(logs - logs.max()))
+    return lo + int(np.searchsorted(upto, u * upto[-1], side="right"))
 
 
 def _rank(df: DataFrame, group: str, order: str, ties: list[str], rows: int, name: str) -> DataFrame:

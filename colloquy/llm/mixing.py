@@ -1,7 +1,7 @@
 """Operator 7: mixing sources to target weights (DataFrame functions only).
 
 Method: Pfair scheduling. Source i has an integer weight ``a_i`` (its parts of
-B = sum of all parts). Its documents, in a seeded random order, are cut into
+B = sum of all parts, about 1,000, or as many as the smallest share needs). Its documents, in a seeded random order, are cut into
 blocks of ``block_rows``. Block j (from 0) of source i is released at slot
 floor(j*B/a_i) and due by slot ceil((j+1)*B/a_i); one block runs per slot, of
 those released the one due first. Total weight is one, so every block meets its
@@ -32,10 +32,13 @@ BLOCK_ROWS, RESOLUTION, ALPHA, SEED, SLICE_ROWS = 16, 1000, 0.7, "mix-42:", 2_00
 
 
 def smoothed_parts(counts: DataFrame, alpha: float = ALPHA, resolution: int = RESOLUTION) -> DataFrame:
-    """Target weights from source sizes: share of n^alpha in parts of about ``resolution``."""
+    """Target weights from source sizes: share of n^alpha in parts of about ``resolution``, or of
+    as many as give the smallest share a part of its own, so that no source is lifted above its weight."""
     damped = F.pow(F.col("n").cast("double"), F.lit(alpha))
-    share = damped / F.sum(damped).over(Window.partitionBy(F.lit(1)))  # one row per source
-    return counts.withColumn("parts", F.greatest(F.lit(1), F.round(share * resolution)).cast("long"))
+    whole = counts.agg(F.sum(damped).alias("_all"), F.min(damped).alias("_least"))
+    whole = whole.select("_all", F.greatest(F.lit(float(resolution)), F.ceil(F.col("_all") / F.col("_least") - 1e-6)).alias("_parts"))
+    return counts.join(F.broadcast(whole)).withColumn("parts", F.greatest(  # one row of totals
+        F.lit(1), F.round(damped / F.col("_all") * F.col("_parts"))).cast("long")).drop("_all", "_least", "_parts")
 
 
 def one_period(parts: DataFrame) -> DataFrame:
@@ -94,8 +97,14 @@ def schedule(docs: DataFrame, weights: DataFrame | None = None, block_rows: int
         *([F.struct(*[docs[c] for c in docs.columns]).alias("_doc")] if carry else []))
     # rank inside a source: slices of its hash order, ranked one by one, plus the rows of earlier slices
     cells = row.join(F.broadcast(ends.select("key", "n")), "key")  # one row per source
-    cells = cells.withColumn("_slice", F.expr(
-        f"cast(conv(substr(_h, 1, 8), 16, 10) as bigint) * (n div {SLICE_ROWS} + 1) div 4294967296"))
+    def share(hashed):
+        return f"cast(conv(substr({hashed}, 1, 8), 16, 10) as bigint) * (n div {SLICE_ROWS} + 1) div 4294967296"
+
+    # rows without an id share one hash: they are sliced on by their text
+    void = F.md5(F.lit(seed).cast("binary"))
+    cells = cells.withColumn("_slice", F.struct(
+        F.expr(share("_h")).alias("by_id"), (F.col("_h") >= void).cast("int") + (F.col("_h") > void).cast("int"),
+        F.when(F.col("_h") == void, F.expr(share("_t"))).alias("by_text")))
     before = Window.partitionBy("key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     counts = cells.groupBy("key", "_slice").count().select(
         "key", "_slice", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
@@ -130,8 +139,10 @@ OP7_SQL = f"""
 WITH RECURSIVE counted AS (
   SELECT coalesce('=' || source, '') AS k, count(*) AS n FROM documents GROUP BY 1),
 parts AS (
-  SELECT k, n, greatest(1, round({RESOLUTION} * pow(n::DOUBLE, {ALPHA}::DOUBLE)
-         / sum(pow(n::DOUBLE, {ALPHA}::DOUBLE)) OVER ()))::BIGINT AS a FROM counted),
+  SELECT k, n, greatest(1, round(greatest({RESOLUTION}::DOUBLE, ceil(whole / smallest - 1e-6))
+         * (pow(n::DOUBLE, {ALPHA}::DOUBLE) / whole)))::BIGINT AS a
+  FROM counted, (SELECT sum(pow(n::DOUBLE, {ALPHA}::DOUBLE)) AS whole, min(pow(n::DOUBLE, {ALPHA}::DOUBLE)) AS smallest
+                 FROM counted)),
 lists AS (
   SELECT list(k ORDER BY k) AS ks, list(a ORDER BY k) AS la, sum(a)::BIGINT AS b,
          list_transform(list(a ORDER BY k), lambda x: 0::BIGINT) AS zero FROM parts),

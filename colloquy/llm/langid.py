@@ -2,14 +2,15 @@
 
 Method: a word that the model knows scores its log frequency in each language;
 a word it has not seen falls back to its character n-grams, from ``MAX_GRAM``
-letters down: at each position the longest known n-gram counts, and every step
-down costs ``log(0.4)``. The scores of all words of a text add up.
+letters down: at each position the longest known n-gram counts. (A cost per step down
+would be the same for every language, so there is none.) The scores of all words of a
+text add up.
 
 The model is fitted on a bounded sample: about ``FIT_ROWS`` labelled rows that are
-not held out, chosen by a hash of their text (a sample of all rows, wherever they
-lie), and keeps the ``VOCABULARY`` most frequent words and ``GRAMS`` most frequent
-n-grams, so what is sent to the executors is bounded. Prediction reads every
-whole text.
+not held out, or fewer if those hold more than about ``FIT_CHARS`` code points, chosen by
+a hash of their text (a sample of all rows, wherever they lie). Every word and n-gram of
+the sample is kept; the sample's bound is the bound of what is sent to the executors.
+Prediction reads every whole text.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 so is any text if there is nothing to learn from; ties go to the first language
@@ -32,15 +33,20 @@ from pyspark.sql import functions as F
 from colloquy.llm.common import held_out, in_share
 from colloquy.session import materialize, read_table
 
-FIT_ROWS, VOCABULARY, GRAMS, MAX_GRAM = 8_000, 50_000, 60_000, 4
-BACKOFF = math.log(0.4)
+FIT_ROWS, FIT_CHARS, MAX_GRAM = 8_000, 32_000_000, 4
 RUN = re.compile(r"[^\W\d_]+")
 REJECT_BELOW = 0.5
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-cased letter runs."""
-    return [w for w in RUN.findall(text.lower()) if w.isalpha()] if text else []
+    """Lower-cased letter runs; digits of other kinds (superscripts, fractions) part them."""
+    if not text:
+        return []
+    runs = RUN.findall(text.lower())
+    if all(map(str.isalpha, runs)):
+        return runs
+    return [w for r in runs for w in (
+        [r] if r.isalpha() else "".join(c if c.isalpha() else " " for c in r).split())]
 
 
 @dataclass
@@ -51,17 +57,16 @@ class Model:
     grams: dict[str, int]
     gram_log: np.ndarray
 
-    def unseen(self, word: str) -> tuple[list[int], int]:
-        """The n-grams that stand for a word, longest known first, and the steps down."""
-        padded, out, steps = f"^{word}$", [], 0
+    def unseen(self, word: str) -> list[int]:
+        """The n-grams that stand for a word: the longest known one at each letter."""
+        padded, out = f"^{word}$", []
         for i in range(len(padded)):
             for n in range(min(MAX_GRAM, len(padded) - i), 0, -1):
                 at = self.grams.get(padded[i:i + n])
                 if at is not None:
                     out.append(at)
-                    steps += MAX_GRAM - n
                     break
-        return out, steps
+        return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text)
@@ -74,7 +79,7 @@ class Model:
                 known.append(at)
                 known_n.append(n)
             else:
-                ids, _ = self.unseen(w)  # the steps down cost every language alike
+                ids = self.unseen(w)
                 grams += ids
                 gram_n += [n / max(1, len(ids))] * len(ids)
         total = np.zeros(len(self.langs))
@@ -100,12 +105,13 @@ def _log_table(rows, langs: list[str]) -> tuple[dict[str, int], np.ndarray]:
     return ids, np.log(counts / counts.sum(axis=0)) if ids else counts
 
 
-def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, vocabulary: int = VOCABULARY, grams: int = GRAMS) -> Model:
+def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, fit_chars: int = FIT_CHARS) -> Model:
     lang, text = docs["lang"].cast("string"), docs["text"].cast("string")
     usable = ~held_out(docs["doc_id"]) & lang.isNotNull() & docs["text"].isNotNull()
-    n = docs.where(usable).count()
+    n, chars = docs.where(usable).agg(F.count(F.lit(1)), F.sum(F.char_length(text))).first()
+    wanted = min(fit_rows, max(1, n * fit_chars // max(1, chars or 0)))
     sample = docs.where(usable).select(text.alias("text"), lang.alias("lang")).where(
-        in_share(F.xxhash64("text"), fit_rows, n))
+        in_share(F.xxhash64("text"), wanted, n))
 
     def count(batches):
         for pdf in batches:
@@ -132,13 +138,11 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, vocabulary: int = VOCABULARY,
     spelled = words.mapInPandas(spell, "item string, lang string, n long").groupBy("item", "lang").agg(
         F.sum("n").alias("n"))
 
-    def top(table, size):
-        """Rows of the ``size`` most frequent items (ties by the item itself)."""
-        keep = table.groupBy("item").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "item").limit(size)
-        return [tuple(r) for r in table.join(F.broadcast(keep), "item").select("item", "lang", "n").collect()]
+    def rows(table):  # as many as the sample has items
+        return [tuple(r) for r in table.select("item", "lang", "n").toPandas().sort_values(["item", "lang"]).itertuples(index=False)]
 
-    ids, logs = _log_table(top(words, vocabulary), langs)
-    gram_ids, gram_logs = _log_table(top(spelled, grams), langs)
+    ids, logs = _log_table(rows(words), langs)
+    gram_ids, gram_logs = _log_table(rows(spelled), langs)
     return Model(langs, ids, logs, gram_ids, gram_logs)
 
 

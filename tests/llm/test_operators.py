@@ -347,11 +347,26 @@ def test_unseen_words_fall_back_to_shorter_grams(spark):
     rows = [(i, "the thing that thinks", "en") for i in range(8)] + [(20 + i, "der schon schoene schein", "de") for i in range(8)]
     m = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert m.predict("thinking thin")[0] == "en" and m.predict("scheinen schoen")[0] == "de"
-    ids, steps = m.unseen("thq")
-    assert steps > 0 and len(ids) <= 5
+    assert 0 < len(m.unseen("thq")) <= 5
+    assert "th" in m.grams and "^thq" not in m.grams
     assert m.predict("12 34 !!") == ("und", 0.0) and m.predict(None) == ("und", 0.0)
 
 
+def test_letters_beside_other_numerals_are_words(spark):
+    rows = [(i, "the metres of km\u00b2 and \u00bdx", "en") for i in range(16)]
+    m = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert langid.words_of("m\u00b2") == ["m"] and langid.words_of("10 km\u00b2 \u00bdx ok") == ["km", "x", "ok"]
+    assert m.predict("m\u00b2")[0] == "en" and m.predict("\u00b2 \u00bd 7")[0] == "und"
+
+
+def test_every_word_of_the_sample_is_known_and_texts_bound_it(spark):
+    rows = [(i, " ".join(f"{chr(97 + i % 26)}{chr(97 + j % 26)}{chr(97 + j // 26)}" for j in range(300)), "en") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = {w for i, t, _ in rows for w in langid.words_of(t) if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert set(langid.fit(docs).words) == learned
+    assert 0 < len(langid.fit(docs, fit_chars=12_000).words) < len(learned)
+
+
 def test_a_share_below_a_millionth_still_samples(spark):
     ids = spark.range(20_000_000).withColumnRenamed("id", "doc_id")  # three in four are not held out
     docs = ids.selectExpr("doc_id", "concat('word ', doc_id) as text", "'en' as lang")
@@ -401,6 +416,26 @@ def test_mix_stays_within_a_block(spark, documents):
             assert abs(run[k[1:]] - (s + 1) * a / b) < 1
 
 
+def test_many_small_sources_leave_a_large_one_its_weight(spark):
+    counts = spark.createDataFrame([(f"={i}", 1) for i in range(1500)] + [("=big", 20_000)], "key string, n long")
+    parts = {r["key"]: r["parts"] for r in mixing.smoothed_parts(counts).collect()}
+    share = 20_000 ** mixing.ALPHA / (20_000 ** mixing.ALPHA + 1500)
+    assert abs(parts["=big"] / sum(parts.values()) - share) < 0.001
+    assert {v for k, v in parts.items() if k != "=big"} == {1}
+
+
+def test_rows_without_an_id_are_cut_into_slices(spark, monkeypatch):
+    rows = [(None if i % 2 else i, f"text {i}", "a") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def places(size):
+        monkeypatch.setattr(mixing, "SLICE_ROWS", size)
+        out = mixing.schedule(docs, carry=True).select("slot", "place", "_doc.text")
+        return sorted(rows_of(out))
+
+    assert places(20) == places(10_000)
+
+
 def test_given_weights(spark):
     docs = spark.createDataFrame([(i, "t", "a" if i < 90 else None) for i in range(120)], "doc_id long, text string, source string")
     weights = spark.createDataFrame([("a", 3), (None, 1)], "source string, parts int")
@@ -408,6 +443,25 @@ def test_given_weights(spark):
     assert [x["source"] for x in r if x["slot"] < 80].count("a") == 60 and len(r) == 120
 
 
+@pytest.mark.parametrize("good,bad,n", [(30, 50, 20), (1, 7, 5), (400, 10, 300), (9, 9, 18)])
+def test_inverted_draws_follow_the_law(good, bad, n):
+    from math import comb
+
+    want = [comb(good, k) * comb(bad, n - k) / comb(good + bad, n) for k in range(0, n + 1)]
+    upto = np.cumsum(want)
+    for u in np.random.default_rng(3).random(300):
+        k = sharding._invert(float(u), good, bad, n)
+        assert (k == 0 or upto[k - 1] <= u + 1e-9) and u <= upto[k] + 1e-9
+
+
+def test_matrix_beyond_the_generators_range_keeps_its_sums():
+    counts = np.array([3_000_000_000, 1, 0, 2_000_000_007], dtype=np.int64)
+    m = sharding.draw_matrix(counts, 6, 1)
+    assert (m.sum(axis=1) == counts).all() and m.sum(axis=0).max() - m.sum(axis=0).min() <= 1 and (m >= 0).all()
+    spread = (m[0] - 3e9 / 6) / np.sqrt(5e9 / 6 * 0.6 * 0.4 * 5 / 6)
+    assert np.abs(spread).max() < 5 and np.abs(spread).max() > 0.01
+
+
 def test_mixed_order_keeps_every_row(spark, documents):
     out = mixing.mix_documents(documents)
     assert out.columns == documents.columns
@@ -490,8 +544,28 @@ def test_links_of_the_table(spark):
     assert got == slow_links(rows_of(df.select("vec_id", "embedding", "label")))
 
 
+def test_a_vector_without_an_id_links_its_neighbours(spark):
+    def at(degrees):
+        return [float(np.cos(np.radians(degrees))), float(np.sin(np.radians(degrees)))]
+
+    for middle in (None, 9):
+        df = spark.createDataFrame([(1, at(0), 0), (middle, at(20), 0), (2, at(40), 0), (None, at(120), 0)],
+                                   "vec_id long, embedding array<double>, label int")
+        got = sorted(((r["n_links"], r["component_id"], r["kept"]) for r in vectors.near_vectors(df).collect()), key=str)
+        assert got == [(0, None, True), (1, 1, False), (1, 1, True), (2, 1, False)]
+
+
 # --- op10 ----------------------------------------------------------------
 
+def test_rows_without_an_id_do_not_all_meet(spark):
+    shared = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, f"lead {i} {shared} tail {i}") for i in range(200)] + [(5, f"own {shared}"), (5, f"other {shared}"), (None, "short")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    _, known = substrings.classes(docs)
+    assert substrings.seeded_texts(docs, known).count() == 202
+    got = sorted((r["n_words"], r["n_removed"]) for r in substrings.remove_repeats(docs).collect())
+    assert got == [(1, 0)] + [(41, 40)] * 2 + [(44, 41)] * 200  # "tail" is shared too
+
 def slow_removal(docs, window=35):
     words = {d: WORD.findall(t or "") for d, t in docs}
     n = collections.Counter(tuple(w[i:i + window]) for w in words.values() for i in range(len(w) - window + 1))

@@ -56,6 +56,7 @@ def load_all() -> dict[str, Query]:
         source_queries,
         state_queries,
         stream_queries,
+        tagger_queries,
         text_queries,
     )
 

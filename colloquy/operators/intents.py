@@ -302,25 +302,58 @@ def rank_responses(queries: DataFrame, bank: DataFrame, q_keys: Sequence[str], i
 ENTITY_TOKEN_RE = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
 
 
+def phrase_trie(values: DataFrame) -> DataFrame:
+    """(parent, first, rest, n, node, level): the edges of the trie of all token sequences
+    ``values(run, tokens)``, chains without a branch or an end taken together. A node is
+    named by its tokens joined by a space (the root is empty) and lies ``level`` edges deep;
+    an edge adds ``n`` tokens, of which ``first`` tells it from its parent's other edges."""
+    steps = values.select("run", "tokens", F.explode(F.sequence(F.lit(1), F.size("tokens"))).alias("k")).select(
+        "run", "tokens", "k", F.expr("array_join(slice(tokens, 1, k), ' ')").alias("node"), F.get("tokens", F.col("k")).alias("next"))
+    inner = steps.groupBy("node").agg(F.min("next").alias("a"), F.max("next").alias("b"), F.bool_or(F.col("next").isNull()).alias("end"))
+    stops = steps.join(inner.where("end or a <> b").select("node"), "node")
+    path = Window.partitionBy("run").orderBy("k")
+    edges = stops.withColumns({"from": F.coalesce(F.lag("k").over(path), F.lit(0)), "parent": F.coalesce(F.lag("node").over(path), F.lit("")),
+                               "level": F.row_number().over(path)})
+    return edges.select("parent", F.get("tokens", F.col("from")).alias("first"),
+                        F.expr("slice(tokens, `from` + 2, k - `from` - 1)").alias("rest"),
+                        (F.col("k") - F.col("from")).alias("n"), "node", "level").distinct()
+
+
 def entity_match(df: DataFrame, gazetteer: DataFrame, keys: Sequence[str], text: str = "text") -> DataFrame:
     """Known entity values found in each text, as (keys, value, entity).
 
     Text and value are lower-cased token sequences (runs of letters and digits; any
     other visible character is a token), and a value is found where its whole
-    sequence stands: the runs of as many tokens as some value has are joined to the
-    values by equality."""
+    sequence stands. The values' trie is walked from every token that begins a value, all
+    places together, one level of edges at a time: a place is at most one row per level,
+    however many values begin alike. Such a place carries as many tokens as the longest
+    value has; the others are dropped before anything is carried."""
     keys = _list(keys)
 
     def tokens(c):
         return F.regexp_extract_all(F.lower(c), F.lit(ENTITY_TOKEN_RE), 0)
 
-    g = gazetteer.select(F.lower("value").alias("value"), "entity", tokens(F.col("value")).alias("_v")).where(
-        F.size("_v") > 0).select("value", "entity", F.array_join("_v", " ").alias("_run"), F.size("_v").alias("_n")).distinct()
-    lengths = sorted(r["_n"] for r in g.select("_n").distinct().collect())  # a few small numbers
-    toks = df.select(*keys, tokens(F.col(text)).alias("_toks"))
-    at = toks.select(*keys, "_toks", F.posexplode("_toks").alias("_at", "_tok"))
-    # the runs that start here, one per length; those past the end stay out
-    runs = F.array(*[F.when(F.col("_at") + n <= F.size("_toks"), F.concat_ws(
-        " ", "_tok", *[F.get("_toks", F.col("_at") + i) for i in range(1, n)])) for n in lengths or [1]])
-    found = at.select(*keys, F.explode(runs).alias("_run"))
-    return found.join(g, "_run").select(*keys, "value", "entity").distinct()
+    named = materialize(gazetteer.select(F.lower("value").alias("value"), "entity", tokens(F.col("value")).alias("tokens")).where(
+        F.size("tokens") > 0).select("value", "entity", F.array_join("tokens", " ").alias("run"), "tokens").distinct(), "entity_values")
+    edges = materialize(phrase_trie(named.select("run", "tokens").distinct()), "entity_trie")
+    deepest, longest = edges.agg(F.max("level")).first()[0] or 0, named.agg(F.max(F.size("tokens"))).first()[0] or 0
+    toks = materialize(df.select(*keys, tokens(F.col(text)).alias("toks")).withColumn("row", F.monotonically_increasing_id()),
+                       "entity_tokens")  # the row numbers stay
+    firsts = edges.where("level = 1").select(F.col("first").alias("tok")).distinct()
+    places = toks.select("row", F.posexplode("toks").alias("at", "tok")).join(firsts, "tok", "left_semi")
+    at = places.groupBy("row").agg(F.collect_list("at").alias("ats"))  # at most one text's places
+    walk = toks.select("row", "toks").join(at, "row").select("row", F.explode(F.transform(
+        "ats", lambda a: F.slice("toks", a + 1, F.lit(longest)))).alias("ahead"))
+    walk = walk.select("row", "ahead", F.lit("").alias("node"), F.lit(0).alias("depth"))
+    reached = toks.sparkSession.createDataFrame([], "row long, node string")
+    for level in range(1, deepest + 1):
+        step = edges.where(F.col("level") == level).select(
+            F.col("parent").alias("node"), F.col("first").alias("tok"), "rest", "n", F.col("node").alias("to"))
+        walk = walk.withColumn("tok", F.get("ahead", F.col("depth"))).join(step, ["node", "tok"]).where(
+            F.slice("ahead", F.col("depth") + 2, F.col("n") - 1) == F.col("rest")).select(
+            "row", "ahead", F.col("to").alias("node"), (F.col("depth") + F.col("n")).alias("depth"))
+        if level < deepest:  # read by this level's result and by the next level
+            walk = materialize(walk, "entity_walk")
+        reached = reached.unionByName(walk.select("row", "node"))
+    found = reached.distinct().join(named.select(F.col("run").alias("node"), "value", "entity"), "node")
+    return toks.select("row", *keys).join(found, "row").select(*keys, "value", "entity").distinct()

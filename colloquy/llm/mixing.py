@@ -35,10 +35,10 @@ def smoothed_parts(counts: DataFrame, alpha: float = ALPHA, resolution: int = RE
     """Target weights from source sizes: share of n^alpha in parts of about ``resolution``, or of
     as many as give the smallest share a part of its own, so that no source is lifted above its weight."""
     damped = F.pow(F.col("n").cast("double"), F.lit(alpha))
-    whole = counts.agg(F.sum(damped).alias("_all"), F.min(damped).alias("_least"))
-    whole = whole.select("_all", F.greatest(F.lit(float(resolution)), F.ceil(F.col("_all") / F.col("_least") - 1e-6)).alias("_parts"))
-    return counts.join(F.broadcast(whole)).withColumn("parts", F.greatest(  # one row of totals
-        F.lit(1), F.round(damped / F.col("_all") * F.col("_parts"))).cast("long")).drop("_all", "_least", "_parts")
+    every = Window.partitionBy(F.lit(1))  # one row per source
+    whole = F.sum(damped).over(every)
+    finest = F.greatest(F.lit(float(resolution)), F.ceil(whole / F.min(damped).over(every) - 1e-6))
+    return counts.withColumn("parts", F.greatest(F.lit(1), F.round(damped / whole * finest)).cast("long"))
 
 
 def one_period(parts: DataFrame) -> DataFrame:

@@ -2,30 +2,29 @@
 neighbours on item vectors, missing items and the item phrase.
 
 ``knn_label`` is exact without comparing every query with every point: item
-vectors are bit patterns, points are summarised per occupied pattern (counts
-per label and the first k ids), and each distinct query pattern looks up the
-patterns at distance 0, 1, 2, ... (equi-joins on the flipped pattern) until it
-has met k points. ``fuzzy_match`` compares only words that share a piece.
+vectors are bit patterns of any width, points are summarised per occupied pattern
+(counts per label and the first k ids), and each distinct query pattern finds the
+patterns within its k-th distance through pivots (``neighbours.near_sites``, Hamming
+distance). ``fuzzy_match`` compares only words that share a piece.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
-from math import comb
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions.text import fold_text
 from colloquy.operators.intents import rank_candidates
+from colloquy.operators.neighbours import near_sites
 from colloquy.session import materialize
 
 # --- fixed values ----------------------------------------------------------
 FUZZY_CUTOFF = 80          # similarity strictly above this keeps a match
 LIST_LAST_PREFIX = "et "   # the last item of a phrase is written "et <item>"
 LIST_SEPARATOR = ", "
-MASKS = 256                # flipped patterns looked up per round and query pattern
+WORD_BITS = 62             # items per whole number of a pattern
 # ---------------------------------------------------------------------------
 
 
@@ -79,44 +78,42 @@ def one_hot(df: DataFrame, keys: Sequence[str], item: str, items: Sequence[str])
 
 
 def item_pattern(df: DataFrame, keys: Sequence[str], item: str, items: Sequence[str]) -> DataFrame:
-    """Bit pattern of the items held by each key (bit i = items[i])."""
-    bit = F.coalesce(*[F.when(F.col(item) == it, F.lit(1 << i)) for i, it in enumerate(items)])
-    return df.select(*keys, bit.alias("_bit")).filter(F.col("_bit").isNotNull()).distinct() \
-        .groupBy(*keys).agg(F.sum("_bit").cast("int").alias("pattern"))
+    """Bit pattern of the items held by each key, ``WORD_BITS`` items per whole number
+    (``pattern array<bigint>``). Other items are left out, and keys that hold no other."""
+    at = F.array_position(F.array(*map(F.lit, items)), F.col(item)) - 1
+    held = df.select(*keys, at.cast("int").alias("_at")).where("_at >= 0")
+    words = [F.bit_or(F.expr(f"if(_at div {WORD_BITS} = {w}, shiftleft(1L, cast(_at % {WORD_BITS} as int)), 0L)"))
+             for w in range(-(-len(items) // WORD_BITS))]
+    return held.groupBy(*keys).agg(F.array(*words).alias("pattern"))
 
 
-def knn_label(queries: DataFrame, points: DataFrame, k: int, n_bits: int, q_keys: Sequence[str],
+def pattern_items(pattern: Column, items: Sequence[str]) -> Column:
+    """The items of a pattern, in the order of ``items``."""
+    return F.filter(F.array(*map(F.lit, items)), lambda x, i: F.get(pattern, F.floor(i / WORD_BITS).cast("int")).bitwiseAND(
+        F.call_function("shiftleft", F.lit(1).cast("long"), i % WORD_BITS)) != 0)
+
+
+def hamming(a: Column, b: Column) -> Column:
+    """Number of items that only one of two patterns holds."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0.0), lambda s, x: s + x)
+
+
+def knn_label(queries: DataFrame, points: DataFrame, k: int, q_keys: Sequence[str],
               point_id: str = "point_id", label: str = "label") -> DataFrame:
     """Majority label of the k nearest points (Hamming distance on bit
-    patterns; distance ties by point id; vote ties by label). Each round flips one
-    bit more, for the query patterns that have not met k points yet."""
+    patterns; distance ties by point id; vote ties by label)."""
     q_keys = list(q_keys)
     # the training points feed three summaries: read them once
     points = materialize(points.select("pattern", point_id, label), "knn-points")
-    per_pattern = materialize(points.groupBy("pattern").agg(F.count("*").alias("n")), "knn-patterns")
+    per_pattern = points.groupBy("pattern").agg(F.count("*").alias("n"))
     label_counts = points.groupBy("pattern", label).agg(F.count("*").alias("c"))
     firsts = rank_candidates(points.select("pattern", point_id, label), ["pattern"], [F.col(point_id)], top=k,
                              out="_r")
-    waiting = queries.select(F.col("pattern").alias("qpattern")).distinct()
-    total = points.count()
-    pairs = None
-    dist = 0
-    while dist <= n_bits:
-        masks = []  # of the next distances together, while they are few
-        while dist <= n_bits and (not masks or len(masks) + comb(n_bits, dist) <= MASKS):
-            masks += [(sum(1 << i for i in bits), dist) for bits in combinations(range(n_bits), dist)]
-            dist += 1
-        flips = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(d).alias("dist")) for m, d in masks])
-        flipped = waiting.select("qpattern", *(["met"] if pairs is not None else [F.lit(0).cast("bigint").alias("met")]),
-                                 F.inline(flips))
-        flipped = flipped.withColumn("pattern", F.col("qpattern").bitwiseXOR(F.col("m"))).drop("m")
-        met = materialize(flipped.join(per_pattern, "pattern", "left"), "knn-round")
-        part = met.where("n is not null").select("qpattern", "pattern", "n", "dist")
-        pairs = part if pairs is None else pairs.unionByName(part)
-        waiting = met.groupBy("qpattern").agg((F.first("met") + F.coalesce(F.sum("n"), F.lit(0))).alias("met")).where(
-            F.col("met") < min(k, total))
-        if waiting.isEmpty():
-            break
+    queries = materialize(queries.select(*q_keys, "pattern"), "knn-asked")
+    asked = queries.select(F.col("pattern").alias("q")).distinct().withColumn("qv", F.col("q"))
+    sites = per_pattern.select(F.col("pattern").alias("s"), F.col("pattern").alias("sv"), "n")
+    pairs = materialize(near_sites(asked, sites, k, hamming, lambda theta: theta).select(
+        F.col("q").alias("qpattern"), F.col("s").alias("pattern"), "n", "dist"), "knn-pairs")
     bands = pairs.groupBy("qpattern", "dist").agg(F.sum("n").alias("band_n"))
     wb = Window.partitionBy("qpattern").orderBy("dist").rowsBetween(Window.unboundedPreceding, -1)
     bands = bands.withColumn("before", F.coalesce(F.sum("band_n").over(wb), F.lit(0)))
@@ -149,10 +146,13 @@ def missing_items(predicted: DataFrame, role_items: DataFrame, asked: DataFrame,
 
 def list_phrase(items: DataFrame, keys: Sequence[str], item: str, order: Column) -> DataFrame:
     """``a, b, et c`` from a key's items (the reference writes a single
-    item as ``et a``). The list per key is bounded by the item vocabulary."""
+    item as ``et a``). An item is named once per key, at its first place, so the list is
+    bounded by the item vocabulary."""
     keys = list(keys)
-    arr = F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), F.col(item).alias("i")))),
+    items = items.select(*keys, item, order.alias("_o"))
+    arr = F.transform(F.array_sort(F.collect_list(F.struct(F.col("_o").alias("o"), F.col(item).alias("i")))),
                       lambda x: x["i"])
+    items = items.groupBy(*keys, item).agg(F.min("_o").alias("_o"))
     g = items.groupBy(*keys).agg(arr.alias("_a"))
     head = F.slice("_a", 1, F.size("_a") - 1)
     last = F.concat(F.lit(LIST_LAST_PREFIX), F.element_at("_a", -1))

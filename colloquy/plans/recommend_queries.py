@@ -7,16 +7,18 @@ event types. For I3-I5 an item is an event type in the lower or upper half of k
 of the year), read from the item matrix of A8; a user's role is user_id % 7. A request
 (user_id, day) asks for the items of that day. A role's items are those of its first
 point (smallest number), as the reference takes the first matrix row of a role.
+The dense form asks for the vectors whose id is divisible by 100, among all ``embeddings``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from colloquy.operators import neighbours as N
 from colloquy.operators import recommend as I
 from colloquy.plans import fixtures as X
 from colloquy.plans.registry import query, sql_lit as L
-from colloquy.session import scratch_path
+from colloquy.session import materialize, read_table, scratch_path
 from colloquy.sources import banks as A
 
 ITEMS = ["click", "error", "purchase", "signup", "view"]
@@ -94,22 +96,35 @@ def _points(spark, sf_dir):
 REQ = ["user_id", "day"]
 
 
-def _predicted(spark, sf_dir):
+def _predicted(spark, sf_dir, points):
     q = I.item_pattern(_asked(spark, sf_dir), REQ, "item", HALVES)
-    return I.knn_label(q, _points(spark, sf_dir), K, len(HALVES), REQ)
+    return I.knn_label(q, points, K, REQ)
 
 
 @query("i3_knn_label", "I3", f"WITH {_KNN_SQL} SELECT * FROM knn")
 def i3(spark, sf_dir):
-    return _predicted(spark, sf_dir)
+    return _predicted(spark, sf_dir, _points(spark, sf_dir))
 
 
-def _role_items(spark, sf_dir):
-    pts = _points(spark, sf_dir)
-    first = pts.groupBy("label").agg(F.min_by("pattern", "point_id").alias("pattern"))
-    items = F.array(*[F.when((F.col("pattern").bitwiseAND(F.lit(1 << i))) != 0, F.lit(it))
-                      for i, it in enumerate(HALVES)])
-    return first.select(F.col("label").alias("predicted_label"), F.explode(F.array_compact(items)).alias("item"))
+@query("i3_dense_knn", "I3", f"""
+WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+n AS (SELECT *, sqrt(list_dot_product(v, v)) AS size FROM e WHERE list_dot_product(v, v) > 0 AND isfinite(list_dot_product(v, v))),
+d AS (SELECT q.vec_id AS query, p.vec_id, p.label, round(list_dot_product(q.v, p.v) / (q.size * p.size), 6) AS cosine
+      FROM n q JOIN n p ON p.vec_id <> q.vec_id AND p.label IS NOT NULL AND len(p.v) = len(q.v) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY cosine DESC, vec_id) AS rank FROM d),
+v AS (SELECT query, label, count(*) AS votes FROM r WHERE rank <= {K} GROUP BY ALL),
+b AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY votes DESC, label) AS rn FROM v)
+SELECT r.query, r.rank::INTEGER AS rank, r.vec_id, r.cosine, r.label, b.label AS predicted_label, b.votes
+FROM r JOIN b ON b.query = r.query AND b.rn = 1 WHERE r.rank <= {K}""")
+def i3_dense(spark, sf_dir):
+    points = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    near = materialize(N.dense_neighbours(points.where("vec_id % 100 = 0"), points, K), "dense-knn")
+    return near.join(N.majority(near), "query")
+
+
+def _role_items(points):
+    first = points.groupBy("label").agg(F.min_by("pattern", "point_id").alias("pattern"))
+    return first.select(F.col("label").alias("predicted_label"), F.explode(I.pattern_items(F.col("pattern"), HALVES)).alias("item"))
 
 
 _MISSING_SQL = f"""
@@ -121,7 +136,8 @@ miss AS (SELECT k.user_id, k.day, ib.item, ib.bit FROM knn k JOIN ri ON ri.label
 
 def _missing(spark, sf_dir):
     asked = _asked(spark, sf_dir).select(*REQ, "item").distinct()
-    return I.missing_items(_predicted(spark, sf_dir), _role_items(spark, sf_dir), asked, REQ)
+    points = materialize(_points(spark, sf_dir), "item-points")  # for the neighbours and the roles
+    return I.missing_items(_predicted(spark, sf_dir, points), _role_items(points), asked, REQ)
 
 
 @query("i4_missing_items", "I4", f"WITH {_KNN_SQL}, {_MISSING_SQL} SELECT user_id, day, item FROM miss")

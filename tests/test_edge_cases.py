@@ -243,13 +243,13 @@ def test_i1_fuzzy(spark):
 
 
 def test_i3_knn_ties_and_votes(spark):
-    pts = spark.createDataFrame([(1, 0b01, 0), (2, 0b01, 1), (3, 0b01, 1), (4, 0b11, 0), (5, 0b10, 2)],
-                                "point_id long, pattern int, label int")
-    q = spark.createDataFrame([(100, 0b01)], "q long, pattern int")
-    got = I.knn_label(q, pts, 3, 2, ["q"]).first()
+    pts = spark.createDataFrame([(1, [0b01], 0), (2, [0b01], 1), (3, [0b01], 1), (4, [0b11], 0), (5, [0b10], 2)],
+                                "point_id long, pattern array<bigint>, label int")
+    q = spark.createDataFrame([(100, [0b01])], "q long, pattern array<bigint>")
+    got = I.knn_label(q, pts, 3, ["q"]).first()
     # nearest three: the pattern-01 points 1, 2, 3 (distance 0): labels 0, 1, 1
     assert (got["predicted_label"], got["votes"]) == (1, 2)
-    got4 = I.knn_label(q, pts, 4, 2, ["q"]).first()
+    got4 = I.knn_label(q, pts, 4, ["q"]).first()
     # add point 4 (distance 1, smaller id than 5): labels 0,1,1,0 -> tie -> smallest label
     assert (got4["predicted_label"], got4["votes"]) == (0, 2)
 
@@ -258,6 +258,8 @@ def test_i5_phrase(spark):
     items = spark.createDataFrame([(1, "a", 1), (2, "a", 1), (2, "b", 2), (2, "c", 3)], "k int, item string, o int")
     out = dict(rows(I.list_phrase(items, ["k"], "item", F.col("o")), "k", "phrase"))
     assert out == {1: "et a", 2: "a, b, et c"}
+    again = items.unionByName(spark.createDataFrame([(2, "a", 9), (1, "a", 1), (1, "a", 0)], "k int, item string, o int"))
+    assert dict(rows(I.list_phrase(again, ["k"], "item", F.col("o")), "k", "phrase")) == out
 
 
 def test_carry_last_chunked_equals_window(spark):

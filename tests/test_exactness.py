@@ -77,10 +77,10 @@ def test_knn_random(spark):
     bits = 4
     points = [(i, rnd.randrange(1 << bits), rnd.randrange(3)) for i in range(60)]
     queries = [(q, rnd.randrange(1 << bits)) for q in range(40)]
-    pdf = spark.createDataFrame(points, "point_id long, pattern int, label int")
-    qdf = spark.createDataFrame(queries, "q long, pattern int")
-    for k in (1, 4, 7, 60, 80):
-        got = {r["q"]: (r["predicted_label"], r["votes"]) for r in I.knn_label(qdf, pdf, k, bits, ["q"]).collect()}
+    pdf = spark.createDataFrame([(i, [p], la) for i, p, la in points], "point_id long, pattern array<bigint>, label int")
+    qdf = spark.createDataFrame([(q, [p]) for q, p in queries], "q long, pattern array<bigint>")
+    for k in (1, 7, 60, 80):
+        got = {r["q"]: (r["predicted_label"], r["votes"]) for r in I.knn_label(qdf, pdf, k, ["q"]).collect()}
         assert got == _brute_knn(queries, points, k), k
 
 

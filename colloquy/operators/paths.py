@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.operators.scan import running
+from colloquy.session import materialize
 
 FORM = "note_and_pseudo_asking_form"
 # --- fixed values: the reference's rules, step by step ---------------------
@@ -341,3 +342,49 @@ def next_action(df: DataFrame, keys, order: Sequence[str], step: str, chunk: Col
     best = counts.groupBy("prev2", "prev1").agg(
         F.min_by(F.struct("next_step", "n"), F.struct((-F.col("n")).alias("m"), F.col("next_step"))).alias("_b"))
     return best.select("prev2", "prev1", "_b.next_step", "_b.n")
+
+
+def _context(n: int) -> list[str]:
+    return [f"prev{i}" for i in range(1, n + 1)]
+
+
+def context_tree(df: DataFrame, keys, order: Sequence[str], step: str, depth: int, support: int,
+                 chunk: Column | None = None) -> DataFrame:
+    """G3 with histories of up to ``depth`` steps: the suffix tree of contexts, as
+    (depth, prev1 .. prev<depth>, n, next_step, n_next).
+
+    A context is the last steps before a place, nearest first. The tree grows a level at a
+    time: a context of d steps is counted only where its last d - 1 steps were kept, since it
+    cannot be met more often than they; it is kept if it is met ``support`` times. Each node
+    holds its most frequent next step (ties by step). Columns past a node's depth are null; a
+    null step is not part of any context and is never a next step. The levels are grouped
+    counts, combined map-side, over rows whose previous steps come from one running pass."""
+    rows = previous_steps(df, keys, order, step, depth, chunk=chunk).where(F.col(step).isNotNull())
+    rows = materialize(rows.select(F.col(step).alias("next_step"), *_context(depth)), "context-rows")
+    tree, open_rows = None, rows
+    for d in range(1, depth + 1):
+        at = _context(d)
+        counts = open_rows.where(F.col(f"prev{d}").isNotNull()).groupBy(*at, "next_step").agg(F.count(F.lit(1)).alias("c"))
+        nodes = counts.groupBy(*at).agg(
+            F.sum("c").alias("n"), F.min_by(F.struct("next_step", "c"), F.struct(-F.col("c"), "next_step")).alias("best"))
+        nodes = materialize(nodes.where(F.col("n") >= support), "context-level")
+        level = nodes.select(F.lit(d).alias("depth"), *at, *[F.lit(None).cast("string").alias(c) for c in _context(depth)[d:]],
+                             "n", "best.next_step", F.col("best.c").alias("n_next"))
+        tree = level if tree is None else tree.unionByName(level)
+        if d < depth:
+            open_rows = open_rows.join(nodes.select(*at), at, "left_semi")
+    return tree
+
+
+def predict_next(df: DataFrame, tree: DataFrame, keys, order: Sequence[str], step: str, depth: int,
+                 chunk: Column | None = None) -> DataFrame:
+    """Every row of ``df`` with ``context`` (steps of the longest context of ``tree`` that
+    ends just before it, 0 if none) and ``predicted``, the next step that context foresees."""
+    rows = previous_steps(df, keys, order, step, depth, chunk=chunk)
+    for d in range(1, depth + 1):
+        level = tree.where(F.col("depth") == d).select(*_context(d), F.col("next_step").alias(f"_n{d}"))
+        rows = rows.join(level, _context(d), "left")
+    found = [F.col(f"_n{d}") for d in range(depth, 0, -1)]
+    steps = F.coalesce(*[F.when(F.col(f"_n{d}").isNotNull(), F.lit(d)) for d in range(depth, 0, -1)], F.lit(0))
+    return rows.withColumns({"context": steps, "predicted": F.coalesce(*found)}).drop(
+        *_context(depth), *[f"_n{d}" for d in range(1, depth + 1)])

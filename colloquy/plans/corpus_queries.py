@@ -4,6 +4,8 @@ says which list a document belongs to."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from colloquy.operators import corpus as H
@@ -13,37 +15,36 @@ from colloquy.plans.registry import query
 _REPAIR_SQL = "replace(translate(text, chr(146) || chr(128) || chr(160), '''€ '), chr(156), 'oe')"
 
 
-LANGS = ["en", "de", "fr", "es"]
-
-
 def _docs(spark, sf_dir):
     return X.documents(spark, sf_dir, "doc_id", "source", "lang")
 
 
+def _by_language(docs):
+    """One list per language of the table, by name; the documents without one are the last."""
+    langs = sorted((r["lang"] for r in docs.select("lang").distinct().collect()), key=lambda x: (x is None, x))
+    return [docs.where(F.col("lang").eqNullSafe(F.lit(x))) for x in langs]
+
+
 # H1: the lists of all languages, one after another.
-@query("h1_merge_lists", "H1", "SELECT lang AS origin, source AS name, doc_id FROM documents WHERE lang IS NOT NULL")
+@query("h1_merge_lists", "H1", "SELECT lang AS origin, source AS name, doc_id FROM documents")
 def h1(spark, sf_dir):
-    d = _docs(spark, sf_dir)
-    lists = [d.filter(F.col("lang") == x).select(F.lit(x).alias("origin"), F.col("source").alias("name"), "doc_id")
-             for x in LANGS]
-    out = lists[0]
-    for more in lists[1:]:
-        out = H.merge_lists(out, more)
-    return out
+    lists = [d.select(F.col("lang").alias("origin"), F.col("source").alias("name"), "doc_id")
+             for d in _by_language(_docs(spark, sf_dir))]
+    return functools.reduce(H.merge_lists, lists)
 
 
-# H2 sources in priority order: a key is a source and the last digit of its
-# document; a later language replaces a key's whole list.
+# H2 languages in priority order: a key is a source and the last two digits of its
+# document, so keys are met in several languages; a later one replaces a key's whole list.
 @query("h2_merge_by_priority", "H2", """
-WITH s AS (SELECT source || '/' || (doc_id % 1000)::VARCHAR AS key, doc_id, lang,
-             CASE lang WHEN 'en' THEN 1 WHEN 'de' THEN 2 WHEN 'fr' THEN 3 WHEN 'es' THEN 4 END AS priority FROM documents),
+WITH s AS (SELECT source || '/' || (doc_id % 100)::VARCHAR AS key, doc_id, lang,
+             dense_rank() OVER (ORDER BY lang NULLS LAST)::INTEGER AS priority FROM documents),
 b AS (SELECT key, max(priority) AS priority FROM s GROUP BY key)
 SELECT s.key, s.doc_id, s.lang, s.priority FROM s JOIN b USING (key, priority)""")
 def h2(spark, sf_dir):
     d = _docs(spark, sf_dir)
-    key = F.concat_ws("/", "source", (F.col("doc_id") % 1000).cast("string"))
+    key = F.concat_ws("/", "source", (F.col("doc_id") % 100).cast("string"))
     d = d.select(key.alias("key"), "doc_id", "lang")
-    out = H.merge_by_priority([d.filter(F.col("lang") == x) for x in LANGS], "key")
+    out = H.merge_by_priority(_by_language(d), "key")
     return out.select("key", "doc_id", "lang", "priority")
 
 

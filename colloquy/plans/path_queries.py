@@ -121,3 +121,39 @@ SELECT prev2, prev1, next_step, n FROM r WHERE rn = 1""")
 def g3(spark, sf_dir):
     ev = X.events(spark, sf_dir, "user_id", "ts", "event_id", "event_type")
     return G.next_action(ev, EV_KEYS, EV_ORDER, "event_type", chunk=time_chunk())
+
+
+DEPTH, SUPPORT = 4, 20
+_PREV = [f"prev{i}" for i in range(1, DEPTH + 1)]
+_HISTORY_SQL = "SELECT *, " + ", ".join(
+    f"lag(event_type, {i}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev{i}" for i in range(1, DEPTH + 1)) + " FROM events"
+
+
+def _level_sql(d: int) -> str:
+    at, rest = ", ".join(_PREV[:d]), "".join(f", NULL AS {c}" for c in _PREV[d:])
+    return f"""SELECT {d} AS depth, {at}{rest}, sum(c)::BIGINT AS n, arg_min(event_type, (-c, event_type)) AS next_step, max(c) AS n_next
+  FROM (SELECT {at}, event_type, count(*) AS c FROM h WHERE prev{d} IS NOT NULL GROUP BY ALL) GROUP BY {at} HAVING sum(c) >= {SUPPORT}"""
+
+
+_TREE_SQL = f"WITH h AS ({_HISTORY_SQL}), tree AS ({' UNION ALL '.join(_level_sql(d) for d in range(1, DEPTH + 1))})"
+
+
+def _tree(spark, sf_dir):
+    ev = X.events(spark, sf_dir, "user_id", "ts", "event_id", "event_type")
+    return ev, G.context_tree(ev, EV_KEYS, EV_ORDER, "event_type", DEPTH, SUPPORT, chunk=time_chunk())
+
+
+@query("g3_context_tree", "G3", f"{_TREE_SQL} SELECT * FROM tree")
+def g3_tree(spark, sf_dir):
+    return _tree(spark, sf_dir)[1]
+
+
+@query("g3_predicted_steps", "G3", _TREE_SQL + " SELECT user_id, event_id, " + "coalesce("
+       + ", ".join(f"CASE WHEN t{d}.next_step IS NOT NULL THEN {d} END" for d in range(DEPTH, 0, -1)) + ", 0) AS context, coalesce("
+       + ", ".join(f"t{d}.next_step" for d in range(DEPTH, 0, -1)) + ") AS predicted FROM h"
+       + "".join(f" LEFT JOIN tree t{d} ON t{d}.depth = {d} AND " + " AND ".join(f"t{d}.{c} = h.{c}" for c in _PREV[:d])
+                 for d in range(1, DEPTH + 1)))
+def g3_predicted(spark, sf_dir):
+    ev, tree = _tree(spark, sf_dir)
+    out = G.predict_next(ev, tree, EV_KEYS, EV_ORDER, "event_type", DEPTH, chunk=time_chunk())
+    return out.select("user_id", "event_id", "context", "predicted")

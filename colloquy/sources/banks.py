@@ -11,6 +11,8 @@ block size. Readers split files at records, never take a file as one value
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -206,23 +208,69 @@ def read_response_blocks(spark: SparkSession, path: str) -> DataFrame:
         "response", (F.col("first") + F.col("p") + 1).alias("pos"), "text")
 
 
+def _folder(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def append_feedback(df: DataFrame, path: str | None = None, partition_col: str | None = None,
-                    fmt: str = "parquet", options: dict | None = None) -> None:
-    """Append rated interactions. The default is a parquet table
-    partitioned by day; any Spark sink works the same way (for a database,
-    ``fmt="jdbc"`` with url/dbtable options and no path). Each call appends
-    once; the stream form (J4) keys its writes by batch id."""
-    w = df.write.mode("append").format(fmt).options(**(options or {}))
+                    fmt: str = "parquet", options: dict | None = None, key: str | None = None) -> bool:
+    """Append rated interactions, once per ``key``; true if this call's rows count.
+
+    A table of files is a folder of appends. An append is written to a folder of its own under
+    ``path/data`` and counts once its commit record ``path/commits/<hash of key>`` exists, which
+    names that folder. The record is created only if there is none: of appends with one key, one
+    at a time or several at once, the first to finish wins, and what a failed or repeated one
+    has written is never read. Without ``key`` every call is an append of its own.
+
+    Any Spark sink without a path works as it does by itself (for a database, ``fmt="jdbc"`` with
+    url/dbtable options); it takes no key. The stream forms (J4) key their writes by batch id."""
+    w = df.write.format(fmt).options(**(options or {}))
     if partition_col:
         w = w.partitionBy(partition_col)
-    w.save(path) if path is not None else w.save()
+    if path is None:
+        if key is not None:
+            raise ValueError("a key needs a table of files")
+        w.mode("append").save()
+        return True
+    spark, own = df.sparkSession, uuid.uuid4().hex
+    name = hashlib.sha256(key.encode()).hexdigest() if key is not None else own
+    record, fs = _folder(spark, f"{path.rstrip('/')}/commits/{name}")
+    if fs.exists(record):
+        return False
+    w.mode("errorifexists").save(f"{path.rstrip('/')}/data/append_id={own}")
+    # the record appears whole: written aside, then given its name, which fails if there is one
+    draft, _ = _folder(spark, f"{path.rstrip('/')}/drafts/{own}")
+    out = fs.create(draft, False)
+    out.write(own.encode())
+    out.close()
+    fs.mkdirs(record.getParent())
+    return not fs.exists(record) and fs.rename(draft, record) and _record(fs, record) == own
+
+
+def _record(fs, at) -> str:
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
 
 def read_feedback(spark: SparkSession, path: str | None = None, columns: Sequence[str] | None = None,
                   fmt: str = "parquet", options: dict | None = None) -> DataFrame:
-    """Full read-back of the feedback table (any Spark source)."""
+    """Full read-back of the feedback table (any Spark source); of a table of files, the
+    committed appends. The driver reads one short record per append."""
     r = spark.read.format(fmt).options(**(options or {}))
-    df = r.load(path) if path is not None else r.load()
+    if path is None:
+        df = r.load()
+    else:
+        commits, fs = _folder(spark, f"{path.rstrip('/')}/commits")
+        names = sorted(_record(fs, x.getPath()) for x in fs.listStatus(commits)) if fs.exists(commits) else []
+        if not names:
+            raise FileNotFoundError(f"no committed append in {path}")
+        data = f"{path.rstrip('/')}/data"
+        df = r.option("basePath", data).load([f"{data}/append_id={n}" for n in names]).drop("append_id")
     return df.select(*columns) if columns else df
 
 

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from colloquy.operators.scan import running
+from colloquy.operators.scan import before_chunk, chunked, running
 from colloquy.session import materialize
 
 FORM = "note_and_pseudo_asking_form"
+WORD_BITS, CELL_ROWS = 62, 4096
 # --- fixed values: the reference's rules, step by step ---------------------
 # (rule, pos, step_kind, step_value). Kinds: condition (loop active when the
 # turn starts), intent, action, slot (``name=value``; no value: must be empty),
@@ -312,27 +313,63 @@ def previous_steps(df: DataFrame, keys, order: Sequence[str], step: str, n: int
     return running(df, keys, order, previous={"prev": (F.col(step), n)}, chunk=chunk)
 
 
+def path_masks(paths: DataFrame) -> DataFrame:
+    """(path, length, masks, ends) of ``paths(path, pos, step)``: for every step the places
+    of the path that take it, one bit each, ``WORD_BITS`` to a whole number; ``ends`` are the
+    steps of the last place. Places follow ``pos``, whatever its numbers."""
+    place = F.dense_rank().over(Window.partitionBy("path").orderBy("pos")) - 1
+    at = paths.where("step is not null").select("path", "step", place.alias("at")).distinct()
+    size = at.groupBy("path").agg((F.max("at") + 1).alias("length"))
+    words = at.groupBy("path", "step", F.expr(f"at div {WORD_BITS}").alias("w")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(at % {WORD_BITS} as int))")).alias("m"))
+    whole = words.groupBy("path", "step").agg(F.map_from_entries(F.collect_list(F.struct("w", "m"))).alias("m")).join(size, "path")
+    whole = whole.withColumn("m", F.expr(f"transform(sequence(0L, (length - 1) div {WORD_BITS}), w -> coalesce(m[w], 0L))"))
+    last = at.join(size, "path").where(F.col("at") + 1 == F.col("length")).groupBy("path").agg(F.collect_set("step").alias("ends"))
+    return whole.groupBy("path", "length").agg(F.map_from_entries(F.collect_list(F.struct("step", "m"))).alias("masks")).join(last, "path")
+
+
 def path_conformance(df: DataFrame, keys, order: Sequence[str], step: str, paths: DataFrame,
                      chunk: Column | None = None) -> DataFrame:
     """Per key and path, at how many places the contiguous steps of the path
     occur. ``paths`` has (path, pos, step); several rows of a position are an *or*
     step. Keys that never follow a path have no row for it.
 
-    Rows meet the paths on the path's last step (an equi-join); the steps before
-    are checked on the row's previous steps."""
+    Rows are numbered per key (in chunks) and dealt to cells of ``CELL_ROWS`` steps, or of
+    as many as the longest path has; a cell also gets the steps before it that a path
+    reaching into it needs, so a row is in two cells at most, whatever the length of the
+    paths. A path meets the cells that hold one of its last steps (an equi-join) and runs
+    over a cell's steps as a bit-parallel automaton: one bit per place of the path, moved on
+    by a shift and kept by the step's mask."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    per = paths.groupBy("path", "pos").agg(F.collect_set("step").alias("any")).groupBy("path").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "any"))).alias("_path"))
-    longest = per.agg(F.max(F.size("_path"))).first()[0] or 1  # one number of the path table
-    ends = per.select("path", "_path", F.explode(F.element_at("_path", -1)["any"]).alias("_end"))
-    rows = previous_steps(df, keys, order, step, max(1, longest - 1), chunk=chunk)
-    back = F.array(F.col(step), *[F.col(f"prev{i}") for i in range(1, max(1, longest - 1) + 1)])
-    rows = rows.select(*keys, F.col(step).alias("_step"), back.alias("_back"))
-    met = rows.join(ends, rows["_step"] == ends["_end"])
-    # step i from the end against position i from the end
-    fits = F.forall(F.sequence(F.lit(1), F.size("_path")), lambda i: F.array_contains(
-        F.element_at("_path", -i)["any"], F.coalesce(F.element_at("_back", i), F.lit(""))))
-    return met.where(fits).groupBy(*keys, "path").agg(F.count(F.lit(1)).alias("n_matches"))
+    masks = materialize(path_masks(paths), "path-masks")
+    longest = masks.agg(F.max("length")).first()[0] or 1  # one number of the path table
+    width = max(CELL_ROWS, longest)
+    rows = chunked(df.select(*keys, *[c for c in order if c not in keys], F.col(step).alias("_step")), keys, chunk)
+    rows = rows.select("_k", "_step", F.row_number().over(Window.partitionBy("_k").orderBy(*order)).alias("_in"))
+    before = rows.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_k", F.coalesce(F.sum("_n").over(before_chunk()), F.lit(0)).alias("_before"))
+    at = F.col("_before") + F.col("_in") - 1
+    rows = rows.join(before, "_k").select("_k._key", "_step", at.alias("_at"), F.floor(at / width).alias("_cell"))
+    ahead = rows.where(F.col("_at") % width >= width - (longest - 1)).withColumn("_cell", F.col("_cell") + 1)
+    cells = rows.unionByName(ahead).groupBy("_key", "_cell").agg(
+        F.array_sort(F.collect_list(F.struct("_at", "_step"))).alias("_steps"))
+    met = cells.select("*", F.explode(F.array_distinct("_steps._step")).alias("_end")).join(
+        masks.select("path", F.explode("ends").alias("_end")), "_end").select("_key", "_cell", "_steps", "path").distinct()
+    run = met.join(masks.drop("ends"), "path")
+    none = F.expr(f"transform(sequence(0L, (length - 1) div {WORD_BITS}), w -> 0L)")
+    top, bit = F.expr(f"cast((length - 1) div {WORD_BITS} as int)"), F.expr(f"shiftleft(1L, cast((length - 1) % {WORD_BITS} as int))")
+
+    def move(acc, x):
+        mask = F.coalesce(F.try_element_at(F.col("masks"), F.coalesce(x["_step"], F.lit(""))), none)
+        state = F.transform(acc["s"], lambda w, i: F.shiftleft(w, 1).bitwiseOR(F.when(i == 0, F.lit(1).cast("long")).otherwise(
+            F.shiftright(F.get(acc["s"], i - 1), WORD_BITS - 1).bitwiseAND(F.lit(1).cast("long")))).bitwiseAND(F.get(mask, i)))
+        return F.struct(state.alias("s"), (acc["n"] + F.when(
+            (F.get(state, top).bitwiseAND(bit) != 0) & (F.floor(x["_at"] / width) == F.col("_cell")), F.lit(1).cast("long")).otherwise(
+            F.lit(0).cast("long"))).alias("n"))
+
+    found = F.aggregate("_steps", F.struct(none.alias("s"), F.lit(0).cast("long").alias("n")), move, lambda acc: acc["n"])
+    out = run.select("_key", "path", found.alias("n")).groupBy("_key", "path").agg(F.sum("n").alias("n_matches"))
+    return out.where("n_matches > 0").select(*[F.col(f"_key.{k}").alias(k) for k in keys], "path", "n_matches")
 
 
 def next_action(df: DataFrame, keys, order: Sequence[str], step: str, chunk: Column | None = None) -> DataFrame:

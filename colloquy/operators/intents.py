@@ -207,20 +207,20 @@ def predict_intents(model: IntentModel, df: DataFrame, keys: Sequence[str], text
     """Per text the likeliest label (ties go to the smaller one), its log score
     and its share among the labels. Texts without tokens are scored by the priors."""
     keys = _list(keys)
-    tf = _words(df, keys, text).groupBy(*keys, "token").agg(F.count("*").alias("tf"))
-    length = tf.groupBy(*keys).agg(F.sum("tf").alias("_n"))
-    seen = tf.join(model.weights, "token").select(*keys, "tf", F.explode("w").alias("x")).groupBy(
-        *keys, F.col("x.label").alias("label")).agg(F.sum(F.col("tf") * F.col("x.w")).alias("_w"))
-    table = F.array(*[F.struct(F.lit(x).alias("label"), F.lit(p).cast("bigint").alias("_p"), F.lit(u).cast("bigint").alias("_u"))
-                      for x, p, u in model.labels])
-    grid = df.select(*keys).join(length, keys, "left").select(*keys, F.coalesce("_n", F.lit(0)).alias("_n"), F.inline(table))
-    score = F.col("_p") + F.col("_n") * F.col("_u") + F.coalesce("_w", F.lit(0))
-    scored = grid.join(seen, keys + ["label"], "left").select(*keys, "label", score.alias("s"))
-    best = scored.groupBy(*keys).agg(
-        F.min_by(F.struct("label", "s"), F.struct(-F.col("s"), "label")).alias("b"), F.collect_list("s").alias("_all"))
-    odds = F.aggregate("_all", F.lit(0.0), lambda acc, x: acc + F.exp((x - F.col("b.s")) / MICRO))
-    return best.select(*keys, F.col("b.label").alias("prediction"), (F.col("b.s") / MICRO).alias("score"),
-                       F.round(1 / odds, 6).alias("confidence"))
+    labels = F.array(*[F.lit(x) for x, _, _ in model.labels])
+    by_label = F.map_from_entries("w")
+    weights = model.weights.select("token", F.array(*[
+        F.coalesce(F.try_element_at(by_label, F.lit(x)), F.lit(0)).cast("bigint") for x, _, _ in model.labels]).alias("w"))
+    tokens = df.select(*keys, F.explode_outer(F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORD_RE), 0)).alias("token"))
+    # one row per text: its number of tokens and, per label, the sum of what the seen ones add
+    sums = tokens.join(weights, "token", "left").groupBy(*keys).agg(
+        F.count("token").alias("n"), F.array(*[F.coalesce(F.sum(F.col("w")[i]), F.lit(0)) for i in range(len(model.labels))]).alias("seen"))
+    fixed = [F.lit(p).cast("bigint") + F.col("n") * F.lit(u).cast("bigint") + F.col("seen")[i] for i, (_, p, u) in enumerate(model.labels)]
+    scored = sums.select(*keys, F.array(*fixed).cast("array<bigint>").alias("s")).withColumn("best", F.array_max("s"))
+    odds = F.aggregate("s", F.lit(0.0), lambda acc, x: acc + F.exp((x - F.col("best")) / MICRO))
+    return scored.where("best is not null").select(
+        *keys, F.get(labels, (F.array_position("s", F.col("best")) - 1).cast("int")).alias("prediction"),  # labels are in order
+        (F.col("best") / MICRO).alias("score"), F.round(1 / odds, 6).alias("confidence"))
 
 
 def fit_logistic(train: DataFrame, text: str = "text", label: str = "label", max_iter: int = 20,

@@ -12,8 +12,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from colloquy.operators import keywords as D
+from colloquy.operators import lemmas as M
 from colloquy.plans import fixtures as X
 from colloquy.plans.registry import query, sql_lit as L
+from colloquy.plans.tagger_queries import viterbi_sql
 
 _STOPS_SQL = "[" + ", ".join(L(w) for w in D.FRENCH_STOP_WORDS) + "]"
 _CORPUS_SQL = """SELECT (doc_id % 10) // 2 AS pair_id, doc_id % 2 AS side, doc_id,
@@ -94,3 +96,75 @@ SELECT pair_id, side, replace(translate(word, chr(146) || chr(128), '''€'), ch
 def d6(spark, sf_dir):
     best = D.top_keyword(D.keyword_table(corpus(spark, sf_dir)), ["pair_id", "side"])
     return best.withColumn("score", F.round("score", 6))
+
+
+# D2 with lemmas: the lexicon is a stand-in read from the words of ``benchmark``: the lemma drops a
+# final s, e or nt, the part of speech follows the ending, and words of four letters have two.
+_LEX_SQL = r"""f AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{L}+')) AS form FROM benchmark),
+lx AS (SELECT form, regexp_replace(form, '(s|e|nt)$', '') AS lemma,
+         CASE WHEN form LIKE '%nt' THEN 'VERB' WHEN form LIKE '%e' THEN 'ADJ' ELSE 'NOUN' END AS pos FROM f
+       UNION SELECT form, form, 'VERB' FROM f WHERE length(form) = 4),
+forms AS MATERIALIZED (SELECT form, pos, min(lemma) AS lemma FROM lx GROUP BY form, pos)"""
+_TAG_NAMES = ["ADJ", "NOUN", "VERB"]
+_TAGS_SQL = "(VALUES " + ", ".join(f"({n}, {L(t)})" for n, t in enumerate(_TAG_NAMES)) + ") AS tags(t, tag)"
+_CANDIDATES_SQL = rf"""{_LEX_SQL},
+sh AS (SELECT form, pos, lemma, list_max(list_filter(range(0, least(length(form), length(lemma)) + 1),
+         lambda i: left(form, i::INTEGER) = left(lemma, i::INTEGER))) AS shared FROM forms),
+ru AS (SELECT form, pos, length(form) - shared AS strip, substr(lemma, shared + 1) AS add FROM sh),
+re AS (SELECT pos, strip, add, right(form, e::INTEGER) AS ending
+       FROM ru, range(1, {M.ENDING} + 1) r(e) WHERE e >= strip AND e <= length(form)),
+rc AS (SELECT ending, pos, strip, add, count(*) AS n FROM re GROUP BY ALL),
+rb AS (SELECT * FROM rc QUALIFY row_number() OVER (PARTITION BY ending, pos ORDER BY n DESC, strip, add) = 1),
+dw AS MATERIALIZED (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM (
+  SELECT doc_id, regexp_extract_all(lower(text), '\p{{L}}+') AS ws FROM documents WHERE lang = 'fr')),
+v AS (SELECT DISTINCT word FROM dw),
+un AS (SELECT word, e, right(word, e::INTEGER) AS ending FROM v, range(1, {M.ENDING} + 1) r(e)
+       WHERE e <= length(word) AND NOT EXISTS (SELECT 1 FROM forms WHERE form = word)),
+me AS (SELECT * FROM un JOIN rb USING (ending) QUALIFY e = max(e) OVER (PARTITION BY word)),
+cand AS MATERIALIZED (
+  SELECT word, pos, lemma, 0::BIGINT AS weight FROM v JOIN forms ON form = word
+  UNION ALL SELECT word, pos, left(word, (length(word) - strip)::INTEGER) || add,
+    round(ln(n::DOUBLE / sum(n) OVER (PARTITION BY word)) * {M.MICRO})::BIGINT FROM me)"""
+
+
+def lexicon(spark, sf_dir):
+    words = X.benchmark(spark, sf_dir).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(D.WORD_PATTERN), 0)).alias("form"))
+    form = F.col("form")
+    pos = F.when(form.endswith("nt"), "VERB").when(form.endswith("e"), "ADJ").otherwise("NOUN")
+    rows = words.distinct().select("form", F.regexp_replace("form", "(s|e|nt)$", "").alias("lemma"), pos.alias("pos"))
+    return rows.unionByName(words.distinct().where(F.char_length("form") == 4).select(
+        "form", form.alias("lemma"), F.lit("VERB").alias("pos")))
+
+
+def _french(spark, sf_dir):
+    d = X.documents(spark, sf_dir, "doc_id", "lang", "text")
+    return d.filter(F.col("lang") == "fr").select("doc_id", "text")
+
+
+@query("d2_guessed_lemmas", "D2", f"WITH {_CANDIDATES_SQL} SELECT word, pos, lemma, weight FROM cand")
+def d2_lemmas(spark, sf_dir):
+    docs = _french(spark, sf_dir)
+    model = M.fit_lemmas(lexicon(spark, sf_dir), docs)
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(D.WORD_PATTERN), 0)).alias("word"))
+    return M.candidates(words, model.forms, model.endings)
+
+
+@query("d2_tagged_words", "D2", f"""WITH RECURSIVE {_CANDIDATES_SQL},
+one AS (SELECT form, min(pos) AS tag FROM forms GROUP BY form HAVING count(*) = 1),
+nb AS (SELECT lag(word) OVER (PARTITION BY doc_id ORDER BY pos) AS a, pos, word AS b FROM dw),
+nc AS (SELECT CASE WHEN nb.pos = 0 THEN '^' ELSE x.tag END AS p, y.tag AS t, count(*) AS n
+       FROM nb JOIN one y ON y.form = nb.b LEFT JOIN one x ON x.form = nb.a WHERE nb.pos = 0 OR x.tag IS NOT NULL GROUP BY ALL),
+z_a AS MATERIALIZED (SELECT pt.t AS p, tags.t, round({M.MICRO} * ln((coalesce(n, 0) + 1)::DOUBLE
+         / (sum(coalesce(n, 0)) OVER (PARTITION BY pt.t) + {len(_TAG_NAMES)})))::BIGINT AS a
+       FROM (SELECT t, tag FROM {_TAGS_SQL} UNION ALL SELECT -1, '^') pt CROSS JOIN {_TAGS_SQL}
+       LEFT JOIN nc ON nc.p = pt.tag AND nc.t = tags.tag),
+seq AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY doc_id, pos // {M.PART}) AS s, pos % {M.PART} AS i FROM dw),
+z_e AS MATERIALIZED (SELECT s, i, tags.t, CASE WHEN k.word IS NULL THEN 0 ELSE coalesce(cand.weight, {M.NEVER}) END AS e
+       FROM seq CROSS JOIN {_TAGS_SQL} LEFT JOIN (SELECT DISTINCT word FROM cand) k ON k.word = seq.word
+       LEFT JOIN cand ON cand.word = seq.word AND cand.pos = tags.tag),{viterbi_sql("z", _TAGS_SQL)}
+SELECT doc_id, coalesce(cand.lemma, seq.word) AS lemma, z.tag, count(*) AS n
+FROM seq JOIN z ON z.s = seq.s AND z.i = seq.i LEFT JOIN cand ON cand.word = seq.word AND cand.pos = z.tag GROUP BY ALL""")
+def d2_tagged(spark, sf_dir):
+    docs = _french(spark, sf_dir)
+    tagged = M.tag_words(docs, M.fit_lemmas(lexicon(spark, sf_dir), docs), ["doc_id"])
+    return tagged.groupBy("doc_id", "lemma", "tag").agg(F.count(F.lit(1)).alias("n"))

@@ -33,6 +33,25 @@ def tagger(spark, sf_dir):
 _TAGS_SQL = "(VALUES " + ", ".join(f"({n}, {L(t)})" for n, t in enumerate(TAGS)) + ") AS tags(t, tag)"
 
 
+def viterbi_sql(name: str, tags: str) -> str:
+    """CTEs from scores ``{name}_e`` (s, i, t, e) and transitions ``{name}_a`` (p, t, a; p = -1 at the
+    start) to the best tags ``{name}`` (s, i, tag)."""
+    return f"""
+{name}_v AS (
+  SELECT e.s, e.i, e.t, e.e + a.a AS score, -1 AS prev FROM {name}_e e JOIN {name}_a a ON a.p = -1 AND a.t = e.t WHERE e.i = 0
+  UNION ALL
+  SELECT s, i, t, score, prev FROM (
+    SELECT v.s, e.i, e.t, v.score + a.a + e.e AS score, v.t AS prev,
+           row_number() OVER (PARTITION BY v.s, e.t ORDER BY v.score + a.a DESC, v.t) AS rn
+    FROM {name}_v v JOIN {name}_e e ON e.s = v.s AND e.i = v.i + 1 JOIN {name}_a a ON a.p = v.t AND a.t = e.t) WHERE rn = 1),
+{name}_m AS MATERIALIZED (SELECT * FROM {name}_v),
+{name}_l AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY i DESC, score DESC, t) AS rn FROM {name}_m),
+{name}_b AS (
+  SELECT s, i, t, prev FROM {name}_l WHERE rn = 1
+  UNION ALL SELECT m.s, m.i, m.t, m.prev FROM {name}_b b JOIN {name}_m m ON m.s = b.s AND m.i = b.i - 1 AND m.t = b.prev),
+{name} AS MATERIALIZED (SELECT b.s, b.i, tags.tag FROM {name}_b b JOIN {tags} ON tags.t = b.t)"""
+
+
 def _tokens_sql(name: str, source: str, annotated: bool) -> str:
     """CTEs from ``source`` (r, text) to ``{name}`` (r, pos, q, i, token, tag) and its features."""
     piece = rf"{SPAN_PATTERN}|(?s:.)[^\[]*" if annotated else r"(?s:.)+"
@@ -68,19 +87,7 @@ def _decode_sql(name: str, tokens: str, features: str, weights: str) -> str:
     GROUP BY x.s, x.i, tags.t),
 {name}_a AS MATERIALIZED (SELECT p.t AS p, n.t, coalesce(w.w, 0) AS a FROM (SELECT t, tag FROM {_TAGS_SQL} UNION ALL SELECT -1, '^') p
     CROSS JOIN {_TAGS_SQL.replace("tags(t", "n(t")} LEFT JOIN {weights} w ON w.feature = 't=' || p.tag AND w.tag = n.tag),
-{name}_v AS (
-  SELECT e.s, e.i, e.t, e.e + a.a AS score, -1 AS prev FROM {name}_e e JOIN {name}_a a ON a.p = -1 AND a.t = e.t WHERE e.i = 0
-  UNION ALL
-  SELECT s, i, t, score, prev FROM (
-    SELECT v.s, e.i, e.t, v.score + a.a + e.e AS score, v.t AS prev,
-           row_number() OVER (PARTITION BY v.s, e.t ORDER BY v.score + a.a DESC, v.t) AS rn
-    FROM {name}_v v JOIN {name}_e e ON e.s = v.s AND e.i = v.i + 1 JOIN {name}_a a ON a.p = v.t AND a.t = e.t) WHERE rn = 1),
-{name}_m AS MATERIALIZED (SELECT * FROM {name}_v),
-{name}_l AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY i DESC, score DESC, t) AS rn FROM {name}_m),
-{name}_b AS (
-  SELECT s, i, t, prev FROM {name}_l WHERE rn = 1
-  UNION ALL SELECT m.s, m.i, m.t, m.prev FROM {name}_b b JOIN {name}_m m ON m.s = b.s AND m.i = b.i - 1 AND m.t = b.prev),
-{name} AS MATERIALIZED (SELECT b.s, b.i, tags.tag FROM {name}_b b JOIN {_TAGS_SQL} ON tags.t = b.t)"""
+{viterbi_sql(name, _TAGS_SQL)}"""
 
 
 def _round_sql(n: int) -> str:

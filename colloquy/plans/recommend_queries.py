@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from colloquy.operators import neighbours as N
 from colloquy.operators import recommend as I
+from colloquy.operators import token_sets as S
 from colloquy.plans import fixtures as X
 from colloquy.plans.registry import query, sql_lit as L
 from colloquy.session import materialize, read_table, scratch_path
@@ -30,6 +31,14 @@ _WORD_SQL = """CASE json_extract_string(props, '$.k')::INTEGER % 3
     ELSE upper(replace(replace(event_type, 'i', 'î'), 'e', 'é')) END"""
 
 
+def _said():
+    et, k = F.col("event_type"), F.col("k")
+    p = k % F.char_length(et)
+    return (F.when(k % 3 == 0, et)
+            .when(k % 3 == 1, F.concat(F.substr(et, F.lit(1), p), F.substr(et, p + 2, F.char_length(et))))
+            .otherwise(F.upper(F.replace(F.replace(et, F.lit("i"), F.lit("î")), F.lit("e"), F.lit("é")))))
+
+
 @query("i1_fuzzy_match", "I1", f"""
 WITH w AS (SELECT event_id, {_WORD_SQL} AS word FROM events),
 f AS (SELECT event_id, word, strip_accents(lower(trim(word))) AS fw FROM w),
@@ -40,16 +49,41 @@ FROM f, v
 WHERE 100.0 * (1.0 - levenshtein(fw, item)::DOUBLE / greatest(length(fw), length(item))) > 80""")
 def i1(spark, sf_dir):
     ev = X.events(spark, sf_dir, "event_id", "event_type", "k")
-    et, k = F.col("event_type"), F.col("k")
-    p = k % F.char_length(et)
-    word = (F.when(k % 3 == 0, et)
-            .when(k % 3 == 1, F.concat(F.substr(et, F.lit(1), p), F.substr(et, p + 2, F.char_length(et))))
-            .otherwise(F.upper(F.replace(F.replace(et, F.lit("i"), F.lit("î")), F.lit("e"), F.lit("é")))))
-    words = ev.select("event_id", word.alias("word"))
+    words = ev.select("event_id", _said().alias("word"))
     vocab = spark.createDataFrame([(i,) for i in ITEMS], "item string")
     return I.fuzzy_match(words, vocab, ["event_id"])
 
 
+# Items of two words; what a user says is the misspelled type and another word, in either order.
+PHRASES = [f"{a} {b}" for a in ITEMS for b in ("page", "panier")]
+_SAID_SQL = f"""CASE WHEN json_extract_string(props, '$.k')::INTEGER % 2 = 0 THEN {_WORD_SQL} || ' page'
+    ELSE 'Panniers ' || {_WORD_SQL} END"""
+_LCS_SQL = """list_reduce(list_prepend(list_transform(range(0, length({y}) + 1), lambda z: 0::BIGINT), list_transform(
+    string_split({x}, ''), lambda c: list_transform(string_split({y}, ''), lambda d: (c = d)::BIGINT))),
+    lambda row, hit: list_reduce(list_prepend([0::BIGINT], list_transform(range(1, len(hit) + 1), lambda j: [
+        CASE WHEN hit[j] = 1 THEN row[j] + 1 ELSE row[j + 1] END])), lambda acc, v: list_append(acc, greatest(acc[len(acc)], v[1]))))[-1]"""
+
+
+@query("i1_token_sets", "I1", f"""
+WITH w AS (SELECT event_id, {_SAID_SQL} AS word FROM events),
+u AS (SELECT DISTINCT word, list_sort(list_distinct(regexp_extract_all(strip_accents(lower(trim(word))), '[a-z0-9]+'))) AS a FROM w),
+v AS (SELECT item, list_sort(list_distinct(string_split(item, ' '))) AS b FROM (VALUES {", ".join(f"({L(i)})" for i in PHRASES)}) AS t(item)),
+p AS (SELECT word, item, list_sort(list_intersect(a, b)) AS s, list_sort(list_filter(a, lambda x: NOT list_contains(b, x))) AS o1,
+        list_sort(list_filter(b, lambda x: NOT list_contains(a, x))) AS o2 FROM u, v WHERE len(a) > 0),
+t AS (SELECT word, item, array_to_string(s, ' ') AS t0, array_to_string(list_concat(s, o1), ' ') AS t1,
+        array_to_string(list_concat(s, o2), ' ') AS t2 FROM p),
+r AS (SELECT word, item, round(greatest(
+        CASE WHEN t0 = '' THEN 0 ELSE 200.0::DOUBLE * length(t0) / (length(t0) + length(t1)) END,
+        CASE WHEN t0 = '' THEN 0 ELSE 200.0::DOUBLE * length(t0) / (length(t0) + length(t2)) END,
+        200.0::DOUBLE * {_LCS_SQL.format(x="t1", y="t2")} / (length(t1) + length(t2))), 6) AS similarity FROM t)
+SELECT event_id, word, item, similarity FROM w JOIN r USING (word) WHERE similarity > 80""")
+def i1_sets(spark, sf_dir):
+    ev = X.events(spark, sf_dir, "event_id", "event_type", "k")
+    word = F.when(F.col("k") % 2 == 0, F.concat(_said(), F.lit(" page"))).otherwise(F.concat(F.lit("Panniers "), _said()))
+    return S.token_set_match(ev.select("event_id", word.alias("word")),
+                             spark.createDataFrame([(p,) for p in PHRASES], "item string"), ["event_id"])
+
+
 @query("i2_one_hot", "I2", f"""
 SELECT user_id, {", ".join(f"max((event_type = {L(i)})::INTEGER) AS {i}" for i in ITEMS)} FROM events GROUP BY user_id""")
 def i2(spark, sf_dir):

@@ -24,9 +24,11 @@ import math
 import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,12 +53,22 @@ def words_of(text: str) -> list[str]:
 
 @dataclass
 class Model:
+    """The words and n-grams are kept as columns; a task looks them up in dictionaries of its own."""
+
     langs: list[str]
-    words: dict[str, int]
+    word_items: pa.Array
     word_log: np.ndarray  # word x language
-    grams: dict[str, int]
+    gram_items: pa.Array
     gram_log: np.ndarray
 
+    @cached_property
+    def words(self) -> dict[str, int]:
+        return {w: i for i, w in enumerate(self.word_items.to_pylist())}
+
+    @cached_property
+    def grams(self) -> dict[str, int]:
+        return {g: i for i, g in enumerate(self.gram_items.to_pylist())}
+
     def unseen(self, word: str) -> list[int]:
         """The n-grams that stand for a word: the longest known one at each letter."""
         padded, out = f"^{word}$", []
@@ -93,16 +105,15 @@ class Model:
         return self.langs[best], float(1 / odds.sum())
 
 
-def _log_table(rows, langs: list[str]) -> tuple[dict[str, int], np.ndarray]:
-    """Add-half smoothed log frequency per language of (item, lang, count) rows."""
-    ids: dict[str, int] = {}
-    for item, _, _ in rows:
-        ids.setdefault(item, len(ids))
-    counts = np.full((len(ids), len(langs)), 0.5)
-    at = {x: i for i, x in enumerate(langs)}
-    for item, lang, n in rows:
-        counts[ids[item], at[lang]] += n
-    return ids, np.log(counts / counts.sum(axis=0)) if ids else counts
+def _log_table(table: DataFrame, langs: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The items of (item, lang, n) rows, and their add-half smoothed log frequency per language."""
+    wide = table.groupBy("item").agg(*[
+        F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, x in enumerate(langs)])
+    got = wide.toArrow().combine_chunks() if langs else None  # as many rows as the sample has items
+    if not got or not got.num_rows:
+        return pa.array([], pa.string()), np.empty((0, len(langs)))
+    counts = np.stack([got[f"n{i}"].to_numpy() for i in range(len(langs))], axis=1) + 0.5
+    return got["item"].combine_chunks(), np.log(counts / counts.sum(axis=0))
 
 
 def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, fit_chars: int = FIT_CHARS) -> Model:
@@ -138,12 +149,7 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, fit_chars: int = FIT_CHARS) -
     spelled = words.mapInPandas(spell, "item string, lang string, n long").groupBy("item", "lang").agg(
         F.sum("n").alias("n"))
 
-    def rows(table):  # as many as the sample has items
-        return [tuple(r) for r in table.select("item", "lang", "n").toPandas().sort_values(["item", "lang"]).itertuples(index=False)]
-
-    ids, logs = _log_table(rows(words), langs)
-    gram_ids, gram_logs = _log_table(rows(spelled), langs)
-    return Model(langs, ids, logs, gram_ids, gram_logs)
+    return Model(langs, *_log_table(words, langs), *_log_table(spelled, langs))
 
 
 def predictor(spark: SparkSession, model: Model):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from colloquy.functions.text import extract_annotations
 from colloquy.operators import intents as C
+from colloquy.operators import selector as S
 from colloquy.plans import fixtures as X
 from colloquy.plans.registry import query
 
@@ -79,6 +80,19 @@ def c4(spark, sf_dir):
     return ranked.select("conv_id", "turn", "item_id", "rank", "cosine", "confidence")
 
 
+# no SQL: the space is learned by alternating least squares
+@query("c4_selected_responses", "C4")
+def c4_selected(spark, sf_dir):
+    """Learned from all user and assistant turns of a conversation; asked by the user turns of the
+    conversations whose id is divisible by 100, among all assistant turns."""
+    conv = X.conversations(spark, sf_dir).withColumn("id", F.col("conv_id"))
+    own = F.col("conv_id") * 10_000 + F.col("turn")
+    users, bots = conv.where("role = 'user'"), conv.where("role = 'assistant'")
+    model = S.fit_selector(users.select("id", "text"), bots.select("id", "text"), rank=16, rounds=5)
+    asked = users.where("conv_id % 100 = 0").select(own.alias("query"), "text")
+    return S.select_responses(asked, bots.select(own.alias("item_id"), "text"), model, 3)
+
+
 _FIRST_TWO = r"^\s*([^\s\[\]()]+\s[^\s\[\]()]+)"
 
 

@@ -2,39 +2,42 @@
 
 Method: texts become lower-cased letter-and-digit tokens. Document and benchmark
 item are joined on shared seeds (hashes of ``SEED`` = five tokens); for a joined
-pair, Karp-Rabin hashes of all five-token windows give the common runs, the longest
-run over unmarked tokens is marked as a tile, again and again, until no common run
-of five tokens is left (:func:`tiles`). An item leaks into a document if the tiles
-cover ``COVERAGE`` = 0.8 of its tokens, in whatever order the passages come.
+pair, Karp-Rabin hashes of the unmarked windows find the longest common run, which is
+marked as a tile, again and again, until no common run of five tokens is left
+(:func:`tiles`). An item leaks into a document if the tiles cover ``COVERAGE`` = 0.8 of
+its tokens, in whatever order the passages come.
 
 A document's seeds are not shuffled as such: a bitmap of ``BITS`` bits (2 MB
 whatever the benchmark's size) first drops windows that no item has; a false
-positive of the bitmap only costs a join row. Pairs whose shared seeds cannot
-add up to the coverage, each counted at every position it has in the item, are
-dropped before tiling.
+positive of the bitmap only costs a join row. Of an item only the rarest seeds are
+joined, so many that no leak is lost (:func:`rare_seeds`): a phrase that many items
+share makes no pairs. A pair whose shared positions cannot add up to the coverage is
+not tiled.
 
 Defined results: null and empty texts, and items shorter than five tokens, never
-match; items with equal tokens count as one, named by the smallest item_id; ties
-between equally long runs go to the earlier item position, then the earlier
-document position; a doc_id on several rows is judged row by row; null doc_ids are
-kept as null; empty tables give an empty result; other columns are not read.
+match; items with equal tokens count as one, named by the smallest item_id; different
+items of one item_id, or without one, are judged each; ties between equally long runs
+go to the earlier item position, then the earlier document position; a doc_id on several
+rows is judged row by row; null doc_ids are kept as null; texts of one token repeated
+many times cost no more than others of their length; empty tables give an empty result;
+other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import gram_hashes, id_text, signed, word_hashes
+from colloquy.llm.common import MULT, gram_hashes, id_text, signed, word_hashes
 from colloquy.session import materialize, read_table
 
-SEED, COVERAGE, BITS = 5, 0.8, 24
+SEED, COVERAGE, BITS, GROUP = 5, 0.8, 24, 1 << 16
+_INVERSE = np.uint64(pow(int(MULT), -1, 2**64))
 TOKEN = re.compile(r"[^\W_]+")
 
 
@@ -42,42 +45,92 @@ def tokens(text: str | None) -> np.ndarray:
     return word_hashes(TOKEN.findall(text.lower())) if text else np.empty(0, dtype=np.uint64)
 
 
+class _Windows:
+    """Karp-Rabin hashes of windows of any length over one token sequence."""
+
+    def __init__(self, x: np.ndarray):
+        power = np.cumprod(np.r_[np.uint64(1), np.full(len(x), MULT)], dtype=np.uint64)
+        self.sums = np.r_[np.uint64(0), np.cumsum(x * power[:-1], dtype=np.uint64)]
+        self.back = np.cumprod(np.r_[np.uint64(1), np.full(len(x), _INVERSE)], dtype=np.uint64)
+
+    def at(self, places: np.ndarray, length: int) -> np.ndarray:
+        return (self.sums[places + length] - self.sums[places]) * self.back[places]
+
+
+def _ahead(live: np.ndarray) -> np.ndarray:
+    """How many live positions follow one another from each position on."""
+    at = np.arange(len(live))
+    return np.minimum.accumulate(np.where(live, len(live), at)[::-1])[::-1] - at
+
+
+def _known(x: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in ``found`` (sorted, not empty)."""
+    return found[np.minimum(np.searchsorted(found, x), len(found) - 1)] == x
+
+
 def tiles(item: np.ndarray, doc: np.ndarray, least: int = SEED) -> list[tuple[int, int, int]]:
-    """Greedy string tiling: (item position, document position, length), longest first."""
+    """Greedy string tiling: (item position, document position, length), longest first.
+
+    Each round finds the greatest length at which unmarked windows of both sides agree
+    (by halving, on hashes) and marks all such windows that do not overlap, in the order of
+    their places. No list of position pairs is made: memory grows with the two lengths, and
+    rounds are as many as there are different tile lengths (their sum is an item at most)."""
     a, b = gram_hashes(item, least), gram_hashes(doc, least)
     if not len(a) or not len(b):
         return []
-    order = np.argsort(a, kind="stable")
-    lo, hi = np.searchsorted(a[order], b, "left"), np.searchsorted(a[order], b, "right")
-    n = hi - lo
-    t = np.repeat(np.arange(len(b)), n)
-    p = order[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())] if len(t) else np.empty(0, dtype=int)
-    if not len(t):
+    live_b = _known(b, np.sort(a))
+    if not live_b.any():
         return []
-    by = np.lexsort((p, t - p))  # runs lie on diagonals
-    p, t = p[by], t[by]
-    new = np.flatnonzero(np.r_[True, (np.diff(p) != 1) | (np.diff(t - p) != 0)])
-    length = np.diff(np.r_[new, len(p)]) + least - 1
-    heap = [(-int(k), int(x), int(y)) for k, x, y in zip(length, p[new], t[new])]
-    heapq.heapify(heap)
-    used_i, used_d = np.zeros(len(item), bool), np.zeros(len(doc), bool)
-    out = []
-    while heap:
-        k, x, y = heapq.heappop(heap)
-        taken = used_i[x:x - k] | used_d[y:y - k]
-        if not taken.any():
-            used_i[x:x - k] = used_d[y:y - k] = True
-            out.append((x, y, -k))
-            continue
-        edges = np.flatnonzero(np.diff(np.r_[True, taken, True].astype(np.int8)))
-        for s, e in zip(edges[::2], edges[1::2]):  # what is left of the run
-            if e - s >= least:
-                heapq.heappush(heap, (-int(e - s), x + int(s), y + int(s)))
-    return out
+    live_a = _known(a, np.unique(b[live_b]))
+    hash_a, hash_b = _Windows(item), _Windows(doc)
+    used, out, top = np.zeros(len(doc), bool), [], len(item)
+    while True:
+        ahead_a, ahead_b = _ahead(live_a), _ahead(live_b)
+        top = min(top, int(min(ahead_a.max(), ahead_b.max())) + least - 1)
+        if top < least:
+            return out
+
+        def windows(length):
+            x, y = np.flatnonzero(ahead_a > length - least), np.flatnonzero(ahead_b > length - least)
+            return x, hash_a.at(x, length), y, hash_b.at(y, length)
+
+        def agree(length):
+            _, hx, _, hy = windows(length)
+            return len(hx) > 0 and len(hy) > 0 and bool(_known(hx, np.sort(hy)).any())
+
+        low, high = least - 1, top + 1  # agree up to low, not from high on
+        length = top
+        while high - low > 1:
+            low, high = (length, high) if agree(length) else (low, length)
+            length = (low + high) // 2
+        if low < least:
+            return out
+        x, hx, y, hy = windows(low)
+        by = np.argsort(hy, kind="stable")
+        y, hy = y[by], hy[by]
+        start, stop = np.searchsorted(hy, hx, "left"), np.searchsorted(hy, hx, "right")
+        free: dict[int, int] = {}  # per hash the first window that may still be unmarked
+        end = 0
+        for at, lo, hi in zip(x.tolist(), start.tolist(), stop.tolist()):
+            if at < end or lo == hi:
+                continue
+            n = free.get(lo, lo)
+            while n < hi and (used[y[n]] or used[y[n] + low - 1]):  # windows of one length
+                n += 1
+            free[lo] = n
+            for to in y[n:hi]:
+                if not used[to] and not used[to + low - 1] and np.array_equal(item[at:at + low], doc[to:to + low]):
+                    used[to:to + low] = True
+                    live_a[max(0, at - least + 1):at + low] = False
+                    live_b[max(0, to - least + 1):to + low] = False
+                    out.append((at, int(to), low))
+                    end = at + low
+                    break
+        top = low - 1
 
 
 def benchmark_items(bench: DataFrame) -> DataFrame:
-    """(item_id, tokens): one row per distinct token sequence of five tokens or more."""
+    """(no, item_id, tokens): one numbered row per distinct token sequence of five tokens or more."""
     slim = bench.select(bench["item_id"].cast("long").alias("item_id"), bench["text"].cast("string").alias("text"))
 
     def run(batches):
@@ -86,21 +139,33 @@ def benchmark_items(bench: DataFrame) -> DataFrame:
             yield pd.DataFrame({"item_id": pdf["item_id"].astype("Int64"), "tokens": toks})
 
     items = slim.mapInPandas(run, "item_id long, tokens array<long>").where(F.size("tokens") >= SEED)
-    return materialize(items.groupBy("tokens").agg(F.min("item_id").alias("item_id")), "bench_items")
+    items = items.groupBy("tokens").agg(F.min("item_id").alias("item_id"))
+    return materialize(items.select(F.monotonically_increasing_id().alias("no"), "item_id", "tokens"), "bench_items")
 
 
 def item_seeds(items: DataFrame) -> DataFrame:
-    """(item_id, n, seed, at): the distinct seeds of each item of n tokens and the
+    """(no, n, seed, at): the distinct seeds of each item of n tokens and the
     number of positions each has in it; written once."""
     def run(batches):
         for pdf in batches:
-            for i, t in zip(pdf["item_id"], pdf["tokens"]):
+            for i, t in zip(pdf["no"], pdf["tokens"]):
                 seed, at = np.unique(gram_hashes(np.asarray(t, dtype=np.int64).view(np.uint64), SEED), return_counts=True)
-                yield pd.DataFrame({"item_id": pd.array([i] * len(seed), dtype="Int64"), "n": len(t),
-                                    "seed": signed(seed), "at": at})
+                yield pd.DataFrame({"no": i, "n": len(t), "seed": signed(seed), "at": at})
+
+    slim = items.select("no", "tokens")
+    return materialize(slim.mapInPandas(run, "no long, n int, seed long, at long"), "bench_seeds")
+
 
-    slim = items.select("item_id", "tokens")
-    return materialize(slim.mapInPandas(run, "item_id long, n int, seed long, at long"), "bench_seeds")
+def rare_seeds(seeds: DataFrame, hits: DataFrame, coverage: float) -> DataFrame:
+    """(no, n, seed): the seeds of an item that meet its documents. Tiles over ``coverage`` of
+    n tokens hold at least n * coverage / SEED of its n - SEED + 1 seed positions, so a leaking
+    document holds one of the others even if all but the last so many are left out: the
+    seeds that most documents hold are."""
+    df = hits.select(F.explode("seeds").alias("seed")).groupBy("seed").agg(F.count(F.lit(1)).alias("df"))
+    before = Window.partitionBy("no").orderBy(F.coalesce("df", F.lit(0)), "seed").rowsBetween(Window.unboundedPreceding, -1)
+    needed = F.greatest(F.lit(1), F.ceil(F.col("n") * coverage / SEED - 1e-9))
+    ranked = seeds.join(df, "seed", "left").withColumn("before", F.coalesce(F.sum("at").over(before), F.lit(0)))
+    return ranked.where((F.col("before") <= F.col("n") - SEED + 1 - needed) & F.col("df").isNotNull()).select("no", "n", "seed")
 
 
 def find_leaks(docs: DataFrame, bench: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -137,19 +202,25 @@ def named_leaks(docs: DataFrame, bench: DataFrame, coverage: float = COVERAGE) -
     hits = id_text(docs).mapInPandas(run, "doc_id long, name string, tokens array<long>, seeds array<long>")
     # written once, so the row number stays the same when a task is repeated
     hits = materialize(hits.withColumn("row", F.monotonically_increasing_id()), "leak_hits")
-    shared = hits.select("row", F.explode("seeds").alias("seed")).join(seeds, "seed")
-    pairs = (shared.groupBy("row", "item_id", "n").agg(F.sum("at").alias("k"))
-             .where(F.col("k") * SEED >= F.col("n") * coverage))
-    wanted = pairs.join(items, "item_id").groupBy("row").agg(
-        F.collect_list(F.struct("item_id", F.col("tokens").alias("item"))).alias("items"))
+    pairs = (hits.select("row", F.explode("seeds").alias("seed")).join(rare_seeds(seeds, hits, coverage), "seed")
+             .select("row", "no", "n").distinct())
+    pairs = materialize(pairs, "leak_pairs")
+    # items go to their document in groups of about GROUP tokens, however many it may hold
+    groups = pairs.groupBy("row").agg(F.ceil(F.sum("n") / GROUP).alias("groups"))
+    wanted = (pairs.join(groups, "row").withColumn("part", F.pmod(F.xxhash64("no"), F.col("groups")))
+              .join(items, "no").groupBy("row", "part").agg(
+                  F.collect_list(F.struct("item_id", F.col("tokens").alias("item"))).alias("items")))
 
     def tile(batches):
         for pdf in batches:
             out = []
             for doc_id, name, toks, found in zip(pdf["doc_id"], pdf["name"], pdf["tokens"], pdf["items"]):
                 doc = np.asarray(toks, dtype=np.int64).view(np.uint64)
+                seen = np.unique(gram_hashes(doc, SEED))
                 for x in found:
                     item = np.asarray(x["item"], dtype=np.int64).view(np.uint64)
+                    if _known(gram_hashes(item, SEED), seen).sum() * SEED < len(item) * coverage:
+                        continue  # shared positions that cannot add up to the coverage
                     t = tiles(item, doc)
                     share = sum(k for *_, k in t) / len(item)
                     if share >= coverage:

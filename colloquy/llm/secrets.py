@@ -35,12 +35,16 @@ from colloquy.session import materialize, read_table
 @dataclass(frozen=True)
 class Rule:
     """``pattern`` must mean the same to Java and to RE2. A match counts if
-    ``group`` (0: all of it) has at least ``least`` characters."""
+    ``group`` (0: all of it) has at least ``least`` characters. Where a search for
+    ``pattern`` may read a stretch of text from each of many starts, ``once`` is a Java
+    regex that takes every run of its letters whole, match or not, and has the matches of
+    ``pattern`` as its group 1, at the end of what it takes."""
 
     name: str
     pattern: str
     group: int = 0
     least: int = 0
+    once: str = ""
 
 
 #: fixed values: the three base rules first, in the order of their columns
@@ -52,7 +56,9 @@ RULES = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+         once=r"(?=[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8})[A-Za-z0-9_-]*?"
+              r"(eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)|[A-Za-z0-9_-]++"),
 )
 BASE = 3
 MAX_LITERALS = 32  # more alternatives than this end a literal run (the query stays correct, only weaker)
@@ -135,21 +141,23 @@ def candidates(index: DataFrame, rules=RULES) -> DataFrame:
 
 def _spans(text: Column, r: Rule, order: int) -> Column:
     """Spans of one rule as array<struct<s, k, e, kind>>."""
-    found = F.regexp_extract_all(text, F.lit(r.pattern), F.lit(0))
-    checked = F.regexp_extract_all(text, F.lit(r.pattern), F.lit(r.group))
-    zipped = F.arrays_zip(F.split(text, r.pattern, -1).alias("gap"), found.alias("hit"), checked.alias("part"))
+    pattern, group, least = (r.once, 1, 1) if r.once else (r.pattern, r.group, r.least)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    checked = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"), checked.alias("part"))
     zipped = F.slice(zipped, 1, F.size(found))
     empty = F.array().cast("array<struct<s:int,k:int,e:int,kind:string>>")
 
     def step(acc, x):
         s = acc["pos"] + F.char_length(x["gap"])
         e = s + F.char_length(x["hit"])
-        span = F.struct(s.alias("s"), F.lit(order).alias("k"), e.alias("e"), F.lit(r.name).alias("kind"))
-        return F.struct(e.alias("pos"), F.when(F.char_length(x["part"]) >= r.least, F.concat(acc["out"], F.array(span)))
+        start = e - F.char_length(x["part"]) if r.once else s
+        span = F.struct(start.alias("s"), F.lit(order).alias("k"), e.alias("e"), F.lit(r.name).alias("kind"))
+        return F.struct(e.alias("pos"), F.when(F.char_length(x["part"]) >= least, F.concat(acc["out"], F.array(span)))
                         .otherwise(acc["out"]).alias("out"))
 
     spans = F.aggregate(zipped, F.struct(F.lit(0).alias("pos"), empty.alias("out")), step, lambda acc: acc["out"])
-    return F.when(F.rlike(text, F.lit(r.pattern)), spans).otherwise(empty)
+    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(empty)
 
 
 def _digest(spans: Column) -> Column:

@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from colloquy.llm import (decontaminate, langid, minhash, mixing, pii, registry, secrets, sharding, substrings,
                           toxicity, vectors)
@@ -435,6 +436,21 @@ def test_planted_secrets(spark):
             assert [(x["s"], x["e"]) for x in got[d][r.name]] == want, (d, r.name)
 
 
+def test_tokens_in_three_parts_are_found_without_rereading_a_run(spark):
+    rule = next(r for r in secrets.RULES if r.once)
+    rng, parts = random.Random(3), ["eyJ", "eyJabcdefgh", "eyJABCDEFGHIJ", "abcdefghij", "x", ".", ".", "..", " ", "-", "é", "\U0001F600"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    texts += ["a-eyJ12345678.eyJ12345678.12345678.eyJ12345678.eyJ12345678.1234567", "eyJeyJ12345678.eyJ12345678.12345678"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [(x["s"], x["e"]) for x in r[rule.name]] for r in secrets.scan(docs).select("doc_id", rule.name).collect()}
+    want = {i: [m.span() for m in re.finditer(rule.pattern, t)] for i, t in enumerate(texts)}
+    assert got == want and sum(map(len, want.values())) > 20
+    long = spark.createDataFrame([(1, "eyJ" * 300_000), (2, "-eyJ_" * 100_000 + ".eyJ" + "a" * 300_000)], "doc_id long, text string")
+    begin = time.perf_counter()
+    assert [r["doc_id"] for r in secrets.scan(long).where(F.size(rule.name) > 0).collect()] == []
+    assert time.perf_counter() - begin < 60
+
+
 # --- op7, op8 ------------------------------------------------------------
 
 def test_mix_stays_within_a_block(spark, documents):

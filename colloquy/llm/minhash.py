@@ -12,8 +12,9 @@ threshold 0.85 a pair shares no band with probability 0.7275^48 = 2e-7.
 Candidates are verified exactly on the full shingle sets. Copies with equal sets are
 one class from the start (only the class is sketched and banded). Documents that
 share a band are tied to the band's smallest class, which gives families; inside a
-family an inverted index over shingles counts the exact intersections of all its
-members, so no pair is emitted as a row. A family larger than ``BLOCK_SHINGLES``
+family an inverted index over shingles counts the exact intersections of a member with
+those that no search has reached, so no pair is emitted as a row and copies that are all
+alike cost one comparison each. A family larger than ``BLOCK_SHINGLES``
 is dealt in blocks, one task per pair of blocks. Families pass their links on as
 spanning forests, and the forests of a family in blocks are merged by connected
 components.
@@ -105,7 +106,9 @@ class Forest:
 
 def links_within(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of the links (similarity 0.85 or more) between members of
-    ``left`` and of ``right``, by exact intersection counts from an inverted index."""
+    ``left`` and of ``right``, by exact intersection counts from an inverted index. A search
+    goes from member to member and compares each with those not reached so far: a family of
+    copies that are all alike is done after the first one."""
     sizes = np.array([len(s) for s in sets])
     forest, out = Forest(len(sets)), []
     if len(sets) <= 6:
@@ -115,19 +118,53 @@ def links_within(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) ->
             if 100 * k >= 85 * (sizes[i] + sizes[j] - k) and forest.join(int(i), int(j)):
                 out.append((int(i), int(j)))
         return out
-    value = np.concatenate([sets[i] for i in right])
-    owner = np.repeat(right, sizes[right])
-    by = np.argsort(value, kind="stable")
-    value, owner = value[by], owner[by]
-    for i in left:
-        lo, hi = np.searchsorted(value, sets[i], "left"), np.searchsorted(value, sets[i], "right")
+    both = len(left) == len(right) and bool((left == right).all())  # one block with itself
+    sides = [_Side(sets, right)] if both else [_Side(sets, right), _Side(sets, left)]
+    for first in left:
+        if not sides[-1].waits(first):
+            continue
+        sides[-1].take(np.array([first]))
+        queue = [(int(first), 0)]  # a member, and the side that it is compared with
+        for i, side in queue:
+            near = sides[side].near(sets[i])
+            sides[side].take(near)
+            out += [(i, int(j)) for j in near]
+            queue += [(int(j), 0 if both else 1 - side) for j in near]
+    return out
+
+
+class _Side:
+    """The members of a block that no search has reached yet, with an inverted index.
+    Its arrays are cut down whenever half of the members have been reached."""
+
+    def __init__(self, sets: list[np.ndarray], members: np.ndarray):
+        self.sizes = np.array([len(s) for s in sets])
+        self.waiting = np.zeros(len(sets), bool)
+        self.waiting[members] = True
+        self.left = self.indexed = len(members)
+        value = np.concatenate([sets[i] for i in members])
+        by = np.argsort(value, kind="stable")
+        self.value, self.owner = value[by], np.repeat(members, self.sizes[members])[by]
+
+    def waits(self, i: int) -> bool:
+        return bool(self.waiting[i])
+
+    def take(self, found: np.ndarray) -> None:
+        self.waiting[found] = False
+        self.left -= len(found)
+        if self.left * 2 <= self.indexed:
+            keep = self.waiting[self.owner]
+            self.value, self.owner, self.indexed = self.value[keep], self.owner[keep], self.left
+
+    def near(self, x: np.ndarray) -> np.ndarray:
+        """The waiting members linked with the set ``x``, by exact intersection counts."""
+        if not self.left:
+            return np.empty(0, dtype=np.int64)
+        lo, hi = np.searchsorted(self.value, x, "left"), np.searchsorted(self.value, x, "right")
         n = hi - lo
         at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-        k = np.bincount(owner[at], minlength=len(sets))
-        for j in np.flatnonzero(100 * k >= 85 * (sizes[i] + sizes - k)):
-            if j != i and forest.join(int(i), int(j)):
-                out.append((int(i), int(j)))
-    return out
+        who, k = np.unique(self.owner[at], return_counts=True)
+        return who[(100 * k >= 85 * (len(x) + self.sizes[who] - k)) & self.waiting[who]]
 
 
 def _mark(text):

@@ -370,6 +370,41 @@ def test_sketch_fills_and_estimates():
     assert abs(np.mean(same) - 800 / 1000) < 0.03
 
 
+def test_a_search_over_a_family_gives_a_spanning_forest_of_its_links():
+    rng = np.random.default_rng(2)
+    for trial in range(60):
+        n, cores = int(rng.integers(7, 40)), [rng.integers(0, 2**63, 60).astype(np.uint64) for _ in range(3)]
+        sets = []
+        for _ in range(n):
+            x = cores[rng.integers(3)].copy()
+            k = int(rng.integers(0, 9))
+            x[rng.integers(0, 60, k)] = rng.integers(0, 2**63, k).astype(np.uint64)
+            sets.append(np.unique(x))
+        cut = int(rng.integers(1, n))
+        left, right = (np.arange(n),) * 2 if trial % 2 else (np.arange(cut), np.arange(cut, n))
+        want = {(int(i), int(j)) for i in left for j in right if i != j
+                and 100 * (k := len(np.intersect1d(sets[i], sets[j]))) >= 85 * (len(sets[i]) + len(sets[j]) - k)}
+        got = minhash.links_within(sets, left, right)
+        whole, part = minhash.Forest(n), minhash.Forest(n)
+        assert all(part.join(a, b) for a, b in got)  # no edge too many
+        assert {frozenset(p) for p in got} <= {frozenset(p) for p in want}
+        for a, b in want:
+            whole.join(a, b)
+        assert [part.root(i) for i in range(n)] == [whole.root(i) for i in range(n)]
+
+
+def test_a_family_of_copies_is_verified_in_linear_time():
+    rng = np.random.default_rng(3)
+    core, sets = rng.integers(0, 2**63, 100).astype(np.uint64), []
+    for _ in range(20_000):
+        x = core.copy()
+        x[rng.integers(0, 100, 3)] = rng.integers(0, 2**63, 3).astype(np.uint64)
+        sets.append(np.unique(x))
+    begin = time.perf_counter()
+    assert len(minhash.links_within(sets, np.arange(20_000), np.arange(20_000))) == 19_999
+    assert time.perf_counter() - begin < 20
+
+
 # --- op5 -----------------------------------------------------------------
 
 def test_language_of_held_out_texts(spark):

@@ -142,7 +142,7 @@ class _Side:
         self.waiting = np.zeros(len(sets), bool)
         self.waiting[members] = True
         self.left = self.indexed = len(members)
-        value = np.concatenate([sets[i] for i in members])
+        value = np.concatenate([np.empty(0, dtype=np.uint64), *(sets[i] for i in members)])
         by = np.argsort(value, kind="stable")
         self.value, self.owner = value[by], np.repeat(members, self.sizes[members])[by]
 

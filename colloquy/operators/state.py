@@ -172,13 +172,19 @@ def carry_over(writes_with_session: DataFrame, keys, order: Sequence[str], keep:
     per_session = session_slots(writes_with_session, keys, order, slot, value, session)
     if not keep:
         return per_session.select(*keys, session, slot, F.col("_last.v").alias(value))
-    # every (key, session) x (slot seen for that key): carry the slot state forward
+    # every (key, session) x (slot written by then): the slots go to a key's days first and
+    # meet its sessions day by day, so the sessions of a busy key are many small joins
+    day, key = F.to_date(F.col(session)), F.struct(*keys).alias("_key")
     sess = writes_with_session.select(*keys, session).distinct()
-    slots_of_key = writes_with_session.select(*keys, slot).distinct()
-    grid = sess.join(slots_of_key, keys)
-    filled = grid.join(per_session, keys + [session, slot], "left")
-    carried = carry_last(filled, keys + [slot], [session], F.col("_last"), "_state",
-                         chunk=F.to_date(F.col(session)))
+    slots = per_session.groupBy(*keys, slot).agg(F.min(day).alias("_since")).select(key, slot, "_since")
+    days = sess.select(key, day.alias("_day")).distinct().join(slots, "_key").where(F.col("_day") >= F.col("_since"))
+    grid = sess.select(F.struct(key, day.alias("_day")).alias("_at"), *keys, session).join(
+        days.select(F.struct("_key", "_day").alias("_at"), slot), "_at")
+    unwritten = F.lit(None).cast(per_session.schema["_last"].dataType).alias("_last")
+    # a slot has at most one last write in a session
+    filled = grid.select(*keys, session, slot, unwritten).unionByName(per_session).groupBy(*keys, session, slot).agg(
+        F.first("_last", ignorenulls=True).alias("_last"))
+    carried = carry_last(filled, keys + [slot], [session], F.col("_last"), "_state", chunk=day)
     return carried.filter(F.col("_state").isNotNull()).select(*keys, session, slot, F.col("_state.v").alias(value))
 
 

@@ -4,10 +4,12 @@ gram index, pattern kNN and length-blocked fuzzy matching."""
 
 import random
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from colloquy.operators import keywords as D
 from colloquy.operators import recommend as I
+from colloquy.operators import state as S
 from colloquy.operators.scan import carry_last
 
 
@@ -116,3 +118,26 @@ def test_fuzzy_random(spark):
     expected = {(i, v) for i, w in words for v in set(vocab)
                 if 100.0 * (1 - _lev(w, v) / max(len(w), len(v))) > 80}
     assert got == expected
+
+
+def test_carry_over_random(spark):
+    rnd = random.Random(5)
+    rows = []
+    for user in (1, 2, None):
+        for n in range(60):
+            session = f"2024-0{rnd.randint(1, 3)}-{rnd.randint(10, 28)} {rnd.randint(10, 23)}:00:00"
+            rows.append((user, session, n, rnd.choice(["a", "b", None]), rnd.choice([None, "x", "y", "z"])))
+    df = spark.createDataFrame(rows, "user int, session string, n int, slot string, value string").withColumn(
+        "session_start", F.to_timestamp_ntz("session"))
+    got = sorted(map(str, S.carry_over(df, "user", ["n"]).select(
+        "user", F.date_format("session_start", "yyyy-MM-dd HH:mm:ss").alias("session"), "slot", "value").collect()))
+    want = []
+    for user in (1, 2, None):
+        mine = [r for r in rows if r[0] == user]
+        for session in {r[1] for r in mine}:
+            for slot in ("a", "b", None):
+                before = [r for r in mine if r[3] == slot and r[1] <= session]
+                if before:
+                    want.append(str(Row(user=user, session=session, slot=slot, value=max(before, key=lambda r: (r[1], r[2]))[4])))
+    assert got == sorted(want) and len(want) > 100
+    assert S.carry_over(df.where("false"), "user", ["n"]).count() == 0

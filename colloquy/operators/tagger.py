@@ -6,6 +6,10 @@ table says what a feature speaks for each tag (``O``, ``B-x``, ``I-x`` per entit
 transitions between neighbouring tags are features too. The best tag sequence is found by
 Viterbi's recursion, written as Column expressions over a sequence's scores.
 
+A feature reads one word: the token itself, the one before or the one after. So what the weights
+say is added up once per distinct word, in each of these three places, and a token is one row
+that meets one row of its word, however many features there are.
+
 ``fit_tagger`` is the structured perceptron in batches: training sequences are dealt to
 ``batches`` by a hash of their words. A batch is decoded with the weights so far, and every
 feature of a wrong sequence votes +1 for the right tag and -1 for the decoded one; a weight
@@ -43,11 +47,13 @@ _PIECE = rf"{SPAN_PATTERN}|(?s:.)[^\[]*"
 @dataclass(frozen=True)
 class Tagger:
     """``weights(feature, tag, w)``; ``tags`` in their order; ``trans[p][t]`` of tag t after
-    tag p, the last row for the first token of a sequence."""
+    tag p, the last row for the first token of a sequence; ``ends`` what the tags get at the
+    first token for having none before, and at the last for having none after."""
 
     tags: list[str]
     weights: DataFrame
     trans: list[list[int]]
+    ends: list[list[int]]
 
 
 def tagged_tokens(text: Column, annotated: bool) -> Column:
@@ -75,77 +81,109 @@ def sequences(df: DataFrame, keys: Sequence[str], text: str = "text", annotated:
     toks = df.select(*keys, tagged_tokens(F.col(text), annotated).alias("toks"))
     n = F.size("toks")
     ends = F.filter(F.sequence(F.lit(1), n), lambda i: F.get("toks", i - 1)["token"].isin(".", "!", "?") | (i == n))
-    cut = toks.where(n > 0).withColumn("ends", ends).select(
-        *keys, "toks", F.explode(F.arrays_zip(F.concat(F.array(F.lit(0)), F.col("ends")).alias("lo"),
-                                              F.col("ends").alias("hi"))).alias("s"))
-    parts = cut.where("s.hi > s.lo").select(
-        *keys, "toks", "s.hi", F.explode(F.expr(f"sequence(s.lo, s.hi - 1, {PART})")).alias("at"))
-    out = parts.select(*keys, "at", F.expr(f"slice(toks, at + 1, least({PART}, hi - at))").alias("toks"))
+    # only the parts themselves go on, not the whole text with each of them
+    parts = toks.where(n > 0).withColumn("ends", ends).select(*keys, F.explode(F.flatten(F.expr(f"""
+        transform(ends, (hi, e) -> transform(sequence(if(e = 0, 0, ends[e - 1]), hi - 1, {PART}), at -> struct(
+          at, slice(toks, at + 1, least({PART}, hi - at)) AS toks)))"""))).alias("part"))
+    out = parts.select(*keys, "part.at", "part.toks")
     # written, so that the numbers stay the same when a task is repeated
     return materialize(out.withColumn("_s", F.monotonically_increasing_id()), "tagger_sequences")
 
 
-def token_features(seqs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """(keep, _s, i, tag, features): every token with its tag and features."""
-    def around(t, i):
-        return F.struct(t["token"].alias("token"), t["tag"].alias("tag"),
-                        F.when(i > 0, F.get("toks", i - 1)["token"]).alias("before"), F.get("toks", i + 1)["token"].alias("after"))
-
-    each = seqs.select(*keep, "_s", F.posexplode(F.transform("toks", around)).alias("i", "t"))
-    low = F.lower("t.token")
-    shape = F.col("t.token")
+def word_features(token: Column) -> list[Column]:
+    """The features that a token has of itself: the word, its ending, its shape and length."""
+    low, shape = F.lower(token), token
     for pattern, sign in ((r"\p{Lu}+", "A"), (r"\p{Ll}+", "a"), (r"\p{N}+", "0")):
         shape = F.regexp_replace(shape, pattern, sign)
-    return each.select(*keep, "_s", "i", "t.tag", F.array(
-        F.concat(F.lit("w="), low), F.concat(F.lit("p="), F.coalesce(F.lower("t.before"), F.lit(""))),
-        F.concat(F.lit("n="), F.coalesce(F.lower("t.after"), F.lit(""))), F.concat(F.lit("e="), F.right(low, F.lit(ENDING))),
-        F.concat(F.lit("h="), shape),
-        F.concat(F.lit("l="), F.least(F.char_length("t.token"), F.lit(LONGEST)).cast("string"))).alias("features"))
+    return [F.concat(F.lit("w="), low), F.concat(F.lit("e="), F.right(low, F.lit(ENDING))), F.concat(F.lit("h="), shape),
+            F.concat(F.lit("l="), F.least(F.char_length(token), F.lit(LONGEST)).cast("string"))]
+
+
+def beside(sign: str, token: Column) -> Column:
+    """The feature of the token before (``p``) or after (``n``), null for none."""
+    return F.concat(F.lit(f"{sign}="), F.coalesce(F.lower(token), F.lit("")))
+
+
+def token_features(seqs: DataFrame) -> DataFrame:
+    """(_s, i, features): every token with its features."""
+    def around(t, i):
+        return F.struct(t["token"].alias("token"), F.when(i > 0, F.get("toks", i - 1)["token"]).alias("before"),
+                        F.get("toks", i + 1)["token"].alias("after"))
+
+    each = seqs.select("_s", F.posexplode(F.transform("toks", around)).alias("i", "t"))
+    return each.select("_s", "i", F.array(*word_features(F.col("t.token")), beside("p", F.col("t.before")),
+                                          beside("n", F.col("t.after"))).alias("features"))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with the value worked out once however often it is used."""
+    return F.transform(F.array(value), use)[0]
 
 
 def viterbi(scores: Column, trans: list[list[int]]) -> Column:
     """The best sequence of tag numbers for ``scores`` (array per token of a long per tag)."""
     k = len(trans[0])
-    first = F.transform(scores[0], lambda s, t: s + F.array(*map(F.lit, trans[-1]))[t])
+    # a total and the tag it came from are one number, k * total + (k - 1 - tag before): of equal
+    # totals the earlier tag gives the larger number
+    first = F.transform(scores[0], lambda s, t: (s + F.array(*map(F.lit, trans[-1]))[t]) * k).cast("array<bigint>")
 
-    def step(acc, here):
-        reach = [F.array(*[acc["best"][p] + F.lit(trans[p][t]) for p in range(k)]) for t in range(k)]
-        return F.struct(F.array(*[F.array_max(reach[t]) + here[t] for t in range(k)]).alias("best"),
-                        F.concat(acc["back"], F.array(F.array(*[
-                            (F.array_position(r, F.array_max(r)) - 1).cast("int") for r in reach]))).alias("back"))
+    def largest(codes):
+        return F.greatest(*codes) if k > 1 else codes[0]
 
-    start = F.struct(first.cast("array<bigint>").alias("best"), F.array().cast("array<array<int>>").alias("back"))
+    def whole(code):
+        return code - F.pmod(code, F.lit(k))
 
-    def trace(acc):
-        end = (F.array_position(acc["best"], F.array_max(acc["best"])) - 1).cast("int")
-        return F.reverse(F.aggregate(F.reverse(acc["back"]), F.array(end), lambda path, back: F.concat(
-            path, F.array(F.get(back, F.element_at(path, -1))))))
+    def step(codes, here):
+        came = F.transform(F.element_at(codes, -1), lambda c, p: whole(c) + (k - 1 - p))
+        return F.concat(codes, F.array(_bound(came, lambda b: F.array(*[
+            largest([b[p] + F.lit(trans[p][t] * k) for p in range(k)]) + here[t] * k for t in range(k)]))))
 
-    return F.aggregate(F.slice(scores, 2, F.greatest(F.size(scores) - 1, F.lit(0))), start, step, trace)
+    def trace(codes):
+        totals = F.transform(F.element_at(codes, -1), whole)
+        end = _bound(totals, lambda x: (F.array_position(x, F.array_max(x)) - 1).cast("int"))
+        return F.reverse(F.aggregate(F.reverse(F.slice(codes, 2, F.size(codes) - 1)), F.array(end), lambda path, c: F.concat(
+            path, F.array((F.lit(k - 1) - F.pmod(F.get(c, F.element_at(path, -1)), F.lit(k))).cast("int")))))
 
+    return F.aggregate(F.slice(scores, 2, F.greatest(F.size(scores) - 1, F.lit(0))), F.array(first), step, trace)
 
-def decode(tokens: DataFrame, tagger: Tagger) -> DataFrame:
-    """(_s, path): the best tags (numbers) of every sequence of ``tokens(_s, i, features)``."""
+
+def word_scores(words: DataFrame, tagger: Tagger) -> DataFrame:
+    """(token, w): what the weights say for each of ``words(token)``, a long per tag: for a token
+    that is the word, then for the token after it, then for the token before it."""
     by_tag = tagger.weights.groupBy("feature").agg(F.array(*[
         F.sum(F.when(F.col("tag") == t, F.col("w")).otherwise(0)) for t in tagger.tags]).alias("w"))
-    each = tokens.select("_s", "i", F.explode("features").alias("feature")).join(by_tag, "feature", "left")
-    scores = each.groupBy("_s", "i").agg(F.array(*[
-        F.coalesce(F.sum(F.col("w")[k]), F.lit(0)) for k in range(len(tagger.tags))]).alias("s"))
-    whole = scores.groupBy("_s").agg(F.array_sort(F.collect_list(F.struct("i", "s"))).alias("x"))  # at most PART
-    return whole.select("_s", viterbi(F.col("x.s"), tagger.trans).alias("path"))
-
-
-def _moves(tokens: DataFrame, paths: DataFrame, tags: list[str]) -> DataFrame:
+    token = F.col("token")
+    places = [*[(0, f) for f in word_features(token)], (1, beside("p", token)), (2, beside("n", token))]
+    said = words.select("token", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("place"), f.alias("feature")) for n, f in places])).alias("f")).select("token", "f.*")
+    return said.join(by_tag, "feature", "left").groupBy("token").agg(F.array(*[
+        F.coalesce(F.sum(F.when(F.col("place") == n, F.col("w")[t])), F.lit(0))
+        for n in range(3) for t in range(len(tagger.tags))]).alias("w"))
+
+
+def decode(seqs: DataFrame, tagger: Tagger) -> DataFrame:
+    """(_s, path): the best tags (numbers) of every sequence of ``seqs(_s, toks)``."""
+    each = seqs.select("_s", F.posexplode("toks.token").alias("i", "token"))
+    met = each.join(word_scores(each.select("token").distinct(), tagger), "token")
+    whole = met.groupBy("_s").agg(F.array_sort(F.collect_list(F.struct("i", "w"))).alias("x")).select(
+        "_s", F.col("x.w").alias("x"))  # at most PART tokens
+    k, (none_before, none_after) = len(tagger.tags), tagger.ends
+    scores = F.transform("x", lambda w, i: F.array(*[
+        w[t] + F.coalesce(F.get(F.get("x", i - 1), F.lit(k + t)), F.lit(none_before[t]))
+        + F.coalesce(F.get(F.get("x", i + 1), F.lit(2 * k + t)), F.lit(none_after[t])) for t in range(k)]))
+    return whole.select("_s", scores.alias("scores")).select("_s", viterbi(F.col("scores"), tagger.trans).alias("path"))
+
+
+def _moves(seqs: DataFrame, tokens: DataFrame, paths: DataFrame, tags: list[str]) -> DataFrame:
     """(feature, tag, w): what the vote of the wrong sequences adds to the weights."""
     names = F.array(*map(F.lit, tags))
-    gold = tokens.groupBy("_s").agg(F.array_sort(F.collect_list(F.struct("i", "tag"))).alias("x"))
-    both = gold.join(paths, "_s").select("_s", F.col("x.tag").alias("gold"),
+    both = seqs.join(paths, "_s").select("_s", F.col("toks.tag").alias("gold"),
                                          F.transform("path", lambda p: F.get(names, p)).alias("guess"))
-    wrong = both.where("gold <> guess")
+    wrong = materialize(both.where("gold <> guess"), "tagger_wrong")  # read three times
     tag_of = wrong.select("_s", F.posexplode(F.arrays_zip("gold", "guess")).alias("i", "t")).where("t.gold <> t.guess")
     sides = F.explode(F.array(F.struct(F.col("t.gold").alias("tag"), F.lit(1).alias("w")),
                               F.struct(F.col("t.guess").alias("tag"), F.lit(-1).alias("w"))))
-    emitted = tokens.select("_s", "i", "features").join(tag_of, ["_s", "i"]).select(
+    emitted = tokens.join(tag_of, ["_s", "i"]).select(
         F.explode("features").alias("feature"), "t").select("feature", sides.alias("m"))
 
     def steps(c, sign):
@@ -159,25 +197,27 @@ def _moves(tokens: DataFrame, paths: DataFrame, tags: list[str]) -> DataFrame:
 
 def with_transitions(weights: DataFrame, tags: list[str]) -> Tagger:
     """A tagger from ``weights(feature, tag, w)``; transitions are the features ``t=<tag before>``."""
-    trans = {(r["feature"], r["tag"]): r["w"] for r in weights.where(F.col("feature").isin(
-        [f"t={t}" for t in [*tags, "^"]])).collect()}  # at most (tags + 1) x tags rows
-    return Tagger(tags, weights, [[int(trans.get((f"t={p}", t), 0)) for t in tags] for p in [*tags, "^"]])
+    names = [*[f"t={t}" for t in [*tags, "^"]], "p=", "n="]
+    found = {(r["feature"], r["tag"]): r["w"] for r in weights.where(F.col("feature").isin(names)).groupBy(
+        "feature", "tag").agg(F.sum("w").alias("w")).collect()}  # at most (tags + 3) x tags rows
+    rows = [[int(found.get((f, t), 0)) for t in tags] for f in names]
+    return Tagger(tags, weights, rows[:-2], rows[-2:])
 
 
 def fit_tagger(examples: DataFrame, text: str = "text", epochs: int = EPOCHS, batches: int = BATCHES) -> Tagger:
     """The tagger learned from annotated texts (``[value](entity)``, B10)."""
     words = F.md5(F.array_join("toks.token", " ").cast("binary"))
     batch = F.conv(F.substring(words, 1, 8), 16, 10).cast("long") % batches
-    tokens = materialize(token_features(sequences(examples, [], text, annotated=True).withColumn("batch", batch), ["batch"]),
-                         "tagger_tokens")
+    seqs = sequences(examples, [], text, annotated=True)
+    tokens = materialize(token_features(seqs), "tagger_tokens")
     spark = examples.sparkSession
-    entities = [r["e"] for r in tokens.where(F.col("tag") != OUTSIDE).select(
+    entities = [r["e"] for r in seqs.select(F.explode("toks.tag").alias("tag")).where(F.col("tag") != OUTSIDE).select(
         F.substring("tag", 3, 1 << 30).alias("e")).distinct().orderBy("e").collect()]  # the kinds of entity
     tags = [OUTSIDE] + [f"{side}{e}" for e in entities for side in (BEGIN, INSIDE)]
     now = total = spark.createDataFrame([], "feature string, tag string, w long")
     for n in range(epochs * batches):
-        some = tokens.where(F.col("batch") == n % batches)
-        moves = _moves(some, decode(some, with_transitions(now, tags)), tags)
+        some = seqs.where(batch == n % batches)
+        moves = _moves(some, tokens, decode(some, with_transitions(now, tags)), tags)
 
         def added(a, b):
             return a.unionByName(b).groupBy("feature", "tag").agg(F.sum("w").alias("w")).where("w <> 0")
@@ -192,26 +232,23 @@ def find_entities(df: DataFrame, tagger: Tagger, keys: Sequence[str], text: str
     position of the first token in its text (from 0), ``value`` its tokens joined by a space.
     A span begins at ``B-x``, or at ``I-x`` after a tag of something else."""
     seqs = sequences(df, keys, text)
-    paths = decode(token_features(seqs), tagger)
     names = F.array(*map(F.lit, tagger.tags))
-    tagged = seqs.join(paths, "_s").select(*keys, "at", F.col("toks.token").alias("toks"),
+    tagged = seqs.join(decode(seqs, tagger), "_s").select(*keys, "at", F.col("toks.token").alias("toks"),
                                            F.transform("path", lambda p: F.get(names, p)).alias("tags"))
 
     def entity_at(i):
         return F.substring(F.get("tags", i), 3, 1 << 30)
 
-    def begins(i):
+    def goes_on(i):
         here, before = F.get("tags", i), F.get("tags", i - 1)
-        return (here != OUTSIDE) & (here.startswith(BEGIN) | (i == 0) | (before == OUTSIDE) | (entity_at(i - 1) != entity_at(i)))
+        return (i > 0) & here.startswith(INSIDE) & (before != OUTSIDE) & (entity_at(i - 1) == entity_at(i))
 
     n = F.size("tags")
-    starts = F.filter(F.sequence(F.lit(0), n - 1), begins)
-    each = tagged.withColumn("starts", starts).where(F.size("starts") > 0).select(
-        *keys, "at", "toks", "tags", F.explode("starts").alias("lo"))
-    # a span goes on over I- tags; another kind of I- begins a span of its own
-    stops = F.filter(F.sequence(F.col("lo") + 1, n), lambda i: (i == n) | ~F.coalesce(F.get("tags", i), F.lit("")).startswith(INSIDE)
-                     | (entity_at(i) != entity_at(F.col("lo"))))
-    return each.select(*keys, (F.col("at") + F.col("lo")).alias("start"), "toks", "lo", F.array_min(stops).alias("hi"),
-                       entity_at(F.col("lo")).alias("entity")).select(
-        *keys, "start", (F.col("hi") - F.col("lo")).alias("n_tokens"),
-        F.array_join(F.expr("slice(toks, lo + 1, hi - lo)"), " ").alias("value"), "entity")
+    # a span ends where the next token does not go on with it; one pass over a sequence's tokens
+    tagged = tagged.withColumn("cuts", F.concat(F.filter(F.sequence(F.lit(0), n - 1), lambda i: ~goes_on(i)), F.array(n)))
+    spans = F.filter(F.transform("cuts", lambda lo, c: F.struct(lo.alias("lo"), F.get("cuts", c + 1).alias("hi"))),
+                     lambda x: F.get("tags", x["lo"]) != OUTSIDE)
+    found = F.transform(spans, lambda x: F.struct(
+        (F.col("at") + x["lo"]).alias("start"), (x["hi"] - x["lo"]).alias("n_tokens"),
+        F.array_join(F.slice("toks", x["lo"] + 1, x["hi"] - x["lo"]), " ").alias("value"), entity_at(x["lo"]).alias("entity")))
+    return tagged.select(*keys, F.explode(found).alias("found")).select(*keys, "found.*")

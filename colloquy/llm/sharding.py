@@ -13,6 +13,11 @@ parameters). No permutation needs one task per partition or shard: a local rank
 is a rank inside a slice of the permutation plus the number of rows in the
 slices before it, and slices are short (about ``slice_rows``).
 
+:func:`shard_documents` keeps the order of a table written in stretches (``part-00000`` and so
+on, as the mixing stage writes its schedule): shards are drawn as above, and the slots of a
+shard go through the stretches one after another, permuted inside each. So every shard, read
+by slot, keeps the proportions of the mix. Rows that come from no file are one stretch.
+
 Defined results: a null text has size 16 and crc32 0; a null doc_id is a row as
 any other; repeated rows are rows of their own; an empty table gives an empty
 result; other columns are not read.
@@ -20,6 +25,8 @@ result; other columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,20 +81,21 @@ def _invert(u: float, good: int, bad: int, n: int) -> int:
     return lo + int(np.searchsorted(upto, u * upto[-1], side="right"))
 
 
-def _rank(df: DataFrame, group: str, order: str, ties: list[str], rows: int, name: str) -> DataFrame:
+def _rank(df: DataFrame, group: str, order: str, ties: list[str], rows: int, name: str, after: Sequence[str] = ()) -> DataFrame:
     """0-based rank of each row inside ``group`` by ``order`` (a hash), as column
-    ``name``. The hash range is cut in slices of about ``SLICE_ROWS`` rows, ranked
+    ``name``; with ``after`` by those columns first. The hash range is cut in slices of about ``SLICE_ROWS`` rows, ranked
     one by one; the sizes of the slices before are added from a table of
     (group, slice) counts."""
     slices = max(1, -(-rows // SLICE_ROWS))
     cut = F.floor((F.col(order).cast("double") / MAX_LONG + 1) / 2 * slices).cast("long")
     df = df.withColumn("_slice", F.least(F.greatest(cut, F.lit(0)), F.lit(slices - 1)))
-    sizes = df.groupBy(group, "_slice").count()
+    cell = [*after, "_slice"]
+    sizes = df.groupBy(group, *cell).count()
     before = F.coalesce(F.sum("count").over(
-        Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.select(group, "_slice", before.alias("_before"))
-    at = F.row_number().over(Window.partitionBy(group, "_slice").orderBy(order, *ties)) - 1
-    return df.withColumn("_at", at).join(sizes, [group, "_slice"]).withColumn(
+        Window.partitionBy(group).orderBy(*cell).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(group, *cell, before.alias("_before"))
+    at = F.row_number().over(Window.partitionBy(group, *cell).orderBy(order, *ties)) - 1
+    return df.withColumn("_at", at).join(sizes, [group, *cell]).withColumn(
         name, (F.col("_at") + F.col("_before")).cast("long")).drop("_slice", "_at", "_before")
 
 
@@ -96,15 +104,18 @@ def _hash(seed: int, *cols: Column) -> Column:
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, partitions: int = PARTITIONS, seed: int = SEED,
-          carry: bool = False) -> DataFrame:
+          carry: bool = False, stretches: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, shard, slot; with
-    ``carry`` every column of ``docs`` (one struct ``_doc``) instead of the digest columns."""
+    ``carry`` every column of ``docs`` (one struct ``_doc``) as well; with ``stretches`` slots
+    follow the files that ``docs`` were written in."""
     text = docs["text"].cast("string")
     slim = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"),
         F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).alias("text_crc32"),
-        *([F.struct(*[docs[c] for c in docs.columns]).alias("_doc")] if carry else []))
+        *([F.struct(*[docs[c] for c in docs.columns]).alias("_doc")] if carry else []),
+        *([F.coalesce(F.regexp_extract(F.input_file_name(), r"part-(\d+)[^/]*$", 1).try_cast("long"), F.lit(0)).alias("_stretch")]
+          if stretches else []))
     key = [F.col("doc_id"), F.col("text_crc32"), F.col("size")]
     ties = ["doc_id", "text_crc32", "size"]
     slim = slim.select("*", F.pmod(_hash(seed, *key), F.lit(partitions)).cast("int").alias("_p"),
@@ -121,8 +132,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, partitions: int = PARTITIONS, s
     local = _rank(slim, "_p", "_h1", ties, int(counts.max(initial=0)), "_r")
     sent = (local.join(F.broadcast(cuts), "_p")  # partitions x shards cells, fixed by the parameters
             .withColumn("shard", F.filter("_cuts", lambda c: c["_hi"] > F.col("_r"))[0]["shard"]))
-    out = _rank(sent.drop("_cuts", "_r"), "shard", "_h2", ties, int(-(-counts.sum() // shards)), "slot")
-    return out.drop("_p", "_h1", "_h2")
+    out = _rank(sent.drop("_cuts", "_r"), "shard", "_h2", ties, int(-(-counts.sum() // shards)), "slot",
+                after=["_stretch"] if stretches else [])
+    return out.drop("_p", "_h1", "_h2", "_stretch")
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
@@ -132,7 +144,8 @@ def op8(spark, sf_dir: str) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The documents with their shard and slot; columns of that name are replaced."""
+    """The documents with their shard and slot, in the order of the stretches they were written
+    in; columns of that name are replaced."""
     names = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
-    out = shard(docs, shards, carry=True)
+    out = shard(docs, shards, carry=True, stretches=True)
     return out.select(*[F.col("_doc").getField(c).alias(c) for c in names], "shard", "slot")

@@ -4,7 +4,8 @@ predecessor kept, written as Parquet in between.
 All stages but the last return the columns of ``documents``. The first three are
 filters: documents without a recognisable language go, one document of each group of
 near copies stays, documents that hold a benchmark item go. The fourth puts every
-document left in mixed order and loses none; the last deals them to shards.
+document left in mixed order and loses none, in files that are stretches of the mix; the
+last deals them to shards, whose slots go through the stretches in that order.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A uniform shuffle into 40 shards of equal size (columns shard, slot)."""
+    """40 shards of equal size, drawn uniformly (column shard); inside a shard the order of the
+    mix, stretch by stretch, shuffled inside each (column slot)."""
     configure(spark)
     return shard_documents(docs)
 

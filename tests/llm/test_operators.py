@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from colloquy.llm import (decontaminate, langid, minhash, mixing, pii, registry, secrets, sharding, substrings,
                           toxicity, vectors)
-from colloquy.session import read_table
+from colloquy.session import materialize, read_table
 from oracle_harness import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -692,3 +692,19 @@ def test_planted_repeats(spark):
     rows = [(i, " \t".join(w)) for i, w in rows]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert removal(docs) == slow_removal(rows)
+
+
+def test_shards_keep_the_order_of_the_mix(spark):
+    """What the mixing stage wrote first comes first in every shard: with weights of n^0.7 a source of 400
+    runs dry before one of 4,000 does, and its documents are in the first part of each shard's slots."""
+    rows = [(i, f"text {i}", "small" if i % 11 == 0 else "large") for i in range(4_400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = materialize(mixing.mix_documents(docs), "t-mixed")
+    out = sharding.shard_documents(mixed).collect()
+    assert sorted(r["doc_id"] for r in out) == list(range(4_400))
+    plain = {r["doc_id"]: r["shard"] for r in sharding.shard(docs).collect()}
+    assert all(plain[r["doc_id"]] == r["shard"] for r in out)  # drawn by the same law
+    for n in range(sharding.SHARDS):
+        slots = {r["slot"]: r["source"] for r in out if r["shard"] == n}
+        assert sorted(slots) == list(range(110))
+        assert max(s for s, source in slots.items() if source == "small") < 75

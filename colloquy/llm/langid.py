@@ -107,10 +107,12 @@ class Model:
 
 def _log_table(table: DataFrame, langs: list[str]) -> tuple[pa.Array, np.ndarray]:
     """The items of (item, lang, n) rows, and their add-half smoothed log frequency per language."""
+    if not langs:
+        return pa.array([], pa.string()), np.empty((0, 0))
     wide = table.groupBy("item").agg(*[
         F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, x in enumerate(langs)])
-    got = wide.toArrow().combine_chunks() if langs else None  # as many rows as the sample has items
-    if not got or not got.num_rows:
+    got = wide.toArrow().combine_chunks()  # as many rows as the sample has items
+    if not got.num_rows:
         return pa.array([], pa.string()), np.empty((0, len(langs)))
     counts = np.stack([got[f"n{i}"].to_numpy() for i in range(len(langs))], axis=1) + 0.5
     return got["item"].combine_chunks(), np.log(counts / counts.sum(axis=0))

@@ -4,12 +4,12 @@ Method: documents are TF-IDF vectors over all words of the labelled examples. No
 word is dropped; a word's weight is its idf times the G statistic of its presence
 against the label (a tenth of it where it speaks for the clean label, and ``FLOOR``
 at least), so words without a say still decide between examples that are else
-alike. The examples are kept in an inverted index. For a query the heaviest words
-are looked up first; what the rest can add is bounded by its length (the examples
-have length one), and only examples whose bound reaches the k-th best are scored in
-full (:class:`BlockMaxIndex`), so the neighbours are those of the full scan. Bounds
-are per example, that is, blocks of one: with every word in, blocks of 64 prune
-next to nothing. The neighbours vote with weight = cosine; isotonic regression on
+alike. The cosine of a query with all examples is added up in single precision, queries
+block by block: the words that stand in one of ``OFTEN`` examples and more (the ``COMMON``
+commonest of them) by a matrix product, all others by an inverted index. No term is
+negative, so the rounding is bounded by ``MARGIN`` of a sum, and only examples that reach
+the k-th best within that margin are scored in double precision (:class:`BlockMaxIndex`):
+the neighbours are those of the full scan. The neighbours vote with weight = cosine; isotonic regression on
 examples outside the index turns votes into calibrated scores.
 
 The index, word weights and calibration are fitted on a bounded sample: about
@@ -28,7 +28,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -40,9 +42,20 @@ from colloquy.llm.common import held_out, id_text, in_share
 from colloquy.session import materialize, read_table
 
 FIT_ROWS, K, FLOOR, CLEAN_SHARE = 20_000, 15, 1e-3, 0.1
-CUTS, FEW = (0.3, 0.15, 0.05), 200  # lengths of the rest at which the search tries to stop, and for how many examples
+BLOCK, COMMON, OFTEN = 128, 1_024, 20  # queries at a time; words searched by matrix product, at most, and from 1 in OFTEN examples
+MARGIN = 2e-4  # above twice the relative error of a sum of COMMON products in single precision (2 * 1,030 * 2**-24)
 THRESHOLD = 0.3
 WORD = re.compile(r"[^\W\d_]+")
+SPACED = bytes(c if WORD.match(chr(c)) else 0x20 for c in range(256))  # Latin-1: letters stay, others are spaces
+
+
+def words_of(text: str | None) -> list[str]:
+    """Lower-cased letter runs, as ``WORD`` finds them."""
+    low = (text or "").lower()
+    try:
+        return low.encode("latin-1").translate(SPACED).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return WORD.findall(low)
 
 
 @dataclass
@@ -59,6 +72,7 @@ class BlockMaxIndex:
     start: np.ndarray = field(init=False)
     owner: np.ndarray = field(init=False)
     share: np.ndarray = field(init=False)
+    column: np.ndarray = field(init=False)  # of each word in the matrix of common words, else -1
 
     def __post_init__(self):
         lengths = [len(t) for t, _ in self.vectors]
@@ -66,44 +80,67 @@ class BlockMaxIndex:
         self.term = np.concatenate([np.empty(0, np.int32), *(t for t, _ in self.vectors)]).astype(np.int32)
         self.weight = np.concatenate([np.empty(0), *(w for _, w in self.vectors)])
         self.vectors = []  # held by the arrays
-        by = np.argsort(self.term, kind="stable")
-        self.owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[by]
-        self.share = self.weight[by].astype(np.float32)
-        self.start = np.searchsorted(self.term[by], np.arange(self.size + 1))
+        df = np.bincount(self.term, minlength=self.size)
+        often = np.argsort(-df, kind="stable")[:COMMON]
+        often = often[df[often] * OFTEN >= max(1, len(lengths))]
+        self.column = np.full(self.size, -1, dtype=np.int32)
+        self.column[often] = np.arange(len(often))
+        rare = np.flatnonzero(self.column[self.term] < 0)
+        rare = rare[np.argsort(self.term[rare], kind="stable")]
+        self.owner = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)[rare]
+        self.share = self.weight[rare].astype(np.float32)
+        self.start = np.searchsorted(self.term[rare], np.arange(self.size + 1))
+
+    @cached_property
+    def matrix(self) -> np.ndarray:
+        """Weights of the common words (rows) in all examples."""
+        out = np.zeros((int(self.column.max(initial=-1)) + 1, len(self.ids)), dtype=np.float32)
+        at = self.column[self.term]
+        owner = np.repeat(np.arange(len(self.ids)), np.diff(self.begin))
+        out[at[at >= 0], owner[at >= 0]] = self.weight[at >= 0]
+        return out
+
+    def __getstate__(self):
+        return {k: v for k, v in vars(self).items() if k != "matrix"}  # made anew where it is used
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = K) -> list[tuple[float, int]]:
         """The k best (cosine, position), cosine over 0, ties by id."""
-        n = len(self.ids)
-        if not n or not len(terms):
-            return []
-        by = np.argsort(-weights, kind="stable")
-        terms, weights = terms[by], weights[by]
-        rest = np.r_[np.sqrt(np.cumsum(weights[::-1] ** 2)[::-1]), 0.0]  # length from each word on
-        part, at = np.zeros(n), 0
-        for cut in (*CUTS, 0.0):
-            to = int(np.searchsorted(-rest, -cut)) if cut else len(terms)
-            lo = self.start[terms[at:to]]
-            m = self.start[terms[at:to] + 1] - lo
-            hit = np.repeat(lo - np.cumsum(m) + m, m) + np.arange(m.sum())
-            part += np.bincount(self.owner[hit], np.repeat(weights[at:to], m) * self.share[hit], minlength=n)
-            kth = np.partition(part, n - k)[n - k] if n >= k else 0.0
-            # the parts are sums of single-precision weights
-            near = np.flatnonzero((part + rest[to] > 0) & (part + rest[to] >= kth - 1e-5))
-            at = to
-            if len(near) <= FEW:
-                break
-        if not len(near):
-            return []
-        lo, m = self.begin[near], self.begin[near + 1] - self.begin[near]
-        cells = np.repeat(lo - np.cumsum(m) + m, m) + np.arange(m.sum())
+        return next(self.nearest_of([(terms, weights)], k))
+
+    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = K) -> Iterator[list[tuple[float, int]]]:
+        """The same for each of many queries."""
         query = np.zeros(self.size)
-        query[terms] = weights
-        score = np.bincount(np.repeat(np.arange(len(near)), m), query[self.term[cells]] * self.weight[cells],
+        for at in range(0, len(queries), BLOCK):
+            block = queries[at:at + BLOCK]
+            columns = [self.column[terms] for terms, _ in block]
+            grid = np.zeros((len(block), len(self.matrix)), dtype=np.float32)
+            for row, c, (_, weights) in zip(grid, columns, block):
+                row[c[c >= 0]] = weights[c >= 0]
+            for part, c, (terms, weights) in zip(grid @ self.matrix, columns, block):
+                query[terms] = weights
+                yield self._best(part, terms[c < 0], query, k)
+                query[terms] = 0
+
+    def _best(self, part: np.ndarray, rare: np.ndarray, query: np.ndarray, k: int) -> list[tuple[float, int]]:
+        """The k best, given the parts of the common words and the query at full length."""
+        n = len(self.ids)
+        hit, m = cells(self.start[rare], self.start[rare + 1])
+        part = part + np.bincount(self.owner[hit], np.repeat(query[rare], m) * self.share[hit], minlength=n)
+        kth = np.partition(part, n - k)[n - k] if n >= k else 0.0
+        near = np.flatnonzero((part > 0) & (part >= kth * (1 - MARGIN) - 1e-11))  # scores are rounded to 12 digits
+        hit, m = cells(self.begin[near], self.begin[near + 1])
+        score = np.bincount(np.repeat(np.arange(len(near)), m), query[self.term[hit]] * self.weight[hit],
                             minlength=len(near))
         found = [(-round(float(s), 12), int(self.ids[i]), int(i)) for s, i in zip(score, near) if s > 0]
         return [(-s, i) for s, _, i in sorted(found)[:k]]
 
 
+def cells(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All positions of the ranges lo to hi, one range after the other, and the ranges' lengths."""
+    m = hi - lo
+    return np.repeat(lo - np.cumsum(m) + m, m) + np.arange(m.sum()), m
+
+
 def unit(tf: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """TF-IDF vector of length one as (terms, weights)."""
     terms = np.array(sorted(tf), dtype=np.int64)
@@ -142,21 +179,21 @@ class Model:
     blank: float  # the same among examples without a known word
     knots: tuple[np.ndarray, np.ndarray]
 
-    def vote(self, terms: np.ndarray, tf: np.ndarray) -> tuple[float, list[tuple[float, int]]]:
-        """Distance-weighted vote, drawn to the prior where the evidence is thin."""
-        near = self.index.nearest(*unit_of(terms, tf, self.weight))
-        mass = sum(s for s, _ in near)
-        yes = sum(s for s, at in near if self.index.labels[at])
-        return (yes + 0.5 * self.prior) / (mass + 0.5), near
+    def votes(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, list[tuple[float, int]]]]:
+        """Distance-weighted vote for each (terms, tf), drawn to the prior where the evidence is thin."""
+        for near in self.index.nearest_of([unit_of(terms, tf, self.weight) for terms, tf in texts]):
+            mass = sum(s for s, _ in near)
+            yes = sum(s for s, at in near if self.index.labels[at])
+            yield (yes + 0.5 * self.prior) / (mass + 0.5), near
 
-    def score(self, terms: np.ndarray, tf: np.ndarray) -> tuple[float, str]:
-        if not len(terms):
-            return self.blank, ""
-        vote, near = self.vote(terms, tf)
-        if not near:
-            return self.blank, ""
-        return (float(np.clip(np.interp(vote, *self.knots), 0, 1)),
-                ",".join(f"{self.index.ids[at]}:{s:.3f}:{int(self.index.labels[at])}" for s, at in near[:3]))
+    def scores(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, str]]:
+        """Score and evidence for each (terms, tf)."""
+        for vote, near in self.votes(texts):
+            if not near:
+                yield self.blank, ""
+            else:
+                yield (float(np.clip(np.interp(vote, *self.knots), 0, 1)),
+                       ",".join(f"{self.index.ids[at]}:{s:.3f}:{int(self.index.labels[at])}" for s, at in near[:3]))
 
 
 def sample_labels(labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -174,7 +211,7 @@ def label_counts(sample: DataFrame) -> tuple[pd.DataFrame, int, int]:
         for pdf in batches:
             by = Counter()
             for text, y in zip(pdf["text"], pdf["toxic"]):
-                by.update((w, y) for w in set(WORD.findall((text or "").lower())))
+                by.update((w, y) for w in set(words_of(text)))
             yield pd.DataFrame([(w, int(y), n) for (w, y), n in by.items()], columns=["word", "toxic", "n"])
 
     once = sample.select("toxic", "text").dropDuplicates()
@@ -199,17 +236,21 @@ def dependence(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
 
 def counted(text: str | None, at: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the known words of a text in rising order, and how often each stands there."""
-    ids = [at[w] for w in WORD.findall((text or "").lower()) if w in at]
+    ids = [i for i in map(at.get, words_of(text)) if i is not None]
     return np.unique(np.array(ids, dtype=np.int32), return_counts=True)
 
 
 def frequencies(docs: DataFrame, sent, size: int) -> tuple[np.ndarray, int]:
     """Document frequency of each known word over all documents, and their number."""
     def run(batches):
-        df = np.zeros(size + 1, dtype=np.int64)  # the last counts documents
+        df, at = np.zeros(size + 1, dtype=np.int64), sent.value  # the last counts documents
         for pdf in batches:
+            by = Counter()
             for text in pdf["text"]:
-                df[counted(text, sent.value)[0]] += 1
+                by.update(set(words_of(text)))
+            for w, n in by.items():
+                if (t := at.get(w)) is not None:
+                    df[t] += n
             df[size] += len(pdf)
         t = np.flatnonzero(df)
         yield pd.DataFrame({"t": t, "n": df[t]})
@@ -251,8 +292,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     index = BlockMaxIndex(np.array([d for d, *_ in kept], dtype=np.int64), np.array([y for _, y, _ in kept], dtype=int),
                           [v for *_, v in kept], len(words))
     model = Model(words, index, weight, prior, (sum(blank) + 10 * prior) / (len(blank) + 10), isotonic(np.empty(0), np.empty(0)))
-    tune = [(model.vote(t, f)[0], y) for _, y, z, t, f in rows if z and len(t)]
-    model.knots = isotonic(np.array([v for v, _ in tune]), np.array([y for _, y in tune], float))
+    tune = [(t, f, y) for _, y, z, t, f in rows if z and len(t)]
+    model.knots = isotonic(np.array([v for v, _ in model.votes([(t, f) for t, f, _ in tune])]),
+                           np.array([y for *_, y in tune], float))
     return model
 
 
@@ -263,15 +305,13 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches):
         m, seen = sent.value, {}
         for pdf in batches:
-            out = []
-            for text in pdf["text"]:
-                t, f = counted(text, m.words)
-                key = xxhash.xxh3_128_digest(t.tobytes() + f.tobytes())
-                if key not in seen:
-                    if len(seen) > 50_000:
-                        seen.clear()
-                    seen[key] = m.score(t, f)
-                out.append(seen[key])
+            found = [counted(text, m.words) for text in pdf["text"]]
+            keys = [xxhash.xxh3_128_digest(t.tobytes() + f.tobytes()) for t, f in found]
+            if len(seen) > 50_000:
+                seen.clear()
+            new = {k: x for k, x in zip(keys, found) if k not in seen}
+            seen.update(zip(new, m.scores(list(new.values()))))
+            out = [seen[k] for k in keys]
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": [s for s, _ in out],
                                 "evidence": [e for _, e in out]})
 

@@ -234,6 +234,48 @@ def test_block_max_search_equals_a_full_scan():
         assert got == [(round(-s, 9), i) for s, i in want]
 
 
+def test_search_of_many_queries_equals_a_full_scan():
+    """Words of one in ``OFTEN`` examples and more cost no postings; ties, equal examples and
+    queries without a known word in more than one block."""
+    rng = np.random.default_rng(4)
+    size, n = 900, 1_500
+    weight = rng.lognormal(0, 2, size)
+    odds = 1 / (1 + np.arange(size)) ** 1.1
+
+    def text(k):
+        return np.unique(rng.choice(size, k, p=odds / odds.sum())).astype(np.int32)
+
+    vecs = []
+    for i in range(n):
+        t = text(int(rng.integers(1, 60)))
+        vecs.append(vecs[-1] if i % 7 == 3 else toxicity.unit_of(t, rng.integers(1, 4, len(t)), weight))
+    dense = np.zeros((n, size))
+    for i, (t, w) in enumerate(vecs):
+        dense[i, t] = w
+    ids = rng.permutation(n) * 5
+    index = toxicity.BlockMaxIndex(ids, rng.integers(0, 2, n), list(vecs), size)
+    df = (dense > 0).sum(0)
+    assert 0 < (df * toxicity.OFTEN >= n).sum() < toxicity.COMMON
+    assert len(index.owner) == df[df * toxicity.OFTEN < n].sum()
+    queries = [toxicity.unit_of(t, np.ones(len(t)), weight) for t in (text(int(rng.integers(0, 40))) for _ in range(300))]
+    found = list(index.nearest_of(queries, k=9))
+    assert len(found) == len(queries)
+    for (t, w), got in zip(queries, found):
+        full = dense[:, t] @ w
+        want = sorted((-round(float(s), 12), int(ids[i])) for i, s in enumerate(full) if s > 0)[:9]
+        assert [int(ids[at]) for _, at in got] == [i for _, i in want]
+        assert np.allclose([s for s, _ in got], [-s for s, _ in want], rtol=0, atol=1e-9)
+
+
+def test_words_are_those_of_the_pattern():
+    odd = ["Don't_stop 12th x2y", "Stra\u00dfe \u00c0\u00ff\u00d7\u00f7 a\u00b2b \u00bd\u00aa\u00ba\u00b5", "a\x00b\u00a0c\x85d\x1ce", "\u212aelvin \u0130x \u1e9e",
+           "\u201cquoted\u201d \u0142\u00f3d\u017a \u4e2d\u6587", "\U0001d400\U0001f600z", "\ud800 lone", "", " \n"]
+    odd += ["".join(map(chr, range(at, at + 64))) for at in range(0, 0x300, 64)]
+    for text in odd:
+        assert toxicity.words_of(text) == toxicity.WORD.findall(text.lower())
+    assert toxicity.words_of(None) == []
+
+
 def test_isotonic_is_monotone():
     x, y = np.array([0.1, 0.2, 0.3, 0.4, 0.5]), np.array([0.0, 1.0, 0.0, 1.0, 1.0])
     knots, level = toxicity.isotonic(x, y)

@@ -28,9 +28,10 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -95,9 +96,11 @@ class BlockMaxIndex:
     def matrix(self) -> np.ndarray:
         """Weights of the common words (rows) in all examples."""
         out = np.zeros((int(self.column.max(initial=-1)) + 1, len(self.ids)), dtype=np.float32)
-        at = self.column[self.term]
-        owner = np.repeat(np.arange(len(self.ids)), np.diff(self.begin))
-        out[at[at >= 0], owner[at >= 0]] = self.weight[at >= 0]
+        for lo in range(0, len(self.ids), 1_000):
+            a, b = self.begin[lo], self.begin[min(lo + 1_000, len(self.ids))]
+            at = self.column[self.term[a:b]]
+            hit = np.flatnonzero(at >= 0)
+            out[at[hit], np.searchsorted(self.begin, a + hit, "right") - 1] = self.weight[a:b][hit]
         return out
 
     def __getstate__(self):
@@ -107,11 +110,10 @@ class BlockMaxIndex:
         """The k best (cosine, position), cosine over 0, ties by id."""
         return next(self.nearest_of([(terms, weights)], k))
 
-    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = K) -> Iterator[list[tuple[float, int]]]:
+    def nearest_of(self, queries: Iterable[tuple[np.ndarray, np.ndarray]], k: int = K) -> Iterator[list[tuple[float, int]]]:
         """The same for each of many queries."""
         query = np.zeros(self.size)
-        for at in range(0, len(queries), BLOCK):
-            block = queries[at:at + BLOCK]
+        for block in batched(queries, BLOCK):
             columns = [self.column[terms] for terms, _ in block]
             grid = np.zeros((len(block), len(self.matrix)), dtype=np.float32)
             for row, c, (_, weights) in zip(grid, columns, block):
@@ -181,7 +183,7 @@ class Model:
 
     def votes(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, list[tuple[float, int]]]]:
         """Distance-weighted vote for each (terms, tf), drawn to the prior where the evidence is thin."""
-        for near in self.index.nearest_of([unit_of(terms, tf, self.weight) for terms, tf in texts]):
+        for near in self.index.nearest_of(unit_of(terms, tf, self.weight) for terms, tf in texts):
             mass = sum(s for s, _ in near)
             yes = sum(s for s, at in near if self.index.labels[at])
             yield (yes + 0.5 * self.prior) / (mass + 0.5), near
@@ -245,12 +247,13 @@ def frequencies(docs: DataFrame, sent, size: int) -> tuple[np.ndarray, int]:
     def run(batches):
         df, at = np.zeros(size + 1, dtype=np.int64), sent.value  # the last counts documents
         for pdf in batches:
-            by = Counter()
-            for text in pdf["text"]:
-                by.update(set(words_of(text)))
-            for w, n in by.items():
-                if (t := at.get(w)) is not None:
-                    df[t] += n
+            for texts in batched(pdf["text"], 1_000):
+                by = Counter()
+                for text in texts:
+                    by.update(set(words_of(text)))
+                for w, n in by.items():
+                    if (t := at.get(w)) is not None:
+                        df[t] += n
             df[size] += len(pdf)
         t = np.flatnonzero(df)
         yield pd.DataFrame({"t": t, "n": df[t]})
@@ -305,13 +308,15 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches):
         m, seen = sent.value, {}
         for pdf in batches:
-            found = [counted(text, m.words) for text in pdf["text"]]
-            keys = [xxhash.xxh3_128_digest(t.tobytes() + f.tobytes()) for t, f in found]
-            if len(seen) > 50_000:
-                seen.clear()
-            new = {k: x for k, x in zip(keys, found) if k not in seen}
-            seen.update(zip(new, m.scores(list(new.values()))))
-            out = [seen[k] for k in keys]
+            out = []
+            for texts in batched(pdf["text"], BLOCK):
+                found = [counted(text, m.words) for text in texts]
+                keys = [xxhash.xxh3_128_digest(t.tobytes() + f.tobytes()) for t, f in found]
+                if len(seen) > 50_000:
+                    seen.clear()
+                new = {k: x for k, x in zip(keys, found) if k not in seen}
+                seen.update(zip(new, m.scores(list(new.values()))))
+                out += [seen[k] for k in keys]
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": [s for s, _ in out],
                                 "evidence": [e for _, e in out]})
 

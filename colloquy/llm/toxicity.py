@@ -14,7 +14,9 @@ examples outside the index turns votes into calibrated scores.
 
 The index, word weights and calibration are fitted on a bounded sample: about
 ``FIT_ROWS`` labelled rows that are not held out, by a hash of their id; nothing
-sent to the executors grows beyond its words. Document frequencies are counted over
+sent to the executors grows beyond its words. The driver holds the sample's words and
+counts as plain columns; the tasks look words up, make the index and search it, also for
+the votes that the calibration learns from. Document frequencies are counted over
 all documents, and every whole text is scored.
 
 Defined results: null and empty texts, and texts without a word of the examples, get
@@ -31,11 +33,14 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
-from itertools import batched
+from itertools import batched, pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,7 +83,7 @@ class BlockMaxIndex:
     def __post_init__(self):
         lengths = [len(t) for t, _ in self.vectors]
         self.begin = np.r_[0, np.cumsum(lengths)].astype(np.int64)
-        self.term = np.concatenate([np.empty(0, np.int32), *(t for t, _ in self.vectors)]).astype(np.int32)
+        self.term = np.concatenate([np.empty(0, np.int32), *(t for t, _ in self.vectors)]).astype(np.int32, copy=False)
         self.weight = np.concatenate([np.empty(0), *(w for _, w in self.vectors)])
         self.vectors = []  # held by the arrays
         df = np.bincount(self.term, minlength=self.size)
@@ -103,9 +108,6 @@ class BlockMaxIndex:
             out[at[hit], np.searchsorted(self.begin, a + hit, "right") - 1] = self.weight[a:b][hit]
         return out
 
-    def __getstate__(self):
-        return {k: v for k, v in vars(self).items() if k != "matrix"}  # made anew where it is used
-
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int = K) -> list[tuple[float, int]]:
         """The k best (cosine, position), cosine over 0, ties by id."""
         return next(self.nearest_of([(terms, weights)], k))
@@ -172,30 +174,50 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             np.array([(p[0] + 0.5) / (p[1] + 1) if p[1] < 20 else p[0] / p[1] for p in pools]))
 
 
+@dataclass
+class Words:
+    """The known words as a rising column; a task looks them up in a dictionary of its own."""
+
+    column: pa.Array
+
+    @cached_property
+    def at(self) -> dict[str, int]:
+        return {w: i for i, w in enumerate(self.column.to_pylist())}
+
+
 @dataclass
 class Model:
-    words: dict[str, int]
-    index: BlockMaxIndex
+    """The examples as columns; a task searches them in an index of its own."""
+
+    ids: np.ndarray
+    labels: np.ndarray
+    begin: np.ndarray  # of the terms of each example, and the end
+    term: np.ndarray
+    tf: np.ndarray
     weight: np.ndarray  # of each word
-    prior: float  # share of toxic among the examples
-    blank: float  # the same among examples without a known word
-    knots: tuple[np.ndarray, np.ndarray]
+    prior: float  # share of toxic among the sample
+    blank: float  # the same among texts without a known word
+
+    @cached_property
+    def index(self) -> BlockMaxIndex:
+        return BlockMaxIndex(self.ids, self.labels, [unit_of(self.term[a:b], self.tf[a:b], self.weight)
+                                                     for a, b in pairwise(self.begin)], len(self.weight))
 
     def votes(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, list[tuple[float, int]]]]:
         """Distance-weighted vote for each (terms, tf), drawn to the prior where the evidence is thin."""
         for near in self.index.nearest_of(unit_of(terms, tf, self.weight) for terms, tf in texts):
             mass = sum(s for s, _ in near)
-            yes = sum(s for s, at in near if self.index.labels[at])
+            yes = sum(s for s, at in near if self.labels[at])
             yield (yes + 0.5 * self.prior) / (mass + 0.5), near
 
-    def scores(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, str]]:
+    def scores(self, texts: list[tuple[np.ndarray, np.ndarray]], knots: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[float, str]]:
         """Score and evidence for each (terms, tf)."""
         for vote, near in self.votes(texts):
             if not near:
                 yield self.blank, ""
             else:
-                yield (float(np.clip(np.interp(vote, *self.knots), 0, 1)),
-                       ",".join(f"{self.index.ids[at]}:{s:.3f}:{int(self.index.labels[at])}" for s, at in near[:3]))
+                yield (float(np.clip(np.interp(vote, *knots), 0, 1)),
+                       ",".join(f"{self.ids[at]}:{s:.3f}:{int(self.labels[at])}" for s, at in near[:3]))
 
 
 def sample_labels(labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -206,9 +228,9 @@ def sample_labels(labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     return clean.where(in_share(F.xxhash64("doc_id", F.lit(3)), fit_rows, clean.count()))
 
 
-def label_counts(sample: DataFrame) -> tuple[pd.DataFrame, int, int]:
-    """(word, a, b) for every word of the sample: the toxic and the clean texts that hold
-    it, equal texts once; and how many toxic and clean texts there are."""
+def label_counts(sample: DataFrame) -> tuple[pa.Table, int, int]:
+    """(word, a, b) for every word of the sample, in rising order: the toxic and the clean texts
+    that hold it, equal texts once; and how many toxic and clean texts there are."""
     def count(batches):
         for pdf in batches:
             by = Counter()
@@ -221,7 +243,7 @@ def label_counts(sample: DataFrame) -> tuple[pd.DataFrame, int, int]:
     words = once.mapInPandas(count, "word string, toxic int, n long").groupBy("word").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"))
-    found = words.toArrow().to_pandas().sort_values("word", ignore_index=True)  # the bounded sample
+    found = words.toArrow().sort_by("word")  # the bounded sample
     return found, total.get(1, 0), total.get(0, 0)
 
 
@@ -242,10 +264,10 @@ def counted(text: str | None, at: dict[str, int]) -> tuple[np.ndarray, np.ndarra
     return np.unique(np.array(ids, dtype=np.int32), return_counts=True)
 
 
-def frequencies(docs: DataFrame, sent, size: int) -> tuple[np.ndarray, int]:
+def frequencies(docs: DataFrame, words: Broadcast, size: int) -> tuple[np.ndarray, int]:
     """Document frequency of each known word over all documents, and their number."""
     def run(batches):
-        df, at = np.zeros(size + 1, dtype=np.int64), sent.value  # the last counts documents
+        df, at = np.zeros(size + 1, dtype=np.int64), words.value.at  # the last counts documents
         for pdf in batches:
             for texts in batched(pdf["text"], 1_000):
                 by = Counter()
@@ -264,58 +286,75 @@ def frequencies(docs: DataFrame, sent, size: int) -> tuple[np.ndarray, int]:
     return out[:size], int(out[size])
 
 
-def sample_vectors(sample: DataFrame, sent) -> list[tuple[int, int, bool, np.ndarray, np.ndarray]]:
-    """(doc_id, toxic, tune, terms, tf) of the sample, in a fixed order."""
+def sample_vectors(sample: DataFrame, words: Broadcast) -> DataFrame:
+    """(doc_id, toxic, tune, terms, tf) of the sample."""
     def run(batches):
         for pdf in batches:
-            found = [counted(t, sent.value) for t in pdf["text"]]
+            found = [counted(t, words.value.at) for t in pdf["text"]]
             yield pdf[["doc_id", "toxic", "tune"]].assign(
                 terms=[t.astype(np.int32).tobytes() for t, _ in found], tf=[n.astype(np.int32).tobytes() for _, n in found])
 
-    rows = sample.mapInPandas(run, "doc_id long, toxic int, tune boolean, terms binary, tf binary").toArrow().to_pydict()
-    return [(d, y, z, np.frombuffer(t, np.int32), np.frombuffer(n, np.int32))
-            for d, t, n, y, z in sorted(zip(*(rows[c] for c in ("doc_id", "terms", "tf", "toxic", "tune"))))]
+    return sample.mapInPandas(run, "doc_id long, toxic int, tune boolean, terms binary, tf binary")
+
+
+def in_order(vectors: DataFrame, *columns: str) -> pa.Table:
+    """These columns of the bounded sample's vectors, in a fixed order of the rows."""
+    return vectors.orderBy("doc_id", "terms", "tf", "toxic").select(*columns).toArrow()
+
+
+def calibrate(tune: DataFrame, sent: Broadcast) -> tuple[np.ndarray, np.ndarray]:
+    """Knots from votes (a sum over the nearest examples) to shares of toxic, by vectors outside the index."""
+    def run(batches):
+        for pdf in batches:
+            texts = [(np.frombuffer(t, np.int32), np.frombuffer(n, np.int32)) for t, n in zip(pdf["terms"], pdf["tf"])]
+            yield pdf.assign(vote=[v for v, _ in sent.value.votes(texts)])
+
+    voted = in_order(tune.select("doc_id", "toxic", "terms", "tf").mapInPandas(
+        run, "doc_id long, toxic int, terms binary, tf binary, vote double"), "vote", "toxic")
+    return isotonic(voted["vote"].to_numpy(), voted["toxic"].to_numpy().astype(float))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, Broadcast, tuple[np.ndarray, np.ndarray]]:
+    """The words and the model, both sent to the tasks, and the knots of the calibration."""
+    sc = docs.sparkSession.sparkContext
     chosen = materialize(sample_labels(labels), "tox_labels")
     # the sample has about FIT_ROWS rows, whatever the tables' size
     sample = materialize(id_text(docs).join(F.broadcast(chosen), "doc_id").withColumn(
         "tune", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 3), "tox_sample")
     counts, n1, n0 = label_counts(sample.where("not tune"))
-    words = {w: i for i, w in enumerate(counts["word"])}
-    sent = docs.sparkSession.sparkContext.broadcast(words)
-    df, n = frequencies(docs, sent, len(words))
+    words = sc.broadcast(Words(counts["word"].combine_chunks()))
+    df, n = frequencies(docs, words, counts.num_rows)
     weight = (np.log((n + 1) / (df + 1)) + 1) * dependence(
-        counts["a"].to_numpy(float), counts["b"].to_numpy(float), n1, n0)
-    rows = sample_vectors(sample, sent)
-    prior = sum(y for _, y, *_ in rows) / max(1, len(rows))
-    blank = [y for _, y, _, t, _ in rows if not len(t)]
-    kept = [(d, y, unit_of(t, f, weight)) for d, y, z, t, f in rows if len(t) and not z]
-    index = BlockMaxIndex(np.array([d for d, *_ in kept], dtype=np.int64), np.array([y for _, y, _ in kept], dtype=int),
-                          [v for *_, v in kept], len(words))
-    model = Model(words, index, weight, prior, (sum(blank) + 10 * prior) / (len(blank) + 10), isotonic(np.empty(0), np.empty(0)))
-    tune = [(t, f, y) for _, y, z, t, f in rows if z and len(t)]
-    model.knots = isotonic(np.array([v for v, _ in model.votes([(t, f) for t, f, _ in tune])]),
-                           np.array([y for *_, y in tune], float))
-    return model
+        counts["a"].to_numpy().astype(float), counts["b"].to_numpy().astype(float), n1, n0)
+    vectors = materialize(sample_vectors(sample, words), "tox_vectors")
+    known = F.length("terms") > 0
+    rows, yes, blank, blank_yes = (x or 0 for x in vectors.agg(
+        F.count(F.lit(1)), F.sum("toxic"), F.count(F.when(~known, 1)), F.sum(F.when(~known, F.col("toxic")))).first())
+    prior = yes / max(1, rows)
+    kept = in_order(vectors.where(known & ~F.col("tune")), "doc_id", "toxic", "terms", "tf")
+    term, tf = (np.frombuffer(b"".join(kept[c].to_pylist()), np.int32) for c in ("terms", "tf"))
+    lengths = pc.binary_length(kept["terms"]).to_numpy().astype(np.int64) // 4
+    sent = sc.broadcast(Model(
+        kept["doc_id"].to_numpy(), kept["toxic"].to_numpy().astype(int), np.r_[0, np.cumsum(lengths)], term, tf, weight,
+        prior, (blank_yes + 10 * prior) / (blank + 10)))
+    return words, sent, calibrate(vectors.where(known & F.col("tune")), sent)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted and evidence (doc_id:cosine:label of the nearest three)."""
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    words, sent, knots = fit(docs, labels)
 
     def run(batches):
-        m, seen = sent.value, {}
+        m, at, seen = sent.value, words.value.at, {}
         for pdf in batches:
             out = []
             for texts in batched(pdf["text"], BLOCK):
-                found = [counted(text, m.words) for text in texts]
+                found = [counted(text, at) for text in texts]
                 keys = [xxhash.xxh3_128_digest(t.tobytes() + f.tobytes()) for t, f in found]
                 if len(seen) > 50_000:
                     seen.clear()
                 new = {k: x for k, x in zip(keys, found) if k not in seen}
-                seen.update(zip(new, m.scores(list(new.values()))))
+                seen.update(zip(new, m.scores(list(new.values()), knots)))
                 out += [seen[k] for k in keys]
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": [s for s, _ in out],
                                 "evidence": [e for _, e in out]})

@@ -282,6 +282,28 @@ def test_isotonic_is_monotone():
     assert (np.diff(knots) > 0).all() and (np.diff(level) >= 0).all()
 
 
+def test_the_driver_neither_looks_words_up_nor_searches(spark, monkeypatch):
+    """It holds columns: less than 140 bytes for each of many words, and no index."""
+    def boom(*_):
+        raise AssertionError("index on the driver")
+
+    n, each = 600, 200
+    name = str.maketrans("0123456789", "abcdefghij")
+    docs = spark.createDataFrame([(i, " ".join(f"w{i * each + j}".translate(name) for j in range(each)) + " all") for i in range(n)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, toxic int")
+    want = toxicity.score(docs, labels).count()
+    monkeypatch.setattr(toxicity.BlockMaxIndex, "__post_init__", boom)
+    monkeypatch.setattr(toxicity.BlockMaxIndex, "nearest_of", boom)
+    tracemalloc.start()
+    words, model, knots = toxicity.fit(docs, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    known = len(words.value.column)
+    assert want == n and known > 40_000 and len(model.value.term) >= known and len(knots[0])
+    assert peak < 140 * known, peak / known
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     got = toxicity.score(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
